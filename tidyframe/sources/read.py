@@ -11,11 +11,19 @@ from pyspark.sql import functions as F
 
 from tidyframe.sources.spec import SourceSpec
 
+# Spark's XML reader trims values by default; a prep job must not alter text
+# silently, so keep whitespace unless the user sets the option.
+READ_DEFAULTS = {"xml": {"ignoreSurroundingSpaces": "false"}}
+
+
+def reader_options(spec: SourceSpec) -> dict[str, str]:
+    return {**READ_DEFAULTS.get(spec.format, {}), **spec.options}
+
 
 def read_source(spark: SparkSession, spec: SourceSpec) -> DataFrame:
     if spec.is_jdbc:
         return _read_jdbc(spark, spec)
-    reader = spark.read.format(spec.format).options(**spec.options)
+    reader = spark.read.format(spec.format).options(**reader_options(spec))
     if spec.schema is not None:
         reader = reader.schema(spec.schema)
     paths = list(spec.path) if isinstance(spec.path, tuple) else [spec.path]

@@ -28,6 +28,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidyframe.errors import SpecError
 from tidyframe.sinks.write import SinkSpec
+from tidyframe.sources.read import reader_options
 from tidyframe.sources.spec import SourceSpec
 
 STREAM_SINK_FORMATS = ("parquet", "csv", "json")
@@ -61,7 +62,8 @@ def ingest_files(
     if len(paths) != 1:
         raise SpecError("ingest reads one path or glob")
 
-    reader = spark.readStream.format(source.format).schema(source.schema).options(**source.options)
+    reader = (spark.readStream.format(source.format).schema(source.schema)
+              .options(**reader_options(source)))
     if archive_dir:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
     if max_files_per_batch:
