@@ -3,6 +3,7 @@ from __future__ import annotations
 import os
 import sys
 import tempfile
+import uuid
 
 import pytest
 from pyspark.sql import SparkSession
@@ -40,7 +41,7 @@ def scratch():
 def count_jobs(spark, fn) -> int:
     """Number of Spark jobs ``fn`` launches (status tracker, no UI)."""
     sc = spark.sparkContext
-    group = f"count-{os.getpid()}-{id(fn)}"
+    group = f"count-{os.getpid()}-{uuid.uuid4().hex}"
     sc.setJobGroup(group, group)
     try:
         fn()

@@ -257,6 +257,8 @@ class JobSpec:
             raise SpecError("incremental ingest needs a file source")
         if spec.ingest and spec.source.schema is None:
             raise SpecError("incremental ingest needs an explicit source schema")
+        if spec.ingest and spec.sink.mode != "append":
+            raise SpecError("incremental ingest appends: set sink mode to 'append'")
         return spec
 
 
@@ -335,6 +337,7 @@ def from_legacy_attributes(attrs: Mapping, checkpoint: str | None = None) -> Job
         if not checkpoint:
             raise SpecError("move_processed_files needs a checkpoint path for the ingest")
         ingest = {"checkpoint": checkpoint, "archive_dir": proc.get("processed_folder")}
+        sink["mode"] = "append"  # the stream appends each new file exactly once
     return JobSpec.from_dict(
         {
             "source": {"format": src.get("file_type"), "path": src.get("file_path"),
