@@ -189,3 +189,43 @@ def test_job_incremental_mode(spark, scratch):
     assert rep[("completeness", "TEMPERATURA", "total")] == 4.0
     with pytest.raises(SpecError):
         ingest_files(spark, spec.source, SinkSpec(path=scratch + "/x"), scratch + "/c2")
+
+
+def test_load_spec_yaml(spark, scratch):
+    import yaml
+
+    from tidyframe.plans import load_spec
+
+    land(spark, scratch + "/raw", "a.csv")
+    path = scratch + "/params.yml"
+    with open(path, "w", encoding="utf-8") as fh:
+        yaml.safe_dump({"attributes": legacy_attrs(scratch + "/raw/*.csv", scratch + "/out")}, fh)
+    spec = load_spec(path)
+    assert spec.dedupe.keys == ("PRONTUARIO",) and spec.sink.partition_by == ("DATA_PROCESSAMENTO",)
+    assert run_job(spark, spec, *RUN).rows_written == 4
+    with open(scratch + "/bad.yml", "w") as fh:
+        fh.write("a: [1, 2\n")
+    with pytest.raises(SpecError):
+        load_spec(scratch + "/bad.yml")
+    with pytest.raises(SpecError):
+        load_spec(scratch + "/missing.yml")
+
+
+def test_chaining_with_transform(spark):
+    from tidyframe.functions import add_years, cast_columns, normalize_columns, reformat_dates
+    from tidyframe.functions.split import split_pair
+    from tidyframe.operators import keep_one
+
+    df = spark.createDataFrame(ROWS, VITALS_DDL)
+    out = (
+        df.transform(normalize_columns, ["NOME"], "title_plain")
+        .transform(reformat_dates, "DATANASCIMENTO", "dd/MM/yyyy")
+        .transform(cast_columns, ["TEMPERATURA", "PESO"], "double")
+        .transform(split_pair, "PRESSAOARTERIAL", "SYS", "DIA", "/", False, "int")
+        .transform(add_years, "AGE", "DATANASCIMENTO", "2024-01-01", "yyyy-MM-dd")
+        .transform(keep_one, ["PRONTUARIO"])
+    )
+    got = {r["PRONTUARIO"]: r for r in out.collect()}
+    assert got["100001"]["NOME"] == "Ana Souza" and got["100001"]["SYS"] == 120
+    assert got["100003"]["NOME"] == "Zoe Nandu" and got["100003"]["DIA"] is None
+    assert got["100004"]["AGE"] == 59

@@ -8,6 +8,7 @@ from tidyframe.functions.dates import (
     reformat_date,
     years_between,
 )
+from tidyframe.functions.frame import add_years, normalize_columns, reformat_dates
 from tidyframe.functions.split import split_column, split_pair
 from tidyframe.functions.stamps import add_run_stamps, run_clock
 from tidyframe.functions.text import (
@@ -23,15 +24,18 @@ from tidyframe.functions.text import (
 __all__ = [
     "accent_table",
     "add_run_stamps",
+    "add_years",
     "age_years",
     "cast_column",
     "cast_columns",
     "check_date_pattern",
     "collapse_whitespace",
+    "normalize_columns",
     "normalize_text",
     "nulled_by",
     "parse_date",
     "reformat_date",
+    "reformat_dates",
     "run_clock",
     "safe_cast",
     "split_column",

@@ -262,6 +262,16 @@ def oracles() -> dict[str, str]:
                 + _pct("count(*) - (select count(*) from d)", "count(*)")
                 + " as pct_duplicate from b",
                 "duplicates", "key", ["total", "n_unique", "n_duplicate", "pct_duplicate"],
+            )
+            # the raw job input has no NULLs, so every NULL left in a converted
+            # column was produced by the conversion
+            + "\nunion all\n"
+            + long_sql(
+                "\nunion all\n".join(
+                    f"select '{c}' as subject, count_if({c} is null) as n_nulled from d"
+                    for c in ("order_date", "order_id", "customer_id", "total")
+                ),
+                "conversion", "subject", ["n_nulled"],
             ),
         ),
     }

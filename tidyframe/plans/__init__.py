@@ -1,7 +1,7 @@
 """Job specs compiled to one lazy Spark plan, and the job runner."""
 
 from tidyframe.plans.job import JobResult, build_frame, run_job, transform_frame
-from tidyframe.plans.spec import JobSpec, from_legacy_attributes
+from tidyframe.plans.spec import JobSpec, from_legacy_attributes, load_spec
 
-__all__ = ["JobResult", "JobSpec", "build_frame", "from_legacy_attributes", "run_job",
+__all__ = ["JobResult", "JobSpec", "build_frame", "from_legacy_attributes", "load_spec", "run_job",
            "transform_frame"]

@@ -14,6 +14,9 @@ Batch flow::
   no second pass.  Only when no dedupe runs on the quality key (or the order
   needs the window strategy) is the duplicate check a separate, pre-aggregated
   job.
+* With a quality section, each converted column (cast, date re-format) keeps
+  its raw value until the observation, which counts the values the
+  conversion turned into NULL (``conversion / n_nulled`` in the report).
 * The run date / timestamp are fixed once on the driver and written as
   literals, so retries and reruns stamp identical values.
 """
@@ -44,6 +47,7 @@ from tidyframe.sinks.write import prepare_layout, write_sink
 from tidyframe.sources.read import read_source
 
 ROWS_COL = "__rows_per_key"
+RAW_PREFIX = "__raw_"
 
 
 @dataclass
@@ -124,6 +128,26 @@ def build_frame(
 # ------------------------------------------------------------------------- run
 
 
+def converted_columns(spec: JobSpec) -> list[str]:
+    """Columns a step converts in place (casts, date re-formats)."""
+    out = [r.column for r in spec.clean.reformat_date]
+    for step in spec.cast:
+        out += [c for c in step.columns if c not in out]
+    return out
+
+
+def _keep_raw(df: DataFrame, columns: list[str]) -> tuple[DataFrame, list[str]]:
+    present = [c for c in columns if c in df.columns]
+    return df.withColumns({RAW_PREFIX + c: F.col(c) for c in present}), present
+
+
+def _raw_last(df: DataFrame) -> DataFrame:
+    """Move the raw copies to the end: as tie-breakers they then only decide
+    between rows that are equal in every output column."""
+    raw = [c for c in df.columns if c.startswith(RAW_PREFIX)]
+    return df.select(*[c for c in df.columns if c not in raw], *raw) if raw else df
+
+
 def _dedupe_counts_rows(spec: JobSpec) -> bool:
     d = spec.dedupe
     if d is None or d.strategy in ("any", "window"):
@@ -145,8 +169,12 @@ def run_job(
 
         return run_incremental(spark, spec, run_date, run_ts)
 
-    df = transform_frame(read_source(spark, spec.source), spec, run_date)
     q = spec.quality
+    src = read_source(spark, spec.source)
+    converted: list[str] = []
+    if q is not None:
+        src, converted = _keep_raw(src, converted_columns(spec))
+    df = _raw_last(transform_frame(src, spec, run_date))
     counted = _dedupe_counts_rows(spec)
     dup_from_dedupe = bool(q and q.keys and counted and tuple(q.keys) == spec.dedupe.keys)
     separate_dups = (
@@ -161,11 +189,15 @@ def run_job(
     df = _stamp(df, spec, run_date, run_ts)
     laid = prepare_layout(df, spec.sink)
 
-    data_cols = [c for c in laid.columns if c != ROWS_COL]
+    internal = [c for c in laid.columns if c == ROWS_COL or c.startswith(RAW_PREFIX)]
+    data_cols = [c for c in laid.columns if c not in internal]
     plan = None
     extra = {"__rows_after": F.count(F.lit(1))}
     if counted:
         extra["__rows_before"] = F.coalesce(F.sum(ROWS_COL), F.lit(0))
+    for i, c in enumerate(converted):
+        raw = F.col(RAW_PREFIX + c)
+        extra[f"__nulled_{i}"] = F.count_if(raw.isNotNull() & F.col(c).isNull())
     if q is not None:
         cols = list(q.columns) if q.columns is not None else data_cols
         plan = quality_plan(laid.select(*data_cols), q.ranges, cols, q.describe,
@@ -174,7 +206,7 @@ def run_job(
     exprs = dict(plan.exprs) if plan else {}
     exprs.update(extra)
     observed = laid.observe(obs, *[e.alias(n) for n, e in exprs.items()])
-    final = observed.drop(ROWS_COL) if counted else observed
+    final = observed.drop(*internal) if internal else observed
     write_sink(final, spec.sink, layout=False)
 
     values = obs.get
@@ -192,4 +224,11 @@ def run_job(
             )
         elif separate_dups is not None:
             report = report.unionByName(report_from_parts(None, separate_dups, None, None))
+        if converted:
+            nulled = spark.createDataFrame(
+                [("conversion", c, "n_nulled", float(values[f"__nulled_{i}"]))
+                 for i, c in enumerate(converted)],
+                "check string, subject string, metric string, value double",
+            )
+            report = report.unionByName(nulled)
     return JobResult(spec.sink.path, run_date, run_ts, rows_written, report)

@@ -355,7 +355,31 @@ def from_legacy_attributes(attrs: Mapping, checkpoint: str | None = None) -> Job
     )
 
 
+def load_spec(source, checkpoint: str | None = None) -> JobSpec:
+    """A ``JobSpec`` from a dict or a YAML file (read on the driver: it is a
+    small config).  A file whose root is ``attributes`` uses the older layout
+    (``from_legacy_attributes``).  Any problem raises at once."""
+    if isinstance(source, Mapping):
+        data = source
+    else:
+        try:
+            import yaml
+        except ImportError as ex:  # pragma: no cover - PyYAML is optional
+            raise SpecError("reading a spec file needs PyYAML") from ex
+        try:
+            with open(source, encoding="utf-8") as fh:
+                data = yaml.safe_load(fh)
+        except (OSError, yaml.YAMLError) as ex:
+            raise SpecError(f"cannot read spec {source!r}: {ex}") from ex
+    if not isinstance(data, Mapping):
+        raise SpecError("a spec must be a mapping")
+    if set(data) == {"attributes"}:
+        return from_legacy_attributes(data["attributes"], checkpoint)
+    return JobSpec.from_dict(data)
+
+
 __all__ = [
     "CastStep", "CleanSpec", "DateReformat", "DedupeSpec", "IngestSpec", "JobSpec",
     "QualitySpec", "SplitStep", "StampSpec", "YearsStep", "from_legacy_attributes",
+    "load_spec",
 ]
