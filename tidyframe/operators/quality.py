@@ -42,6 +42,8 @@ STATUS_OK, STATUS_WARN, STATUS_FAIL = "ok", "warn", "fail"
 class MetricPlan:
     exprs: dict[str, Column]  # output name -> aggregate expression
     shape: Callable[[DataFrame], DataFrame]
+    # (check, subject, metric, value) structs over the one-row aggregate
+    long: Callable[[], list[Column]] | None = field(default=None)
     wide_schema: StructType | None = field(default=None)
 
     @property
@@ -64,6 +66,15 @@ class MetricPlan:
         return self.shape(spark.createDataFrame([row], self.wide_schema))
 
 
+def _entry(check: str, subject: str, metric: str, value: Column) -> Column:
+    return F.struct(
+        F.lit(check).alias("check"),
+        F.lit(subject).alias("subject"),
+        F.lit(metric).alias("metric"),
+        value.cast("double").alias("value"),
+    )
+
+
 def _unpivot(wide: DataFrame, keep: list[Column], entries: list[Column]) -> DataFrame:
     """One row -> one row per entry, without a shuffle (``inline(array(...))``)."""
     return wide.select(*keep, F.inline(F.array(*entries)))
@@ -116,7 +127,20 @@ def completeness_plan(
             .alias("status"),
         )
 
-    return MetricPlan(exprs, shape)
+    def long() -> list[Column]:
+        total, out = F.col("__total"), []
+        for i, c in enumerate(cols):
+            n = F.col(f"__null_{i}")
+            out += [
+                _entry("completeness", c, "total", total),
+                _entry("completeness", c, "n_null", n),
+                _entry("completeness", c, "n_filled", total - n),
+                _entry("completeness", c, "pct_null", pct(n, total)),
+                _entry("completeness", c, "pct_filled", pct(total - n, total)),
+            ]
+        return out
+
+    return MetricPlan(exprs, shape, long)
 
 
 def completeness(
@@ -170,7 +194,15 @@ def describe_plan(df: DataFrame, columns: Sequence[str] | None = None) -> Metric
             )
         return _unpivot(wide, [], entries)
 
-    return MetricPlan(exprs, shape)
+    def long() -> list[Column]:
+        out = []
+        for i, c in enumerate(cols):
+            for metric, prefix in (("count", "__n"), ("mean", "__mean"), ("stddev", "__sd"),
+                                   ("min", "__min"), ("max", "__max")):
+                out.append(_entry("describe", c, metric, F.col(f"{prefix}_{i}")))
+        return out
+
+    return MetricPlan(exprs, shape, long)
 
 
 def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
@@ -243,7 +275,23 @@ def range_plan(
             pct(valid, total).alias("pct_valid"),
         )
 
-    return MetricPlan(exprs, shape)
+    def long() -> list[Column]:
+        total, out = F.col("__total"), []
+        for i, r in enumerate(rules):
+            n_null, bad = F.col(f"__rnull_{i}"), F.col(f"__rbad_{i}")
+            valid = total - bad if legacy_null_valid else total - bad - n_null
+            c = r.column
+            out += [
+                _entry("range", c, "total", total),
+                _entry("range", c, "n_valid", valid),
+                _entry("range", c, "n_invalid", bad),
+                _entry("range", c, "n_null", n_null),
+                _entry("range", c, "pct_invalid", pct(bad, total)),
+                _entry("range", c, "pct_valid", pct(valid, total)),
+            ]
+        return out
+
+    return MetricPlan(exprs, shape, long)
 
 
 def range_check(
@@ -348,7 +396,7 @@ def quality_plan(
     warn_pct: float = 10.0,
     legacy_null_valid: bool = False,
 ) -> MetricPlan:
-    """Completeness + statistics + ranges fused into ONE aggregate."""
+    """Completeness + statistics + ranges fused into ONE aggregate (one scan)."""
     comp = completeness_plan(df, columns, warn_pct)
     desc = describe_plan(df) if describe else None
     rng = range_plan(df, rules, legacy_null_valid) if rules else None
@@ -357,15 +405,17 @@ def quality_plan(
         if p is not None:
             exprs.update(p.exprs)
 
+    parts = [p for p in (comp, desc, rng) if p is not None]
+
+    def long() -> list[Column]:
+        return [e for p in parts for e in p.long()]
+
     def shape(wide: DataFrame) -> DataFrame:
-        return report_from_parts(
-            comp.shape(wide),
-            None,
-            desc.shape(wide) if desc else None,
-            rng.shape(wide) if rng else None,
-        )
+        # every report row comes from the ONE aggregate row in one Generate; a
+        # union of per-check projections would re-run the scan once per check
+        return wide.select(F.inline(F.array(*long())))
 
-    return MetricPlan(exprs, shape)
+    return MetricPlan(exprs, shape, long)
 
 
 def quality_report(
