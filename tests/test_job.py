@@ -229,3 +229,23 @@ def test_chaining_with_transform(spark):
     assert got["100001"]["NOME"] == "Ana Souza" and got["100001"]["SYS"] == 120
     assert got["100003"]["NOME"] == "Zoe Nandu" and got["100003"]["DIA"] is None
     assert got["100004"]["AGE"] == 59
+
+
+def test_observation_sits_in_result_stage(spark, scratch):
+    """Metrics are collected above the last exchange (result stage), where
+    Spark merges each partition's accumulator once even after task retries."""
+    from conftest import plan_text
+
+    from tidyframe.plans import plan_job
+
+    land(spark, scratch + "/raw", "a.csv")
+    spec = from_legacy_attributes(legacy_attrs(scratch + "/raw/*.csv", scratch + "/out"))
+    planned = plan_job(spark, spec, *RUN)
+    plan = plan_text(planned.frame, "simple")
+    lines = plan.splitlines()
+    observe_at = next(i for i, ln in enumerate(lines) if "CollectMetrics" in ln)
+    first_exchange = next(i for i, ln in enumerate(lines) if "Exchange" in ln)
+    assert observe_at < first_exchange  # printed top-down: above every exchange
+    # partitioned by the run-date stamp (one value per run): no rebalance shuffle
+    assert "REBALANCE" not in plan.upper()
+    assert plan.count("Exchange") == 1  # only the dedupe's key shuffle

@@ -34,9 +34,10 @@ from tidyframe.functions.dates import reformat_date, years_between
 from tidyframe.functions.split import split_column
 from tidyframe.functions.stamps import add_run_stamps, run_clock
 from tidyframe.functions.text import normalize_text, strip_accents, title_case, title_case_plain
-from tidyframe.errors import require_columns
+from tidyframe.errors import SpecError, require_columns
 from tidyframe.operators.dedupe import keep_one
 from tidyframe.operators.quality import (
+    MetricPlan,
     duplicate_metrics,
     duplicates_shape,
     quality_plan,
@@ -155,20 +156,66 @@ def _dedupe_counts_rows(spec: JobSpec) -> bool:
     return len({o.descending for o in d.order_by}) <= 1
 
 
-def run_job(
+@dataclass
+class PlannedJob:
+    """A batch job compiled to the exact DataFrame that will be written.
+
+    ``frame.explain()`` shows the physical plan of the write; nothing has run.
+    """
+
+    spec: JobSpec
+    run_date: dt.date
+    run_ts: dt.datetime
+    frame: DataFrame
+    observation: Observation
+    metrics: MetricPlan | None
+    metrics_input: DataFrame | None
+    converted: list[str]
+    dup_from_dedupe: bool
+    separate_dups: DataFrame | None
+
+    def result(self, spark: SparkSession) -> JobResult:
+        """Report from the observation; call after ``frame`` was written."""
+        values = self.observation.get
+        rows_written = int(values["__rows_after"])
+        q = self.spec.quality
+        report = None
+        if q is not None:
+            self.metrics.bind_schema(self.metrics_input)
+            report = self.metrics.from_row(spark, values)
+            if self.dup_from_dedupe:
+                one = spark.createDataFrame(
+                    [(int(values["__rows_before"]), rows_written)],
+                    "__total bigint, __unique bigint",
+                )
+                report = report.unionByName(
+                    report_from_parts(None, duplicates_shape(one, q.keys), None, None)
+                )
+            elif self.separate_dups is not None:
+                report = report.unionByName(
+                    report_from_parts(None, self.separate_dups, None, None)
+                )
+            if self.converted:
+                nulled = spark.createDataFrame(
+                    [("conversion", c, "n_nulled", float(values[f"__nulled_{i}"]))
+                     for i, c in enumerate(self.converted)],
+                    "check string, subject string, metric string, value double",
+                )
+                report = report.unionByName(nulled)
+        return JobResult(self.spec.sink.path, self.run_date, self.run_ts, rows_written, report)
+
+
+def plan_job(
     spark: SparkSession,
     spec: JobSpec,
     run_date: dt.date | None = None,
     run_ts: dt.datetime | None = None,
-) -> JobResult:
-    """Run the job; batch unless the spec has an ``ingest`` section."""
+) -> PlannedJob:
+    """Compile a batch spec into the observed frame to write (lazy, no job)."""
+    if spec.ingest is not None:
+        raise SpecError("plan_job compiles batch jobs; this spec is incremental")
     if run_date is None or run_ts is None:
         run_date, run_ts = run_clock(run_ts)
-    if spec.ingest is not None:
-        from tidyframe.streaming.ingest import run_incremental
-
-        return run_incremental(spark, spec, run_date, run_ts)
-
     q = spec.quality
     src = read_source(spark, spec.source)
     converted: list[str] = []
@@ -187,48 +234,47 @@ def run_job(
             count_col=ROWS_COL if counted else None,
         )
     df = _stamp(df, spec, run_date, run_ts)
-    laid = prepare_layout(df, spec.sink)
+    # layout first: the observation must sit after the last exchange
+    stamps = {spec.stamps.date_column, spec.stamps.ts_column} if spec.stamps else set()
+    constant = bool(spec.sink.partition_by) and set(spec.sink.partition_by) <= stamps
+    laid = prepare_layout(df, spec.sink, constant_partitions=constant)
 
     internal = [c for c in laid.columns if c == ROWS_COL or c.startswith(RAW_PREFIX)]
     data_cols = [c for c in laid.columns if c not in internal]
-    plan = None
-    extra = {"__rows_after": F.count(F.lit(1))}
+    exprs: dict = {}
+    metrics = metrics_input = None
+    if q is not None:
+        metrics_input = laid.select(*data_cols)
+        cols = list(q.columns) if q.columns is not None else data_cols
+        metrics = quality_plan(metrics_input, q.ranges, cols, q.describe,
+                               q.warn_pct, q.legacy_null_valid)
+        exprs.update(metrics.exprs)
+    exprs["__rows_after"] = F.count(F.lit(1))
     if counted:
-        extra["__rows_before"] = F.coalesce(F.sum(ROWS_COL), F.lit(0))
+        exprs["__rows_before"] = F.coalesce(F.sum(ROWS_COL), F.lit(0))
     for i, c in enumerate(converted):
         raw = F.col(RAW_PREFIX + c)
-        extra[f"__nulled_{i}"] = F.count_if(raw.isNotNull() & F.col(c).isNull())
-    if q is not None:
-        cols = list(q.columns) if q.columns is not None else data_cols
-        plan = quality_plan(laid.select(*data_cols), q.ranges, cols, q.describe,
-                            q.warn_pct, q.legacy_null_valid)
+        exprs[f"__nulled_{i}"] = F.count_if(raw.isNotNull() & F.col(c).isNull())
     obs = Observation("tidyframe_job")
-    exprs = dict(plan.exprs) if plan else {}
-    exprs.update(extra)
     observed = laid.observe(obs, *[e.alias(n) for n, e in exprs.items()])
-    final = observed.drop(*internal) if internal else observed
-    write_sink(final, spec.sink, layout=False)
+    frame = observed.drop(*internal) if internal else observed
+    return PlannedJob(spec, run_date, run_ts, frame, obs, metrics, metrics_input,
+                      converted, dup_from_dedupe, separate_dups)
 
-    values = obs.get
-    rows_written = int(values["__rows_after"])
-    report = None
-    if q is not None:
-        plan.bind_schema(laid.select(*data_cols))
-        report = plan.from_row(spark, values)
-        if dup_from_dedupe:
-            one = spark.createDataFrame(
-                [(int(values["__rows_before"]), rows_written)], "__total bigint, __unique bigint"
-            )
-            report = report.unionByName(
-                report_from_parts(None, duplicates_shape(one, q.keys), None, None)
-            )
-        elif separate_dups is not None:
-            report = report.unionByName(report_from_parts(None, separate_dups, None, None))
-        if converted:
-            nulled = spark.createDataFrame(
-                [("conversion", c, "n_nulled", float(values[f"__nulled_{i}"]))
-                 for i, c in enumerate(converted)],
-                "check string, subject string, metric string, value double",
-            )
-            report = report.unionByName(nulled)
-    return JobResult(spec.sink.path, run_date, run_ts, rows_written, report)
+
+def run_job(
+    spark: SparkSession,
+    spec: JobSpec,
+    run_date: dt.date | None = None,
+    run_ts: dt.datetime | None = None,
+) -> JobResult:
+    """Run the job (one write); incremental when the spec has ``ingest``."""
+    if run_date is None or run_ts is None:
+        run_date, run_ts = run_clock(run_ts)
+    if spec.ingest is not None:
+        from tidyframe.streaming.ingest import run_incremental
+
+        return run_incremental(spark, spec, run_date, run_ts)
+    planned = plan_job(spark, spec, run_date, run_ts)
+    write_sink(planned.frame, spec.sink, layout=False)
+    return planned.result(spark)

@@ -90,14 +90,19 @@ def _aqe_on(df: DataFrame) -> bool:
     return df.sparkSession.conf.get("spark.sql.adaptive.enabled", "true").lower() == "true"
 
 
-def prepare_layout(df: DataFrame, spec: SinkSpec) -> DataFrame:
-    """Apply the file-count / partition layout rules (see module doc)."""
+def prepare_layout(df: DataFrame, spec: SinkSpec, constant_partitions: bool = False) -> DataFrame:
+    """Apply the file-count / partition layout rules (see module doc).
+
+    ``constant_partitions``: every partition column holds one value for the
+    whole write (a run-date stamp).  Each task then writes one file into the
+    one folder anyway, so no rebalance shuffle is added.
+    """
     n = spec.num_files
     if n == 1:
         return df.repartition(1)
     if n and n > 1:
         return df.repartition(n)
-    if spec.partition_by and _aqe_on(df):
+    if spec.partition_by and not constant_partitions and _aqe_on(df):
         return df.hint("rebalance", *spec.partition_by)
     return df
 
