@@ -249,3 +249,25 @@ def test_observation_sits_in_result_stage(spark, scratch):
     # partitioned by the run-date stamp (one value per run): no rebalance shuffle
     assert "REBALANCE" not in plan.upper()
     assert plan.count("Exchange") == 1  # only the dedupe's key shuffle
+
+
+def test_ingest_dedupe_within_watermark(spark, scratch):
+    """Bounded-state dedupe: copies arriving within the delay are dropped."""
+    ddl = "id string, ts timestamp, v string"
+    landing = scratch + "/landing"
+    src = SourceSpec(format="json", path=f"{landing}/*/*.json", schema=ddl)
+    sink = SinkSpec(path=scratch + "/out", format="json", mode="append")
+
+    def drop(name, rows):
+        write_sink(spark.createDataFrame(rows, ddl), SinkSpec(path=f"{landing}/{name}",
+                                                              format="json"))
+
+    t = dt.datetime(2024, 1, 1, 10)
+    drop("b1", [("a", t, "1"), ("a", t, "1"), ("b", t, "2")])
+    ingest_files(spark, src, sink, scratch + "/ckpt", dedupe_keys=["id"],
+                 watermark=("ts", "1 hour"))
+    drop("b2", [("a", t + dt.timedelta(minutes=5), "1")])  # late copy within the delay
+    ingest_files(spark, src, sink, scratch + "/ckpt", dedupe_keys=["id"],
+                 watermark=("ts", "1 hour"))
+    got = sorted(r["id"] for r in spark.read.json(scratch + "/out").collect())
+    assert got == ["a", "b"]

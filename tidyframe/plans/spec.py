@@ -213,6 +213,9 @@ class IngestSpec:
     checkpoint: str
     archive_dir: str | None = None
     max_files_per_batch: int | None = None
+    # event-time column + delay ("2 hours"): dedupe state is then bounded
+    watermark_column: str | None = None
+    watermark_delay: str | None = None
 
     @classmethod
     def from_dict(cls, d: Mapping | None) -> IngestSpec | None:
@@ -221,6 +224,8 @@ class IngestSpec:
         _strict(d, set(cls.__dataclass_fields__), "ingest")
         if not d.get("checkpoint"):
             raise SpecError("ingest needs a checkpoint path")
+        if bool(d.get("watermark_column")) != bool(d.get("watermark_delay")):
+            raise SpecError("ingest watermark needs both watermark_column and watermark_delay")
         return cls(**d)
 
 

@@ -43,12 +43,16 @@ def ingest_files(
     transform: Callable[[DataFrame], DataFrame] | None = None,
     dedupe_keys: Sequence[str] | None = None,
     max_files_per_batch: int | None = None,
+    watermark: tuple[str, str] | None = None,
 ) -> StreamingQuery:
     """Process every not-yet-seen file of ``source`` into ``sink``; blocks.
 
-    ``dedupe_keys`` keeps the first row ever seen per key, across runs (the
-    keys seen so far live in the checkpoint's state store; use the RocksDB
-    state store provider when the key count is large).
+    ``dedupe_keys`` keeps the first row seen per key, across runs.  Without a
+    watermark every key ever seen stays in the checkpoint's state store (use
+    the RocksDB provider for many keys).  With ``watermark=(event_time_col,
+    "2 hours")`` duplicates are dropped while their copies arrive within that
+    delay of each other and older keys leave the state, so it stays bounded
+    (``dropDuplicatesWithinWatermark``).
     """
     if source.is_jdbc:
         raise SpecError("ingest reads files, not JDBC")
@@ -73,8 +77,12 @@ def ingest_files(
         df = df.withColumn(source.file_path_col, F.col("_metadata.file_path"))
     if transform is not None:
         df = transform(df)
-    if dedupe_keys:
+    if dedupe_keys and watermark:
+        df = df.withWatermark(*watermark).dropDuplicatesWithinWatermark(list(dedupe_keys))
+    elif dedupe_keys:
         df = df.dropDuplicates(list(dedupe_keys))
+    elif watermark:
+        raise SpecError("a watermark only applies to ingest dedupe")
     if sink.num_files and sink.num_files > 0:
         df = df.repartition(sink.num_files)
 
@@ -111,6 +119,7 @@ def run_incremental(spark: SparkSession, spec, run_date: dt.date, run_ts: dt.dat
     ingest_files(
         spark, spec.source, spec.sink, ing.checkpoint, ing.archive_dir, transform,
         spec.dedupe.keys if spec.dedupe else None, ing.max_files_per_batch,
+        (ing.watermark_column, ing.watermark_delay) if ing.watermark_column else None,
     )
     report = None
     if spec.quality is not None:
