@@ -22,12 +22,13 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, MapType, StructType, VariantType
+from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType, VariantType
 
 from tidyframe.errors import SpecError, require_columns
 from tidyframe.functions._util import pct
 
 STRATEGIES = ("auto", "window", "aggregate", "any")
+KEY_HASH = "__keep_key_hash"
 
 
 @dataclass(frozen=True)
@@ -94,16 +95,27 @@ def keep_one(
             raise SpecError("strategy='any' takes no order_by / count_col")
         return df.dropDuplicates(keys)
 
+    # Long text keys: group by (xxhash64(keys), keys).  The groups are the same
+    # (the hash is a function of the keys) but the map-side sort then orders by
+    # a well-spread 64-bit prefix and compares whole strings only for true
+    # duplicates, instead of texts that share their first bytes.
+    hashed = any(isinstance(df.schema[k].dataType, (StringType, BinaryType)) for k in keys)
+    if hashed:
+        df = df.withColumn(KEY_HASH, F.xxhash64(*keys))
+        keys = [KEY_HASH] + keys
+
     directions = {o.descending for o in order}
     if strategy == "auto":
         strategy = "aggregate" if count_col or len(directions) <= 1 else "window"
     if strategy == "window":
         if count_col:
             raise SpecError("count_col needs strategy='aggregate'")
-        return _keep_by_window(df, keys, order)
-    if len(directions) > 1:
+        out = _keep_by_window(df, keys, order)
+    elif len(directions) > 1:
         raise SpecError("strategy='aggregate' needs one sort direction for all keys")
-    return _keep_by_aggregate(df, keys, order, count_col)
+    else:
+        out = _keep_by_aggregate(df, keys, order, count_col)
+    return out.drop(KEY_HASH) if hashed else out
 
 
 def _tie_breakers(df: DataFrame, used: set[str]) -> list[str]:

@@ -22,6 +22,15 @@ def _squish(expr: str) -> str:
     return f"trim(regexp_replace({expr}, '{WS}', ' ', 'g'))"
 
 
+def _title(expr: str) -> str:
+    """Capitalise each space-separated word.  The first letter takes its full
+    Unicode title-case mapping, which for the sharp s is 'Ss' (DuckDB's upper()
+    would give the capital sharp s instead)."""
+    return (f"array_to_string(list_transform(string_split({_squish(expr)}, ' '), "
+            f"lambda w: case when w[1] = chr(223) then 'Ss' else upper(w[1]) end "
+            f"|| lower(w[2:])), ' ')")
+
+
 def _pct(part: str, whole: str) -> str:
     return (f"case when {whole} > 0 then 100.0::double * cast({part} as double) "
             f"/ cast({whole} as double) else 0.0::double end")
@@ -196,6 +205,9 @@ def oracles() -> dict[str, str]:
                       + _squish("' ' || upper(p_name) || '  ' || p_type")
                       + ", ' '), lambda w: upper(w[1]) || lower(w[2:])), ' ') as name_title "
                       "from part",
+        "text_title_documents": f"select doc_id, {_title('text')} as text_title from documents",
+        "text_title_plain": f"select doc_id, strip_accents({_title('text')}) as text_title "
+                            "from documents",
         "text_unaccent": "select doc_id, strip_accents(text) as text_plain from documents",
         "date_reformat": """select o_orderkey, strftime(try_strptime(
             case when o_orderkey % 11 = 0 then '31/02/2000'
@@ -215,6 +227,11 @@ def oracles() -> dict[str, str]:
         "run_stamp": "select r_regionkey, r_name, date '2026-12-01' as processing_date, "
                      "timestamp '2026-12-01 06:30:00' as processing_ts from region",
         "dedupe_latest": _DEDUPE_LATEST,
+        "dedupe_documents": f"""select doc_id, text_norm, lang, source from (
+            select *, row_number() over (partition by text_norm
+                order by doc_id, lang, source) as rn
+            from (select doc_id, {_norm('text')} as text_norm, lang, source from documents))
+            where rn = 1""",
         "dedupe_report": f"""select cast(sum(n) as bigint) as rows_before,
             cast(count(*) as bigint) as rows_after,
             cast(sum(n) - count(*) as bigint) as rows_removed,

@@ -22,7 +22,7 @@ from tidyframe.functions.casting import cast_columns, safe_cast
 from tidyframe.functions.dates import age_years, reformat_date
 from tidyframe.functions.split import split_column
 from tidyframe.functions.stamps import add_run_stamps
-from tidyframe.functions.text import normalize_text, strip_accents, title_case
+from tidyframe.functions.text import normalize_text, strip_accents, title_case, title_case_plain
 from tidyframe.operators.columns import select_columns
 from tidyframe.operators.dedupe import dedupe_report, keep_one
 from tidyframe.operators.quality import (
@@ -199,6 +199,17 @@ def q_text_title(spark, sf_dir):
     return p.select("p_partkey", title_case(messy).alias("name_title"))
 
 
+def q_text_title_documents(spark, sf_dir):
+    d = table(spark, sf_dir, "documents")
+    return d.select("doc_id", title_case("text").alias("text_title"))
+
+
+def q_text_title_plain(spark, sf_dir):
+    """Names-style cleaning over whole documents: squish, title case, no accents."""
+    d = table(spark, sf_dir, "documents")
+    return d.select("doc_id", title_case_plain("text").alias("text_title"))
+
+
 def q_text_unaccent(spark, sf_dir):
     d = table(spark, sf_dir, "documents")
     return d.select("doc_id", strip_accents("text").alias("text_plain"))
@@ -253,6 +264,13 @@ def q_dedupe_latest(spark, sf_dir):
     return keep_one(table(spark, sf_dir, "orders"), ["o_custkey"], ["o_orderdate desc"])
 
 
+def q_dedupe_documents(spark, sf_dir):
+    """One document per normalised text (whitespace/case variants collapse)."""
+    d = table(spark, sf_dir, "documents")
+    normed = d.select("doc_id", normalize_text("text").alias("text_norm"), "lang", "source")
+    return keep_one(normed, ["text_norm"], ["doc_id"])
+
+
 def q_dedupe_report(spark, sf_dir):
     return dedupe_report(table(spark, sf_dir, "lineitem"), ["l_orderkey", "l_linenumber"])
 
@@ -449,6 +467,8 @@ QUERIES: dict[str, QueryFn] = {
     "text_normalize": q_text_normalize,
     "text_normalize_messy": q_text_normalize_messy,
     "text_title": q_text_title,
+    "text_title_documents": q_text_title_documents,
+    "text_title_plain": q_text_title_plain,
     "text_unaccent": q_text_unaccent,
     "date_reformat": q_date_reformat,
     "split_columns": q_split_columns,
@@ -456,6 +476,7 @@ QUERIES: dict[str, QueryFn] = {
     "age_days365": q_age_days365,
     "run_stamp": q_run_stamp,
     "dedupe_latest": q_dedupe_latest,
+    "dedupe_documents": q_dedupe_documents,
     "dedupe_report": q_dedupe_report,
     "completeness": q_completeness,
     "duplicate_metrics": q_duplicate_metrics,
