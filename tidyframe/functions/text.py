@@ -81,10 +81,18 @@ def title_case(c: Column | str, unicode: bool = True) -> Column:
     return F.initcap(squish(c, unicode))
 
 
+_NON_ASCII = r"[^\x00-\x7F]"
+
+
 def strip_accents(c: Column | str) -> Column:
-    """Remove diacritics: ``Ñandú Zoë`` -> ``Nandu Zoe``; other text unchanged."""
+    """Remove diacritics: ``Ñandú Zoë`` -> ``Nandu Zoe``; other text unchanged.
+
+    Pure-ASCII values carry no accent, so ``translate`` (a map lookup per
+    character) only runs on values with a non-ASCII character.
+    """
     src, dst = accent_table()
-    return F.translate(as_col(c), src, dst)
+    col = as_col(c)
+    return F.when(col.rlike(_NON_ASCII), F.translate(col, src, dst)).otherwise(col)
 
 
 def title_case_plain(c: Column | str, unicode: bool = True) -> Column:
