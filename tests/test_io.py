@@ -178,3 +178,20 @@ def test_max_records_per_file(spark, scratch):
     write_sink(spark.range(100).repartition(1), SinkSpec(path=scratch + "/m",
                                                          max_records_per_file=30))
     assert len(_files(scratch + "/m", ".parquet")) == 4
+
+
+@pytest.mark.parametrize("parallel", ["bounds", "predicates"])
+def test_jdbc_reader_wiring_without_database(spark, parallel):
+    """The spec reaches Spark's JDBC reader; with a driver class that is not
+    on the classpath Spark fails while loading it, before any connection."""
+    from pyspark.errors import PySparkException
+    from py4j.protocol import Py4JJavaError
+
+    extra = ({"partition_column": "id", "lower_bound": 0, "upper_bound": 100,
+              "num_partitions": 4} if parallel == "bounds"
+             else {"predicates": ["id < 50", "id >= 50"]})
+    spec = SourceSpec(format="postgresql", url="jdbc:postgresql://db.invalid/x",
+                      driver="org.example.NoSuchDriver", table="t", **extra)
+    with pytest.raises((PySparkException, Py4JJavaError)) as err:
+        read_source(spark, spec).schema
+    assert "NoSuchDriver" in str(err.value)
