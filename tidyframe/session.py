@@ -17,7 +17,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     """Shared folder for lineage cuts and scratch tables.
 
     Order: the SparkContext's checkpoint dir, then ``spark.checkpoint.dir``
-    from the conf; only when both are unset do we create one (local use).
+    from the conf.  When both are unset a local folder is created only in
+    local mode (tests); on a cluster this raises instead.
     """
     sc = spark.sparkContext
     root = sc.getCheckpointDir()
@@ -25,6 +26,12 @@ def checkpoint_root(spark: SparkSession) -> str:
         return root.rstrip("/")
     conf = spark.conf.get("spark.checkpoint.dir", None)
     if not conf:
+        if not sc.master.startswith("local"):
+            # a driver-local folder is invisible to executors on a cluster
+            raise RuntimeError(
+                "set spark.checkpoint.dir to a folder shared by all executors "
+                "(HDFS, object store, NFS) before running jobs that write scratch data"
+            )
         conf = tempfile.mkdtemp(prefix="tidyframe-ckpt-")
     sc.setCheckpointDir(conf)
     return (sc.getCheckpointDir() or conf).rstrip("/")
