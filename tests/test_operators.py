@@ -187,3 +187,23 @@ def test_quality_report_long_form(spark):
     assert got[("range", "temp", "n_invalid")] == 2.0
     assert got[("describe", "id", "max")] == 3.0
     assert rep.columns == ["check", "subject", "metric", "value"]
+
+
+def test_hot_key_never_reaches_one_reducer_whole():
+    """A third of all rows on one key: the event log shows no reduce task
+    reading more than a small slice (map-side reduction before the shuffle)."""
+    import json
+    import subprocess
+    import sys
+
+    from conftest import ROOT, SF_CHECK
+
+    out = subprocess.run(
+        [sys.executable, f"{ROOT}/tools/skew_check.py", SF_CHECK],
+        capture_output=True, text=True, timeout=600, check=True,
+    ).stdout
+    res = json.loads(out.strip().splitlines()[-1])
+    assert res["hot_key_rows"] * 3 >= res["rows"] - 3
+    for name, m in res["operators"].items():
+        assert m["shuffle_records"] < res["rows"] / 3, name
+        assert m["max_records_one_task"] < res["hot_key_rows"] / 2, name
