@@ -271,3 +271,12 @@ def test_ingest_dedupe_within_watermark(spark, scratch):
                  watermark=("ts", "1 hour"))
     got = sorted(r["id"] for r in spark.read.json(scratch + "/out").collect())
     assert got == ["a", "b"]
+
+
+def test_legacy_age_without_reformat_uses_day_first(spark, scratch):
+    land(spark, scratch + "/raw", "a.csv")
+    attrs = legacy_attrs(scratch + "/raw/*.csv", scratch + "/out")
+    attrs["transformations"]["normalize_date"] = []
+    spec = from_legacy_attributes(attrs)
+    got = {r["PRONTUARIO"]: r["IDADE_ATUAL"] for r in build_frame(spark, spec, *RUN).collect()}
+    assert got == {"100001": 87, "100002": None, "100003": 11, "100004": 59}

@@ -272,6 +272,7 @@ class JobSpec:
 # Key names of the older config layout, and the column names its
 # job stamped.  They must be spelled exactly like this to read such configs.
 LEGACY_STAMP_DATE = "DATA_PROCESSAMENTO"
+LEGACY_DATE_PATTERN = "dd/MM/yyyy"
 LEGACY_STAMP_TS = "TIMESTAMP_PROCESSAMENTO"
 LEGACY_KEYS = (
     "source", "destiny", "transformations", "type_conversion", "enrichment",
@@ -321,8 +322,12 @@ def from_legacy_attributes(attrs: Mapping, checkpoint: str | None = None) -> Job
         ],
     }
     dbl = (attrs.get("type_conversion", {}) or {}).get("double_columns", []) or []
+    reformatted = {r["column"] for r in clean["reformat_date"]}
     years = [
-        {"column": x["column"], "start": x["start_date"], "end": x.get("end_date")}
+        {"column": x["column"], "start": x["start_date"], "end": x.get("end_date"),
+         # a re-formatted column is parsed with its new pattern; others with
+         # the older layout's default day-first pattern
+         "pattern": None if x["start_date"] in reformatted else LEGACY_DATE_PATTERN}
         for x in (attrs.get("enrichment", {}) or {}).get("date_diff_years", []) or []
     ]
     q = attrs.get("quality", {}) or {}
