@@ -280,3 +280,21 @@ def test_legacy_age_without_reformat_uses_day_first(spark, scratch):
     spec = from_legacy_attributes(attrs)
     got = {r["PRONTUARIO"]: r["IDADE_ATUAL"] for r in build_frame(spark, spec, *RUN).collect()}
     assert got == {"100001": 87, "100002": None, "100003": 11, "100004": 59}
+
+
+def test_cli_runs_yaml_spec(spark, scratch, capsys):
+    import yaml
+
+    from tidyframe.__main__ import main
+
+    land(spark, scratch + "/raw", "a.csv")
+    path = scratch + "/job.yml"
+    with open(path, "w", encoding="utf-8") as fh:
+        yaml.safe_dump({"attributes": legacy_attrs(scratch + "/raw/*.csv", scratch + "/out")}, fh)
+    assert main([path, "--run-date", "2024-01-01"]) == 0
+    out = capsys.readouterr().out
+    assert "wrote 4 rows" in out and "completeness" in out
+    assert main([path, "--explain"]) == 0
+    with open(scratch + "/bad.yml", "w") as fh:
+        fh.write("attributes: {source: {}}\n")
+    assert main([scratch + "/bad.yml"]) == 2

@@ -296,6 +296,15 @@ def from_legacy_attributes(attrs: Mapping, checkpoint: str | None = None) -> Job
     * ``partitioning.num_particoes`` / ``particionar_por``.
     """
     _strict(attrs, set(LEGACY_KEYS), "attributes")
+    try:
+        return _from_legacy(attrs, checkpoint)
+    except KeyError as ex:
+        raise SpecError(f"older config layout: missing key {ex}") from ex
+    except (TypeError, AttributeError) as ex:
+        raise SpecError(f"older config layout: malformed section ({ex})") from ex
+
+
+def _from_legacy(attrs: Mapping, checkpoint: str | None) -> JobSpec:
     src = dict(attrs["source"])
     dst = dict(attrs["destiny"])
     dst_opts = {k: v for k, v in (dst.pop("options", {}) or {}).items() if v != ""}
