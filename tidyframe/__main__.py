@@ -1,4 +1,5 @@
-"""Run a job spec:  ``spark-submit -m tidyframe job.yml``  /  ``python -m tidyframe job.yml``.
+"""Run a job spec:  ``python -m tidyframe job.yml``, or
+``spark-submit --py-files tidyframe.zip tidyframe/__main__.py job.yml``.
 
 The session comes from the launcher (``spark-submit`` settings or
 ``spark-defaults.conf``); nothing here chooses a master or resources.
