@@ -207,3 +207,10 @@ def test_hot_key_never_reaches_one_reducer_whole():
     for name, m in res["operators"].items():
         assert m["shuffle_records"] < res["rows"] / 3, name
         assert m["max_records_one_task"] < res["hot_key_rows"] / 2, name
+
+
+def test_report_subjects_with_quotes_and_backslashes(spark):
+    df = spark.createDataFrame([(1, None)], "`it's` int, `a\\\\b` string")
+    rep = quality_report(df)
+    subjects = {r["subject"] for r in rep.collect()}
+    assert {"it's", "a\\\\b"} <= subjects

@@ -42,8 +42,8 @@ STATUS_OK, STATUS_WARN, STATUS_FAIL = "ok", "warn", "fail"
 class MetricPlan:
     exprs: dict[str, Column]  # output name -> aggregate expression
     shape: Callable[[DataFrame], DataFrame]
-    # (check, subject, metric, value) structs over the one-row aggregate
-    long: Callable[[], list[Column]] | None = field(default=None)
+    # (check, subject, metric, value) rows over the one-row aggregate, as SQL
+    long: Callable[[], list[str]] | None = field(default=None)
     wide_schema: StructType | None = field(default=None)
 
     @property
@@ -66,13 +66,26 @@ class MetricPlan:
         return self.shape(spark.createDataFrame([row], self.wide_schema))
 
 
-def _entry(check: str, subject: str, metric: str, value: Column) -> Column:
-    return F.struct(
-        F.lit(check).alias("check"),
-        F.lit(subject).alias("subject"),
-        F.lit(metric).alias("metric"),
-        value.cast("double").alias("value"),
-    )
+def _sql_str(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _pct_sql(part: str, whole: str) -> str:
+    # same double arithmetic as ``pct``; 100.0D is a DOUBLE literal
+    return (f"CASE WHEN {whole} > 0 THEN 100.0D * CAST({part} AS DOUBLE) "
+            f"/ CAST({whole} AS DOUBLE) ELSE 0.0D END")
+
+
+def _entry(check: str, subject: str, metric: str, value_sql: str) -> str:
+    """One report row as SQL text over the one-row aggregate.  The whole
+    report is then ONE ``selectExpr`` call instead of thousands of Column
+    round trips between Python and the JVM."""
+    return (f"named_struct('check', {_sql_str(check)}, 'subject', {_sql_str(subject)}, "
+            f"'metric', {_sql_str(metric)}, 'value', CAST({value_sql} AS DOUBLE))")
+
+
+def _long_frame(wide: DataFrame, entries: list[str]) -> DataFrame:
+    return wide.selectExpr(f"inline(array({', '.join(entries)}))")
 
 
 def _unpivot(wide: DataFrame, keep: list[Column], entries: list[Column]) -> DataFrame:
@@ -127,16 +140,16 @@ def completeness_plan(
             .alias("status"),
         )
 
-    def long() -> list[Column]:
-        total, out = F.col("__total"), []
+    def long() -> list[str]:
+        total, out = "__total", []
         for i, c in enumerate(cols):
-            n = F.col(f"__null_{i}")
+            n = f"__null_{i}"
             out += [
                 _entry("completeness", c, "total", total),
                 _entry("completeness", c, "n_null", n),
-                _entry("completeness", c, "n_filled", total - n),
-                _entry("completeness", c, "pct_null", pct(n, total)),
-                _entry("completeness", c, "pct_filled", pct(total - n, total)),
+                _entry("completeness", c, "n_filled", f"({total} - {n})"),
+                _entry("completeness", c, "pct_null", _pct_sql(n, total)),
+                _entry("completeness", c, "pct_filled", _pct_sql(f"({total} - {n})", total)),
             ]
         return out
 
@@ -194,12 +207,12 @@ def describe_plan(df: DataFrame, columns: Sequence[str] | None = None) -> Metric
             )
         return _unpivot(wide, [], entries)
 
-    def long() -> list[Column]:
+    def long() -> list[str]:
         out = []
         for i, c in enumerate(cols):
             for metric, prefix in (("count", "__n"), ("mean", "__mean"), ("stddev", "__sd"),
                                    ("min", "__min"), ("max", "__max")):
-                out.append(_entry("describe", c, metric, F.col(f"{prefix}_{i}")))
+                out.append(_entry("describe", c, metric, f"{prefix}_{i}"))
         return out
 
     return MetricPlan(exprs, shape, long)
@@ -275,19 +288,19 @@ def range_plan(
             pct(valid, total).alias("pct_valid"),
         )
 
-    def long() -> list[Column]:
-        total, out = F.col("__total"), []
+    def long() -> list[str]:
+        total, out = "__total", []
         for i, r in enumerate(rules):
-            n_null, bad = F.col(f"__rnull_{i}"), F.col(f"__rbad_{i}")
-            valid = total - bad if legacy_null_valid else total - bad - n_null
+            n_null, bad = f"__rnull_{i}", f"__rbad_{i}"
+            valid = f"({total} - {bad})" if legacy_null_valid else f"({total} - {bad} - {n_null})"
             c = r.column
             out += [
                 _entry("range", c, "total", total),
                 _entry("range", c, "n_valid", valid),
                 _entry("range", c, "n_invalid", bad),
                 _entry("range", c, "n_null", n_null),
-                _entry("range", c, "pct_invalid", pct(bad, total)),
-                _entry("range", c, "pct_valid", pct(valid, total)),
+                _entry("range", c, "pct_invalid", _pct_sql(bad, total)),
+                _entry("range", c, "pct_valid", _pct_sql(valid, total)),
             ]
         return out
 
@@ -407,13 +420,13 @@ def quality_plan(
 
     parts = [p for p in (comp, desc, rng) if p is not None]
 
-    def long() -> list[Column]:
+    def long() -> list[str]:
         return [e for p in parts for e in p.long()]
 
     def shape(wide: DataFrame) -> DataFrame:
         # every report row comes from the ONE aggregate row in one Generate; a
         # union of per-check projections would re-run the scan once per check
-        return wide.select(F.inline(F.array(*long())))
+        return _long_frame(wide, long())
 
     return MetricPlan(exprs, shape, long)
 
