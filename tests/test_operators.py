@@ -214,3 +214,13 @@ def test_report_subjects_with_quotes_and_backslashes(spark):
     rep = quality_report(df)
     subjects = {r["subject"] for r in rep.collect()}
     assert {"it's", "a\\\\b"} <= subjects
+
+
+def test_range_open_ended_and_wide_table(spark):
+    r = range_check(spark.createDataFrame([(1.0,), (-5.0,)], "x double"),
+                    [{"column": "x", "min": float("-inf"), "max": 0.0}]).first()
+    assert (r["min"], r["max"], r["n_valid"], r["n_invalid"]) == (float("-inf"), 0.0, 1, 1)
+    wide = spark.range(10).selectExpr(*[f"id + {k} as c{k}" for k in range(300)])
+    rep = completeness(wide).collect()
+    assert len(rep) == 300 and all(x["n_null"] == 0 for x in rep)
+    assert describe_numeric(wide).count() == 300

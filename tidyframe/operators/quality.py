@@ -16,6 +16,7 @@ pre-aggregation so a hot key costs one row per map task.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
@@ -88,9 +89,16 @@ def _long_frame(wide: DataFrame, entries: list[str]) -> DataFrame:
     return wide.selectExpr(f"inline(array({', '.join(entries)}))")
 
 
-def _unpivot(wide: DataFrame, keep: list[Column], entries: list[Column]) -> DataFrame:
-    """One row -> one row per entry, without a shuffle (``inline(array(...))``)."""
-    return wide.select(*keep, F.inline(F.array(*entries)))
+def _unpivot(wide: DataFrame, keep: list[str], entries: list[str]) -> DataFrame:
+    """One row -> one row per entry, without a shuffle: ``inline(array(...))``,
+    built as ONE SQL expression (one call, however many columns)."""
+    return wide.selectExpr(*keep, f"inline(array({', '.join(entries)}))")
+
+
+def _double_sql(x: float) -> str:
+    if math.isfinite(x):
+        return f"{float(x)!r}D"
+    return f"CAST('{'NaN' if math.isnan(x) else ('Infinity' if x > 0 else '-Infinity')}' AS DOUBLE)"
 
 
 def _is_fractional(dtype) -> bool:
@@ -121,10 +129,10 @@ def completeness_plan(
 
     def shape(wide: DataFrame) -> DataFrame:
         entries = [
-            F.struct(F.lit(c).alias("column"), F.col(f"__null_{i}").alias("n_null"))
+            f"named_struct('column', {_sql_str(c)}, 'n_null', __null_{i})"
             for i, c in enumerate(cols)
         ]
-        long = _unpivot(wide, [F.col("__total").alias("total")], entries)
+        long = _unpivot(wide, ["__total AS total"], entries)
         total, n_null = F.col("total"), F.col("n_null")
         p_null = pct(n_null, total)
         return long.select(
@@ -190,14 +198,8 @@ def describe_plan(df: DataFrame, columns: Sequence[str] | None = None) -> Metric
 
     def shape(wide: DataFrame) -> DataFrame:
         entries = [
-            F.struct(
-                F.lit(c).alias("column"),
-                F.col(f"__n_{i}").cast("bigint").alias("count"),
-                F.col(f"__mean_{i}").alias("mean"),
-                F.col(f"__sd_{i}").alias("stddev"),
-                F.col(f"__min_{i}").alias("min"),
-                F.col(f"__max_{i}").alias("max"),
-            )
+            f"named_struct('column', {_sql_str(c)}, 'count', CAST(__n_{i} AS BIGINT), "
+            f"'mean', __mean_{i}, 'stddev', __sd_{i}, 'min', __min_{i}, 'max', __max_{i})"
             for i, c in enumerate(cols)
         ]
         if not entries:
@@ -258,13 +260,8 @@ def range_plan(
 
     def shape(wide: DataFrame) -> DataFrame:
         entries = [
-            F.struct(
-                F.lit(r.column).alias("column"),
-                F.lit(r.min).alias("min"),
-                F.lit(r.max).alias("max"),
-                F.col(f"__rnull_{i}").alias("n_null"),
-                F.col(f"__rbad_{i}").alias("n_invalid"),
-            )
+            f"named_struct('column', {_sql_str(r.column)}, 'min', {_double_sql(r.min)}, "
+            f"'max', {_double_sql(r.max)}, 'n_null', __rnull_{i}, 'n_invalid', __rbad_{i})"
             for i, r in enumerate(rules)
         ]
         if not entries:
@@ -273,7 +270,7 @@ def range_plan(
                 "n_valid bigint, n_invalid bigint, n_null bigint, "
                 "pct_invalid double, pct_valid double"
             )
-        long = _unpivot(wide, [F.col("__total").alias("total")], entries)
+        long = _unpivot(wide, ["__total AS total"], entries)
         total, n_null, bad = F.col("total"), F.col("n_null"), F.col("n_invalid")
         valid = total - bad if legacy_null_valid else total - bad - n_null
         return long.select(
