@@ -298,3 +298,21 @@ def test_cli_runs_yaml_spec(spark, scratch, capsys):
     with open(scratch + "/bad.yml", "w") as fh:
         fh.write("attributes: {source: {}}\n")
     assert main([scratch + "/bad.yml"]) == 2
+
+
+def test_legacy_incremental_without_schema_uses_csv_header(spark, scratch):
+    landing = scratch + "/landing"
+    land(spark, landing, "b1")
+    attrs = legacy_attrs(f"{landing}/*/*.csv", scratch + "/out", move=True)
+    del attrs["source"]["schema"]
+    attrs["destiny"] = {"file_path": scratch + "/out", "file_type": "parquet", "options": {}}
+    spec = from_legacy_attributes(attrs, checkpoint=scratch + "/ckpt")
+    run_job(spark, spec, *RUN)
+    out = spark.read.parquet(scratch + "/out")
+    assert out.count() == 4 and dict(out.dtypes)["TEMPERATURA"] == "double"
+    land(spark, landing, "b2", ROWS[:1])  # same key again: dropped across runs
+    run_job(spark, spec, dt.date(2024, 1, 2), dt.datetime(2024, 1, 2))
+    assert spark.read.parquet(scratch + "/out").count() == 4
+    bad = dict(attrs, source={**attrs["source"], "file_type": "json"})
+    with pytest.raises(SpecError):
+        from_legacy_attributes(bad, checkpoint=scratch + "/ckpt2")

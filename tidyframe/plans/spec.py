@@ -16,7 +16,7 @@ from tidyframe.functions.dates import AGE_METHODS, check_date_pattern
 from tidyframe.operators.dedupe import STRATEGIES, SortKey
 from tidyframe.operators.quality import RangeRule
 from tidyframe.sinks.write import SinkSpec
-from tidyframe.sources.spec import SourceSpec
+from tidyframe.sources.spec import SourceSpec, schema_from_files_ok
 
 
 def _strict(d: Mapping, allowed: set[str], where: str) -> None:
@@ -260,8 +260,11 @@ class JobSpec:
         )
         if spec.ingest and spec.source.is_jdbc:
             raise SpecError("incremental ingest needs a file source")
-        if spec.ingest and spec.source.schema is None:
-            raise SpecError("incremental ingest needs an explicit source schema")
+        if spec.ingest and spec.source.schema is None and not schema_from_files_ok(spec.source):
+            raise SpecError(
+                "incremental ingest needs an explicit source schema (only CSV without "
+                "inferSchema and Parquet can take it from the files cheaply)"
+            )
         if spec.ingest and spec.sink.mode != "append":
             raise SpecError("incremental ingest appends: set sink mode to 'append'")
         return spec

@@ -16,6 +16,18 @@ JDBC_KINDS = ("jdbc", "sqlite", "postgresql", "mysql", "sqlserver")
 _JDBC_PARTITION_KEYS = ("partition_column", "lower_bound", "upper_bound", "num_partitions")
 
 
+def schema_from_files_ok(spec: "SourceSpec") -> bool:
+    """Can the schema be taken from existing files without scanning data?
+
+    CSV without ``inferSchema`` needs only the header line (all columns are
+    strings); Parquet needs only file footers.  JSON / XML inference reads
+    every record, a full extra pass at scale.
+    """
+    if spec.format == "parquet":
+        return True
+    return spec.format == "csv" and spec.options.get("inferSchema", "false").lower() != "true"
+
+
 def _opt_str(v) -> str:
     if isinstance(v, bool):
         return "true" if v else "false"

@@ -28,12 +28,25 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidyframe.errors import SpecError
 from tidyframe.sinks.write import SinkSpec
-from tidyframe.sources.read import reader_options
-from tidyframe.sources.spec import SourceSpec
+from tidyframe.sources.read import read_source, reader_options
+from tidyframe.sources.spec import SourceSpec, schema_from_files_ok
 
 STREAM_SINK_FORMATS = ("parquet", "csv", "json")
 
 
+def schema_from_files(spark: SparkSession, source: SourceSpec):
+    """Schema of the files present now (CSV header / Parquet footers only)."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        return read_source(spark, source).drop(*([source.file_path_col]
+                                                 if source.file_path_col else [])).schema
+    except AnalysisException as ex:
+        raise SpecError(
+            f"no files at {source.path!r} to take the schema from; give source.schema"
+        ) from ex
+
+
 def ingest_files(
     spark: SparkSession,
     source: SourceSpec,
@@ -56,8 +69,11 @@ def ingest_files(
     """
     if source.is_jdbc:
         raise SpecError("ingest reads files, not JDBC")
-    if source.schema is None:
-        raise SpecError("ingest needs an explicit source schema")
+    schema = source.schema
+    if schema is None:
+        if not schema_from_files_ok(source):
+            raise SpecError("ingest needs an explicit source schema for this format")
+        schema = schema_from_files(spark, source)
     if sink.format not in STREAM_SINK_FORMATS:
         raise SpecError(f"ingest sink format must be one of {STREAM_SINK_FORMATS}")
     if sink.mode != "append":
@@ -66,7 +82,7 @@ def ingest_files(
     if len(paths) != 1:
         raise SpecError("ingest reads one path or glob")
 
-    reader = (spark.readStream.format(source.format).schema(source.schema)
+    reader = (spark.readStream.format(source.format).schema(schema)
               .options(**reader_options(source)))
     if archive_dir:
         reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
