@@ -195,3 +195,17 @@ def test_jdbc_reader_wiring_without_database(spark, parallel):
     with pytest.raises((PySparkException, Py4JJavaError)) as err:
         read_source(spark, spec).schema
     assert "NoSuchDriver" in str(err.value)
+
+
+def test_static_overwrite_wins_over_session_default(spark, scratch):
+    path = scratch + "/p"
+    key = "spark.sql.sources.partitionOverwriteMode"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "dynamic")
+    try:
+        write_sink(_daily(spark, "2024-01-01"), SinkSpec(path=path, partition_by=("d",)))
+        write_sink(_daily(spark, "2024-01-02"), SinkSpec(path=path, partition_by=("d",),
+                                                         dynamic_overwrite=False))
+        assert spark.read.parquet(path).select("d").distinct().count() == 1
+    finally:
+        spark.conf.set(key, old)

@@ -118,8 +118,10 @@ def write_sink(df: DataFrame, spec: SinkSpec, layout: bool = True) -> None:
     w = out.write.format(spec.format).mode(spec.mode).options(**opts)
     if spec.partition_by:
         w = w.partitionBy(*spec.partition_by)
-        if spec.mode == "overwrite" and spec.dynamic_overwrite:
-            w = w.option("partitionOverwriteMode", "dynamic")
+        if spec.mode == "overwrite":
+            # explicit both ways, so a session default cannot flip it
+            w = w.option("partitionOverwriteMode",
+                         "dynamic" if spec.dynamic_overwrite else "static")
     if spec.max_records_per_file:
         w = w.option("maxRecordsPerFile", str(spec.max_records_per_file))
     w.save(spec.path)
