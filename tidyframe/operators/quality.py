@@ -85,13 +85,13 @@ def _entry(check: str, subject: str, metric: str, value_sql: str) -> str:
             f"'metric', {_sql_str(metric)}, 'value', CAST({value_sql} AS DOUBLE))")
 
 
-def _long_frame(wide: DataFrame, entries: list[str]) -> DataFrame:
-    return wide.selectExpr(f"inline(array({', '.join(entries)}))")
-
-
-def _unpivot(wide: DataFrame, keep: list[str], entries: list[str]) -> DataFrame:
+def _unpivot(
+    wide: DataFrame, keep: list[str], entries: list[str], empty_schema: str | None = None
+) -> DataFrame:
     """One row -> one row per entry, without a shuffle: ``inline(array(...))``,
     built as ONE SQL expression (one call, however many columns)."""
+    if not entries:
+        return wide.sparkSession.createDataFrame([], empty_schema or REPORT_SCHEMA)
     return wide.selectExpr(*keep, f"inline(array({', '.join(entries)}))")
 
 
@@ -132,7 +132,8 @@ def completeness_plan(
             f"named_struct('column', {_sql_str(c)}, 'n_null', __null_{i})"
             for i, c in enumerate(cols)
         ]
-        long = _unpivot(wide, ["__total AS total"], entries)
+        long = _unpivot(wide, ["__total AS total"], entries,
+                        "total bigint, column string, n_null bigint")
         total, n_null = F.col("total"), F.col("n_null")
         p_null = pct(n_null, total)
         return long.select(
@@ -423,7 +424,7 @@ def quality_plan(
     def shape(wide: DataFrame) -> DataFrame:
         # every report row comes from the ONE aggregate row in one Generate; a
         # union of per-check projections would re-run the scan once per check
-        return _long_frame(wide, long())
+        return _unpivot(wide, [], long())
 
     return MetricPlan(exprs, shape, long)
 
