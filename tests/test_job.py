@@ -316,3 +316,24 @@ def test_legacy_incremental_without_schema_uses_csv_header(spark, scratch):
     bad = dict(attrs, source={**attrs["source"], "file_type": "json"})
     with pytest.raises(SpecError):
         from_legacy_attributes(bad, checkpoint=scratch + "/ckpt2")
+
+
+def test_conversion_masks_beyond_62_columns(spark, scratch):
+    n = 70
+    cols = [f"c{k}" for k in range(n)]
+    rows = [tuple("x" if k in (0, 61, 62, 69) else str(k) for k in range(n)),
+            tuple(str(k) for k in range(n))]
+    df = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in cols))
+    write_sink(df, SinkSpec(path=scratch + "/in", format="csv", options={"header": True}))
+    spec = JobSpec.from_dict({
+        "source": {"format": "csv", "path": scratch + "/in", "options": {"header": True}},
+        "sink": {"path": scratch + "/out"},
+        "cast": [{"columns": cols, "to": "int"}],
+        "stamps": None,
+        "quality": {"describe": False},
+    })
+    res = run_job(spark, spec, *RUN)
+    nulled = {r["subject"]: r["value"] for r in res.report.collect() if r["check"] == "conversion"}
+    assert len(nulled) == n
+    assert {c for c, v in nulled.items() if v == 1.0} == {"c0", "c61", "c62", "c69"}
+    assert spark.read.parquet(scratch + "/out").columns == cols

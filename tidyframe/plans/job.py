@@ -14,9 +14,11 @@ Batch flow::
   no second pass.  Only when no dedupe runs on the quality key (or the order
   needs the window strategy) is the duplicate check a separate, pre-aggregated
   job.
-* With a quality section, each converted column (cast, date re-format) keeps
-  its raw value until the observation, which counts the values the
-  conversion turned into NULL (``conversion / n_nulled`` in the report).
+* With a quality section, each converted column (cast, date re-format) gets a
+  "nulled by the conversion" bit, set right after the row-local steps and
+  packed into one bigint per 62 columns; the observation counts the bits of
+  the written rows (``conversion / n_nulled`` in the report).  Only the mask,
+  not the raw values, crosses the dedupe shuffle.
 * The run date / timestamp are fixed once on the driver and written as
   literals, so retries and reruns stamp identical values.
 """
@@ -26,7 +28,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidyframe.functions.casting import cast_columns
@@ -49,6 +51,8 @@ from tidyframe.sources.read import read_source
 
 ROWS_COL = "__rows_per_key"
 RAW_PREFIX = "__raw_"
+MASK_PREFIX = "__nulled_mask_"
+MASK_BITS = 62
 
 
 @dataclass
@@ -142,11 +146,28 @@ def _keep_raw(df: DataFrame, columns: list[str]) -> tuple[DataFrame, list[str]]:
     return df.withColumns({RAW_PREFIX + c: F.col(c) for c in present}), present
 
 
-def _raw_last(df: DataFrame) -> DataFrame:
-    """Move the raw copies to the end: as tie-breakers they then only decide
-    between rows that are equal in every output column."""
-    raw = [c for c in df.columns if c.startswith(RAW_PREFIX)]
-    return df.select(*[c for c in df.columns if c not in raw], *raw) if raw else df
+def _nulled_masks(df: DataFrame, converted: list[str]) -> DataFrame:
+    """Replace the raw copies by bit masks: bit j of mask k says "the
+    conversion of column ``converted[k*MASK_BITS + j]`` turned a value into
+    NULL".  Computed before any shuffle, so only 8 bytes per row (per 62
+    columns) travel to the observation instead of the raw values."""
+    masks = {}
+    for k in range(0, len(converted), MASK_BITS):
+        bits = [
+            F.when(F.col(RAW_PREFIX + c).isNotNull() & F.col(c).isNull(), F.lit(1 << j))
+            .otherwise(F.lit(0)).cast("bigint")
+            for j, c in enumerate(converted[k:k + MASK_BITS])
+        ]
+        total = bits[0]
+        for b in bits[1:]:
+            total = total + b
+        masks[f"{MASK_PREFIX}{k // MASK_BITS}"] = total
+    return df.withColumns(masks).drop(*[RAW_PREFIX + c for c in converted])
+
+
+def _nulled_count(i: int) -> Column:
+    mask = F.col(f"{MASK_PREFIX}{i // MASK_BITS}")
+    return F.count_if(mask.bitwiseAND(F.lit(1 << (i % MASK_BITS)).cast("bigint")) != 0)
 
 
 def _dedupe_counts_rows(spec: JobSpec) -> bool:
@@ -221,7 +242,11 @@ def plan_job(
     converted: list[str] = []
     if q is not None:
         src, converted = _keep_raw(src, converted_columns(spec))
-    df = _raw_last(transform_frame(src, spec, run_date))
+    df = transform_frame(src, spec, run_date)
+    if converted:
+        # masks go last: as dedupe tie-breakers they only decide between rows
+        # that are equal in every output column
+        df = _nulled_masks(df, converted)
     counted = _dedupe_counts_rows(spec)
     dup_from_dedupe = bool(q and q.keys and counted and tuple(q.keys) == spec.dedupe.keys)
     separate_dups = (
@@ -239,7 +264,7 @@ def plan_job(
     constant = bool(spec.sink.partition_by) and set(spec.sink.partition_by) <= stamps
     laid = prepare_layout(df, spec.sink, constant_partitions=constant)
 
-    internal = [c for c in laid.columns if c == ROWS_COL or c.startswith(RAW_PREFIX)]
+    internal = [c for c in laid.columns if c == ROWS_COL or c.startswith(MASK_PREFIX)]
     data_cols = [c for c in laid.columns if c not in internal]
     exprs: dict = {}
     metrics = metrics_input = None
@@ -253,8 +278,7 @@ def plan_job(
     if counted:
         exprs["__rows_before"] = F.coalesce(F.sum(ROWS_COL), F.lit(0))
     for i, c in enumerate(converted):
-        raw = F.col(RAW_PREFIX + c)
-        exprs[f"__nulled_{i}"] = F.count_if(raw.isNotNull() & F.col(c).isNull())
+        exprs[f"__nulled_{i}"] = _nulled_count(i)
     obs = Observation("tidyframe_job")
     observed = laid.observe(obs, *[e.alias(n) for n, e in exprs.items()])
     frame = observed.drop(*internal) if internal else observed
