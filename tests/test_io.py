@@ -209,3 +209,14 @@ def test_static_overwrite_wins_over_session_default(spark, scratch):
         assert spark.read.parquet(path).select("d").distinct().count() == 1
     finally:
         spark.conf.set(key, old)
+
+
+def test_partition_pruning_on_written_layout(spark, scratch):
+    path = scratch + "/p"
+    for day in ("2024-01-01", "2024-01-02", "2024-01-03"):
+        write_sink(_daily(spark, day), SinkSpec(path=path, partition_by=("d",)))
+    df = read_source(spark, SourceSpec(format="parquet", path=path))
+    one = df.filter(F.col("d") == F.lit(dt.date(2024, 1, 2)))
+    plan = plan_text(one)
+    assert "PartitionFilters: [isnotnull(d" in plan and "= 2024-01-02" in plan
+    assert one.count() == 3
