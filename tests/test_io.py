@@ -220,3 +220,23 @@ def test_partition_pruning_on_written_layout(spark, scratch):
     plan = plan_text(one)
     assert "PartitionFilters: [isnotnull(d" in plan and "= 2024-01-02" in plan
     assert one.count() == 3
+
+
+def test_rebalance_splits_a_hot_partition_value(spark, scratch):
+    """One partition value holds a third of the rows: with the rebalance hint
+    AQE writes it with several tasks (files), not one."""
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "64k")
+    try:
+        df = spark.range(300000).select(
+            F.col("id"),
+            F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise((F.col("id") % 50).cast("string"))
+            .alias("bucket"),
+        )
+        write_sink(df, SinkSpec(path=scratch + "/w", partition_by=("bucket",)))
+    finally:
+        spark.conf.set(key, old)
+    hot_files = _files(scratch + "/w/bucket=hot", ".parquet")
+    assert len(hot_files) > 1
+    assert spark.read.parquet(scratch + "/w").filter("bucket = 'hot'").count() == 100000
