@@ -224,3 +224,30 @@ def test_range_open_ended_and_wide_table(spark):
     rep = completeness(wide).collect()
     assert len(rep) == 300 and all(x["n_null"] == 0 for x in rep)
     assert describe_numeric(wide).count() == 300
+
+
+def test_awkward_column_names(spark, scratch):
+    from tidyframe.functions import cast_columns, normalize_columns, split_column
+    from tidyframe.operators import select_columns
+    from tidyframe.sinks import SinkSpec, write_sink
+
+    df = spark.createDataFrame(
+        [("k1", " A  b ", "1.5", "x/y", "2024-01-01"), ("k1", "c", "bad", "z", "2024-01-02"),
+         ("k2", None, "2", None, "2024-01-03")],
+        "`a.b` string, `x y` string, `c``d` string, `s.p` string, `d.t` string",
+    )
+    out = (df.transform(normalize_columns, ["x y"])
+             .transform(cast_columns, ["c`d"], "double")
+             .transform(split_column, "s.p", ["s.1", "s 2"], "/", keep_source=True))
+    assert [r["x y"] for r in out.collect()] == ["a b", "c", None]
+    for strategy in ("window", "aggregate"):
+        kept = keep_one(out, ["a.b"], ["d.t desc"], strategy=strategy)
+        assert {r["a.b"]: r["d.t"] for r in kept.collect()} == {"k1": "2024-01-02", "k2": "2024-01-03"}
+    rep = {(r["check"], r["subject"], r["metric"]): r["value"] for r in quality_report(
+        out, keys=["a.b"], rules=[{"column": "c`d", "min": 0, "max": 1}]).collect()}
+    assert rep[("completeness", "x y", "n_null")] == 1.0
+    assert rep[("range", "c`d", "n_invalid")] == 2.0 and rep[("range", "c`d", "n_null")] == 1.0
+    assert rep[("duplicates", "a.b", "n_duplicate")] == 1.0
+    assert select_columns(out, ["s.1", "a.b"]).columns == ["s.1", "a.b"]
+    write_sink(out, SinkSpec(path=scratch + "/w", partition_by=("a.b",)))
+    assert spark.read.parquet(scratch + "/w").count() == 3

@@ -4,8 +4,14 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+def col(name: str) -> Column:
+    """Column by its exact name: dots, spaces and backticks are literal
+    (``F.col("a.b")`` would read a field ``b`` of a struct ``a``)."""
+    return F.col("`" + name.replace("`", "``") + "`")
+
+
 def as_col(c: Column | str) -> Column:
-    return F.col(c) if isinstance(c, str) else c
+    return col(c) if isinstance(c, str) else c
 
 
 def lit_or_col(v) -> Column:
@@ -16,7 +22,7 @@ def lit_or_col(v) -> Column:
     if isinstance(v, Column):
         return v
     if isinstance(v, str):
-        return F.col(v)
+        return col(v)
     return F.lit(v)
 
 

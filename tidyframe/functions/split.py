@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
 from tidyframe.errors import SpecError, require_columns
+from tidyframe.functions._util import col
 from tidyframe.functions.casting import safe_cast
 
 
@@ -40,10 +41,10 @@ def split_column(
     require_columns(df, [column])
     pat = pattern if regex else literal_pattern(pattern)
     tmp = f"__split_{column}"
-    parts = df.withColumn(tmp, F.split(F.col(column), pat))
+    parts = df.withColumn(tmp, F.split(col(column), pat))
     targets = {}
     for i, name in enumerate(into):
-        part = F.get(F.col(tmp), i)
+        part = F.get(col(tmp), i)
         targets[name] = safe_cast(part, cast, on_error) if cast is not None else part
     out = parts.withColumns(targets).drop(tmp)
     if not keep_source and column not in into:

@@ -25,7 +25,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType, VariantType
 
 from tidyframe.errors import SpecError, require_columns
-from tidyframe.functions._util import pct
+from tidyframe.functions._util import col, pct
 
 STRATEGIES = ("auto", "window", "aggregate", "any")
 KEY_HASH = "__keep_key_hash"
@@ -48,7 +48,7 @@ class SortKey:
         return cls(t, False)
 
     def sort_col(self) -> Column:
-        c = F.col(self.column)
+        c = col(self.column)
         return c.desc() if self.descending else c.asc()
 
 
@@ -101,7 +101,7 @@ def keep_one(
     # duplicates, instead of texts that share their first bytes.
     hashed = any(isinstance(df.schema[k].dataType, (StringType, BinaryType)) for k in keys)
     if hashed:
-        df = df.withColumn(KEY_HASH, F.xxhash64(*keys))
+        df = df.withColumn(KEY_HASH, F.xxhash64(*[col(k) for k in keys]))
         keys = [KEY_HASH] + keys
 
     directions = {o.descending for o in order}
@@ -130,11 +130,11 @@ def _keep_by_window(df: DataFrame, keys: list[str], order: list[SortKey]) -> Dat
     used = set(keys) | {o.column for o in order}
     desc = bool(order) and order[0].descending
     sort = [o.sort_col() for o in order] + [
-        F.col(c).desc() if desc else F.col(c).asc() for c in _tie_breakers(df, used)
+        col(c).desc() if desc else col(c).asc() for c in _tie_breakers(df, used)
     ]
     if not sort:  # only key columns: plain distinct
         return df.dropDuplicates(keys)
-    w = Window.partitionBy(*keys).orderBy(*sort)
+    w = Window.partitionBy(*[col(k) for k in keys]).orderBy(*sort)
     rn = "__keep_rn"
     return df.withColumn(rn, F.row_number().over(w)).filter(F.col(rn) == 1).drop(rn)
 
@@ -148,9 +148,9 @@ def _keep_by_aggregate(
     rank_fields = [o.column for o in order] + _tie_breakers(df, used)
     aggs = []
     if payload:
-        row = F.struct(*[F.col(c) for c in payload])
+        row = F.struct(*[col(c) for c in payload])
         if rank_fields:
-            rank = F.struct(*[F.col(c) for c in rank_fields])
+            rank = F.struct(*[col(c) for c in rank_fields])
             pick = F.max_by(row, rank) if descending else F.min_by(row, rank)
         else:
             pick = F.first(row)
@@ -159,13 +159,13 @@ def _keep_by_aggregate(
         aggs.append(F.count(F.lit(1)).alias(count_col))
     if not aggs:
         return df.dropDuplicates(keys)
-    out = df.groupBy(*keys).agg(*aggs)
-    cols = [F.col(k) for k in keys]
+    out = df.groupBy(*[col(k) for k in keys]).agg(*aggs)
+    cols = [col(k) for k in keys]
     cols += [F.col("__keep_row").getField(c).alias(c) for c in payload]
     if count_col:
-        cols.append(F.col(count_col))
-    ordered = [c for c in df.columns] + ([count_col] if count_col else [])
-    return out.select(*cols).select(*ordered)
+        cols.append(col(count_col))
+    ordered = list(df.columns) + ([count_col] if count_col else [])
+    return out.select(*cols).select(*[col(c) for c in ordered])
 
 
 def dedupe_report(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -176,7 +176,7 @@ def dedupe_report(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """
     keys = list(keys)
     require_columns(df, keys)
-    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    per_key = df.groupBy(*[col(k) for k in keys]).agg(F.count(F.lit(1)).alias("__n"))
     return per_key.agg(
         F.coalesce(F.sum("__n"), F.lit(0)).cast("bigint").alias("rows_before"),
         F.count(F.lit(1)).cast("bigint").alias("rows_after"),

@@ -31,7 +31,7 @@ from pyspark.sql.types import (
 )
 
 from tidyframe.errors import SpecError, require_columns
-from tidyframe.functions._util import pct
+from tidyframe.functions._util import col, pct
 
 STATUS_OK, STATUS_WARN, STATUS_FAIL = "ok", "warn", "fail"
 
@@ -106,7 +106,7 @@ def _is_fractional(dtype) -> bool:
 
 
 def _missing(df: DataFrame, name: str) -> Column:
-    c = F.col(name)
+    c = col(name)
     if _is_fractional(df.schema[name].dataType):
         return c.isNull() | F.isnan(c)
     return c.isNull()
@@ -188,7 +188,7 @@ def describe_plan(df: DataFrame, columns: Sequence[str] | None = None) -> Metric
             raise SpecError(f"describe needs numeric columns; {c!r} is not")
     exprs = {}
     for i, c in enumerate(cols):
-        x = F.col(c)
+        x = col(c)
         if isinstance(df.schema[c].dataType, DecimalType):
             x = x.cast("double")
         exprs[f"__n_{i}"] = F.count(x)
@@ -254,7 +254,7 @@ def range_plan(
     require_columns(df, [r.column for r in rules])
     exprs = {"__total": F.count(F.lit(1))}
     for i, r in enumerate(rules):
-        x = F.col(r.column)
+        x = col(r.column)
         exprs[f"__rnull_{i}"] = F.count_if(x.isNull())
         # NaN sorts above every number in Spark, so it lands in "invalid".
         exprs[f"__rbad_{i}"] = F.count_if((x < F.lit(r.min)) | (x > F.lit(r.max)))
@@ -330,7 +330,7 @@ def duplicate_metrics(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     if not keys:
         raise SpecError("duplicate_metrics needs a key")
     require_columns(df, keys)
-    per_key = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
+    per_key = df.groupBy(*[col(k) for k in keys]).agg(F.count(F.lit(1)).alias("__n"))
     one = per_key.agg(
         F.coalesce(F.sum("__n"), F.lit(0)).alias("__total"),
         F.count(F.lit(1)).alias("__unique"),

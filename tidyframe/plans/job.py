@@ -37,6 +37,7 @@ from tidyframe.functions.split import split_column
 from tidyframe.functions.stamps import add_run_stamps, run_clock
 from tidyframe.functions.text import normalize_text, strip_accents, title_case, title_case_plain
 from tidyframe.errors import SpecError, require_columns
+from tidyframe.functions._util import col
 from tidyframe.operators.dedupe import keep_one
 from tidyframe.operators.quality import (
     MetricPlan,
@@ -74,16 +75,16 @@ def clean_frame(df: DataFrame, spec: JobSpec) -> tuple[DataFrame, dict[str, str]
     uni = c.unicode_whitespace
     exprs = {}
     for name in c.normalize_text:
-        exprs[name] = normalize_text(exprs.get(name, F.col(name)), uni)
+        exprs[name] = normalize_text(exprs.get(name, col(name)), uni)
     for name in c.title_case:
-        exprs[name] = title_case(exprs.get(name, F.col(name)), uni)
+        exprs[name] = title_case(exprs.get(name, col(name)), uni)
     for name in c.title_case_plain:
-        exprs[name] = title_case_plain(exprs.get(name, F.col(name)), uni)
+        exprs[name] = title_case_plain(exprs.get(name, col(name)), uni)
     for name in c.strip_accents:
-        exprs[name] = strip_accents(exprs.get(name, F.col(name)))
+        exprs[name] = strip_accents(exprs.get(name, col(name)))
     patterns = {}
     for r in c.reformat_date:
-        exprs[r.column] = reformat_date(exprs.get(r.column, F.col(r.column)),
+        exprs[r.column] = reformat_date(exprs.get(r.column, col(r.column)),
                                         r.from_pattern, r.to_pattern, r.on_error)
         patterns[r.column] = r.to_pattern
     require_columns(df, list(exprs))
@@ -143,7 +144,7 @@ def converted_columns(spec: JobSpec) -> list[str]:
 
 def _keep_raw(df: DataFrame, columns: list[str]) -> tuple[DataFrame, list[str]]:
     present = [c for c in columns if c in df.columns]
-    return df.withColumns({RAW_PREFIX + c: F.col(c) for c in present}), present
+    return df.withColumns({RAW_PREFIX + c: col(c) for c in present}), present
 
 
 def _nulled_masks(df: DataFrame, converted: list[str]) -> DataFrame:
@@ -154,7 +155,7 @@ def _nulled_masks(df: DataFrame, converted: list[str]) -> DataFrame:
     masks = {}
     for k in range(0, len(converted), MASK_BITS):
         bits = [
-            F.when(F.col(RAW_PREFIX + c).isNotNull() & F.col(c).isNull(), F.lit(1 << j))
+            F.when(col(RAW_PREFIX + c).isNotNull() & col(c).isNull(), F.lit(1 << j))
             .otherwise(F.lit(0)).cast("bigint")
             for j, c in enumerate(converted[k:k + MASK_BITS])
         ]
@@ -269,7 +270,7 @@ def plan_job(
     exprs: dict = {}
     metrics = metrics_input = None
     if q is not None:
-        metrics_input = laid.select(*data_cols)
+        metrics_input = laid.select(*[col(c) for c in data_cols])
         cols = list(q.columns) if q.columns is not None else data_cols
         metrics = quality_plan(metrics_input, q.ranges, cols, q.describe,
                                q.warn_pct, q.legacy_null_valid)

@@ -26,6 +26,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import DataFrame
 
 from tidyframe.errors import SpecError, require_columns
+from tidyframe.functions._util import col
 from tidyframe.sources.spec import normalize_options
 
 SINK_FORMATS = ("parquet", "csv", "json", "xml")
@@ -103,7 +104,7 @@ def prepare_layout(df: DataFrame, spec: SinkSpec, constant_partitions: bool = Fa
     if n and n > 1:
         return df.repartition(n)
     if spec.partition_by and not constant_partitions and _aqe_on(df):
-        return df.hint("rebalance", *spec.partition_by)
+        return df.hint("rebalance", *[col(c) for c in spec.partition_by])
     return df
 
 
