@@ -337,3 +337,16 @@ def test_conversion_masks_beyond_62_columns(spark, scratch):
     assert len(nulled) == n
     assert {c for c, v in nulled.items() if v == 1.0} == {"c0", "c61", "c62", "c69"}
     assert spark.read.parquet(scratch + "/out").columns == cols
+
+
+def test_job_approx_duplicates_ride_on_the_write(spark, scratch):
+    land(spark, scratch + "/raw", "a.csv")
+    land(spark, scratch + "/raw", "b.csv")
+    attrs = legacy_attrs(scratch + "/raw/*.csv", scratch + "/out")
+    attrs["processing"]["remove_duplicates"] = False
+    spec = from_legacy_attributes(attrs)
+    approx = JobSpec(**{**spec.__dict__, "quality": type(spec.quality)(
+        **{**spec.quality.__dict__, "approx_duplicates": True})})
+    res = run_job(spark, approx, *RUN)
+    rep = {(r["check"], r["metric"]): r["value"] for r in res.report.collect()}
+    assert rep[("duplicates", "total")] == 8.0 and rep[("duplicates", "n_unique")] == 4.0

@@ -251,3 +251,19 @@ def test_awkward_column_names(spark, scratch):
     assert select_columns(out, ["s.1", "a.b"]).columns == ["s.1", "a.b"]
     write_sink(out, SinkSpec(path=scratch + "/w", partition_by=("a.b",)))
     assert spark.read.parquet(scratch + "/w").count() == 3
+
+
+def test_approx_duplicates_single_pass(spark):
+    df = spark.range(20000).selectExpr(
+        "case when id % 1000 = 0 then null else id % 5000 end as k", "id")
+    exact = duplicate_metrics(df, ["k"]).first()
+    approx = duplicate_metrics(df, ["k"], approx=True).first()
+    # k = 0, 1000, .., 4000 only occur on nulled rows: 4995 values + the NULL group
+    assert exact["n_unique"] == 4996
+    assert abs(approx["n_unique"] - exact["n_unique"]) / exact["n_unique"] < 0.05
+    rep = quality_report(df, keys=["k"], approx_duplicates=True)
+    plan = plan_text(rep)
+    assert "Exchange hashpartitioning" not in plan  # no key shuffle at all
+    got = {(r["check"], r["metric"]): r["value"] for r in rep.collect()}
+    assert got[("duplicates", "total")] == 20000.0
+    assert abs(got[("duplicates", "n_unique")] - 4996) / 4996 < 0.05

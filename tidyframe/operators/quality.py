@@ -320,16 +320,31 @@ def range_check(
 # -------------------------------------------------------------------- duplicates
 
 
-def duplicate_metrics(df: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _approx_unique(keys: Sequence[str], rsd: float) -> Column:
+    # struct(...) is never NULL, so a NULL key counts as one value, as in the
+    # exact path; HyperLogLog++ sketches merge without shuffling the keys
+    return F.approx_count_distinct(F.struct(*[col(k) for k in keys]), rsd)
+
+
+def duplicate_metrics(
+    df: DataFrame, keys: Sequence[str], approx: bool = False, rsd: float = 0.01
+) -> DataFrame:
     """One row: key, total, n_unique, n_duplicate, pct_duplicate.
 
     A NULL key is one distinct value (like ``distinct()``, unlike
-    ``count(distinct)`` which skips NULLs).
+    ``count(distinct)`` which skips NULLs).  Exact by default: one shuffle of
+    the keys, pre-aggregated per map task.  ``approx=True`` estimates
+    ``n_unique`` with HyperLogLog++ (relative std. error ``rsd``) in one pass
+    with no key shuffle -- for very high-cardinality keys at scale.
     """
     keys = list(keys)
     if not keys:
         raise SpecError("duplicate_metrics needs a key")
     require_columns(df, keys)
+    if approx:
+        one = df.agg(F.count(F.lit(1)).alias("__total"),
+                     _approx_unique(keys, rsd).alias("__unique"))
+        return duplicates_shape(one, keys)
     per_key = df.groupBy(*[col(k) for k in keys]).agg(F.count(F.lit(1)).alias("__n"))
     one = per_key.agg(
         F.coalesce(F.sum("__n"), F.lit(0)).alias("__total"),
@@ -339,7 +354,8 @@ def duplicate_metrics(df: DataFrame, keys: Sequence[str]) -> DataFrame:
 
 
 def duplicates_shape(one: DataFrame, keys: Sequence[str]) -> DataFrame:
-    total, uniq = F.col("__total"), F.col("__unique")
+    total = F.col("__total")
+    uniq = F.least(F.col("__unique"), total)  # an estimate never exceeds the rows
     return one.select(
         F.lit(",".join(keys)).alias("key"),
         total.cast("bigint").alias("total"),
@@ -406,8 +422,14 @@ def quality_plan(
     describe: bool = True,
     warn_pct: float = 10.0,
     legacy_null_valid: bool = False,
+    approx_keys: Sequence[str] | None = None,
+    rsd: float = 0.01,
 ) -> MetricPlan:
-    """Completeness + statistics + ranges fused into ONE aggregate (one scan)."""
+    """Completeness + statistics + ranges fused into ONE aggregate (one scan).
+
+    ``approx_keys`` adds an estimated duplicate check (HyperLogLog++) to the
+    same aggregate, so the whole report stays one pass without a shuffle.
+    """
     comp = completeness_plan(df, columns, warn_pct)
     desc = describe_plan(df) if describe else None
     rng = range_plan(df, rules, legacy_null_valid) if rules else None
@@ -415,11 +437,24 @@ def quality_plan(
     for p in (desc, rng):
         if p is not None:
             exprs.update(p.exprs)
+    dup_entries: list[str] = []
+    if approx_keys:
+        approx_keys = list(approx_keys)
+        require_columns(df, approx_keys)
+        exprs["__dup_unique"] = _approx_unique(approx_keys, rsd)
+        subject = ",".join(approx_keys)
+        uniq = "least(__dup_unique, __total)"
+        dup_entries = [
+            _entry("duplicates", subject, "total", "__total"),
+            _entry("duplicates", subject, "n_unique", uniq),
+            _entry("duplicates", subject, "n_duplicate", f"(__total - {uniq})"),
+            _entry("duplicates", subject, "pct_duplicate", _pct_sql(f"(__total - {uniq})", "__total")),
+        ]
 
     parts = [p for p in (comp, desc, rng) if p is not None]
 
     def long() -> list[str]:
-        return [e for p in parts for e in p.long()]
+        return [e for p in parts for e in p.long()] + dup_entries
 
     def shape(wide: DataFrame) -> DataFrame:
         # every report row comes from the ONE aggregate row in one Generate; a
@@ -437,14 +472,18 @@ def quality_report(
     describe: bool = True,
     warn_pct: float = 10.0,
     legacy_null_valid: bool = False,
+    approx_duplicates: bool = False,
 ) -> DataFrame:
     """Long-form report ``(check, subject, metric, value)``.
 
     Completeness, statistics and range rules share ONE aggregate over ``df``;
-    the duplicate check (when ``keys`` is given) is the only extra branch.
+    the exact duplicate check (when ``keys`` is given) is the only extra
+    branch.  With ``approx_duplicates`` it joins the same aggregate instead.
     """
-    fused = quality_plan(df, rules, columns, describe, warn_pct, legacy_null_valid).run(df)
-    if keys:
+    approx_keys = keys if keys and approx_duplicates else None
+    fused = quality_plan(df, rules, columns, describe, warn_pct, legacy_null_valid,
+                         approx_keys).run(df)
+    if keys and not approx_duplicates:
         dups = report_from_parts(None, duplicate_metrics(df, keys), None, None)
         fused = fused.unionByName(dups)
     return fused

@@ -250,8 +250,12 @@ def plan_job(
         df = _nulled_masks(df, converted)
     counted = _dedupe_counts_rows(spec)
     dup_from_dedupe = bool(q and q.keys and counted and tuple(q.keys) == spec.dedupe.keys)
+    # without a dedupe on the quality key: an estimate can ride on the write's
+    # observation; an exact count needs its own (pre-aggregated) shuffle
+    approx_dups = bool(q and q.keys and not dup_from_dedupe and q.approx_duplicates)
     separate_dups = (
-        duplicate_metrics(df, q.keys) if q and q.keys and not dup_from_dedupe else None
+        duplicate_metrics(df, q.keys)
+        if q and q.keys and not dup_from_dedupe and not approx_dups else None
     )
     if spec.dedupe:
         df = keep_one(
@@ -273,7 +277,8 @@ def plan_job(
         metrics_input = laid.select(*[col(c) for c in data_cols])
         cols = list(q.columns) if q.columns is not None else data_cols
         metrics = quality_plan(metrics_input, q.ranges, cols, q.describe,
-                               q.warn_pct, q.legacy_null_valid)
+                               q.warn_pct, q.legacy_null_valid,
+                               list(q.keys) if approx_dups else None)
         exprs.update(metrics.exprs)
     exprs["__rows_after"] = F.count(F.lit(1))
     if counted:

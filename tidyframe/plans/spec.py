@@ -173,6 +173,7 @@ class QualitySpec:
     describe: bool = True
     warn_pct: float = 10.0
     legacy_null_valid: bool = False
+    approx_duplicates: bool = False
 
     @classmethod
     def from_dict(cls, d: Mapping | None) -> QualitySpec | None:
@@ -187,6 +188,7 @@ class QualitySpec:
             bool(d.get("describe", True)),
             float(d.get("warn_pct", 10.0)),
             bool(d.get("legacy_null_valid", False)),
+            bool(d.get("approx_duplicates", False)),
         )
 
 
