@@ -259,7 +259,8 @@ def oracles() -> dict[str, str]:
         ),
         "write_partitioned": "select * from orders",
         "write_layout": "select 'single' as layout, cast(1 as bigint) as n_files, "
-                        "cast(count(*) as bigint) as n_rows from part union all "
+                        "cast(count(*) as bigint) as n_rows from information_schema.columns "
+                        "where table_name = 'part' union all "
                         "select 'four', cast(4 as bigint), cast(count(*) as bigint) from part",
         "write_modes": "select *, date '2024-01-01' as load_date from part union all "
                        "select *, date '2024-01-02' from part union all "

@@ -341,11 +341,13 @@ def q_write_partitioned(spark, sf_dir):
 
 
 def q_write_layout(spark, sf_dir):
+    """One file for a bounded output (the table's completeness report: one
+    row per column), four even files for the whole table."""
     p = table(spark, sf_dir, "part")
     out = None
-    for label, n in (("single", 1), ("four", 4)):
+    for label, frame, n in (("single", completeness(p), 1), ("four", p, 4)):
         path = scratch_path(spark, f"layout-{label}")
-        write_sink(p, SinkSpec(path=path, num_files=n))
+        write_sink(frame, SinkSpec(path=path, num_files=n))
         counted = spark.read.parquet(path).agg(
             F.count_distinct(F.col("_metadata.file_path")).alias("n_files"),
             F.count(F.lit(1)).alias("n_rows"),

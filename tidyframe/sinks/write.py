@@ -9,7 +9,8 @@ Layout rules (``num_files``):
   written by many tasks instead of one.
 * ``1``: one file, via ``repartition(1)``: upstream work stays parallel and
   only the final write is one task (``coalesce(1)`` would pull the whole
-  upstream plan into that one task).
+  upstream plan into that one task).  One writer task by definition: meant
+  for bounded outputs (reports, small dimensions), not for growing tables.
 * ``n > 1``: ``repartition(n)`` (round robin, even files).
 
 Save modes: ``append``, ``overwrite``, ``error``/``errorifexists``,
