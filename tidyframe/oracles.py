@@ -224,8 +224,9 @@ def oracles() -> dict[str, str]:
                      "date '2026-12-01') as integer) as age_years from orders",
         "age_days365": "select o_orderkey, cast(trunc(date_diff('day', cast(o_orderdate as date),"
                        " date '2026-12-01') / 365) as integer) as age_years from orders",
-        "run_stamp": "select r_regionkey, r_name, date '2026-12-01' as processing_date, "
-                     "timestamp '2026-12-01 06:30:00' as processing_ts from region",
+        "run_stamp": "select o_orderkey, o_custkey, o_orderstatus, "
+                     "date '2026-12-01' as processing_date, "
+                     "timestamp '2026-12-01 06:30:00' as processing_ts from orders",
         "dedupe_latest": _DEDUPE_LATEST,
         "dedupe_documents": f"""select doc_id, text_norm, lang, source from (
             select *, row_number() over (partition by text_norm

@@ -252,8 +252,8 @@ def q_age_days365(spark, sf_dir):
 
 
 def q_run_stamp(spark, sf_dir):
-    r = table(spark, sf_dir, "region")
-    return add_run_stamps(r, AS_OF, RUN_TS, "processing_date", "processing_ts",
+    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    return add_run_stamps(o, AS_OF, RUN_TS, "processing_date", "processing_ts",
                           ts_type="timestamp_ntz")
 
 
