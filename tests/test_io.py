@@ -240,3 +240,21 @@ def test_rebalance_splits_a_hot_partition_value(spark, scratch):
     hot_files = _files(scratch + "/w/bucket=hot", ".parquet")
     assert len(hot_files) > 1
     assert spark.read.parquet(scratch + "/w").filter("bucket = 'hot'").count() == 100000
+
+
+def test_csv_malformed_rows_captured(spark, scratch):
+    path = scratch + "/bad.csv"
+    os.makedirs(path)
+    with open(f"{path}/part-0.csv", "w", encoding="utf-8") as fh:
+        fh.write("id,temp\n1,36.5\n2,abc\n3,37.0,extra\n")
+    spec = SourceSpec(format="csv", path=path,
+                      options={"header": True, "mode": "PERMISSIVE",
+                               "columnNameOfCorruptRecord": "_bad"},
+                      schema="id int, temp double, _bad string")
+    rows = sorted(read_source(spark, spec).collect(), key=lambda r: r["id"])
+    assert [r["temp"] for r in rows] == [36.5, None, 37.0]
+    assert rows[0]["_bad"] is None and rows[1]["_bad"] == "2,abc"
+    fail = SourceSpec(format="csv", path=path, options={"header": True, "mode": "FAILFAST"},
+                      schema="id int, temp double")
+    with pytest.raises(Exception):
+        read_source(spark, fail).collect()
