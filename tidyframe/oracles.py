@@ -186,6 +186,8 @@ def oracles() -> dict[str, str]:
         "roundtrip_xml": part_all,
         "roundtrip_parquet": part_all,
         "roundtrip_csv_text": "select doc_id, text, lang from documents",
+        "roundtrip_json_text": "select doc_id, text, lang from documents",
+        "roundtrip_xml_text": "select doc_id, text, lang from documents",
         "scan_glob": "select *, '20240101' as batch from part union all "
                      "select *, '20240102' as batch from part",
         "glob_dedupe": part_all,

@@ -125,16 +125,28 @@ def q_roundtrip_parquet(spark, sf_dir):
     return _roundtrip(spark, sf_dir, "parquet", {})
 
 
-def q_roundtrip_csv_text(spark, sf_dir):
-    """Whole multi-line documents through CSV (quotes, commas, newlines)."""
+def _roundtrip_text(spark, sf_dir, fmt: str, options: dict) -> DataFrame:
+    """Whole documents through a text format (quotes, markup, newlines)."""
     docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    opts = {"header": True, "multiLine": True, "escape": '"'}
-    path = scratch_path(spark, "roundtrip-csv-text")
-    write_sink(docs, SinkSpec(path=path, format="csv", options=opts))
-    return read_source(spark, SourceSpec(format="csv", path=path, options=opts,
+    path = scratch_path(spark, f"roundtrip-{fmt}-text")
+    write_sink(docs, SinkSpec(path=path, format=fmt, options=options))
+    return read_source(spark, SourceSpec(format=fmt, path=path, options=options,
                                          schema=_ddl(docs)))
 
 
+def q_roundtrip_csv_text(spark, sf_dir):
+    return _roundtrip_text(spark, sf_dir, "csv",
+                           {"header": True, "multiLine": True, "escape": '"'})
+
+
+def q_roundtrip_json_text(spark, sf_dir):
+    return _roundtrip_text(spark, sf_dir, "json", {})
+
+
+def q_roundtrip_xml_text(spark, sf_dir):
+    return _roundtrip_text(spark, sf_dir, "xml", {"rowTag": "doc"})
+
+
 def _land_copies(spark, sf_dir) -> tuple[str, DataFrame]:
     """part landed twice as CSV batches (same rows, two arrival folders)."""
     part = table(spark, sf_dir, "part")
@@ -463,6 +475,8 @@ QUERIES: dict[str, QueryFn] = {
     "roundtrip_xml": q_roundtrip_xml,
     "roundtrip_parquet": q_roundtrip_parquet,
     "roundtrip_csv_text": q_roundtrip_csv_text,
+    "roundtrip_json_text": q_roundtrip_json_text,
+    "roundtrip_xml_text": q_roundtrip_xml_text,
     "scan_glob": q_scan_glob,
     "glob_dedupe": q_glob_dedupe,
     "cast_safe": q_cast_safe,
