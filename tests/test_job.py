@@ -350,3 +350,15 @@ def test_job_approx_duplicates_ride_on_the_write(spark, scratch):
     res = run_job(spark, approx, *RUN)
     rep = {(r["check"], r["metric"]): r["value"] for r in res.report.collect()}
     assert rep[("duplicates", "total")] == 8.0 and rep[("duplicates", "n_unique")] == 4.0
+
+
+def test_job_on_empty_input(spark, scratch):
+    land(spark, scratch + "/raw", "empty.csv", rows=[])
+    attrs = legacy_attrs(scratch + "/raw/*.csv", scratch + "/out")
+    attrs["destiny"] = {"file_path": scratch + "/out", "file_type": "parquet", "options": {}}
+    res = run_job(spark, from_legacy_attributes(attrs), *RUN)
+    assert res.rows_written == 0
+    rep = {(r["check"], r["subject"], r["metric"]): r["value"] for r in res.report.collect()}
+    assert rep[("completeness", "NOME", "pct_null")] == 0.0
+    assert rep[("duplicates", "PRONTUARIO", "total")] == 0.0
+    assert rep[("range", "PESO", "pct_valid")] == 0.0
