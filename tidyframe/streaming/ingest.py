@@ -149,5 +149,5 @@ def run_incremental(spark: SparkSession, spec, run_date: dt.date, run_ts: dt.dat
                 out = out.filter(col(spec.stamps.date_column) == F.lit(run_date))
         q = spec.quality
         report = quality_report(out, q.keys or None, q.ranges, q.columns, q.describe,
-                                q.warn_pct, q.legacy_null_valid)
+                                q.warn_pct, q.legacy_null_valid, q.approx_duplicates)
     return JobResult(spec.sink.path, run_date, run_ts, None, report)
