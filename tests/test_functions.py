@@ -218,3 +218,25 @@ def test_no_python_udf_in_plans(spark):
 
     plan = plan_text(out)
     assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
+
+
+def test_run_stamp_instant_ignores_session_time_zone(spark):
+    import datetime as _dt
+
+    key = "spark.sql.session.timeZone"
+    old = spark.conf.get(key)
+    spark.conf.set(key, "America/Sao_Paulo")
+    try:
+        df = one_col(spark, ["x"])
+        ts = _dt.datetime(2024, 1, 1, 8, 0, 0)  # UTC
+        out = add_run_stamps(df, ts.date(), ts).select(
+            F.unix_seconds("processing_ts").alias("s"), "processing_date")
+        row = out.first()
+        assert row["s"] == int(_dt.datetime(2024, 1, 1, 8, tzinfo=_dt.timezone.utc).timestamp())
+        aware = _dt.datetime(2024, 1, 1, 5, 0, tzinfo=_dt.timezone(_dt.timedelta(hours=-3)))
+        again = add_run_stamps(df, ts.date(), aware).select(F.unix_seconds("processing_ts")).first()[0]
+        assert again == row["s"]
+        ntz = add_run_stamps(df, ts.date(), ts, ts_type="timestamp_ntz").first()["processing_ts"]
+        assert ntz == ts
+    finally:
+        spark.conf.set(key, old)

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -29,14 +29,32 @@ def add_run_stamps(
 ) -> DataFrame:
     """Append the run's date and timestamp as constant columns.
 
-    ``ts_type`` is ``timestamp`` (an instant, session time zone) or
-    ``timestamp_ntz`` (wall-clock, no zone).
+    ``ts_type`` is ``timestamp`` (the run's instant) or ``timestamp_ntz`` (its
+    UTC wall clock); see ``ts_literal``.
     """
     cols = {}
     if date_col:
-        cols[date_col] = F.lit(run_date).cast("date")
+        cols[date_col] = date_literal(run_date)
     if ts_col:
         if run_ts is None:
             run_ts = dt.datetime.combine(run_date, dt.time())
-        cols[ts_col] = F.lit(run_ts.strftime("%Y-%m-%d %H:%M:%S.%f")).cast(ts_type)
+        cols[ts_col] = ts_literal(run_ts, ts_type)
     return df.withColumns(cols) if cols else df
+
+
+def date_literal(d: dt.date) -> Column:
+    return F.lit(d.isoformat()).cast("date")
+
+
+def ts_literal(ts: dt.datetime, ts_type: str = "timestamp") -> Column:
+    """Run timestamps are UTC (naive = UTC; aware ones are converted).
+
+    ``timestamp``: the exact instant, whatever the session or Python process
+    time zone (ISO text with ``Z``).  ``timestamp_ntz``: the UTC wall clock.
+    """
+    if ts.tzinfo is not None:
+        ts = ts.astimezone(dt.timezone.utc).replace(tzinfo=None)
+    text = ts.strftime("%Y-%m-%dT%H:%M:%S.%f")
+    if ts_type == "timestamp":
+        return F.lit(text + "Z").cast("timestamp")
+    return F.lit(text).cast(ts_type)
