@@ -362,3 +362,47 @@ def test_job_on_empty_input(spark, scratch):
     assert rep[("completeness", "NOME", "pct_null")] == 0.0
     assert rep[("duplicates", "PRONTUARIO", "total")] == 0.0
     assert rep[("range", "PESO", "pct_valid")] == 0.0
+
+
+def test_ingest_failed_batch_leaves_nothing_and_rerun_is_exactly_once(spark, scratch):
+    from pyspark.sql import functions as F
+
+    landing = scratch + "/landing"
+    src = SourceSpec(format="csv", path=f"{landing}/*/*.csv", options={"header": True},
+                     schema=VITALS_DDL)
+    sink = SinkSpec(path=scratch + "/out", mode="append")
+
+    def transform(fail: bool):
+        def apply(df):
+            poison = (F.col("PRONTUARIO") == F.lit("999999")) & F.lit(fail)
+            return df.withColumn(
+                "NOME", F.when(poison, F.raise_error(F.lit("poison row"))).otherwise(F.col("NOME")))
+        return apply
+
+    land(spark, landing, "b1")
+    ingest_files(spark, src, sink, scratch + "/ckpt", transform=transform(True))
+    assert spark.read.parquet(scratch + "/out").count() == 4
+    land(spark, landing, "b2", [("999999",) + ROWS[0][1:], ("888888",) + ROWS[1][1:]])
+    with pytest.raises(Exception):
+        ingest_files(spark, src, sink, scratch + "/ckpt", transform=transform(True))
+    assert spark.read.parquet(scratch + "/out").count() == 4  # no partial batch visible
+    ingest_files(spark, src, sink, scratch + "/ckpt", transform=transform(False))
+    ids = sorted(r["PRONTUARIO"] for r in spark.read.parquet(scratch + "/out").collect())
+    assert ids == sorted([r[0] for r in ROWS] + ["999999", "888888"])
+
+
+def test_failed_batch_job_leaves_output_untouched(spark, scratch):
+    land(spark, scratch + "/raw", "a.csv")
+    attrs = legacy_attrs(scratch + "/raw/*.csv", scratch + "/out")
+    attrs["destiny"] = {"file_path": scratch + "/out", "file_type": "parquet", "options": {}}
+    good = from_legacy_attributes(attrs)
+    run_job(spark, good, *RUN)  # day 1
+    strict = JobSpec(**{**good.__dict__, "cast": (type(good.cast[0])(
+        good.cast[0].columns, "double", "fail"),)})
+    day2 = (dt.date(2024, 1, 2), dt.datetime(2024, 1, 2))
+    with pytest.raises(Exception):
+        run_job(spark, strict, *day2)  # 'abc' temperature fails the job
+    days = spark.read.parquet(scratch + "/out").groupBy("DATA_PROCESSAMENTO").count().collect()
+    assert [(r["DATA_PROCESSAMENTO"], r["count"]) for r in days] == [(dt.date(2024, 1, 1), 4)]
+    run_job(spark, good, *day2)
+    assert spark.read.parquet(scratch + "/out").count() == 8
