@@ -406,3 +406,20 @@ def test_failed_batch_job_leaves_output_untouched(spark, scratch):
     assert [(r["DATA_PROCESSAMENTO"], r["count"]) for r in days] == [(dt.date(2024, 1, 1), 4)]
     run_job(spark, good, *day2)
     assert spark.read.parquet(scratch + "/out").count() == 8
+
+
+def test_metrics_exact_under_task_retries():
+    """First attempts of half the tasks fail, in the map and the write stage:
+    same rows, same counts in the report (tools/retry_check.py)."""
+    import json
+    import subprocess
+    import sys
+
+    from conftest import ROOT, SF_SMALL
+
+    out = subprocess.run([sys.executable, f"{ROOT}/tools/retry_check.py", SF_SMALL],
+                         capture_output=True, text=True, timeout=600, check=True).stdout
+    res = json.loads(out.strip().splitlines()[-1])
+    assert res["rows_written"][0] == res["rows_written"][1] > 0
+    assert res["same_rows"] and res["same_keys"] and res["counts_exact"]
+    assert res["float_max_rel_diff"] < 1e-12
