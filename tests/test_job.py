@@ -423,3 +423,23 @@ def test_metrics_exact_under_task_retries():
     assert res["rows_written"][0] == res["rows_written"][1] > 0
     assert res["same_rows"] and res["same_keys"] and res["counts_exact"]
     assert res["float_max_rel_diff"] < 1e-12
+
+
+def test_report_history_sink(spark, scratch):
+    land(spark, scratch + "/raw", "a.csv")
+    attrs = legacy_attrs(scratch + "/raw/*.csv", scratch + "/out")
+    base = from_legacy_attributes(attrs)
+    q = type(base.quality)(**{**base.quality.__dict__, "report_sink": SinkSpec(
+        path=scratch + "/history", partition_by=("run_date",), num_files=1)})
+    spec = JobSpec(**{**base.__dict__, "quality": q})
+    run_job(spark, spec, *RUN)
+    run_job(spark, spec, *RUN)  # rerun of the same day replaces its report
+    run_job(spark, spec, dt.date(2024, 1, 2), dt.datetime(2024, 1, 2))
+    hist = spark.read.parquet(scratch + "/history")
+    per_day = {r["run_date"]: r["count"] for r in hist.groupBy("run_date").count().collect()}
+    assert len(per_day) == 2 and len(set(per_day.values())) == 1
+    assert set(hist.columns) == {"check", "subject", "metric", "value", "run_ts", "run_date"}
+    spec_dict = JobSpec.from_dict({
+        "source": {"format": "csv", "path": "/x"}, "sink": {"path": "/y"},
+        "quality": {"report_sink": {"path": "/h", "partition_by": ["run_date"]}}})
+    assert spec_dict.quality.report_sink.partition_by == ("run_date",)

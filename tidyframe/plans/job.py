@@ -307,4 +307,17 @@ def run_job(
         return run_incremental(spark, spec, run_date, run_ts)
     planned = plan_job(spark, spec, run_date, run_ts)
     write_sink(planned.frame, spec.sink, layout=False)
-    return planned.result(spark)
+    return keep_report(planned.result(spark), spec)
+
+
+def keep_report(result: JobResult, spec: JobSpec) -> JobResult:
+    """Write the (small) report to ``quality.report_sink`` with the run's
+    date and timestamp, e.g. partitioned by ``run_date`` for a history that
+    reruns replace day by day."""
+    q = spec.quality
+    if q is None or q.report_sink is None or result.report is None:
+        return result
+    stamped = add_run_stamps(result.report, result.run_date, result.run_ts,
+                             "run_date", "run_ts")
+    write_sink(stamped, q.report_sink)
+    return result

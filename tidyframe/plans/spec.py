@@ -174,6 +174,8 @@ class QualitySpec:
     warn_pct: float = 10.0
     legacy_null_valid: bool = False
     approx_duplicates: bool = False
+    # where to keep the report (with run_date / run_ts columns); None = not kept
+    report_sink: SinkSpec | None = None
 
     @classmethod
     def from_dict(cls, d: Mapping | None) -> QualitySpec | None:
@@ -189,6 +191,7 @@ class QualitySpec:
             float(d.get("warn_pct", 10.0)),
             bool(d.get("legacy_null_valid", False)),
             bool(d.get("approx_duplicates", False)),
+            SinkSpec.from_dict(d["report_sink"]) if d.get("report_sink") else None,
         )
 
 

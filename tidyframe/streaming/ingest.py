@@ -151,4 +151,6 @@ def run_incremental(spark: SparkSession, spec, run_date: dt.date, run_ts: dt.dat
         q = spec.quality
         report = quality_report(out, q.keys or None, q.ranges, q.columns, q.describe,
                                 q.warn_pct, q.legacy_null_valid, q.approx_duplicates)
-    return JobResult(spec.sink.path, run_date, run_ts, None, report)
+    from tidyframe.plans.job import keep_report
+
+    return keep_report(JobResult(spec.sink.path, run_date, run_ts, None, report), spec)
