@@ -240,3 +240,16 @@ def test_run_stamp_instant_ignores_session_time_zone(spark):
         assert ntz == ts
     finally:
         spark.conf.set(key, old)
+
+
+def test_whitespace_class_equals_unicode_white_space(spark):
+    """The explicit class matches exactly Java's (?U)\\s over the whole BMP."""
+    from tidyframe.functions.text import UNICODE_SPACE
+
+    # every BMP code point except surrogates, as a one-character string
+    chars = spark.range(0, 0x10000).filter("id < 55296 or id > 57343").selectExpr(
+        "id", "decode(unhex(lpad(hex(id), 4, '0')), 'UTF-16BE') as c")
+    ours = F.col("c").rlike("^" + UNICODE_SPACE + "$")
+    java = F.col("c").rlike(r"^(?U)\s+$")
+    assert chars.filter(ours != java).count() == 0
+    assert chars.filter(ours).count() == 25  # Unicode White_Space in the BMP
