@@ -8,7 +8,7 @@ BIGINT and percentages computed in DOUBLE, as on the Spark side.
 
 from __future__ import annotations
 
-from tidyframe.registry import EVENTS_WITH_GAPS_SQL, EVENTS_WITH_NULLS_SQL
+from tidyframe.registry import EVENTS_WITH_GAPS_SQL, EVENTS_WITH_NULLS_SQL, RANGE_RULES
 
 # Unicode White_Space, spelled for RE2: what Java's (?U)\s matches.
 WS = r"[\t\n\x0B\f\r\x{85}\pZ]+"
@@ -121,11 +121,7 @@ def _with(ctes: dict[str, str], body: str) -> str:
 
 EVENT_COLS = [("event_id", False), ("ts", False), ("user_id", False),
               ("event_type", False), ("value", True), ("props", False)]
-EVENT_RULES = [
-    {"column": "value", "min": 1.0, "max": 400.0},
-    {"column": "user_id", "min": 10.0, "max": 90.0},
-    {"column": "event_id", "min": 0.0, "max": 1e12},
-]
+EVENT_RULES = RANGE_RULES  # the rules the Spark query checks
 
 LINEITEM_NUMERIC = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_quantity",
                     "l_extendedprice", "l_discount", "l_tax"]
