@@ -15,10 +15,11 @@ from tidyframe.functions import normalize_text, split_column, strip_accents
 from tidyframe.operators import completeness, range_check
 
 # Unicode White_Space (the BMP part), written out as the rule's definition
-WHITE_SPACE = ("\t\n\x0b\x0c\r \x85\xa0 " + "".join(chr(c) for c in range(0x2000, 0x200B))
-               + "    　")
+WHITE_SPACE = ("\t\n\x0b\x0c\r \x85\xa0\u1680"
+               + "".join(chr(c) for c in range(0x2000, 0x200B))
+               + "\u2028\u2029\u202f\u205f\u3000")
 LETTERS = "abcXYZáéíóúâêôãõçÁÉÍÓÚÇñÑüÜëöäßøŁđĳΆέΩйЁ'-."
-MARKS = "̧́̃"
+MARKS = "\u0327\u0301\u0303"  # free combining cedilla, acute, tilde
 text = st.text(alphabet=LETTERS + WHITE_SPACE + MARKS + "0123456789/", max_size=40)
 texts = st.lists(st.one_of(st.none(), text), min_size=1, max_size=25)
 SETTINGS = settings(max_examples=25, deadline=None, suppress_health_check=list(HealthCheck))
