@@ -267,3 +267,19 @@ def test_approx_duplicates_single_pass(spark):
     got = {(r["check"], r["metric"]): r["value"] for r in rep.collect()}
     assert got[("duplicates", "total")] == 20000.0
     assert abs(got[("duplicates", "n_unique")] - 4996) / 4996 < 0.05
+
+
+def test_order_by_nulls_placement(spark):
+    from tidyframe.operators.dedupe import SortKey
+
+    assert SortKey.parse("t desc nulls first") == SortKey("t", True, True)
+    assert SortKey.parse("-t NULLS LAST") == SortKey("t", True, False)
+    assert SortKey.parse("t nulls last") == SortKey("t", False, False)
+    df = spark.createDataFrame([(1, None), (1, 5), (2, 3)], "k int, t int")
+    default = {r["k"]: r["t"] for r in keep_one(df, ["k"], ["t desc"]).collect()}
+    first = {r["k"]: r["t"] for r in keep_one(df, ["k"], ["t desc nulls first"]).collect()}
+    assert default == {1: 5, 2: 3} and first == {1: None, 2: 3}
+    asc_last = {r["k"]: r["t"] for r in keep_one(df, ["k"], ["t nulls last"]).collect()}
+    assert asc_last == {1: 5, 2: 3}
+    with pytest.raises(SpecError):
+        keep_one(df, ["k"], ["t desc nulls first"], strategy="aggregate")

@@ -17,6 +17,7 @@ the same row whatever the input file order, and both strategies agree.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 from dataclasses import dataclass
 
@@ -35,21 +36,35 @@ KEY_HASH = "__keep_key_hash"
 class SortKey:
     column: str
     descending: bool = False
+    # None = Spark's default (NULLs first ascending, last descending)
+    nulls_first: bool | None = None
 
     @classmethod
     def parse(cls, text: str) -> SortKey:
-        """``"o_orderdate desc"`` / ``"-o_orderdate"`` / ``"o_orderdate"``."""
+        """``"o_orderdate desc"``, ``"-o_orderdate"``, ``"o_orderdate"``,
+        optionally followed by ``nulls first`` / ``nulls last``."""
         t = text.strip()
+        nulls = None
+        m = re.search(r"\s+nulls\s+(first|last)\s*$", t, re.IGNORECASE)
+        if m:
+            nulls = m.group(1).lower() == "first"
+            t = t[: m.start()].rstrip()
         if t.startswith("-"):
-            return cls(t[1:].strip(), True)
+            return cls(t[1:].strip(), True, nulls)
         parts = t.rsplit(None, 1)
         if len(parts) == 2 and parts[1].lower() in ("asc", "desc"):
-            return cls(parts[0], parts[1].lower() == "desc")
-        return cls(t, False)
+            return cls(parts[0], parts[1].lower() == "desc", nulls)
+        return cls(t, False, nulls)
+
+    @property
+    def default_nulls(self) -> bool:
+        return self.nulls_first is None or self.nulls_first == (not self.descending)
 
     def sort_col(self) -> Column:
         c = col(self.column)
-        return c.desc() if self.descending else c.asc()
+        if self.descending:
+            return c.desc_nulls_first() if self.nulls_first else c.desc_nulls_last()
+        return c.asc_nulls_last() if self.nulls_first is False else c.asc_nulls_first()
 
 
 def _orderable(dtype) -> bool:
@@ -105,14 +120,17 @@ def keep_one(
         keys = [KEY_HASH] + keys
 
     directions = {o.descending for o in order}
+    # max_by / min_by order NULL lowest: only Spark's default NULL placement
+    simple = len(directions) <= 1 and all(o.default_nulls for o in order)
     if strategy == "auto":
-        strategy = "aggregate" if count_col or len(directions) <= 1 else "window"
+        strategy = "aggregate" if count_col or simple else "window"
     if strategy == "window":
         if count_col:
             raise SpecError("count_col needs strategy='aggregate'")
         out = _keep_by_window(df, keys, order)
-    elif len(directions) > 1:
-        raise SpecError("strategy='aggregate' needs one sort direction for all keys")
+    elif not simple:
+        raise SpecError("strategy='aggregate' needs one sort direction for all keys "
+                        "and the default NULL placement")
     else:
         out = _keep_by_aggregate(df, keys, order, count_col)
     return out.drop(KEY_HASH) if hashed else out

@@ -175,7 +175,8 @@ def _dedupe_counts_rows(spec: JobSpec) -> bool:
     d = spec.dedupe
     if d is None or d.strategy in ("any", "window"):
         return False
-    return len({o.descending for o in d.order_by}) <= 1
+    return len({o.descending for o in d.order_by}) <= 1 and all(
+        o.default_nulls for o in d.order_by)
 
 
 @dataclass
