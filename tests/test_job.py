@@ -443,3 +443,27 @@ def test_report_history_sink(spark, scratch):
         "source": {"format": "csv", "path": "/x"}, "sink": {"path": "/y"},
         "quality": {"report_sink": {"path": "/h", "partition_by": ["run_date"]}}})
     assert spec_dict.quality.report_sink.partition_by == ("run_date",)
+
+
+def test_typed_date_columns_skip_text_patterns(spark, scratch):
+    from tidyframe.functions import add_years, reformat_dates
+
+    df = spark.createDataFrame([(dt.date(1964, 1, 10),)], "birth date")
+    assert df.transform(reformat_dates, "birth", "dd/MM/yyyy").first()[0] == "1964-01-10"
+    assert df.transform(add_years, "age", "birth", "2024-01-01", "dd/MM/yyyy").first()["age"] == 59
+    # the older layout's default day-first pattern does not break a typed column
+    write_sink(df.withColumn("PRONTUARIO", F_lit_str("1")), SinkSpec(path=scratch + "/in"))
+    base = {"source": {"format": "parquet", "path": scratch + "/in"},
+            "sink": {"path": scratch + "/out"}}
+    aged = JobSpec.from_dict({**base, "years_between": [
+        {"column": "age", "start": "birth", "end": "2024-01-01", "pattern": "dd/MM/yyyy"}]})
+    assert build_frame(spark, aged, *RUN).first()["age"] == 59
+    text = JobSpec.from_dict({**base, "clean": {
+        "reformat_date": [{"column": "birth", "from": "dd/MM/yyyy", "to": "dd.MM.yyyy"}]}})
+    assert build_frame(spark, text, *RUN).first()["birth"] == "10.01.1964"
+
+
+def F_lit_str(v):
+    from pyspark.sql import functions as F
+
+    return F.lit(v)

@@ -1,7 +1,8 @@
 from __future__ import annotations
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
 
 
 def col(name: str) -> Column:
@@ -31,3 +32,8 @@ def pct(part: Column, whole: Column) -> Column:
     return F.when(
         whole > 0, F.lit(100.0) * part.cast("double") / whole.cast("double")
     ).otherwise(F.lit(0.0))
+
+
+def is_temporal(df: DataFrame, name: str) -> bool:
+    """Column already holds dates/timestamps (no text pattern applies)."""
+    return isinstance(df.schema[name].dataType, (DateType, TimestampType, TimestampNTZType))

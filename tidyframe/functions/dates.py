@@ -51,9 +51,10 @@ def parse_date(c: Column | str, fmt: str | None = None, on_error: str = "null")
 
 
 def reformat_date(
-    c: Column | str, src_fmt: str, dst_fmt: str, on_error: str = "null"
+    c: Column | str, src_fmt: str | None, dst_fmt: str, on_error: str = "null"
 ) -> Column:
-    """Date text in one pattern -> text in another (``dd/MM/yyyy`` -> ``yyyy-MM-dd``)."""
+    """Date text in one pattern -> text in another (``dd/MM/yyyy`` -> ``yyyy-MM-dd``).
+    ``src_fmt=None``: the input is a date/timestamp (or ISO text)."""
     return F.date_format(parse_date(c, src_fmt, on_error), dst_fmt)
 
 

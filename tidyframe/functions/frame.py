@@ -14,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 from tidyframe.errors import SpecError, require_columns
+from tidyframe.functions._util import is_temporal
 from tidyframe.functions.dates import reformat_date, years_between
 from tidyframe.functions.text import normalize_text, strip_accents, title_case, title_case_plain
 
@@ -42,7 +43,8 @@ def reformat_dates(
 ) -> DataFrame:
     """Re-format the date text in ``column`` in place."""
     require_columns(df, [column])
-    return df.withColumn(column, reformat_date(column, src_fmt, dst_fmt, on_error))
+    src = None if is_temporal(df, column) else src_fmt
+    return df.withColumn(column, reformat_date(column, src, dst_fmt, on_error))
 
 
 def add_years(
@@ -51,7 +53,8 @@ def add_years(
     """Add ``out`` = whole years from ``start`` to ``end`` (see ``years_between``).
 
     A string that is not a ``YYYY-MM-DD`` literal must name a column."""
-    require_columns(
-        df, [x for x in (start, end) if isinstance(x, str) and not _ISO_DATE.fullmatch(x)]
-    )
+    names = [x for x in (start, end) if isinstance(x, str) and not _ISO_DATE.fullmatch(x)]
+    require_columns(df, names)
+    if names and all(is_temporal(df, n) for n in names):
+        fmt = None  # typed dates: nothing to parse
     return df.withColumn(out, years_between(start, end, fmt, method))

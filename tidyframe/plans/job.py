@@ -37,7 +37,7 @@ from tidyframe.functions.split import split_column
 from tidyframe.functions.stamps import add_run_stamps, run_clock
 from tidyframe.functions.text import normalize_text, strip_accents, title_case, title_case_plain
 from tidyframe.errors import SpecError, require_columns
-from tidyframe.functions._util import col
+from tidyframe.functions._util import col, is_temporal
 from tidyframe.operators.dedupe import keep_one
 from tidyframe.operators.quality import (
     MetricPlan,
@@ -84,8 +84,10 @@ def clean_frame(df: DataFrame, spec: JobSpec) -> tuple[DataFrame, dict[str, str]
         exprs[name] = strip_accents(exprs.get(name, col(name)))
     patterns = {}
     for r in c.reformat_date:
+        require_columns(df, [r.column])
+        src_pattern = None if is_temporal(df, r.column) else r.from_pattern
         exprs[r.column] = reformat_date(exprs.get(r.column, col(r.column)),
-                                        r.from_pattern, r.to_pattern, r.on_error)
+                                        src_pattern, r.to_pattern, r.on_error)
         patterns[r.column] = r.to_pattern
     require_columns(df, list(exprs))
     out = df.withColumns(exprs) if exprs else df
@@ -104,6 +106,8 @@ def transform_frame(
         out = cast_columns(out, list(step.columns), step.to, step.on_error, step.missing)
     for y in spec.years_between:
         pattern = y.pattern or patterns.get(y.start)
+        if y.start in out.columns and is_temporal(out, y.start):
+            pattern = None  # already a date / timestamp: nothing to parse
         end = y.end if y.end is not None else run_date
         out = out.withColumn(y.column, years_between(y.start, end, pattern, y.method))
     return out
