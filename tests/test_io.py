@@ -258,3 +258,11 @@ def test_csv_malformed_rows_captured(spark, scratch):
                       schema="id int, temp double")
     with pytest.raises(Exception):
         read_source(spark, fail).collect()
+
+
+def test_inference_without_schema_warns(spark, scratch):
+    df = spark.createDataFrame([(1, "a")], "i int, s string")
+    write_sink(df, SinkSpec(path=scratch + "/j", format="json"))
+    with pytest.warns(UserWarning, match="scans the whole input"):
+        back = read_source(spark, SourceSpec(format="json", path=scratch + "/j"))
+    assert back.count() == 1

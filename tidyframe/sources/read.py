@@ -6,6 +6,8 @@ later reach the Parquet reader (``PushedFilters`` / ``ReadSchema``).
 
 from __future__ import annotations
 
+import warnings
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,6 +25,15 @@ def reader_options(spec: SourceSpec) -> dict[str, str]:
 def read_source(spark: SparkSession, spec: SourceSpec) -> DataFrame:
     if spec.is_jdbc:
         return _read_jdbc(spark, spec)
+    if spec.schema is None and (
+        spec.format in ("json", "xml")
+        or spec.options.get("inferSchema", "false").lower() == "true"
+    ):
+        warnings.warn(
+            f"{spec.format} source without a schema: Spark scans the whole input once "
+            "to infer it; give source.schema for large inputs",
+            stacklevel=2,
+        )
     reader = spark.read.format(spec.format).options(**reader_options(spec))
     if spec.schema is not None:
         reader = reader.schema(spec.schema)
