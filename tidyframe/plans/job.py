@@ -13,7 +13,10 @@ Batch flow::
 * The dedupe carries each key's input row count, so the duplicate report needs
   no second pass.  Only when no dedupe runs on the quality key (or the order
   needs the window strategy) is the duplicate check a separate, pre-aggregated
-  job.
+  job -- or, with ``quality.approx_duplicates``, a HyperLogLog++ estimate in
+  the same observation.
+* ``plan_job`` returns the exact frame that will be written, so
+  ``plan_job(...).frame.explain()`` shows the job's physical plan.
 * With a quality section, each converted column (cast, date re-format) gets a
   "nulled by the conversion" bit, set right after the row-local steps and
   packed into one bigint per 62 columns; the observation counts the bits of
