@@ -10,8 +10,13 @@ split gives two ways to run the same check:
 * piggy-backed: ``df.observe(obs, *plan.aggs)`` while the data is written, and
   ``plan.from_row(spark, obs.get)`` afterwards -- no extra pass at all.
 
-Only the duplicate check needs a shuffle (``groupBy(key)``), with map-side
-pre-aggregation so a hot key costs one row per map task.
+Only the exact duplicate check needs a shuffle (``groupBy(key)``), with
+map-side pre-aggregation so a hot key costs one row per map task; its
+HyperLogLog++ estimate (``approx``) joins the single aggregate instead.
+
+Report rows are produced from the one-row aggregate by ONE ``selectExpr``
+(``inline(array(named_struct(...)))``), not by a union of projections, which
+would re-run the aggregate -- and the scan -- once per check.
 """
 
 from __future__ import annotations
