@@ -283,3 +283,56 @@ def test_order_by_nulls_placement(spark):
     assert asc_last == {1: 5, 2: 3}
     with pytest.raises(SpecError):
         keep_one(df, ["k"], ["t desc nulls first"], strategy="aggregate")
+
+
+def _rows_close(a, b):
+    if len(a) != len(b):
+        return False
+    for x, y in zip(a, b):
+        for u, v in zip(x, y):
+            if isinstance(u, float) and isinstance(v, float):
+                if math.isnan(u) and math.isnan(v):
+                    continue
+                if abs(u - v) > 1e-12 * max(1.0, abs(u), abs(v)):
+                    return False
+            elif u != v:
+                return False
+    return True
+
+
+def _key_sorted(df):
+    return sorted((tuple(r) for r in df.collect()), key=lambda t: tuple(map(str, t)))
+
+
+def test_long_layout_equals_wide(spark):
+    from decimal import Decimal
+
+    data = [(1, 2.5, 1.5, Decimal("1.10"), "a", 7), (None, NAN, None, None, None, 9),
+            (3, None, 2.0, Decimal("3.30"), "c", 11), (3, -1.0, NAN, Decimal("0.01"), "d", -4)]
+    df = spark.createDataFrame(data, "i int, d double, f float, m decimal(10,2), s string, b bigint")
+    empty = df.limit(0)
+    rules = [{"column": "d", "min": 0, "max": 2}, {"column": "b", "min": 0, "max": 10},
+             {"column": "m", "min": 1, "max": 5}]
+    for frame in (df, empty):
+        for legacy in (False, True):
+            w = _key_sorted(range_check(frame, rules, legacy, layout="wide"))
+            lg = _key_sorted(range_check(frame, rules, legacy, layout="long"))
+            assert _rows_close(w, lg)
+            w = _key_sorted(quality_report(frame, keys=["i"], rules=rules,
+                                           legacy_null_valid=legacy, layout="wide"))
+            lg = _key_sorted(quality_report(frame, keys=["i"], rules=rules,
+                                            legacy_null_valid=legacy, layout="long"))
+            assert _rows_close(w, lg)
+        assert _key_sorted(completeness(frame, layout="wide")) == \
+            _key_sorted(completeness(frame, layout="long"))
+        assert _rows_close(_key_sorted(describe_numeric(frame, layout="wide")),
+                           _key_sorted(describe_numeric(frame, layout="long")))
+    with pytest.raises(SpecError):
+        completeness(df, layout="tall")
+
+
+def test_long_layout_is_one_scan(spark):
+    wide = spark.range(100).selectExpr(*[f"cast(id + {k} as double) as c{k}" for k in range(150)])
+    plan = plan_text(quality_report(wide), "simple")
+    assert plan.count("Range (") == 1  # one scan of the input
+    assert "inline" in plan.lower()

@@ -37,6 +37,7 @@ from pyspark.sql.types import (
 
 from tidyframe.errors import SpecError, require_columns
 from tidyframe.functions._util import col, pct
+from tidyframe.operators.quality_long import RANGE, long_aggregate
 
 STATUS_OK, STATUS_WARN, STATUS_FAIL = "ok", "warn", "fail"
 
@@ -106,6 +107,50 @@ def _double_sql(x: float) -> str:
     return f"CAST('{'NaN' if math.isnan(x) else ('Infinity' if x > 0 else '-Infinity')}' AS DOUBLE)"
 
 
+LAYOUTS = ("auto", "wide", "long")
+# aggregate buffers per row above which the long layout wins (measured: 11
+# columns favour wide 2:1, 50+ columns with statistics favour long 2-5:1)
+LONG_LAYOUT_MIN_BUFFERS = 100
+
+
+def use_long_layout(layout: str, n_columns: int = 0, n_describe: int = 0,
+                    n_rules: int = 0) -> bool:
+    """``wide``: one aggregate per metric and column (best for tens of
+    columns); ``long``: unpivot once, fixed aggregates per column (best for
+    hundreds); ``auto``: by the estimated aggregate buffers per row."""
+    if layout not in LAYOUTS:
+        raise SpecError(f"layout must be one of {LAYOUTS}, got {layout!r}")
+    if layout == "auto":
+        return n_columns + 8 * n_describe + 2 * n_rules > LONG_LAYOUT_MIN_BUFFERS
+    return layout == "long"
+
+
+def _report_from_long(agg: DataFrame, legacy_null_valid: bool) -> DataFrame:
+    """Report rows from ``long_aggregate`` rows, in one projection."""
+
+    def e(check: str, metric: str, value: str) -> str:
+        return (f"named_struct('check', '{check}', 'subject', subject, "
+                f"'metric', '{metric}', 'value', CAST({value} AS DOUBLE))")
+
+    comp = [e("completeness", "total", "total"), e("completeness", "n_null", "n_miss"),
+            e("completeness", "n_filled", "(total - n_miss)"),
+            e("completeness", "pct_null", _pct_sql("n_miss", "total")),
+            e("completeness", "pct_filled", _pct_sql("(total - n_miss)", "total"))]
+    desc = [e("describe", "count", "n"), e("describe", "mean", "mean"),
+            e("describe", "stddev", "sd"), e("describe", "min", "mn"), e("describe", "max", "mx")]
+    valid = "(total - n_bad)" if legacy_null_valid else "(total - n_bad - n_null)"
+    rng = [e("range", "total", "total"), e("range", "n_valid", valid),
+           e("range", "n_invalid", "n_bad"), e("range", "n_null", "n_null"),
+           e("range", "pct_invalid", _pct_sql("n_bad", "total")),
+           e("range", "pct_valid", _pct_sql(valid, "total"))]
+    comp_a, desc_a, rng_a = (f"array({', '.join(x)})" for x in (comp, desc, rng))
+    return agg.selectExpr(
+        f"inline(CASE WHEN k = {RANGE} THEN {rng_a} "
+        f"WHEN has_comp AND has_desc THEN concat({comp_a}, {desc_a}) "
+        f"WHEN has_desc THEN {desc_a} ELSE {comp_a} END)"
+    )
+
+
 def _is_fractional(dtype) -> bool:
     return isinstance(dtype, (FloatType, DoubleType))
 
@@ -139,20 +184,7 @@ def completeness_plan(
         ]
         long = _unpivot(wide, ["__total AS total"], entries,
                         "total bigint, column string, n_null bigint")
-        total, n_null = F.col("total"), F.col("n_null")
-        p_null = pct(n_null, total)
-        return long.select(
-            "column",
-            total.cast("bigint").alias("total"),
-            n_null.cast("bigint").alias("n_null"),
-            (total - n_null).cast("bigint").alias("n_filled"),
-            p_null.alias("pct_null"),
-            pct(total - n_null, total).alias("pct_filled"),
-            F.when(n_null == 0, F.lit(STATUS_OK))
-            .when(p_null < F.lit(float(warn_pct)), F.lit(STATUS_WARN))
-            .otherwise(F.lit(STATUS_FAIL))
-            .alias("status"),
-        )
+        return _completeness_finish(long, warn_pct)
 
     def long() -> list[str]:
         total, out = "__total", []
@@ -170,27 +202,62 @@ def completeness_plan(
     return MetricPlan(exprs, shape, long)
 
 
+def _completeness_finish(long: DataFrame, warn_pct: float) -> DataFrame:
+    """(column, total, n_null) -> the completeness report columns."""
+    total, n_null = F.col("total"), F.col("n_null")
+    p_null = pct(n_null, total)
+    return long.select(
+        "column",
+        total.cast("bigint").alias("total"),
+        n_null.cast("bigint").alias("n_null"),
+        (total - n_null).cast("bigint").alias("n_filled"),
+        p_null.alias("pct_null"),
+        pct(total - n_null, total).alias("pct_filled"),
+        F.when(n_null == 0, F.lit(STATUS_OK))
+        .when(p_null < F.lit(float(warn_pct)), F.lit(STATUS_WARN))
+        .otherwise(F.lit(STATUS_FAIL))
+        .alias("status"),
+    )
+
+
 def completeness(
-    df: DataFrame, columns: Sequence[str] | None = None, warn_pct: float = 10.0
+    df: DataFrame,
+    columns: Sequence[str] | None = None,
+    warn_pct: float = 10.0,
+    layout: str = "auto",
 ) -> DataFrame:
     """Per column: total, n_null, n_filled, pct_null, pct_filled, status.
 
     NULL counts as missing everywhere; NaN too for float/double columns.
     ``status``: ``ok`` with no missing value, ``warn`` below ``warn_pct`` %,
-    else ``fail``.  Empty input gives 0 % (no division error).
+    else ``fail``.  Empty input gives 0 % (no division error).  ``layout``:
+    see ``choose_layout`` (same results either way).
     """
-    return completeness_plan(df, columns, warn_pct).run(df)
+    cols = list(columns) if columns is not None else list(df.columns)
+    require_columns(df, cols)
+    if not use_long_layout(layout, n_columns=len(cols)):
+        return completeness_plan(df, cols, warn_pct).run(df)
+    agg = long_aggregate(df, comp_cols=cols)
+    return _completeness_finish(
+        agg.select(F.col("subject").alias("column"), "total", F.col("n_miss").alias("n_null")),
+        warn_pct,
+    )
 
 
 # ------------------------------------------------------------------- statistics
 
 
-def describe_plan(df: DataFrame, columns: Sequence[str] | None = None) -> MetricPlan:
+def _describe_columns(df: DataFrame, columns: Sequence[str] | None) -> list[str]:
     cols = list(columns) if columns is not None else numeric_columns(df)
     require_columns(df, cols)
     for c in cols:
         if not isinstance(df.schema[c].dataType, NumericType):
             raise SpecError(f"describe needs numeric columns; {c!r} is not")
+    return cols
+
+
+def describe_plan(df: DataFrame, columns: Sequence[str] | None = None) -> MetricPlan:
+    cols = _describe_columns(df, columns)
     exprs = {}
     for i, c in enumerate(cols):
         x = col(c)
@@ -226,9 +293,16 @@ def describe_plan(df: DataFrame, columns: Sequence[str] | None = None) -> Metric
     return MetricPlan(exprs, shape, long)
 
 
-def describe_numeric(df: DataFrame, columns: Sequence[str] | None = None) -> DataFrame:
+def describe_numeric(
+    df: DataFrame, columns: Sequence[str] | None = None, layout: str = "auto"
+) -> DataFrame:
     """Per numeric column: count (non-null), mean, stddev (sample), min, max."""
-    return describe_plan(df, columns).run(df)
+    cols = _describe_columns(df, columns)
+    if not use_long_layout(layout, n_describe=len(cols)):
+        return describe_plan(df, cols).run(df)
+    return long_aggregate(df, desc_cols=cols).select(
+        F.col("subject").alias("column"), F.col("n").alias("count"), "mean",
+        F.col("sd").alias("stddev"), F.col("mn").alias("min"), F.col("mx").alias("max"))
 
 
 # ------------------------------------------------------------------------ ranges
@@ -277,19 +351,7 @@ def range_plan(
                 "pct_invalid double, pct_valid double"
             )
         long = _unpivot(wide, ["__total AS total"], entries)
-        total, n_null, bad = F.col("total"), F.col("n_null"), F.col("n_invalid")
-        valid = total - bad if legacy_null_valid else total - bad - n_null
-        return long.select(
-            "column",
-            "min",
-            "max",
-            total.cast("bigint").alias("total"),
-            valid.cast("bigint").alias("n_valid"),
-            bad.cast("bigint").alias("n_invalid"),
-            n_null.cast("bigint").alias("n_null"),
-            pct(bad, total).alias("pct_invalid"),
-            pct(valid, total).alias("pct_valid"),
-        )
+        return _range_finish(long, legacy_null_valid)
 
     def long() -> list[str]:
         total, out = "__total", []
@@ -310,8 +372,34 @@ def range_plan(
     return MetricPlan(exprs, shape, long)
 
 
+def _range_finish(long: DataFrame, legacy_null_valid: bool) -> DataFrame:
+    """(column, min, max, total, n_null, n_invalid) -> the range report columns."""
+    total, n_null, bad = F.col("total"), F.col("n_null"), F.col("n_invalid")
+    valid = total - bad if legacy_null_valid else total - bad - n_null
+    return long.select(
+        "column",
+        "min",
+        "max",
+        total.cast("bigint").alias("total"),
+        valid.cast("bigint").alias("n_valid"),
+        bad.cast("bigint").alias("n_invalid"),
+        n_null.cast("bigint").alias("n_null"),
+        pct(bad, total).alias("pct_invalid"),
+        pct(valid, total).alias("pct_valid"),
+    )
+
+
+def _rules(df: DataFrame, rules: Sequence[RangeRule | dict]) -> list[RangeRule]:
+    out = [r if isinstance(r, RangeRule) else RangeRule.from_dict(r) for r in rules]
+    require_columns(df, [r.column for r in out])
+    return out
+
+
 def range_check(
-    df: DataFrame, rules: Sequence[RangeRule | dict], legacy_null_valid: bool = False
+    df: DataFrame,
+    rules: Sequence[RangeRule | dict],
+    legacy_null_valid: bool = False,
+    layout: str = "auto",
 ) -> DataFrame:
     """One row per rule: total, n_valid, n_invalid, n_null, pct_invalid, pct_valid.
 
@@ -319,7 +407,16 @@ def range_check(
     ``legacy_null_valid=True`` counts NULLs as valid, like a plain
     ``filter(out of range).count()`` does.
     """
-    return range_plan(df, rules, legacy_null_valid).run(df)
+    rules = _rules(df, rules)
+    if not use_long_layout(layout, n_rules=len(rules)):
+        return range_plan(df, rules, legacy_null_valid).run(df)
+    agg = long_aggregate(df, rules=rules)
+    return _range_finish(
+        agg.select(F.col("subject").alias("column"), F.col("lo").alias("min"),
+                   F.col("hi").alias("max"), "total", "n_null",
+                   F.col("n_bad").alias("n_invalid")),
+        legacy_null_valid,
+    )
 
 
 # -------------------------------------------------------------------- duplicates
@@ -478,15 +575,28 @@ def quality_report(
     warn_pct: float = 10.0,
     legacy_null_valid: bool = False,
     approx_duplicates: bool = False,
+    layout: str = "auto",
 ) -> DataFrame:
     """Long-form report ``(check, subject, metric, value)``.
 
-    Completeness, statistics and range rules share ONE aggregate over ``df``;
-    the exact duplicate check (when ``keys`` is given) is the only extra
-    branch.  With ``approx_duplicates`` it joins the same aggregate instead.
+    Completeness, statistics and range rules share ONE scan of ``df``; the
+    exact duplicate check (when ``keys`` is given) is the only extra branch.
+    With ``approx_duplicates`` it joins the same aggregate instead (wide
+    layout) or is a shuffle-free second pass (long layout).
     """
+    comp_cols = list(columns) if columns is not None else list(df.columns)
+    require_columns(df, comp_cols)
+    desc_cols = _describe_columns(df, None) if describe else []
+    rule_list = _rules(df, rules)
+    if use_long_layout(layout, len(comp_cols), len(desc_cols), len(rule_list)):
+        agg = long_aggregate(df, comp_cols, desc_cols, rule_list)
+        fused = _report_from_long(agg, legacy_null_valid)
+        if keys:
+            dups = duplicate_metrics(df, keys, approx=approx_duplicates)
+            fused = fused.unionByName(report_from_parts(None, dups, None, None))
+        return fused
     approx_keys = keys if keys and approx_duplicates else None
-    fused = quality_plan(df, rules, columns, describe, warn_pct, legacy_null_valid,
+    fused = quality_plan(df, rule_list, comp_cols, describe, warn_pct, legacy_null_valid,
                          approx_keys).run(df)
     if keys and not approx_duplicates:
         dups = report_from_parts(None, duplicate_metrics(df, keys), None, None)
