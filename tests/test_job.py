@@ -467,3 +467,36 @@ def F_lit_str(v):
     from pyspark.sql import functions as F
 
     return F.lit(v)
+
+
+def test_wide_job_reports_after_the_write(spark, scratch):
+    """130 columns: the quality report is built after the write, in the long
+    layout, over this run's rows; it equals the wide-layout report of them."""
+    from conftest import plan_text
+
+    from tidyframe.operators import quality_report as qr
+    from tidyframe.plans import plan_job
+
+    n = 130
+    cols = [f"c{k}" for k in range(n)]
+    rows = [tuple(str(r * k) if (r + k) % 7 else "x" for k in range(n)) for r in range(30)]
+    src = spark.createDataFrame(rows, ", ".join(f"{c} string" for c in cols))
+    write_sink(src, SinkSpec(path=scratch + "/in", format="csv", options={"header": True}))
+    spec = JobSpec.from_dict({
+        "source": {"format": "csv", "path": scratch + "/in", "options": {"header": True}},
+        "sink": {"path": scratch + "/out", "partition_by": ["processing_date"]},
+        "cast": [{"columns": cols, "to": "double"}],
+        "quality": {"ranges": [{"column": "c1", "min": 0, "max": 50}]},
+    })
+    planned = plan_job(spark, spec, *RUN)
+    assert planned.post_write
+    assert "c100" not in plan_text(planned.frame, "simple").split("CollectMetrics")[1].split("\n")[0]
+    res = run_job(spark, spec, *RUN)
+    got = {(r["check"], r["subject"], r["metric"]): r["value"] for r in res.report.collect()}
+    written = spark.read.parquet(scratch + "/out")
+    want = {(r["check"], r["subject"], r["metric"]): r["value"] for r in qr(
+        written, rules=[{"column": "c1", "min": 0, "max": 50}], layout="wide").collect()}
+    assert set(want) <= set(got)
+    for k, v in want.items():
+        assert got[k] == pytest.approx(v, rel=1e-12, abs=1e-12) or (v != v and got[k] != got[k])
+    assert got[("conversion", "c0", "n_nulled")] == sum(1 for r in rows if r[0] == "x")

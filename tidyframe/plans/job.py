@@ -33,11 +33,12 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import NumericType
 
 from tidyframe.functions.casting import cast_columns
 from tidyframe.functions.dates import reformat_date, years_between
 from tidyframe.functions.split import split_column
-from tidyframe.functions.stamps import add_run_stamps, run_clock
+from tidyframe.functions.stamps import add_run_stamps, date_literal, run_clock, ts_literal
 from tidyframe.functions.text import normalize_text, strip_accents, title_case, title_case_plain
 from tidyframe.errors import SpecError, require_columns
 from tidyframe.functions._util import col, is_temporal
@@ -45,6 +46,8 @@ from tidyframe.operators.dedupe import keep_one
 from tidyframe.operators.quality import (
     MetricPlan,
     duplicate_metrics,
+    quality_report,
+    use_long_layout,
     duplicates_shape,
     quality_plan,
     report_from_parts,
@@ -203,6 +206,19 @@ class PlannedJob:
     converted: list[str]
     dup_from_dedupe: bool
     separate_dups: DataFrame | None
+    post_write: bool = False
+    metric_cols: list[str] | None = None
+
+    def written_rows(self, spark: SparkSession) -> DataFrame:
+        """This run's rows as written: the sink read back with the frame's own
+        schema, filtered on the run stamps (the date one prunes partitions)."""
+        sink, stamps = self.spec.sink, self.spec.stamps
+        out = (spark.read.format(sink.format).options(**sink.options)
+               .schema(self.frame.schema).load(sink.path))
+        out = out.filter(col(stamps.ts_column) == ts_literal(self.run_ts, stamps.ts_type))
+        if stamps.date_column:
+            out = out.filter(col(stamps.date_column) == date_literal(self.run_date))
+        return out
 
     def result(self, spark: SparkSession) -> JobResult:
         """Report from the observation; call after ``frame`` was written."""
@@ -210,9 +226,17 @@ class PlannedJob:
         rows_written = int(values["__rows_after"])
         q = self.spec.quality
         report = None
-        if q is not None:
+        if q is not None and self.post_write:
+            long_report = quality_report(
+                self.written_rows(spark), None, q.ranges, self.metric_cols, q.describe,
+                q.warn_pct, q.legacy_null_valid, layout="long")
+            # frozen now (rows per column and metric: bounded), so a later run
+            # overwriting the sink cannot change this run's report
+            report = spark.createDataFrame(long_report.collect(), long_report.schema)
+        elif q is not None:
             self.metrics.bind_schema(self.metrics_input)
             report = self.metrics.from_row(spark, values)
+        if q is not None:
             if self.dup_from_dedupe:
                 one = spark.createDataFrame(
                     [(int(values["__rows_before"]), rows_written)],
@@ -258,13 +282,7 @@ def plan_job(
         df = _nulled_masks(df, converted)
     counted = _dedupe_counts_rows(spec)
     dup_from_dedupe = bool(q and q.keys and counted and tuple(q.keys) == spec.dedupe.keys)
-    # without a dedupe on the quality key: an estimate can ride on the write's
-    # observation; an exact count needs its own (pre-aggregated) shuffle
-    approx_dups = bool(q and q.keys and not dup_from_dedupe and q.approx_duplicates)
-    separate_dups = (
-        duplicate_metrics(df, q.keys)
-        if q and q.keys and not dup_from_dedupe and not approx_dups else None
-    )
+    pre_dedupe = df
     if spec.dedupe:
         df = keep_one(
             df, spec.dedupe.keys, spec.dedupe.order_by,
@@ -281,12 +299,31 @@ def plan_job(
     data_cols = [c for c in laid.columns if c not in internal]
     exprs: dict = {}
     metrics = metrics_input = None
-    if q is not None:
+    metric_cols = list(q.columns) if q is not None and q.columns is not None else data_cols
+    # Wide tables: the quality aggregates would be thousands per row inside
+    # the write.  Then (if rows carry the run timestamp) the report is built
+    # after the write, in the long layout, over exactly this run's rows.
+    post_write = bool(
+        q is not None and spec.stamps is not None and spec.stamps.ts_column
+        and use_long_layout(
+            "auto", len(metric_cols),
+            len([c for c in data_cols if isinstance(laid.schema[c].dataType, NumericType)])
+            if q.describe else 0,
+            len(q.ranges))
+    )
+    # without a dedupe on the quality key: an estimate can ride on the write's
+    # observation; an exact count needs its own (pre-aggregated) shuffle
+    approx_in_obs = bool(q and q.keys and not dup_from_dedupe and q.approx_duplicates
+                         and not post_write)
+    separate_dups = (
+        duplicate_metrics(pre_dedupe, q.keys, approx=q.approx_duplicates)
+        if q and q.keys and not dup_from_dedupe and not approx_in_obs else None
+    )
+    if q is not None and not post_write:
         metrics_input = laid.select(*[col(c) for c in data_cols])
-        cols = list(q.columns) if q.columns is not None else data_cols
-        metrics = quality_plan(metrics_input, q.ranges, cols, q.describe,
+        metrics = quality_plan(metrics_input, q.ranges, metric_cols, q.describe,
                                q.warn_pct, q.legacy_null_valid,
-                               list(q.keys) if approx_dups else None)
+                               list(q.keys) if approx_in_obs else None)
         exprs.update(metrics.exprs)
     exprs["__rows_after"] = F.count(F.lit(1))
     if counted:
@@ -297,7 +334,7 @@ def plan_job(
     observed = laid.observe(obs, *[e.alias(n) for n, e in exprs.items()])
     frame = observed.drop(*internal) if internal else observed
     return PlannedJob(spec, run_date, run_ts, frame, obs, metrics, metrics_input,
-                      converted, dup_from_dedupe, separate_dups)
+                      converted, dup_from_dedupe, separate_dups, post_write, metric_cols)
 
 
 def run_job(
