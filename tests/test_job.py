@@ -500,3 +500,15 @@ def test_wide_job_reports_after_the_write(spark, scratch):
     for k, v in want.items():
         assert got[k] == pytest.approx(v, rel=1e-12, abs=1e-12) or (v != v and got[k] != got[k])
     assert got[("conversion", "c0", "n_nulled")] == sum(1 for r in rows if r[0] == "x")
+
+
+def test_incremental_report_with_text_sink_and_microsecond_run_ts(spark, scratch):
+    landing = scratch + "/landing"
+    land(spark, landing, "b1")
+    attrs = legacy_attrs(f"{landing}/*/*.csv", scratch + "/out", move=True)
+    attrs["destiny"] = {"file_path": scratch + "/out", "file_type": "json", "options": {}}
+    spec = from_legacy_attributes(attrs, checkpoint=scratch + "/ckpt")
+    run_ts = dt.datetime(2024, 1, 1, 8, 0, 0, 123456)  # JSON keeps milliseconds only
+    res = run_job(spark, spec, run_ts.date(), run_ts)
+    rep = {(r["check"], r["subject"], r["metric"]): r["value"] for r in res.report.collect()}
+    assert rep[("completeness", "NOME", "total")] == 4.0

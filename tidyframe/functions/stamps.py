@@ -14,8 +14,10 @@ from pyspark.sql import functions as F
 
 
 def run_clock(now: dt.datetime | None = None) -> tuple[dt.date, dt.datetime]:
-    """(run date, run timestamp) taken once, in UTC."""
+    """(run date, run timestamp) taken once, in UTC, at millisecond precision
+    (what text sinks such as CSV / JSON keep by default)."""
     now = now or dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    now = now.replace(microsecond=now.microsecond // 1000 * 1000)
     return now.date(), now
 
 
@@ -58,3 +60,23 @@ def ts_literal(ts: dt.datetime, ts_type: str = "timestamp") -> Column:
     if ts_type == "timestamp":
         return F.lit(text + "Z").cast("timestamp")
     return F.lit(text).cast(ts_type)
+
+
+def run_rows(
+    date_col: str | None, ts_col: str, run_date: dt.date, run_ts: dt.datetime,
+    ts_type: str = "timestamp",
+) -> Column:
+    """Condition selecting the rows a run stamped, as read back from any sink:
+    the run timestamp's millisecond (text formats drop microseconds), plus the
+    run date (which prunes date partitions)."""
+    from tidyframe.functions._util import col
+
+    if run_ts.tzinfo is not None:
+        run_ts = run_ts.astimezone(dt.timezone.utc).replace(tzinfo=None)
+    start = run_ts.replace(microsecond=run_ts.microsecond // 1000 * 1000)
+    end = start + dt.timedelta(milliseconds=1)
+    ts = col(ts_col)
+    cond = (ts >= ts_literal(start, ts_type)) & (ts < ts_literal(end, ts_type))
+    if date_col:
+        cond = cond & (col(date_col) == date_literal(run_date))
+    return cond

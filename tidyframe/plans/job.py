@@ -38,7 +38,7 @@ from pyspark.sql.types import NumericType
 from tidyframe.functions.casting import cast_columns
 from tidyframe.functions.dates import reformat_date, years_between
 from tidyframe.functions.split import split_column
-from tidyframe.functions.stamps import add_run_stamps, date_literal, run_clock, ts_literal
+from tidyframe.functions.stamps import add_run_stamps, run_clock, run_rows
 from tidyframe.functions.text import normalize_text, strip_accents, title_case, title_case_plain
 from tidyframe.errors import SpecError, require_columns
 from tidyframe.functions._util import col, is_temporal
@@ -215,10 +215,8 @@ class PlannedJob:
         sink, stamps = self.spec.sink, self.spec.stamps
         out = (spark.read.format(sink.format).options(**sink.options)
                .schema(self.frame.schema).load(sink.path))
-        out = out.filter(col(stamps.ts_column) == ts_literal(self.run_ts, stamps.ts_type))
-        if stamps.date_column:
-            out = out.filter(col(stamps.date_column) == date_literal(self.run_date))
-        return out
+        return out.filter(run_rows(stamps.date_column, stamps.ts_column, self.run_date,
+                                   self.run_ts, stamps.ts_type))
 
     def result(self, spark: SparkSession) -> JobResult:
         """Report from the observation; call after ``frame`` was written."""

@@ -27,8 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidyframe.errors import SpecError
-from tidyframe.functions._util import col
-from tidyframe.functions.stamps import date_literal, ts_literal
+from tidyframe.functions.stamps import run_rows
 from tidyframe.sinks.write import SinkSpec
 from tidyframe.sources.read import read_source, reader_options
 from tidyframe.sources.spec import SourceSpec, schema_from_files_ok
@@ -145,9 +144,8 @@ def run_incremental(spark: SparkSession, spec, run_date: dt.date, run_ts: dt.dat
         # applies when the date stamp is a partition column)
         out = spark.read.format(spec.sink.format).options(**spec.sink.options).load(spec.sink.path)
         if spec.stamps and spec.stamps.ts_column:
-            out = out.filter(col(spec.stamps.ts_column) == ts_literal(run_ts, spec.stamps.ts_type))
-            if spec.stamps.date_column:
-                out = out.filter(col(spec.stamps.date_column) == date_literal(run_date))
+            st = spec.stamps
+            out = out.filter(run_rows(st.date_column, st.ts_column, run_date, run_ts, st.ts_type))
         q = spec.quality
         report = quality_report(out, q.keys or None, q.ranges, q.columns, q.describe,
                                 q.warn_pct, q.legacy_null_valid, q.approx_duplicates)
