@@ -336,3 +336,14 @@ def test_long_layout_is_one_scan(spark):
     plan = plan_text(quality_report(wide), "simple")
     assert plan.count("Range (") == 1  # one scan of the input
     assert "inline" in plan.lower()
+
+
+def test_drop_and_select_columns(spark):
+    from tidyframe.operators import drop_columns, select_columns
+
+    df = spark.createDataFrame([(1, 2, 3)], "a int, `b.c` int, d int")
+    assert drop_columns(df, ["b.c"]).columns == ["a", "d"]
+    assert drop_columns(df, ["zz"], missing_ok=True).columns == ["a", "b.c", "d"]
+    with pytest.raises(MissingColumnError):
+        drop_columns(df, ["zz"])
+    assert select_columns(df, ["d", "b.c"]).columns == ["d", "b.c"]

@@ -15,18 +15,6 @@ def as_col(c: Column | str) -> Column:
     return col(c) if isinstance(c, str) else c
 
 
-def lit_or_col(v) -> Column:
-    """Literal for plain Python values, column for names/expressions.
-
-    Strings are treated as column names; wrap a string literal in ``F.lit``.
-    """
-    if isinstance(v, Column):
-        return v
-    if isinstance(v, str):
-        return col(v)
-    return F.lit(v)
-
-
 def pct(part: Column, whole: Column) -> Column:
     """100 * part / whole as double; 0 when ``whole`` is 0 (empty input)."""
     return F.when(
