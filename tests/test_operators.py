@@ -347,3 +347,12 @@ def test_drop_and_select_columns(spark):
     with pytest.raises(MissingColumnError):
         drop_columns(df, ["zz"])
     assert select_columns(df, ["d", "b.c"]).columns == ["d", "b.c"]
+
+
+def test_profiled_columns_restrict_statistics_too(spark):
+    df = spark.createDataFrame([(1, 2.0, "a")], "a int, b double, s string")
+    for layout in ("wide", "long"):
+        rep = quality_report(df, columns=["b", "s"], layout=layout).collect()
+        subjects = {(r["check"], r["subject"]) for r in rep}
+        assert ("describe", "b") in subjects and ("describe", "a") not in subjects
+        assert ("completeness", "a") not in subjects

@@ -166,6 +166,13 @@ def numeric_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, NumericType)]
 
 
+def _numeric_among(df: DataFrame, columns: Sequence[str] | None) -> list[str] | None:
+    """Statistics cover the numeric columns among those profiled (all if None)."""
+    if columns is None:
+        return None
+    return [c for c in columns if isinstance(df.schema[c].dataType, NumericType)]
+
+
 # ------------------------------------------------------------------ completeness
 
 
@@ -533,7 +540,7 @@ def quality_plan(
     same aggregate, so the whole report stays one pass without a shuffle.
     """
     comp = completeness_plan(df, columns, warn_pct)
-    desc = describe_plan(df) if describe else None
+    desc = describe_plan(df, _numeric_among(df, columns)) if describe else None
     rng = range_plan(df, rules, legacy_null_valid) if rules else None
     exprs = dict(comp.exprs)  # "__total" is shared by name
     for p in (desc, rng):
@@ -586,7 +593,7 @@ def quality_report(
     """
     comp_cols = list(columns) if columns is not None else list(df.columns)
     require_columns(df, comp_cols)
-    desc_cols = _describe_columns(df, None) if describe else []
+    desc_cols = _describe_columns(df, _numeric_among(df, columns)) if describe else []
     rule_list = _rules(df, rules)
     if use_long_layout(layout, len(comp_cols), len(desc_cols), len(rule_list)):
         agg = long_aggregate(df, comp_cols, desc_cols, rule_list)

@@ -305,7 +305,7 @@ def plan_job(
         q is not None and spec.stamps is not None and spec.stamps.ts_column
         and use_long_layout(
             "auto", len(metric_cols),
-            len([c for c in data_cols if isinstance(laid.schema[c].dataType, NumericType)])
+            len([c for c in metric_cols if isinstance(laid.schema[c].dataType, NumericType)])
             if q.describe else 0,
             len(q.ranges))
     )
