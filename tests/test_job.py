@@ -512,3 +512,22 @@ def test_incremental_report_with_text_sink_and_microsecond_run_ts(spark, scratch
     res = run_job(spark, spec, run_ts.date(), run_ts)
     rep = {(r["check"], r["subject"], r["metric"]): r["value"] for r in res.report.collect()}
     assert rep[("completeness", "NOME", "total")] == 4.0
+
+
+def test_ignore_mode_second_run_writes_nothing(spark, scratch):
+    land(spark, scratch + "/raw", "a.csv")
+    spec = JobSpec.from_dict({
+        "source": {"format": "csv", "path": scratch + "/raw/*.csv", "options": {"header": True}},
+        "sink": {"path": scratch + "/out", "mode": "ignore"}, "quality": {},
+    })
+    assert run_job(spark, spec, *RUN).rows_written == 4
+    assert run_job(spark, spec, *RUN).rows_written == 0  # target exists: Spark skips it
+    assert spark.read.parquet(scratch + "/out").count() == 4
+    bad = JobSpec.from_dict({
+        "source": {"format": "csv", "path": scratch + "/raw/*.csv", "options": {"header": True}},
+        "sink": {"path": scratch + "/out2"}, "quality": {"columns": ["nope"]},
+    })
+    from tidyframe.errors import MissingColumnError
+
+    with pytest.raises(MissingColumnError):
+        run_job(spark, bad, *RUN)

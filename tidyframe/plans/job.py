@@ -29,6 +29,7 @@ Batch flow::
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -298,6 +299,7 @@ def plan_job(
     exprs: dict = {}
     metrics = metrics_input = None
     metric_cols = list(q.columns) if q is not None and q.columns is not None else data_cols
+    require_columns(laid, metric_cols)
     # Wide tables: the quality aggregates would be thousands per row inside
     # the write.  Then (if rows carry the run timestamp) the report is built
     # after the write, in the long layout, over exactly this run's rows.
@@ -328,7 +330,7 @@ def plan_job(
         exprs["__rows_before"] = F.coalesce(F.sum(ROWS_COL), F.lit(0))
     for i, c in enumerate(converted):
         exprs[f"__nulled_{i}"] = _nulled_count(i)
-    obs = Observation("tidyframe_job")
+    obs = Observation(f"tidyframe_job_{uuid.uuid4().hex}")  # unique per run
     observed = laid.observe(obs, *[e.alias(n) for n, e in exprs.items()])
     frame = observed.drop(*internal) if internal else observed
     return PlannedJob(spec, run_date, run_ts, frame, obs, metrics, metrics_input,
