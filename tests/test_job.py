@@ -531,3 +531,18 @@ def test_ignore_mode_second_run_writes_nothing(spark, scratch):
 
     with pytest.raises(MissingColumnError):
         run_job(spark, bad, *RUN)
+
+
+def test_archive_folder_with_glob_characters(spark, scratch):
+    """The older config's processed folder is literally `.../processed/[project]`."""
+    landing, arch = scratch + "/landing", scratch + "/processed/[project]"
+    src = SourceSpec(format="csv", path=f"{landing}/*/*.csv", options={"header": True},
+                     schema=VITALS_DDL)
+    sink = SinkSpec(path=scratch + "/out", mode="append")
+    land(spark, landing, "b1")
+    ingest_files(spark, src, sink, scratch + "/ckpt", arch)
+    land(spark, landing, "b2", ROWS[:1])
+    ingest_files(spark, src, sink, scratch + "/ckpt", arch)
+    assert spark.read.parquet(scratch + "/out").count() == 5
+    archived = [f for _, _, fs in os.walk(scratch + "/processed") for f in fs if f.endswith(".csv")]
+    assert archived
