@@ -4,6 +4,8 @@ free combining marks) and generated NULL/NaN patterns."""
 
 from __future__ import annotations
 
+import calendar
+import datetime as dt
 import math
 import re
 import unicodedata
@@ -105,3 +107,33 @@ def test_white_space_constant_is_unicode_white_space():
     # Python's str.isspace adds the four information separators 0x1C-0x1F
     py = {ch for ch in bmp if ch.isspace()} - {"\x1c", "\x1d", "\x1e", "\x1f"}
     assert set(WHITE_SPACE) == py
+
+
+def _completed_years(start, end) -> int:
+    """Calendar rule: a month completes on the same day of month, or when both
+    dates are month ends (29 Feb -> 28 Feb completes a year); years = months // 12."""
+
+    def month_end(d):
+        return d.day == calendar.monthrange(d.year, d.month)[1]
+
+    months = (end.year - start.year) * 12 + (end.month - start.month)
+    if end.day == start.day or (month_end(end) and month_end(start)):
+        frac = 0.0
+    else:
+        frac = (end.day - start.day) / 31.0
+    return math.floor((months + frac) / 12.0)
+
+
+dates = st.dates(min_value=dt.date(1900, 1, 1), max_value=dt.date(2100, 12, 31))
+
+
+@SETTINGS
+@given(st.lists(st.tuples(dates, dates), min_size=1, max_size=30))
+def test_years_between_matches_calendar_rule(spark, pairs):
+    from tidyframe.functions import years_between
+
+    df = spark.createDataFrame([(i, s, e) for i, (s, e) in enumerate(pairs)],
+                               "i int, s date, e date")
+    got = {r["i"]: r["y"] for r in df.select("i", years_between("s", "e").alias("y")).collect()}
+    for i, (s, e) in enumerate(pairs):
+        assert got[i] == _completed_years(s, e), (s, e)
