@@ -7,6 +7,7 @@ import os
 
 import pytest
 from conftest import count_jobs
+from pyspark.sql import functions as F
 
 from tidyframe.errors import SpecError
 from tidyframe.plans import JobSpec, build_frame, from_legacy_attributes, run_job
@@ -452,7 +453,7 @@ def test_typed_date_columns_skip_text_patterns(spark, scratch):
     assert df.transform(reformat_dates, "birth", "dd/MM/yyyy").first()[0] == "1964-01-10"
     assert df.transform(add_years, "age", "birth", "2024-01-01", "dd/MM/yyyy").first()["age"] == 59
     # the older layout's default day-first pattern does not break a typed column
-    write_sink(df.withColumn("PRONTUARIO", F_lit_str("1")), SinkSpec(path=scratch + "/in"))
+    write_sink(df.withColumn("PRONTUARIO", F.lit("1")), SinkSpec(path=scratch + "/in"))
     base = {"source": {"format": "parquet", "path": scratch + "/in"},
             "sink": {"path": scratch + "/out"}}
     aged = JobSpec.from_dict({**base, "years_between": [
@@ -463,11 +464,6 @@ def test_typed_date_columns_skip_text_patterns(spark, scratch):
     assert build_frame(spark, text, *RUN).first()["birth"] == "10.01.1964"
 
 
-def F_lit_str(v):
-    from pyspark.sql import functions as F
-
-    return F.lit(v)
-
 
 def test_wide_job_reports_after_the_write(spark, scratch):
     """130 columns: the quality report is built after the write, in the long
