@@ -542,3 +542,15 @@ def test_archive_folder_with_glob_characters(spark, scratch):
     assert spark.read.parquet(scratch + "/out").count() == 5
     archived = [f for _, _, fs in os.walk(scratch + "/processed") for f in fs if f.endswith(".csv")]
     assert archived
+
+
+def test_incremental_job_counts_rows_written(spark, scratch):
+    landing = scratch + "/landing"
+    land(spark, landing, "b1")
+    attrs = legacy_attrs(f"{landing}/*/*.csv", scratch + "/out", move=True)
+    attrs["destiny"] = {"file_path": scratch + "/out", "file_type": "parquet", "options": {}}
+    spec = from_legacy_attributes(attrs, checkpoint=scratch + "/ckpt")
+    assert run_job(spark, spec, *RUN).rows_written == 4
+    assert run_job(spark, spec, *RUN).rows_written == 0  # nothing new
+    land(spark, landing, "b2", [("777777",) + ROWS[0][1:], ROWS[1]])  # one new key
+    assert run_job(spark, spec, dt.date(2024, 1, 2), dt.datetime(2024, 1, 2)).rows_written == 1

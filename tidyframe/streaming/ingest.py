@@ -33,6 +33,19 @@ from tidyframe.sources.read import read_source, reader_options
 from tidyframe.sources.spec import SourceSpec, schema_from_files_ok
 
 STREAM_SINK_FORMATS = ("parquet", "csv", "json")
+OBSERVED = "tidyframe_ingest_rows"
+
+
+def rows_written(spark: SparkSession, query: StreamingQuery) -> int | None:
+    """Rows this run wrote: the observed per-batch counts in the progress of
+    the run's query.  ``None`` when Spark may have dropped older entries (the
+    run had at least ``numRecentProgressUpdates`` micro-batches)."""
+    progress = query.recentProgress
+    limit = int(spark.conf.get("spark.sql.streaming.numRecentProgressUpdates", "100"))
+    if len(progress) >= limit:
+        return None
+    return sum(int((p.observedMetrics or {})[OBSERVED]["rows"])
+               for p in progress if OBSERVED in (p.observedMetrics or {}))
 
 
 def schema_from_files(spark: SparkSession, source: SourceSpec):
@@ -102,6 +115,8 @@ def ingest_files(
         raise SpecError("a watermark only applies to ingest dedupe")
     if sink.num_files and sink.num_files > 0:
         df = df.repartition(sink.num_files)
+    # rows written per micro-batch, reported in the query's progress
+    df = df.observe(OBSERVED, F.count(F.lit(1)).alias("rows"))
 
     writer = (
         df.writeStream.format(sink.format)
@@ -133,7 +148,7 @@ def run_incremental(spark: SparkSession, spec, run_date: dt.date, run_ts: dt.dat
         return _stamp(transform_frame(df, spec, run_date), spec, run_date, run_ts)
 
     ing = spec.ingest
-    ingest_files(
+    query = ingest_files(
         spark, spec.source, spec.sink, ing.checkpoint, ing.archive_dir, transform,
         spec.dedupe.keys if spec.dedupe else None, ing.max_files_per_batch,
         (ing.watermark_column, ing.watermark_delay) if ing.watermark_column else None,
@@ -151,4 +166,5 @@ def run_incremental(spark: SparkSession, spec, run_date: dt.date, run_ts: dt.dat
                                 q.warn_pct, q.legacy_null_valid, q.approx_duplicates)
     from tidyframe.plans.job import keep_report
 
-    return keep_report(JobResult(spec.sink.path, run_date, run_ts, None, report), spec)
+    written = rows_written(spark, query)
+    return keep_report(JobResult(spec.sink.path, run_date, run_ts, written, report), spec)
