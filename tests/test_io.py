@@ -266,3 +266,18 @@ def test_inference_without_schema_warns(spark, scratch):
     with pytest.warns(UserWarning, match="scans the whole input"):
         back = read_source(spark, SourceSpec(format="json", path=scratch + "/j"))
     assert back.count() == 1
+
+
+def test_csv_encoding_option(spark, scratch):
+    path = scratch + "/latin1"
+    os.makedirs(path)
+    with open(f"{path}/part-0.csv", "w", encoding="iso-8859-1") as fh:
+        fh.write("id;nome\n1;José Conceição\n2;Ângela\n")
+    spec = SourceSpec(format="csv", path=path,
+                      options={"header": True, "sep": ";", "encoding": "ISO-8859-1"},
+                      schema="id int, nome string")
+    got = sorted(tuple(r) for r in read_source(spark, spec).collect())
+    assert got == [(1, "José Conceição"), (2, "Ângela")]
+    wrong = SourceSpec(format="csv", path=path, options={"header": True, "sep": ";"},
+                       schema="id int, nome string")
+    assert sorted(tuple(r) for r in read_source(spark, wrong).collect()) != got
