@@ -20,7 +20,15 @@ def checkpoint_root(spark: SparkSession) -> str:
     from the conf.  When both are unset a local folder is created only in
     local mode (tests); on a cluster this raises instead.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect sessions have no SparkContext
+        sc = None
+    if sc is None:
+        conf = spark.conf.get("spark.checkpoint.dir", None)
+        if not conf:
+            raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
+        return conf.rstrip("/")
     root = sc.getCheckpointDir()
     if root:
         return root.rstrip("/")
