@@ -174,7 +174,7 @@ _JOB_COLS = [("order_id", False), ("customer_id", False), ("priority_note", Fals
 
 def oracles() -> dict[str, str]:
     part_all = "select * from part"
-    return {
+    sql = {
         "scan_parquet": "select l_orderkey, l_linenumber, l_quantity, l_extendedprice, "
                         "l_shipdate from lineitem",
         "roundtrip_csv": part_all,
@@ -292,3 +292,7 @@ def oracles() -> dict[str, str]:
             ),
         ),
     }
+    # the long (wide-table) layout must give exactly the same results
+    sql["quality_report_long"] = sql["quality_report"]
+    sql["describe_numeric_long"] = sql["describe_numeric"]
+    return sql

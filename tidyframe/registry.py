@@ -324,6 +324,19 @@ def q_quality_report(spark, sf_dir):
     return rep.withColumn("value", F.round("value", 4))
 
 
+def q_quality_report_long(spark, sf_dir):
+    """The same report through the wide-table (long) layout."""
+    df = events_with_gaps(spark, sf_dir, nan=False)
+    rep = quality_report(df, keys=["user_id"], rules=RANGE_RULES, layout="long")
+    return rep.withColumn("value", F.round("value", 4))
+
+
+def q_describe_numeric_long(spark, sf_dir):
+    d = describe_numeric(table(spark, sf_dir, "lineitem"), layout="long")
+    return d.select("column", "count", F.round("mean", 4).alias("mean"),
+                    F.round("stddev", 4).alias("stddev"), "min", "max")
+
+
 def q_clean_dedupe_profile(spark, sf_dir):
     """Flagship: scan -> normalise -> safe cast -> keep latest -> completeness."""
     o = table(spark, sf_dir, "orders")
@@ -499,6 +512,8 @@ QUERIES: dict[str, QueryFn] = {
     "describe_numeric": q_describe_numeric,
     "range_check": q_range_check,
     "quality_report": q_quality_report,
+    "quality_report_long": q_quality_report_long,
+    "describe_numeric_long": q_describe_numeric_long,
     "clean_dedupe_profile": q_clean_dedupe_profile,
     "write_partitioned": q_write_partitioned,
     "write_layout": q_write_layout,
