@@ -554,3 +554,23 @@ def test_incremental_job_counts_rows_written(spark, scratch):
     assert run_job(spark, spec, *RUN).rows_written == 0  # nothing new
     land(spark, landing, "b2", [("777777",) + ROWS[0][1:], ROWS[1]])  # one new key
     assert run_job(spark, spec, dt.date(2024, 1, 2), dt.datetime(2024, 1, 2)).rows_written == 1
+
+
+def test_cli_incremental_older_layout(spark, scratch, capsys):
+    import yaml
+
+    from tidyframe.__main__ import main
+
+    landing = scratch + "/landing"
+    land(spark, landing, "b1")
+    attrs = legacy_attrs(f"{landing}/*/*.csv", scratch + "/out", move=True)
+    del attrs["source"]["schema"]  # as in a plain config: taken from the CSV header
+    attrs["destiny"] = {"file_path": scratch + "/out", "file_type": "parquet", "options": {}}
+    path = scratch + "/params.yml"
+    with open(path, "w", encoding="utf-8") as fh:
+        yaml.safe_dump({"attributes": attrs}, fh)
+    assert main([path]) == 2  # incremental mode needs a checkpoint
+    assert main([path, "--checkpoint", scratch + "/ckpt", "--run-date", "2024-01-01"]) == 0
+    assert "wrote 4 rows" in capsys.readouterr().out
+    assert main([path, "--checkpoint", scratch + "/ckpt", "--run-date", "2024-01-02"]) == 0
+    assert "wrote 0 rows" in capsys.readouterr().out
