@@ -574,3 +574,15 @@ def test_cli_incremental_older_layout(spark, scratch, capsys):
     assert "wrote 4 rows" in capsys.readouterr().out
     assert main([path, "--checkpoint", scratch + "/ckpt", "--run-date", "2024-01-02"]) == 0
     assert "wrote 0 rows" in capsys.readouterr().out
+
+
+def test_spec_values_validated_at_build():
+    base = {"source": {"format": "csv", "path": "/x", "schema": "a string"},
+            "sink": {"path": "/y"}}
+    for bad in ({"stamps": {"ts_type": "date"}},
+                {"quality": {"warn_pct": 150}},
+                {"ingest": {"checkpoint": "/c", "max_files_per_batch": 0},
+                 "sink": {"path": "/y", "mode": "append"}},
+                {"sink": {"path": "/y", "max_records_per_file": -5}}):
+        with pytest.raises(SpecError):
+            JobSpec.from_dict({**base, **bad})

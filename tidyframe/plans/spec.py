@@ -182,6 +182,8 @@ class QualitySpec:
         if d is None:
             return None
         _strict(d, set(cls.__dataclass_fields__), "quality")
+        if not 0.0 <= float(d.get("warn_pct", 10.0)) <= 100.0:
+            raise SpecError("quality.warn_pct must be between 0 and 100")
         cols = d.get("columns")
         return cls(
             _names(d.get("keys"), "quality.keys"),
@@ -206,7 +208,10 @@ class StampSpec:
         if d is None:
             return None
         _strict(d, set(cls.__dataclass_fields__), "stamps")
-        return cls(**d)
+        spec = cls(**d)
+        if spec.ts_type not in ("timestamp", "timestamp_ntz"):
+            raise SpecError("stamps.ts_type must be 'timestamp' or 'timestamp_ntz'")
+        return spec
 
 
 @dataclass(frozen=True)
@@ -231,6 +236,9 @@ class IngestSpec:
             raise SpecError("ingest needs a checkpoint path")
         if bool(d.get("watermark_column")) != bool(d.get("watermark_delay")):
             raise SpecError("ingest watermark needs both watermark_column and watermark_delay")
+        n = d.get("max_files_per_batch")
+        if n is not None and (not isinstance(n, int) or n < 1):
+            raise SpecError("ingest.max_files_per_batch must be a positive integer")
         return cls(**d)
 
 

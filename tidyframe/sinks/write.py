@@ -74,6 +74,9 @@ class SinkSpec:
                 raise SpecError(f"csv sink: empty {k!r}")
         if self.num_files is not None and not isinstance(self.num_files, int):
             raise SpecError("num_files must be an integer or null")
+        m = self.max_records_per_file
+        if m is not None and (not isinstance(m, int) or m < 1):
+            raise SpecError("max_records_per_file must be a positive integer")
 
     @classmethod
     def from_dict(cls, d: Mapping) -> SinkSpec:
