@@ -21,7 +21,6 @@ would re-run the aggregate -- and the scan -- once per check.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, field
 
@@ -37,6 +36,7 @@ from pyspark.sql.types import (
 
 from tidyframe.errors import SpecError, require_columns
 from tidyframe.functions._util import col, pct
+from tidyframe.operators._sql import pct_sql, sql_double, sql_str
 from tidyframe.operators.quality_long import RANGE, long_aggregate
 
 STATUS_OK, STATUS_WARN, STATUS_FAIL = "ok", "warn", "fail"
@@ -73,22 +73,12 @@ class MetricPlan:
         return self.shape(spark.createDataFrame([row], self.wide_schema))
 
 
-def _sql_str(text: str) -> str:
-    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
-
-
-def _pct_sql(part: str, whole: str) -> str:
-    # same double arithmetic as ``pct``; 100.0D is a DOUBLE literal
-    return (f"CASE WHEN {whole} > 0 THEN 100.0D * CAST({part} AS DOUBLE) "
-            f"/ CAST({whole} AS DOUBLE) ELSE 0.0D END")
-
-
 def _entry(check: str, subject: str, metric: str, value_sql: str) -> str:
     """One report row as SQL text over the one-row aggregate.  The whole
     report is then ONE ``selectExpr`` call instead of thousands of Column
     round trips between Python and the JVM."""
-    return (f"named_struct('check', {_sql_str(check)}, 'subject', {_sql_str(subject)}, "
-            f"'metric', {_sql_str(metric)}, 'value', CAST({value_sql} AS DOUBLE))")
+    return (f"named_struct('check', {sql_str(check)}, 'subject', {sql_str(subject)}, "
+            f"'metric', {sql_str(metric)}, 'value', CAST({value_sql} AS DOUBLE))")
 
 
 def _unpivot(
@@ -101,12 +91,6 @@ def _unpivot(
     return wide.selectExpr(*keep, f"inline(array({', '.join(entries)}))")
 
 
-def _double_sql(x: float) -> str:
-    if math.isfinite(x):
-        return f"{float(x)!r}D"
-    return f"CAST('{'NaN' if math.isnan(x) else ('Infinity' if x > 0 else '-Infinity')}' AS DOUBLE)"
-
-
 LAYOUTS = ("auto", "wide", "long")
 # aggregate buffers per row above which the long layout wins (measured: 11
 # columns favour wide 2:1, 50+ columns with statistics favour long 2-5:1)
@@ -134,15 +118,15 @@ def _report_from_long(agg: DataFrame, legacy_null_valid: bool) -> DataFrame:
 
     comp = [e("completeness", "total", "total"), e("completeness", "n_null", "n_miss"),
             e("completeness", "n_filled", "(total - n_miss)"),
-            e("completeness", "pct_null", _pct_sql("n_miss", "total")),
-            e("completeness", "pct_filled", _pct_sql("(total - n_miss)", "total"))]
+            e("completeness", "pct_null", pct_sql("n_miss", "total")),
+            e("completeness", "pct_filled", pct_sql("(total - n_miss)", "total"))]
     desc = [e("describe", "count", "n"), e("describe", "mean", "mean"),
             e("describe", "stddev", "sd"), e("describe", "min", "mn"), e("describe", "max", "mx")]
     valid = "(total - n_bad)" if legacy_null_valid else "(total - n_bad - n_null)"
     rng = [e("range", "total", "total"), e("range", "n_valid", valid),
            e("range", "n_invalid", "n_bad"), e("range", "n_null", "n_null"),
-           e("range", "pct_invalid", _pct_sql("n_bad", "total")),
-           e("range", "pct_valid", _pct_sql(valid, "total"))]
+           e("range", "pct_invalid", pct_sql("n_bad", "total")),
+           e("range", "pct_valid", pct_sql(valid, "total"))]
     comp_a, desc_a, rng_a = (f"array({', '.join(x)})" for x in (comp, desc, rng))
     return agg.selectExpr(
         f"inline(CASE WHEN k = {RANGE} THEN {rng_a} "
@@ -186,7 +170,7 @@ def completeness_plan(
 
     def shape(wide: DataFrame) -> DataFrame:
         entries = [
-            f"named_struct('column', {_sql_str(c)}, 'n_null', __null_{i})"
+            f"named_struct('column', {sql_str(c)}, 'n_null', __null_{i})"
             for i, c in enumerate(cols)
         ]
         long = _unpivot(wide, ["__total AS total"], entries,
@@ -201,8 +185,8 @@ def completeness_plan(
                 _entry("completeness", c, "total", total),
                 _entry("completeness", c, "n_null", n),
                 _entry("completeness", c, "n_filled", f"({total} - {n})"),
-                _entry("completeness", c, "pct_null", _pct_sql(n, total)),
-                _entry("completeness", c, "pct_filled", _pct_sql(f"({total} - {n})", total)),
+                _entry("completeness", c, "pct_null", pct_sql(n, total)),
+                _entry("completeness", c, "pct_filled", pct_sql(f"({total} - {n})", total)),
             ]
         return out
 
@@ -278,7 +262,7 @@ def describe_plan(df: DataFrame, columns: Sequence[str] | None = None) -> Metric
 
     def shape(wide: DataFrame) -> DataFrame:
         entries = [
-            f"named_struct('column', {_sql_str(c)}, 'count', CAST(__n_{i} AS BIGINT), "
+            f"named_struct('column', {sql_str(c)}, 'count', CAST(__n_{i} AS BIGINT), "
             f"'mean', __mean_{i}, 'stddev', __sd_{i}, 'min', __min_{i}, 'max', __max_{i})"
             for i, c in enumerate(cols)
         ]
@@ -347,8 +331,8 @@ def range_plan(
 
     def shape(wide: DataFrame) -> DataFrame:
         entries = [
-            f"named_struct('column', {_sql_str(r.column)}, 'min', {_double_sql(r.min)}, "
-            f"'max', {_double_sql(r.max)}, 'n_null', __rnull_{i}, 'n_invalid', __rbad_{i})"
+            f"named_struct('column', {sql_str(r.column)}, 'min', {sql_double(r.min)}, "
+            f"'max', {sql_double(r.max)}, 'n_null', __rnull_{i}, 'n_invalid', __rbad_{i})"
             for i, r in enumerate(rules)
         ]
         if not entries:
@@ -371,8 +355,8 @@ def range_plan(
                 _entry("range", c, "n_valid", valid),
                 _entry("range", c, "n_invalid", bad),
                 _entry("range", c, "n_null", n_null),
-                _entry("range", c, "pct_invalid", _pct_sql(bad, total)),
-                _entry("range", c, "pct_valid", _pct_sql(valid, total)),
+                _entry("range", c, "pct_invalid", pct_sql(bad, total)),
+                _entry("range", c, "pct_valid", pct_sql(valid, total)),
             ]
         return out
 
@@ -557,7 +541,7 @@ def quality_plan(
             _entry("duplicates", subject, "total", "__total"),
             _entry("duplicates", subject, "n_unique", uniq),
             _entry("duplicates", subject, "n_duplicate", f"(__total - {uniq})"),
-            _entry("duplicates", subject, "pct_duplicate", _pct_sql(f"(__total - {uniq})", "__total")),
+            _entry("duplicates", subject, "pct_duplicate", pct_sql(f"(__total - {uniq})", "__total")),
         ]
 
     parts = [p for p in (comp, desc, rng) if p is not None]

@@ -16,35 +16,26 @@ empty table, so results equal the wide layout row for row.
 
 from __future__ import annotations
 
-import math
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
+from tidyframe.operators._sql import quote_ident, sql_double
+
 # check kinds
 COMPLETENESS, DESCRIBE, RANGE = 0, 1, 2
 
 
-def _q(name: str) -> str:
-    return "`" + name.replace("`", "``") + "`"
-
-
-def _d(x: float) -> str:
-    if math.isfinite(x):
-        return f"{float(x)!r}D"
-    return f"CAST('{'NaN' if math.isnan(x) else ('Infinity' if x > 0 else '-Infinity')}' AS DOUBLE)"
-
-
 def _missing_sql(df: DataFrame, c: str) -> str:
     if isinstance(df.schema[c].dataType, (FloatType, DoubleType)):
-        return f"({_q(c)} IS NULL OR isnan({_q(c)}))"
-    return f"({_q(c)} IS NULL)"
+        return f"({quote_ident(c)} IS NULL OR isnan({quote_ident(c)}))"
+    return f"({quote_ident(c)} IS NULL)"
 
 
 def _value_sql(df: DataFrame, c: str) -> str:
-    return f"CAST({_q(c)} AS DOUBLE)"
+    return f"CAST({quote_ident(c)} AS DOUBLE)"
 
 
 def long_aggregate(
@@ -80,7 +71,7 @@ def long_aggregate(
             catalog.append((COMPLETENESS, i, c, None, None, True, False))
     for i, r in enumerate(rules):
         entries.append(f"named_struct('k', {RANGE}, 'i', {i}, 'miss', false, "
-                       f"'v', {_value_sql(df, r.column)}, 'lo', {_d(r.min)}, 'hi', {_d(r.max)})")
+                       f"'v', {_value_sql(df, r.column)}, 'lo', {sql_double(r.min)}, 'hi', {sql_double(r.max)})")
         catalog.append((RANGE, i, r.column, float(r.min), float(r.max), False, False))
     spark = df.sparkSession
     schema = ("k int, i int, subject string, lo double, hi double, "
