@@ -356,3 +356,37 @@ def test_profiled_columns_restrict_statistics_too(spark):
         subjects = {(r["check"], r["subject"]) for r in rep}
         assert ("describe", "b") in subjects and ("describe", "a") not in subjects
         assert ("completeness", "a") not in subjects
+
+
+mixed_rows = st.lists(
+    st.tuples(st.integers(0, 3), st.one_of(st.none(), st.integers(0, 3)),
+              st.one_of(st.none(), st.sampled_from(["a", "b", "c"])), st.integers(0, 9)),
+    min_size=1, max_size=25,
+)
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@given(mixed_rows, st.booleans(), st.sampled_from([None, True, False]))
+def test_mixed_order_with_null_placement_matches_python(spark, data, t_desc, nulls_first):
+    """order_by = [t (asc/desc, nulls first/last/default), s asc]; ties on the
+    remaining column follow the first key's direction."""
+    df = spark.createDataFrame(data, "k int, t int, s string, v int")
+    t_key = "t" + (" desc" if t_desc else "") + (
+        "" if nulls_first is None else (" nulls first" if nulls_first else " nulls last"))
+    got = {r["k"]: tuple(r) for r in keep_one(df, ["k"], [t_key, "s asc"]).collect()}
+
+    t_nulls_first = (not t_desc) if nulls_first is None else nulls_first
+
+    def key(row):
+        _, t, s, v = row
+        tk = (0 if t is None else 1) if t_nulls_first else (1 if t is None else 0)
+        tv = 0 if t is None else (-t if t_desc else t)
+        sk = (0, "") if s is None else (1, s)          # asc, nulls first
+        vk = -v if t_desc else v                       # tie-break in t's direction
+        return (tk, tv, sk, vk)
+
+    want = {}
+    for row in data:
+        if row[0] not in want or key(row) < key(want[row[0]]):
+            want[row[0]] = row
+    assert got == {k: tuple(r) for k, r in want.items()}
