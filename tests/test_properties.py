@@ -137,3 +137,36 @@ def test_years_between_matches_calendar_rule(spark, pairs):
     got = {r["i"]: r["y"] for r in df.select("i", years_between("s", "e").alias("y")).collect()}
     for i, (s, e) in enumerate(pairs):
         assert got[i] == _completed_years(s, e), (s, e)
+
+
+frames = st.lists(
+    st.tuples(st.one_of(st.none(), st.integers(-5, 5)),
+              st.one_of(st.none(), st.just(math.nan), st.floats(-1e3, 1e3, allow_nan=False)),
+              st.one_of(st.none(), st.sampled_from(["x", "y"]))),
+    min_size=0, max_size=30,
+)
+
+
+@SETTINGS
+@given(frames, st.booleans())
+def test_wide_and_long_layouts_agree(spark, rows, legacy):
+    from tidyframe.operators import quality_report
+
+    df = spark.createDataFrame(rows, "i int, d double, s string")
+    rules = [{"column": "d", "min": -10.0, "max": 10.0}, {"column": "i", "min": 0, "max": 3}]
+
+    def report(layout):
+        out = quality_report(df, keys=["s"], rules=rules, legacy_null_valid=legacy,
+                             layout=layout)
+        return {(r["check"], r["subject"], r["metric"]): r["value"] for r in out.collect()}
+
+    wide, long = report("wide"), report("long")
+    assert set(wide) == set(long)
+    for k, v in wide.items():
+        w = long[k]
+        if v is None or w is None:
+            assert v is None and w is None, k
+        elif math.isnan(v) or math.isnan(w):
+            assert math.isnan(v) and math.isnan(w), k
+        else:
+            assert abs(v - w) <= 1e-9 * max(1.0, abs(v)), (k, v, w)
