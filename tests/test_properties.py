@@ -170,3 +170,27 @@ def test_wide_and_long_layouts_agree(spark, rows, legacy):
             assert math.isnan(v) and math.isnan(w), k
         else:
             assert abs(v - w) <= 1e-9 * max(1.0, abs(v)), (k, v, w)
+
+
+keyed = st.lists(st.tuples(st.one_of(st.none(), st.integers(0, 6)),
+                           st.one_of(st.none(), st.sampled_from(["p", "q"])),
+                           st.integers(0, 100)), min_size=0, max_size=40)
+
+
+@SETTINGS
+@given(keyed)
+def test_dedupe_counts_are_consistent(spark, rows):
+    from tidyframe.operators import dedupe_report, duplicate_metrics, keep_one
+
+    df = spark.createDataFrame(rows, "a int, b string, v int")
+    keys = ["a", "b"]
+    n_keys = len({(a, b) for a, b, _ in rows})
+    kept = keep_one(df, keys, ["v desc"], count_col="n").collect()
+    assert len(kept) == n_keys and sum(r["n"] for r in kept) == len(rows)
+    rep = dedupe_report(df, keys).first()
+    assert (rep["rows_before"], rep["rows_after"]) == (len(rows), n_keys)
+    dm = duplicate_metrics(df, keys).first()
+    assert (dm["total"], dm["n_unique"], dm["n_duplicate"]) == (len(rows), n_keys,
+                                                               len(rows) - n_keys)
+    approx = duplicate_metrics(df, keys, approx=True).first()
+    assert approx["total"] == len(rows) and approx["n_unique"] == n_keys  # small: exact
