@@ -574,6 +574,7 @@ def test_cli_incremental_older_layout(spark, scratch, capsys):
     assert "wrote 4 rows" in capsys.readouterr().out
     assert main([path, "--checkpoint", scratch + "/ckpt", "--run-date", "2024-01-02"]) == 0
     assert "wrote 0 rows" in capsys.readouterr().out
+    assert main([path, "--checkpoint", scratch + "/ckpt", "--explain"]) == 2  # batch only
 
 
 def test_spec_values_validated_at_build():

@@ -37,7 +37,12 @@ def main(argv: list[str] | None = None) -> int:
         run_ts = dt.datetime.combine(run_date, dt.time())
     spark = SparkSession.builder.appName("tidyframe").getOrCreate()
     if args.explain:
-        plan_job(spark, spec, run_date, run_ts).frame.explain("formatted")
+        try:
+            planned = plan_job(spark, spec, run_date, run_ts)
+        except SpecError as ex:
+            print(f"spec error: {ex}", file=sys.stderr)
+            return 2
+        planned.frame.explain("formatted")
         return 0
     result = run_job(spark, spec, run_date, run_ts)
     written = "" if result.rows_written is None else f"{result.rows_written} rows "
