@@ -197,7 +197,8 @@ def oracles() -> dict[str, str]:
             from orders""",
         "text_normalize": f"select doc_id, {_norm('text')} as text_norm from documents",
         "text_normalize_messy": "select p_partkey, " + _norm(
-            "'  ' || p_name || chr(9) || chr(10) || '  ' || p_type || '  ' || upper(p_brand) || ' '"
+            "'  ' || p_name || chr(9) || chr(10) || '  ' || p_type || chr(160) || ' ' || upper(p_brand) "
+            "|| ' '"
         ) + " as text_norm from part",
         "text_title": "select p_partkey, array_to_string(list_transform(string_split("
                       + _squish("' ' || upper(p_name) || '  ' || p_type")

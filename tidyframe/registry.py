@@ -201,7 +201,7 @@ def q_text_normalize(spark, sf_dir):
 def q_text_normalize_messy(spark, sf_dir):
     p = table(spark, sf_dir, "part")
     messy = F.concat(F.lit("  "), F.col("p_name"), F.lit("\t\n  "), F.col("p_type"),
-                     F.lit("  "), F.upper(F.col("p_brand")), F.lit(" "))
+                     F.lit("\u00a0 "), F.upper(F.col("p_brand")), F.lit(" "))
     return p.select("p_partkey", normalize_text(messy).alias("text_norm"))
 
 
