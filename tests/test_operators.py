@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import datetime as dt
 import math
 
 import pytest
@@ -281,8 +282,12 @@ def test_order_by_nulls_placement(spark):
     assert default == {1: 5, 2: 3} and first == {1: None, 2: 3}
     asc_last = {r["k"]: r["t"] for r in keep_one(df, ["k"], ["t nulls last"]).collect()}
     assert asc_last == {1: 5, 2: 3}
-    with pytest.raises(SpecError):
-        keep_one(df, ["k"], ["t desc nulls first"], strategy="aggregate")
+    agg_first = {r["k"]: r["t"] for r in
+                 keep_one(df, ["k"], ["t desc nulls first"], strategy="aggregate").collect()}
+    assert agg_first == first
+    txt = spark.createDataFrame([(1, 1, "a")], "k int, t int, s string")
+    with pytest.raises(SpecError):  # text cannot be ordered against the first key
+        keep_one(txt, ["k"], ["t desc", "s asc"], strategy="aggregate")
 
 
 def _rows_close(a, b):
@@ -390,3 +395,35 @@ def test_mixed_order_with_null_placement_matches_python(spark, data, t_desc, nul
         if row[0] not in want or key(row) < key(want[row[0]]):
             want[row[0]] = row
     assert got == {k: tuple(r) for k, r in want.items()}
+
+
+typed_rows = st.lists(
+    st.tuples(st.integers(0, 2),
+              st.one_of(st.none(), st.integers(-3, 3)),
+              st.one_of(st.none(), st.just(NAN), st.sampled_from([-1.5, 0.0, 2.5])),
+              st.one_of(st.none(), st.sampled_from([dt.date(2020, 1, d) for d in (1, 2, 3)])),
+              st.integers(0, 50)),
+    min_size=1, max_size=25,
+)
+
+
+@settings(max_examples=25, deadline=None, suppress_health_check=list(HealthCheck))
+@given(typed_rows, st.lists(st.tuples(st.sampled_from(["i", "d", "dt"]), st.booleans(),
+                                      st.sampled_from([None, True, False])),
+                            min_size=1, max_size=3, unique_by=lambda x: x[0]))
+def test_aggregate_strategy_handles_any_numeric_order(spark, data, keys):
+    """Mixed directions / NULL placement on numbers (NaN too) and dates: the
+    aggregate strategy picks exactly the window strategy's survivor."""
+    df = spark.createDataFrame(data, "k int, i int, d double, dt date, v int")
+    order = [c + (" desc" if desc else "") +
+             ("" if nf is None else (" nulls first" if nf else " nulls last"))
+             for c, desc, nf in keys]
+    agg = keep_one(df, ["k"], order, strategy="aggregate", count_col="n")
+    win = keep_one(df, ["k"], order, strategy="window")
+    def norm(row):
+        return tuple("NaN" if isinstance(x, float) and math.isnan(x) else x for x in row)
+
+    a = sorted((norm(r[:5]) for r in agg.collect()), key=repr)
+    w = sorted((norm(r) for r in win.collect()), key=repr)
+    assert a == w
+    assert sum(r["n"] for r in agg.collect()) == len(data)

@@ -6,7 +6,9 @@ third of the table never reaches one reducer whole:
 * ``window``    ``row_number() over (partition by key order by ...) = 1``;
   Catalyst plans a partial ``WindowGroupLimit`` on the map side.
 * ``aggregate`` ``groupBy(key).agg(max_by(struct(row), struct(order)))``; a
-  partial aggregate on the map side.  It can also carry each key's row count
+  partial aggregate on the map side.  Any mix of directions and NULL
+  placements works as long as keys sorted against the first key's direction
+  are numbers, dates or times (they are negated exactly; NaN handled).  It can also carry each key's row count
   (``count_col``), which lets a later observation report how many rows the
   dedupe removed without a second pass over the input.
 
@@ -23,7 +25,24 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, BinaryType, MapType, StringType, StructType, VariantType
+from pyspark.sql.types import (
+    ArrayType,
+    BinaryType,
+    ByteType,
+    DateType,
+    DecimalType,
+    DoubleType,
+    FloatType,
+    IntegerType,
+    LongType,
+    MapType,
+    ShortType,
+    StringType,
+    StructType,
+    TimestampNTZType,
+    TimestampType,
+    VariantType,
+)
 
 from tidyframe.errors import SpecError, require_columns
 from tidyframe.functions._util import col, pct
@@ -119,9 +138,7 @@ def keep_one(
         df = df.withColumn(KEY_HASH, F.xxhash64(*[col(k) for k in keys]))
         keys = [KEY_HASH] + keys
 
-    directions = {o.descending for o in order}
-    # max_by / min_by order NULL lowest: only Spark's default NULL placement
-    simple = len(directions) <= 1 and all(o.default_nulls for o in order)
+    simple = aggregatable(df, order)
     if strategy == "auto":
         strategy = "aggregate" if count_col or simple else "window"
     if strategy == "window":
@@ -129,8 +146,8 @@ def keep_one(
             raise SpecError("count_col needs strategy='aggregate'")
         out = _keep_by_window(df, keys, order)
     elif not simple:
-        raise SpecError("strategy='aggregate' needs one sort direction for all keys "
-                        "and the default NULL placement")
+        raise SpecError("strategy='aggregate' cannot order text keys against the first "
+                        "key's direction; use strategy='window'")
     else:
         out = _keep_by_aggregate(df, keys, order, count_col)
     return out.drop(KEY_HASH) if hashed else out
@@ -157,18 +174,65 @@ def _keep_by_window(df: DataFrame, keys: list[str], order: list[SortKey]) -> Dat
     return df.withColumn(rn, F.row_number().over(w)).filter(F.col(rn) == 1).drop(rn)
 
 
+_NEGATABLE = (ByteType, ShortType, IntegerType, LongType, DecimalType, FloatType, DoubleType,
+              DateType, TimestampType, TimestampNTZType)
+
+
+def aggregatable(df: DataFrame, order: Sequence[SortKey]) -> bool:
+    """Can ``max_by`` / ``min_by`` express this order?  Keys sorted against
+    the first key's direction must be negatable (numbers, dates, times)."""
+    if not order:
+        return True
+    first = order[0].descending
+    return all(o.descending == first or isinstance(df.schema[o.column].dataType, _NEGATABLE)
+               for o in order)
+
+
+def _negated(c: Column, dtype) -> Column:
+    if isinstance(dtype, (ByteType, ShortType, IntegerType, LongType)):
+        return -c.cast("decimal(38,0)")  # no overflow at the type's minimum
+    if isinstance(dtype, DateType):
+        return -F.unix_date(c)
+    if isinstance(dtype, TimestampType):
+        return -F.unix_micros(c)
+    if isinstance(dtype, TimestampNTZType):  # exact, no time zone involved
+        epoch = F.lit("1970-01-01 00:00:00").cast("timestamp_ntz")
+        return -F.timestamp_diff("MICROSECOND", epoch, c)
+    return -c  # float, double, decimal
+
+
+def _rank_fields(df: DataFrame, order: list[SortKey], descending: bool) -> list[Column]:
+    """Struct fields whose natural order (the aggregate takes the largest when
+    ``descending``, else the smallest) is the requested order, NULL placement
+    and NaN included."""
+    fields = []
+    for o in order:
+        c, dtype = col(o.column), df.schema[o.column].dataType
+        nulls_first = (not o.descending) if o.nulls_first is None else o.nulls_first
+        # True sorts after False: under max it wins, under min it loses
+        fields.append(c.isNull() if nulls_first == descending else c.isNotNull())
+        if o.descending == descending:
+            fields.append(c)  # Spark's own order, NaN above every number
+        else:
+            if isinstance(dtype, (FloatType, DoubleType)):
+                fields.append(~F.isnan(c))  # NaN moves to the other end too
+            fields.append(_negated(c, dtype))
+    return fields
+
+
 def _keep_by_aggregate(
     df: DataFrame, keys: list[str], order: list[SortKey], count_col: str | None
 ) -> DataFrame:
     used = set(keys) | {o.column for o in order}
     payload = [c for c in df.columns if c not in keys]
     descending = bool(order) and order[0].descending
-    rank_fields = [o.column for o in order] + _tie_breakers(df, used)
+    rank_cols = _rank_fields(df, order, descending) + [
+        col(c) for c in _tie_breakers(df, used)]
     aggs = []
     if payload:
         row = F.struct(*[col(c) for c in payload])
-        if rank_fields:
-            rank = F.struct(*[col(c) for c in rank_fields])
+        if rank_cols:
+            rank = F.struct(*[r.alias(f"r{i}") for i, r in enumerate(rank_cols)])
             pick = F.max_by(row, rank) if descending else F.min_by(row, rank)
         else:
             pick = F.first(row)

@@ -43,7 +43,7 @@ from tidyframe.functions.stamps import add_run_stamps, run_clock, run_rows
 from tidyframe.functions.text import normalize_text, strip_accents, title_case, title_case_plain
 from tidyframe.errors import SpecError, require_columns
 from tidyframe.functions._util import col, is_temporal
-from tidyframe.operators.dedupe import keep_one
+from tidyframe.operators.dedupe import aggregatable, keep_one
 from tidyframe.operators.quality import (
     MetricPlan,
     duplicate_metrics,
@@ -182,12 +182,11 @@ def _nulled_count(i: int) -> Column:
     return F.count_if(mask.bitwiseAND(F.lit(1 << (i % MASK_BITS)).cast("bigint")) != 0)
 
 
-def _dedupe_counts_rows(spec: JobSpec) -> bool:
+def _dedupe_counts_rows(spec: JobSpec, df: DataFrame) -> bool:
     d = spec.dedupe
     if d is None or d.strategy in ("any", "window"):
         return False
-    return len({o.descending for o in d.order_by}) <= 1 and all(
-        o.default_nulls for o in d.order_by)
+    return aggregatable(df, d.order_by)
 
 
 @dataclass
@@ -279,7 +278,7 @@ def plan_job(
         # masks go last: as dedupe tie-breakers they only decide between rows
         # that are equal in every output column
         df = _nulled_masks(df, converted)
-    counted = _dedupe_counts_rows(spec)
+    counted = _dedupe_counts_rows(spec, df)
     dup_from_dedupe = bool(q and q.keys and counted and tuple(q.keys) == spec.dedupe.keys)
     pre_dedupe = df
     if spec.dedupe:
