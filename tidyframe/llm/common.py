@@ -32,6 +32,17 @@ def text_key(col: str = "text") -> Column:
     return F.xxhash64(F.coalesce(F.col(col), F.lit("")), F.col(col).isNull())
 
 
+def join_rows(left: DataFrame, right: DataFrame, on: list[str], how: str = "inner") -> DataFrame:
+    """Equi-join that takes null as a value; ``on`` comes from the left."""
+    own = {c: f"__{c}" for c in on}
+    right = right.withColumnsRenamed(own)
+    cond = None
+    for c in on:
+        one = F.col(c).eqNullSafe(F.col(own[c]))
+        cond = one if cond is None else cond & one
+    return left.join(right, cond, how).drop(*own.values())
+
+
 # ---------------------------------------------------------------- inside tasks
 
 
