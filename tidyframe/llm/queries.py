@@ -9,9 +9,14 @@ from pyspark.sql import functions as F
 
 from tidyframe.llm import (
     chat_format,
+    decontamination,
+    line_runs,
     mixture,
+    ngram_join,
     quality_ledger,
+    substring_dedup,
     token_counts,
+    toxicity,
     url_templates,
 )
 from tidyframe.llm.common import table
@@ -28,6 +33,14 @@ TOKENIZER = "word_bpe_49k.json"
 MAX_TOKENS = 2048
 
 
+def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    score = F.col(toxicity.SCORE)
+    return toxicity.score_toxicity(docs, table(spark, sf_dir, "labels")).select(
+        "doc_id", F.coalesce(toxicity.is_held_out(), F.lit(False)).alias("held_out"),
+        score.alias("score"), (score >= 0.5).cast("int").alias("predicted"))
+
+
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_templates.filter_urls(table(spark, sf_dir, "pages"), URL_RULES)
 
@@ -48,10 +61,30 @@ def op4_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         quality_ledger.passes("v1").alias("kept"), "fail_bits")
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.judge_documents(table(spark, sf_dir, "documents"),
+                                           table(spark, sf_dir, "benchmark"))
+
+
+def op6_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.similarity_components(table(spark, sf_dir, "documents"), width=4, percent=85) \
+        .select("doc_id", "n_shingles", "component_id")
+
+
+def op7_line_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = line_runs.dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return rows.select("doc_id", "n_lines", "n_removed", "n_runs",
+                       F.sha2(F.encode("text", "UTF-8"), 256).alias("kept_sha256"))
+
+
 def op8_source_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture.mix_sources(table(spark, sf_dir, "documents"), SOURCE_WEIGHTS)
 
 
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.dedup_substrings(table(spark, sf_dir, "documents")).drop("kept_text")
+
+
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     turns = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     planted = spark.sql(
@@ -68,11 +101,7 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("formatted").cast("long").alias("formatted_chars"))
 
 
-QUERIES = {
-    "op2_url_filter": op2_url_filter,
-    "op3_token_counts": op3_token_counts,
-    "op4_quality_rules": op4_quality_rules,
-    "op8_source_mixture": op8_source_mixture,
-    "op10_chat_format": op10_chat_format,
-}
+QUERIES = {f.__name__: f for f in (
+    op1_toxicity, op2_url_filter, op3_token_counts, op4_quality_rules, op5_decontamination,
+    op6_ngram_join, op7_line_runs, op8_source_mixture, op9_substring_dedup, op10_chat_format)}
 ORACLES: dict[str, str] = {}

@@ -22,6 +22,7 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tidyframe.llm.common import slices
 
@@ -33,6 +34,7 @@ MAX_DOCS = 1000      # sampled documents per class
 MAX_WINDOWS = 100    # windows of a sampled document
 MIN_DOCS = 4         # inputs of fewer sampled documents stay at zero: they only memorise
 STEPS, RATE, DOCS_A_STEP = 120, 0.02, 48   # half of a step's documents from each class
+SCORE = "__score"
 _PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
 
@@ -304,14 +306,14 @@ def sample_windows(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS,
 # --------------------------------------------------------------------- scoring
 
 
-def _score(model):
+def _score(model, text_col: str):
     def run(batches):
         import pyarrow as pa
 
-        for part in slices(batches):
+        for part in slices(batches, text_col):
             seen: dict[bytes, int] = {}
             ids, spans = [], []
-            for text in part.column("text").to_pylist():
+            for text in part.column(text_col).to_pylist():
                 words = _words(text)
                 spans.append((len(ids), len(words)))
                 ids += [seen.setdefault(w, len(seen)) for w in words]
@@ -328,15 +330,21 @@ def _score(model):
                     index = np.where(at < end[k:k + BATCH], ids[np.minimum(at, len(ids) - 1)], -1)
                     p = _sigmoid(_forward(model, gates, index).astype(np.float64))
                     np.maximum.at(score, doc_of[k:k + BATCH], p)
-            cols = [part.column(c) for c in part.schema.names if c != "text"]
-            names = [c for c in part.schema.names if c != "text"]
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(score)], names=[*names, "score"])
+            yield pa.RecordBatch.from_arrays([*part.columns, pa.array(score)],
+                                             names=[*part.schema.names, SCORE])
 
     return run
 
 
-def score_toxicity(docs: DataFrame, labels: DataFrame, key: str = "doc_id") -> DataFrame:
-    """``docs(doc_id, text)``, ``labels(doc_id, toxic)`` -> key, score of every row."""
+def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """``docs(doc_id, text, ...)``, ``labels(doc_id, toxic)`` -> all columns of ``docs``
+    plus ``__score`` (0 to 1, higher: likelier toxic)."""
     model = train(sample_windows(docs, labels))
-    kind = docs.schema[key].dataType.simpleString()
-    return docs.select(key, "text").mapInArrow(_score(model), f"`{key}` {kind}, score double")
+    text_col = next(c for c in docs.columns if c.lower() == "text")
+    schema = T.StructType([*docs.schema.fields, T.StructField(SCORE, T.DoubleType())])
+    return docs.mapInArrow(_score(model, text_col), schema)
+
+
+def drop_toxic(docs: DataFrame, labels: DataFrame, threshold: float = 0.5) -> DataFrame:
+    """The rows of ``docs`` that score below ``threshold``, with all their columns."""
+    return score_toxicity(docs, labels).filter(F.col(SCORE) < threshold).drop(SCORE)
