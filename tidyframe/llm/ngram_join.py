@@ -12,9 +12,10 @@ p = n - ceil(t n) + 1 (the prefix).
    most central class of its bucket, verify, and merge what is linked.
 3. The join proper: classes with identical prefixes and size that are already
    connected form a group; groups meet in the buckets of their prefix elements.  A
-   group pair must lie in different components and have fitting sizes; it is then
-   expanded, and member pairs must pass a parity sketch (its differing bits never
-   exceed the true symmetric difference).  What is left is verified exactly.  An
+   group pair must lie in different components, have fitting sizes and meet in enough
+   buckets; it is then expanded, and member pairs must pass a parity sketch (its
+   differing bits never exceed the true symmetric difference).  What is left is
+   verified exactly.  An
    element of very many classes is used only by classes that need it: one with h
    such elements, h < k, still meets every partner in k - h others.
 4. Components of the verified links; every link between different sets is either
@@ -43,11 +44,11 @@ from tidyframe.llm.common import (
 )
 from tidyframe.llm.components import connected_components
 
-STAR_TOKENS = 8        # prefix elements that the star rounds use
-STAR_ROUNDS = 2
+STAR_TOKENS = 12       # prefix elements that the star round uses
 HOT_CLASSES = 64       # an element of more survivors than this is hot
 BUCKET_TOKENS = 1_000_000
-SKETCH = 8             # longs of the parity sketch
+FEW_PAIRS = 100_000    # 1.6 MB: as many candidate pairs may be broadcast
+SKETCH, WIDE = 8, 32   # longs of the parity sketches
 
 
 class Similarity:
@@ -67,6 +68,9 @@ class Similarity:
         """Length of the extended prefix."""
         return n - self.least(n) + 1 + self.extra(n)
 
+    def least_sql(self, n: str) -> str:
+        return f"(({self.percent} * {n} + 99) div 100)"
+
     def need_sql(self, n: str = "n") -> str:
         """Prefix elements that a linked partner, the smallest one too, shares."""
         low = f"(({self.percent} * {n} + 99) div 100)"
@@ -93,46 +97,49 @@ def _fingerprint(own: np.ndarray) -> tuple[int, int]:
     return (code >> 64) - (1 << 63), (code & (1 << 64) - 1) - (1 << 63)
 
 
-def _signatures(sim: Similarity):
+def _signatures(width: int):
     def run(batches):
         import pyarrow as pa
 
         for part in slices(batches):
-            n, codes, regions = [], [], []
-            for own in _sets(part, sim.width):
+            n, codes = [], []
+            for own in _sets(part, width):
                 n.append(len(own))
                 codes.append(_fingerprint(own))
-                region = own[:sim.region(len(own))] if len(own) else own
-                regions.append((region >> np.uint64(32)).astype(np.uint32).tobytes())
             yield pa.RecordBatch.from_arrays(
                 [part.column("doc_id"), part.column("key"), pa.array(n, pa.int64()),
-                 *(pa.array([c[k] for c in codes], pa.int64()) for k in (0, 1)),
-                 pa.array(regions, pa.binary())],
-                names=["doc_id", "key", "n", "fp1", "fp2", "region"])
+                 *(pa.array([c[k] for c in codes], pa.int64()) for k in (0, 1))],
+                names=["doc_id", "key", "n", "fp1", "fp2"])
 
     return run
 
 
-def _deal(buckets: int):
-    """Prefix elements of a chunk of classes, cut into hash ranges.  ``toks`` / ``ids``:
-    elements and the class of each, -1 where the chunk itself has the element twice
-    (those are counted here, in ``own_ids`` / ``own_counts``)."""
+def _deal(sim: Similarity, buckets: int):
+    """Prefix elements (their upper 32 bits) of a chunk of texts, cut into hash ranges.
+    ``toks`` / ``ids``: elements and the set of each, 0 where the chunk itself has the
+    element in two sets (those are counted here, in ``own_ids`` / ``own_counts``).
+    A set goes by 64 bits of its fingerprint; equal sets are one."""
 
     def run(batches):
         import pyarrow as pa
 
         no = 0
-        for part in slices(batches, "region", 8 << 20):
-            lens = [len(r) // 4 for r in part.column("region").to_pylist()]
-            toks = np.frombuffer(b"".join(part.column("region").to_pylist()), np.uint32)
-            ids = np.repeat(np.asarray(part.column("id")), lens)
+        for part in slices(batches, max_bytes=16 << 20):
+            sets = {}
+            for own in _sets(part, sim.width):
+                if len(own):
+                    sets[_fingerprint(own)[0] or 1] = (own[:sim.region(len(own))] >> np.uint64(32)).astype(
+                        np.uint32)
+            if not sets:
+                continue
+            toks = np.concatenate(list(sets.values()))
+            ids = np.repeat(np.array(list(sets), np.int64), [len(r) for r in sets.values()])
             order = np.argsort(toks, kind="stable")
             toks, ids = toks[order], ids[order]
-            first = np.flatnonzero(np.append(True, toks[1:] != toks[:-1])) if len(toks) else order
-            many = np.diff(np.append(first, len(toks))) > 1
-            again = np.repeat(many, np.diff(np.append(first, len(toks))))
-            own_ids, own_counts = np.unique(ids[again], return_counts=True)
-            toks, ids = toks[first], np.where(many, -1, ids[first])
+            first = np.flatnonzero(np.append(True, toks[1:] != toks[:-1]))
+            size = np.diff(np.append(first, len(toks)))
+            own_ids, own_counts = np.unique(ids[np.repeat(size > 1, size)], return_counts=True)
+            toks, ids = toks[first], np.where(size > 1, 0, ids[first])
             home = (toks.astype(np.uint64) * np.uint64(buckets)) >> np.uint64(32)
             cuts = np.searchsorted(home, np.arange(buckets + 1))
             rows = [(b, toks[x:y].tobytes(), ids[x:y].tobytes(), b"", b"")
@@ -148,15 +155,21 @@ def _deal(buckets: int):
 
 
 def _meet(table):
-    """Per class, how many of its elements in this hash range another class has too."""
+    """Per set, how many of its elements in this hash range another set has too."""
     import pyarrow as pa
 
     join = lambda c, kind: np.frombuffer(b"".join(table.column(c).to_pylist()), kind)
     toks, ids = join("toks", np.uint32), join("ids", np.int64)
-    _, group, count = np.unique(toks, return_inverse=True, return_counts=True)
-    ids = ids[(count[group] > 1) & (ids >= 0)] if len(toks) else ids
+    order = np.lexsort((ids, toks))
+    toks, ids = toks[order], ids[order]
+    new = np.append(True, toks[1:] != toks[:-1]) if len(toks) else np.empty(0, bool)
+    other = new | np.append(True, ids[1:] != ids[:-1]) if len(toks) else new
+    group = np.cumsum(new) - 1
+    # distinct sets of each element; a 0 stands for two or more
+    count = np.bincount(group, other.astype(np.int64) + (ids == 0))
+    ids = ids[other & (ids != 0) & (count[group] > 1)] if len(toks) else ids
     ids, counts = np.unique(ids, return_counts=True)
-    return pa.table({"id": np.concatenate([ids, join("own_ids", np.int64)]),
+    return pa.table({"fp": np.concatenate([ids, join("own_ids", np.int64)]),
                      "shared": np.concatenate([counts.astype(np.int64), join("own_counts", np.int64)])})
 
 
@@ -166,37 +179,40 @@ def _full_sets(sim: Similarity):
 
         for part in slices(batches):
             want = zip(part.column("fp1").to_pylist(), part.column("fp2").to_pylist(), strict=True)
-            rows, sets, sketch = [], [], []
+            rows, sets, sketch, wide = [], [], [], []
             for k, (own, code) in enumerate(zip(_sets(part, sim.width), want, strict=True)):
                 if len(own) and _fingerprint(own) == code:
-                    spot = (own >> np.uint64(20)) % np.uint64(64 * SKETCH)
-                    odd = np.bincount(spot.astype(np.int64), minlength=64 * SKETCH) & 1
+                    spot = (own >> np.uint64(16)) % np.uint64(64 * WIDE)
+                    odd = np.bincount(spot.astype(np.int64), minlength=64 * WIDE) & 1
+                    bits = np.packbits(odd.astype(np.uint8)).view(np.int64)
                     rows.append(k)
                     sets.append(own.view(np.int64))
-                    sketch.append(np.packbits(odd.astype(np.uint8)).view(np.int64))
+                    wide.append(bits)
+                    sketch.append(np.bitwise_xor.reduce(bits.reshape(-1, SKETCH), axis=0))
             yield pa.RecordBatch.from_arrays(
                 [part.column("id").take(pa.array(rows, pa.int64())),
                  pa.array([len(s) for s in sets], pa.int64()),
-                 pa.array(sets, pa.list_(pa.int64())), pa.array(sketch, pa.list_(pa.int64()))],
-                names=["id", "n", "shingles", "sketch"])
+                 *(pa.array(x, pa.list_(pa.int64())) for x in (sets, sketch, wide))],
+                names=["id", "n", "shingles", "sketch", "wide"])
 
     return run
 
 
-def survivors(docs: DataFrame, classes: DataFrame, sim: Similarity) -> DataFrame:
-    """(id, n, shingles, sketch) of the classes that may link to another one."""
-    total = classes.agg(F.sum(F.octet_length("region"))).first()[0] or 0
-    dealt = classes.select("id", "region").mapInArrow(
-        _deal(max(1, total // 4 // BUCKET_TOKENS)),
+def survivors(docs: DataFrame, sig: DataFrame, classes: DataFrame, sim: Similarity) -> DataFrame:
+    """(id, n, shingles, sketch, wide) of the classes that may link to another one."""
+    total = sig.agg(F.sum(F.expr(sim.region_sql()))).first()[0] or 0
+    dealt = docs.select("text").mapInArrow(
+        _deal(sim, max(1, total // BUCKET_TOKENS)),
         "bucket long, toks binary, ids binary, own_ids binary, own_counts binary")
-    shared = dealt.groupBy("bucket").applyInArrow(_meet, "id long, shared long")
-    live = (shared.groupBy("id").agg(F.sum("shared").alias("shared"))
-            .join(classes.select("id", "n", "fp1", "fp2", "rep"), "id")
+    shared = dealt.groupBy("bucket").applyInArrow(_meet, "fp long, shared long")
+    fp = F.when(F.col("fp1") == 0, F.lit(1)).otherwise(F.col("fp1"))
+    live = (shared.groupBy("fp").agg(F.sum("shared").alias("shared"))
+            .join(classes.withColumn("fp", fp), "fp")
             .filter(f"shared >= {sim.need_sql()}")
             .select("id", "fp1", "fp2", F.col("rep.doc_id").alias("doc_id"), F.col("rep.key").alias("key")))
     rows = join_rows(docs.select("doc_id", text_key().alias("key"), "text"), live, ["doc_id", "key"])
     sets = materialize(rows.select("id", "fp1", "fp2", "text").mapInArrow(
-        _full_sets(sim), "id long, n long, shingles array<long>, sketch array<long>"), "shingle-sets")
+        _full_sets(sim), "id long, n long, shingles array<long>, sketch array<long>, wide array<long>"), "shingle-sets")
     twice = sets.select("id").groupBy("id").count().filter("count > 1").limit(1).count()
     return materialize(sets.dropDuplicates(["id"]), "shingle-sets") if twice else sets
 
@@ -205,16 +221,23 @@ def _fits(sim: Similarity) -> Column:
     return (sim.percent * F.greatest("n_a", "n_b") <= 100 * F.least("n_a", "n_b"))
 
 
-def _close(sim: Similarity) -> Column:
+def _close(sim: Similarity, name: str = "sketch", longs: int = SKETCH) -> Column:
     differ = None
-    for k in range(SKETCH):
-        bits = F.bit_count(F.get("sketch_a", F.lit(k)).bitwiseXOR(F.get("sketch_b", F.lit(k))))
+    for k in range(longs):
+        bits = F.bit_count(F.get(f"{name}_a", F.lit(k)).bitwiseXOR(F.get(f"{name}_b", F.lit(k))))
         differ = bits if differ is None else differ + bits
     return (100 + sim.percent) * differ <= (100 - sim.percent) * (F.col("n_a") + F.col("n_b"))
 
 
-def _verify(pairs: DataFrame, sets: DataFrame, sim: Similarity) -> DataFrame:
-    """The pairs (a, b) that link."""
+def _verify(pairs: DataFrame, slim: DataFrame, sets: DataFrame, sim: Similarity) -> DataFrame:
+    """The pairs (a, b) that link; the wide sketch goes first, being far smaller than a set."""
+    for s in "ba":
+        pairs = pairs.join(slim.select(F.col("id").alias(s), F.col("n").alias(f"n_{s}"),
+                                       F.col("wide").alias(f"wide_{s}")), s)
+    pairs = materialize(pairs.filter(_fits(sim) & _close(sim, "wide", WIDE)).select("a", "b"), "pairs")
+    if pairs.count() <= FEW_PAIRS:  # 16 bytes each: only sets of these pairs are shuffled
+        ends = pairs.select(F.explode(F.array("a", "b")).alias("id")).distinct()
+        sets = sets.join(F.broadcast(ends), "id", "left_semi")
     side = lambda c: sets.select(F.col("id").alias(c), F.col("shingles").alias(f"set_{c}"))
     both = pairs.join(side("b"), "b").join(side("a"), "a")
     common = F.size(F.array_intersect("set_a", "set_b"))
@@ -222,19 +245,17 @@ def _verify(pairs: DataFrame, sets: DataFrame, sim: Similarity) -> DataFrame:
     return both.filter(100 * common >= sim.percent * union).select("a", "b")
 
 
-def _star_pairs(slim: DataFrame, comps: DataFrame, sim: Similarity, rnd: int) -> DataFrame:
-    """Each class with the most central one of its buckets, if not yet connected."""
-    rows = slim.join(comps, "id")
-    toks = rows.select("id", "n", "comp", "central", "sketch", F.explode(
-        F.slice("prefix", 1 + rnd * STAR_TOKENS, STAR_TOKENS)).alias("tok"))
+def _star_pairs(slim: DataFrame) -> DataFrame:
+    """Each class with the most central one of each of its first buckets."""
+    toks = slim.select("id", F.explode(F.slice("prefix", 1, STAR_TOKENS)).alias("tok"))
+    common = toks.groupBy("tok").agg(F.count("*").alias("df")).filter("df > 1")
+    toks = materialize(toks.join(common, "tok"), "star-buckets")
     # the class whose elements are the most common stands nearest to the others
-    top = toks.groupBy("tok").agg(
-        F.max(F.struct("central", "id", "n", "comp", "sketch")).alias("top"),
-        F.min("comp").alias("lo"), F.max("comp").alias("hi")).filter("lo < hi")
-    pairs = toks.join(top, "tok").filter("comp <> top.comp").select(
-        F.col("top.id").alias("a"), F.col("id").alias("b"), F.col("top.n").alias("n_a"),
-        F.col("n").alias("n_b"), F.col("top.sketch").alias("sketch_a"), F.col("sketch").alias("sketch_b"))
-    return pairs.filter(_fits(sim) & _close(sim)).select("a", "b").distinct()
+    central = toks.groupBy("id").agg(F.sum(F.log2("df")).alias("central"))
+    toks = toks.join(central, "id")
+    top = toks.groupBy("tok").agg(F.max(F.struct("central", "id")).alias("top"))
+    return toks.join(top, "tok").select(F.col("top.id").alias("a"), F.col("id").alias("b")) \
+        .filter("a <> b").distinct()
 
 
 def _merge(comps: DataFrame, links: DataFrame) -> DataFrame:
@@ -261,18 +282,23 @@ def _group_pairs(slim: DataFrame, comps: DataFrame, sim: Similarity) -> DataFram
     toks = materialize(toks.join(mixed, "tok"), "mixed-buckets")
     hot = F.col("df") > HOT_CLASSES
     spare = toks.groupBy("grp").agg(F.count(F.when(hot, 1)).alias("h"), F.first("n").alias("n")) \
-        .filter(f"h < {sim.need_sql()}").select("grp", F.lit(True).alias("spare"))
-    toks = toks.join(spare, "grp", "left").filter(~(hot & F.coalesce("spare", F.lit(False))))
+        .select("grp", "h", F.expr(f"h < {sim.need_sql()}").alias("spare"))
+    toks = toks.join(spare, "grp").filter(~(hot & F.col("spare")))
     sketch = member.groupBy("grp").agg(F.collect_list(F.struct("id", "sketch")).alias("members"))
     one = member.groupBy("grp").agg(F.count("*").alias("size"), F.first("sketch").alias("sketch"))
     # a group of one class brings its sketch into the join; the others are expanded after it
     toks = toks.join(one, "grp").select(
-        "tok", "grp", "n", "comp", F.when(F.col("size") == 1, F.col("sketch")).alias("sketch"))
-    side = lambda s: toks.select("tok", *(F.col(c).alias(f"{c}_{s}") for c in ("grp", "n", "comp", "sketch")))
+        "tok", "grp", "n", "comp", "h", "spare", F.when(F.col("size") == 1, F.col("sketch")).alias("sketch"))
+    side = lambda s: toks.select("tok", *(F.col(c).alias(f"{c}_{s}") for c in toks.columns[1:]))
     meet = side("a").join(side("b"), "tok").filter(
         (F.col("comp_a") < F.col("comp_b")) & _fits(sim)
         & (F.col("sketch_a").isNull() | F.col("sketch_b").isNull() | _close(sim)))
-    meet = meet.select("grp_a", "grp_b", "n_a", "n_b").distinct()
+    # a linked pair meets in k buckets, but for hot elements that one of them left out
+    left_out = F.when(F.col("spare_a") | F.col("spare_b"), F.least("h_a", "h_b")).otherwise(F.lit(0))
+    extra = F.least(*(F.expr(f"({sim.region_sql(x)} - ({x} - {sim.least_sql(x)} + 1))") for x in ("n_a", "n_b")))
+    meet = (meet.groupBy("grp_a", "grp_b", "n_a", "n_b").agg(
+        F.count("*").alias("c"), F.first(left_out).alias("left_out"))
+        .filter(F.col("c") >= 1 + extra - F.col("left_out")).select("grp_a", "grp_b", "n_a", "n_b"))
     for s in "ab":
         meet = meet.join(sketch.select(F.col("grp").alias(f"grp_{s}"), F.col("members").alias("m")),
                          f"grp_{s}").withColumn("m", F.explode("m")).withColumns(
@@ -288,29 +314,17 @@ def similarity_components(docs: DataFrame, width: int = 5, percent: int = 80) ->
     id_type = docs.schema["doc_id"].dataType.simpleString()
     sig = materialize(
         docs.select("doc_id", text_key().alias("key"), "text").mapInArrow(
-            _signatures(sim),
-            f"doc_id {id_type}, key long, n long, fp1 long, fp2 long, region binary"), "signatures")
+            _signatures(width), f"doc_id {id_type}, key long, n long, fp1 long, fp2 long"), "signatures")
     place = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "key")
     classes = materialize(
-        sig.filter("n > 0").groupBy("fp1", "fp2").agg(
-            F.min(place).alias("rep"), F.first("n").alias("n"), F.first("region").alias("region"))
+        sig.filter("n > 0").groupBy("fp1", "fp2").agg(F.min(place).alias("rep"), F.first("n").alias("n"))
         .withColumn("id", F.monotonically_increasing_id()), "classes")
-    sets = survivors(docs, classes, sim)
-
-    prefix = F.expr(f"slice(shingles, 1, cast({sim.region_sql()} AS int))")
-    slim = sets.select("id", "n", "sketch", prefix.alias("prefix"))
-    toks = slim.select("id", F.explode("prefix").alias("tok"))
-    common = toks.groupBy("tok").agg(F.count("*").alias("df")).filter("df > 1")
-    central = toks.join(common, "tok").groupBy("id").agg(F.sum(F.log2("df")).alias("s"))
-    slim = materialize(slim.join(central, "id").select(
-        "id", "n", "sketch", "prefix", (F.col("s") / F.size("prefix")).alias("central")), "survivors")
-    comps = slim.select("id", F.col("id").alias("comp"))
-    links = None
-    for rnd in range(STAR_ROUNDS):
-        found = materialize(_verify(_star_pairs(slim, comps, sim, rnd), sets, sim), "star-links")
-        links = found if links is None else links.unionByName(found)
-        comps = materialize(_merge(comps, found), "star-components")
-    links = links.unionByName(_verify(_group_pairs(slim, comps, sim), sets, sim))
+    sets = survivors(docs, sig, classes, sim)
+    slim = materialize(sets.select("id", "n", "sketch", "wide", F.expr(
+        f"slice(shingles, 1, cast({sim.region_sql()} AS int))").alias("prefix")), "survivors")
+    stars = materialize(_verify(_star_pairs(slim), slim, sets, sim), "star-links")
+    comps = materialize(_merge(slim.select("id", F.col("id").alias("comp")), stars), "star-components")
+    links = stars.unionByName(_verify(_group_pairs(slim, comps, sim), slim, sets, sim))
     comp = connected_components(links)
 
     named = classes.select("id", "fp1", "fp2", "rep").join(
