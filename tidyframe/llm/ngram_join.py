@@ -12,12 +12,10 @@ p = n - ceil(t n) + 1 (the prefix).
    most central class of its bucket, verify, and merge what is linked.
 3. The join proper: classes with identical prefixes and size that are already
    connected form a group; groups meet in the buckets of their prefix elements.  A
-   group pair must lie in different components, have fitting sizes and meet in enough
-   buckets; it is then expanded, and member pairs must pass a parity sketch (its
-   differing bits never exceed the true symmetric difference).  What is left is
-   verified exactly.  An
-   element of very many classes is used only by classes that need it: one with h
-   such elements, h < k, still meets every partner in k - h others.
+   group pair must lie in different components, have fitting sizes and pass a parity
+   sketch (its differing bits never exceed the true symmetric difference); it is then
+   expanded and its members verified.  Elements all of whose classes are connected
+   are left out, and of the others each group leaves out the k - 1 most frequent.
 4. Components of the verified links; every link between different sets is either
    verified or lies inside a component already.
 
@@ -45,10 +43,10 @@ from tidyframe.llm.common import (
 from tidyframe.llm.components import connected_components
 
 STAR_TOKENS = 12       # prefix elements that the star round uses
-HOT_CLASSES = 64       # an element of more survivors than this is hot
 BUCKET_TOKENS = 1_000_000
 FEW_PAIRS = 100_000    # 1.6 MB: as many candidate pairs may be broadcast
-SKETCH, WIDE = 8, 32   # longs of the parity sketches
+SKETCH, WIDE = 12, 32  # longs of the parity sketches
+HEAD = 6               # rarest mixed elements that a group carries to each bucket
 
 
 class Similarity:
@@ -173,6 +171,13 @@ def _meet(table):
                      "shared": np.concatenate([counts.astype(np.int64), join("own_counts", np.int64)])})
 
 
+def _parity(own: np.ndarray, longs: int) -> np.ndarray:
+    """Bit i: whether the set has an odd number of elements that fall on i."""
+    spot = (own >> np.uint64(16)) % np.uint64(64 * longs)
+    odd = np.bincount(spot.astype(np.int64), minlength=64 * longs) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def _full_sets(sim: Similarity):
     def run(batches):
         import pyarrow as pa
@@ -182,13 +187,10 @@ def _full_sets(sim: Similarity):
             rows, sets, sketch, wide = [], [], [], []
             for k, (own, code) in enumerate(zip(_sets(part, sim.width), want, strict=True)):
                 if len(own) and _fingerprint(own) == code:
-                    spot = (own >> np.uint64(16)) % np.uint64(64 * WIDE)
-                    odd = np.bincount(spot.astype(np.int64), minlength=64 * WIDE) & 1
-                    bits = np.packbits(odd.astype(np.uint8)).view(np.int64)
                     rows.append(k)
                     sets.append(own.view(np.int64))
-                    wide.append(bits)
-                    sketch.append(np.bitwise_xor.reduce(bits.reshape(-1, SKETCH), axis=0))
+                    sketch.append(_parity(own, SKETCH))
+                    wide.append(_parity(own, WIDE))
             yield pa.RecordBatch.from_arrays(
                 [part.column("id").take(pa.array(rows, pa.int64())),
                  pa.array([len(s) for s in sets], pa.int64()),
@@ -221,11 +223,16 @@ def _fits(sim: Similarity) -> Column:
     return (sim.percent * F.greatest("n_a", "n_b") <= 100 * F.least("n_a", "n_b"))
 
 
-def _close(sim: Similarity, name: str = "sketch", longs: int = SKETCH) -> Column:
+def _close(sim: Similarity, name: str = "sketch", longs: int = SKETCH, vary: bool = False) -> Column:
+    """The sketches differ in no more bits than linked sets do in elements.  ``vary``:
+    bits in which the members of a group differ among themselves do not count."""
     differ = None
     for k in range(longs):
-        bits = F.bit_count(F.get(f"{name}_a", F.lit(k)).bitwiseXOR(F.get(f"{name}_b", F.lit(k))))
-        differ = bits if differ is None else differ + bits
+        bits = F.get(f"{name}_a", F.lit(k)).bitwiseXOR(F.get(f"{name}_b", F.lit(k)))
+        if vary:
+            loose = [F.coalesce(F.get(f"vary_{s}", F.lit(k)), F.lit(0).cast("long")) for s in "ab"]
+            bits = bits.bitwiseAND(F.bitwise_not(loose[0].bitwiseOR(loose[1])))
+        differ = F.bit_count(bits) if differ is None else differ + F.bit_count(bits)
     return (100 + sim.percent) * differ <= (100 - sim.percent) * (F.col("n_a") + F.col("n_b"))
 
 
@@ -279,26 +286,31 @@ def _group_pairs(slim: DataFrame, comps: DataFrame, sim: Similarity) -> DataFram
     toks = groups.select("grp", "n", "comp", F.explode("prefix").alias("tok"))
     mixed = toks.groupBy("tok").agg(F.count("*").alias("df"), F.min("comp").alias("lo"),
                                     F.max("comp").alias("hi")).filter("lo < hi").select("tok", "df")
-    toks = materialize(toks.join(mixed, "tok"), "mixed-buckets")
-    hot = F.col("df") > HOT_CLASSES
-    spare = toks.groupBy("grp").agg(F.count(F.when(hot, 1)).alias("h"), F.first("n").alias("n")) \
-        .select("grp", "h", F.expr(f"h < {sim.need_sql()}").alias("spare"))
-    toks = toks.join(spare, "grp").filter(~(hot & F.col("spare")))
-    sketch = member.groupBy("grp").agg(F.collect_list(F.struct("id", "sketch")).alias("members"))
-    one = member.groupBy("grp").agg(F.count("*").alias("size"), F.first("sketch").alias("sketch"))
-    # a group of one class brings its sketch into the join; the others are expanded after it
-    toks = toks.join(one, "grp").select(
-        "tok", "grp", "n", "comp", "h", "spare", F.when(F.col("size") == 1, F.col("sketch")).alias("sketch"))
-    side = lambda s: toks.select("tok", *(F.col(c).alias(f"{c}_{s}") for c in toks.columns[1:]))
+    # of m elements in mixed buckets a linked partner shares need; leaving out the
+    # need - 1 most frequent ones (the same order for all) keeps one they share
+    kept = toks.join(mixed, "tok").groupBy("grp").agg(
+        F.first("n").alias("n"), F.first("comp").alias("comp"),
+        F.array_sort(F.collect_list(F.struct("df", "tok"))).alias("mixed"))
+    kept = kept.withColumn("keep", F.expr(f"cast(size(mixed) - {sim.need_sql()} + 1 AS int)")).filter("keep > 0")
+    bit = lambda f, k: f(F.get("sketch", F.lit(k)))
+    masks = member.groupBy("grp").agg(
+        F.collect_list(F.struct("id", "sketch")).alias("members"),
+        F.array(*[bit(F.bit_and, k) for k in range(SKETCH)]).alias("sketch"),
+        F.when(F.count("*") > 1, F.array(*[
+            bit(F.bit_and, k).bitwiseXOR(bit(F.bit_or, k)) for k in range(SKETCH)])).alias("vary"))
+    units = materialize(kept.join(masks, "grp").select(
+        "grp", "n", "comp", "members", "sketch", "vary",
+        F.transform(F.slice("mixed", F.lit(1), F.col("keep")), lambda x: x["tok"]).alias("toks")), "groups")
+    toks = units.select("grp", "n", "comp", "sketch", "vary", F.slice("toks", 1, HEAD).alias("head"),
+                        F.explode("toks").alias("tok"))
+    side = lambda s: toks.select("tok", *(F.col(c).alias(f"{c}_{s}") for c in toks.columns[:-1]))
+    # a pair that meets in several buckets is taken in the first of the heads' common ones
+    first = F.get(F.array_intersect("head_a", "head_b"), F.lit(0))
     meet = side("a").join(side("b"), "tok").filter(
-        (F.col("comp_a") < F.col("comp_b")) & _fits(sim)
-        & (F.col("sketch_a").isNull() | F.col("sketch_b").isNull() | _close(sim)))
-    # a linked pair meets in k buckets, but for hot elements that one of them left out
-    left_out = F.when(F.col("spare_a") | F.col("spare_b"), F.least("h_a", "h_b")).otherwise(F.lit(0))
-    extra = F.least(*(F.expr(f"({sim.region_sql(x)} - ({x} - {sim.least_sql(x)} + 1))") for x in ("n_a", "n_b")))
-    meet = (meet.groupBy("grp_a", "grp_b", "n_a", "n_b").agg(
-        F.count("*").alias("c"), F.first(left_out).alias("left_out"))
-        .filter(F.col("c") >= 1 + extra - F.col("left_out")).select("grp_a", "grp_b", "n_a", "n_b"))
+        (F.col("comp_a") < F.col("comp_b")) & _fits(sim) & _close(sim, vary=True)
+        & (F.coalesce(first, F.col("tok")) == F.col("tok")))
+    meet = meet.select("grp_a", "grp_b", "n_a", "n_b").distinct()
+    sketch = units.select("grp", "members")
     for s in "ab":
         meet = meet.join(sketch.select(F.col("grp").alias(f"grp_{s}"), F.col("members").alias("m")),
                          f"grp_{s}").withColumn("m", F.explode("m")).withColumns(
