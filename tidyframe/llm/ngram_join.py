@@ -28,7 +28,7 @@ component; an empty table gives no rows; extra columns are ignored.
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidyframe.llm.common import (
@@ -43,6 +43,7 @@ from tidyframe.llm.common import (
 from tidyframe.llm.components import connected_components
 
 STAR_TOKENS = 12       # prefix elements that the star round uses
+LARGE, CELL, NEIGHBOURS = 32, 4096, 3
 BUCKET_TOKENS = 1_000_000
 FEW_PAIRS = 100_000    # 1.6 MB: as many candidate pairs may be broadcast
 SKETCH, WIDE = 12, 32  # longs of the parity sketches
@@ -253,7 +254,8 @@ def _verify(pairs: DataFrame, slim: DataFrame, sets: DataFrame, sim: Similarity)
 
 
 def _star_pairs(slim: DataFrame) -> DataFrame:
-    """Each class with the most central one of each of its first buckets."""
+    """Each class with the most central one of each of its first buckets and, in large
+    buckets, with its neighbours by centrality (cells of about CELL classes)."""
     toks = slim.select("id", F.explode(F.slice("prefix", 1, STAR_TOKENS)).alias("tok"))
     common = toks.groupBy("tok").agg(F.count("*").alias("df")).filter("df > 1")
     toks = materialize(toks.join(common, "tok"), "star-buckets")
@@ -261,21 +263,15 @@ def _star_pairs(slim: DataFrame) -> DataFrame:
     central = toks.groupBy("id").agg(F.sum(F.log2("df")).alias("central"))
     toks = toks.join(central, "id")
     top = toks.groupBy("tok").agg(F.max(F.struct("central", "id")).alias("top"))
-    return toks.join(top, "tok").select(F.col("top.id").alias("a"), F.col("id").alias("b")) \
-        .filter("a <> b").distinct()
-
-
-def _merge(comps: DataFrame, links: DataFrame) -> DataFrame:
-    """Components after taking in star links: each class takes the least component
-    among its own and those it linked with.  Equal components are truly connected;
-    connected classes may still differ."""
-    both = links.unionByName(links.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    near = (both.join(comps.select(F.col("id").alias("b"), "comp"), "b")
-            .groupBy("a").agg(F.min("comp").alias("near")))
-    step = comps.join(near, comps["id"] == near["a"], "left").select(
-        "id", F.least("comp", F.coalesce("near", "comp")).alias("comp"))
-    up = step.select(F.col("id").alias("comp"), F.col("comp").alias("up"))
-    return step.join(up, "comp", "left").select("id", F.coalesce("up", "comp").alias("comp"))
+    pairs = toks.join(top, "tok").select(F.col("top.id").alias("a"), F.col("id").alias("b"))
+    cell = Window.partitionBy("tok", F.pmod(F.xxhash64("id"), F.ceil(F.col("df") / CELL))) \
+        .orderBy("central", "id")
+    near = toks.filter(F.col("df") >= LARGE).select("id", *(
+        F.lag("id", k).over(cell).alias(f"p{k}") for k in range(1, NEIGHBOURS + 1)))
+    for k in range(1, NEIGHBOURS + 1):
+        pairs = pairs.unionByName(near.filter(f"p{k} IS NOT NULL").select(
+            F.least("id", f"p{k}").alias("a"), F.greatest("id", f"p{k}").alias("b")))
+    return pairs.filter("a <> b").distinct()
 
 
 def _group_pairs(slim: DataFrame, comps: DataFrame, sim: Similarity) -> DataFrame:
@@ -335,7 +331,9 @@ def similarity_components(docs: DataFrame, width: int = 5, percent: int = 80) ->
     slim = materialize(sets.select("id", "n", "sketch", "wide", F.expr(
         f"slice(shingles, 1, cast({sim.region_sql()} AS int))").alias("prefix")), "survivors")
     stars = materialize(_verify(_star_pairs(slim), slim, sets, sim), "star-links")
-    comps = materialize(_merge(slim.select("id", F.col("id").alias("comp")), stars), "star-components")
+    merged = connected_components(stars)
+    comps = materialize(slim.select("id").join(merged.withColumnRenamed("node", "id"), "id", "left").select(
+        "id", F.coalesce("component", "id").alias("comp")), "star-components")
     links = stars.unionByName(_verify(_group_pairs(slim, comps, sim), slim, sets, sim))
     comp = connected_components(links)
 
