@@ -82,7 +82,8 @@ def op8_source_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return substring_dedup.dedup_substrings(table(spark, sf_dir, "documents")).drop("kept_text")
+    docs = table(spark, sf_dir, "documents")
+    return substring_dedup.dedup_substrings(docs, with_text=False).drop("kept_text")
 
 
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:

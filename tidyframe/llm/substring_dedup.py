@@ -8,8 +8,9 @@ bucket, and equal windows always meet there.
 1. Minimisers alone are counted first: one that occurs under a single document
    id can not hold a window found elsewhere, so only documents with shared
    minimisers send strings.
-2. Super-k-mers are collapsed to distinct strings with the least document id
-   (map-side first), so a passage copied a million times is one row per task.
+2. Equal super-k-mers of a task's chunk are collapsed to one string with the least
+   document id before they travel, so a passage copied a million times is one row
+   per chunk.
 3. A bucket sorts the windows of its strings and takes the least document id of
    each distinct window; hashes only find the candidates, equality is checked word
    by word.
@@ -42,7 +43,7 @@ from tidyframe.llm.common import (
 )
 
 WINDOW = 50
-GRAM = 8
+GRAM = 16            # longer than a stock phrase: those would mark most documents as shared
 BUCKET_WINDOWS = 200_000  # windows sorted at a time; a minimiser is never split
 
 
@@ -101,24 +102,34 @@ def _strings(window: int, pack: bool):
 
         digest = xxhash.xxh3_128_intdigest
         for part in slices(batches):
-            shared = part.column("shared").to_pylist()
-            cols: list[list] = [[] for _ in range(6)]
+            shared, ids = part.column("shared").to_pylist(), part.column("doc_id").to_pylist()
+            cols: list[list] = [[] for _ in range(5)]
+            least_id: dict = {}
             for k, own, words, (least, first, end) in _each_text(part, window):
                 use = np.flatnonzero(np.isin(least, np.array(shared[k], np.int64)))
                 for j in use.tolist():
                     text = b" ".join([words[w] for w in own[first[j]:end[j] + window - 1]])
                     code = digest(text)
-                    for c, v in zip(cols, (k, int(least[j]), (code >> 64) - (1 << 63),
-                                           (code & (1 << 64) - 1) - (1 << 63), int(first[j]), text),
-                                    strict=True):
-                        c.append(v)
-            owner = pa.array(cols[0], pa.int64())
-            out = [part.column("doc_id").take(owner), *(pa.array(c, pa.int64()) for c in cols[1:4])]
-            out += [pa.array(cols[5], pa.binary())] if pack else [
-                part.column("row_no").take(owner), pa.array(cols[4], pa.int64())]
-            names = ["doc_id", "minimiser", "code1", "code2"] + (
-                ["packed"] if pack else ["row_no", "first"])
-            yield pa.RecordBatch.from_arrays(out, names=names)
+                    key = (int(least[j]), (code >> 64) - (1 << 63), (code & (1 << 64) - 1) - (1 << 63))
+                    if pack:
+                        old = least_id.get(key)
+                        if old is None or ids[k] < old[1]:
+                            least_id[key] = (text, ids[k])
+                    else:
+                        for c, v in zip(cols, (*key, k, int(first[j])), strict=True):
+                            c.append(v)
+            if pack:
+                keys = [pa.array([key[k] for key in least_id], pa.int64()) for k in range(3)]
+                yield pa.RecordBatch.from_arrays(
+                    [*keys, pa.array([v[0] for v in least_id.values()], pa.binary()),
+                     pa.array([v[1] for v in least_id.values()], pa.int64())],
+                    names=["minimiser", "code1", "code2", "packed", "least"])
+            else:
+                owner = pa.array(cols[3], pa.int64())
+                yield pa.RecordBatch.from_arrays(
+                    [*(pa.array(c, pa.int64()) for c in cols[:3]), part.column("doc_id").take(owner),
+                     part.column("row_no").take(owner), pa.array(cols[4], pa.int64())],
+                    names=["minimiser", "code1", "code2", "doc_id", "row_no", "first"])
 
     return run
 
@@ -154,6 +165,8 @@ def _buckets(window: int):
     def answer(rows):
         import pyarrow as pa
 
+        rows = sorted(rows, key=lambda r: (r[:3], r[4]))  # the least id of equal strings first
+        rows = [r for k, r in enumerate(rows) if not k or r[:3] != rows[k - 1][:3]]
         least = _least_ids([r[3] for r in rows], np.array([r[4] for r in rows], np.int64), window)
         return pa.RecordBatch.from_arrays(
             [*(pa.array([r[k] for r in rows], pa.int64()) for k in range(3)),
@@ -175,67 +188,97 @@ def _buckets(window: int):
     return run
 
 
-def _finish(window: int):
+def _result(part, texts, keeps, with_text: bool, names=("doc_id",)):
+    import pyarrow as pa
+
+    n, gone, code, left = [], [], [], []
+    for text, keep in zip(texts, keeps, strict=True):
+        if text is None:  # still to be judged
+            n.append(None), gone.append(None), code.append(None), left.append(None)
+            continue
+        words = utf8(text).split()
+        kept = words if keep is None else [w for w, k in zip(words, keep(len(words)).tolist(), strict=True) if k]
+        joined = b" ".join(kept)
+        n.append(len(words))
+        gone.append(len(words) - len(kept))
+        code.append(hashlib.sha256(joined).hexdigest())
+        left.append(joined.decode("utf-8", "replace") if with_text else None)
+    return [*(part.column(c) for c in names), pa.array(n, pa.int64()), pa.array(gone, pa.int64()),
+            pa.array(code, pa.string()), pa.array(left, pa.string())]
+
+
+_OUT = ["n_words", "n_removed", "kept_sha256", "kept_text"]
+
+
+def _settle(with_text: bool):
+    """Rows without shared minimisers are done; of the others the text goes on."""
+
     def run(batches):
         import pyarrow as pa
 
         for part in slices(batches):
-            n, gone, code, texts = [], [], [], []
-            spans = part.column("spans").to_pylist()
-            for text, own in zip(part.column("text").to_pylist(), spans, strict=True):
-                words = utf8(text).split()
-                edge = np.zeros(len(words) + 1, np.int64)
-                for s in own or []:
+            texts, shared = part.column("text").to_pylist(), part.column("shared").to_pylist()
+            done = [(t or "") if s is None else None for t, s in zip(texts, shared, strict=True)]
+            on = pa.array([t if s is not None else None for t, s in zip(texts, shared, strict=True)], pa.string())
+            cols = _result(part, done, [None] * len(done), with_text)
+            yield pa.RecordBatch.from_arrays([*cols, on, part.column("shared")],
+                                             names=["doc_id", *_OUT, "text", "shared"])
+
+    return run
+
+
+def _finish(window: int, with_text: bool):
+    def run(batches):
+        import pyarrow as pa
+
+        def keep(spans):
+            def mask(n):
+                edge = np.zeros(n + 1, np.int64)
+                for s in spans or []:
                     at = s["first"] + np.array(s["hits"], np.int64)
                     np.add.at(edge, at, 1)
                     np.add.at(edge, at + window, -1)
-                keep = np.cumsum(edge)[:-1] == 0
-                left = b" ".join([w for w, k in zip(words, keep.tolist(), strict=True) if k])
-                n.append(len(words))
-                gone.append(int(len(words) - keep.sum()))
-                code.append(hashlib.sha256(left).hexdigest())
-                texts.append(left.decode("utf-8", "replace"))
-            yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id"), pa.array(n, pa.int64()), pa.array(gone, pa.int64()),
-                 pa.array(code), pa.array(texts)],
-                names=["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"])
+                return np.cumsum(edge)[:-1] == 0
+            return mask
+
+        for part in slices(batches):
+            texts = [t or "" for t in part.column("text").to_pylist()]
+            keeps = [keep(s) for s in part.column("spans").to_pylist()]
+            yield pa.RecordBatch.from_arrays(_result(part, texts, keeps, with_text), names=["doc_id", *_OUT])
 
     return run
 
 
-def dedup_substrings(docs: DataFrame, window: int = WINDOW) -> DataFrame:
+def dedup_substrings(docs: DataFrame, window: int = WINDOW, with_text: bool = True) -> DataFrame:
     """``docs(doc_id, text)`` -> doc_id, n_words, n_removed, kept_sha256, kept_text (the
-    kept words joined by one space): one row per row."""
+    kept words joined by one space; null unless ``with_text``): one row per row."""
     id_type = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", "text")
-    least = rows.filter("doc_id IS NOT NULL").mapInArrow(
-        _minimisers(window), f"doc_id {id_type}, minimiser long")
-    least = materialize(least, "minimisers")
+    least = materialize(rows.filter("doc_id IS NOT NULL").mapInArrow(
+        _minimisers(window), f"doc_id {id_type}, minimiser long"), "minimisers")
     shared = (least.groupBy("minimiser").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"))
               .filter("a < b").select("minimiser"))
     per_doc = least.join(shared, "minimiser").groupBy("doc_id").agg(
         F.collect_set("minimiser").alias("shared"))
-    marked = materialize(rows.join(per_doc, "doc_id", "left").withColumn(
-        "row_no", F.monotonically_increasing_id()), "substring-docs")
+    out = f"doc_id {id_type}, n_words long, n_removed long, kept_sha256 string, kept_text string"
+    settled = materialize(
+        rows.join(per_doc, "doc_id", "left").mapInArrow(
+            _settle(with_text), f"{out}, text string, shared array<long>")
+        .withColumn("row_no", F.monotonically_increasing_id()), "substring-docs")
 
-    some = marked.filter("shared IS NOT NULL").select("doc_id", "row_no", "text", "shared")
+    some = settled.filter("shared IS NOT NULL").select("doc_id", "row_no", "text", "shared")
     packed = some.mapInArrow(
-        _strings(window, True), f"doc_id {id_type}, minimiser long, code1 long, code2 long, packed binary")
-    distinct = packed.groupBy("minimiser", "code1", "code2", "packed").agg(
-        F.min("doc_id").cast("long").alias("least"))
-    answers = (distinct.repartition("minimiser").sortWithinPartitions("minimiser").mapInArrow(
+        _strings(window, True), "minimiser long, code1 long, code2 long, packed binary, least long")
+    answers = (packed.repartition("minimiser").sortWithinPartitions("minimiser").mapInArrow(
         _buckets(window), "minimiser long, code1 long, code2 long, least array<long>"))
     places = some.mapInArrow(
         _strings(window, False),
-        f"doc_id {id_type}, minimiser long, code1 long, code2 long, row_no long, first long")
+        f"minimiser long, code1 long, code2 long, doc_id {id_type}, row_no long, first long")
     hits = F.filter(F.transform("least", lambda x, i: F.when(x < F.col("doc_id"), i)),
                     lambda i: i.isNotNull())
     spans = (places.join(answers, ["minimiser", "code1", "code2"])
              .select("row_no", "first", hits.alias("hits")).filter("size(hits) > 0")
              .groupBy("row_no").agg(F.collect_list(F.struct("first", "hits")).alias("spans")))
-    out = f"doc_id {id_type}, n_words long, n_removed long, kept_sha256 string, kept_text string"
-    touched = some.select("row_no", "doc_id", "text").join(spans, "row_no", "left")
-    untouched = marked.filter("shared IS NULL").select(
-        "row_no", "doc_id", "text", F.lit(None).cast(spans.schema["spans"].dataType).alias("spans"))
-    return untouched.unionByName(touched).select("doc_id", "text", "spans").mapInArrow(
-        _finish(window), out)
+    judged = (some.select("row_no", "doc_id", "text").join(spans, "row_no", "left")
+              .select("doc_id", "text", "spans").mapInArrow(_finish(window, with_text), out))
+    return settled.filter("shared IS NULL").select("doc_id", *_OUT).unionByName(judged)
