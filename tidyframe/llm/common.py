@@ -97,9 +97,9 @@ def window_hashes(h: np.ndarray, width: int) -> np.ndarray:
     n = len(h) - width + 1
     if n <= 0:
         return np.empty(0, dtype=np.uint64)
-    out = np.zeros(n, dtype=np.uint64)
+    out, mixed = np.zeros(n, dtype=np.uint64), mix64(h)
     factor = 1
     for k in range(width):
-        out += mix64(h[k:k + n]) * np.uint64(factor)
+        out += mixed[k:k + n] * np.uint64(factor)
         factor = (factor * 0x9E3779B97F4A7C15) % (1 << 64)
     return mix64(out)

@@ -56,12 +56,12 @@ def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
     return np.minimum(x[:len(x) - (width - done)], x[width - done:]) if width > done else x
 
 
-def _superkmers(hashes: np.ndarray, window: int):
-    """(minimisers, first windows, ends): the runs of windows that share a minimiser."""
-    if len(hashes) < window:
+def _superkmers(grams: np.ndarray, window: int, gram: int):
+    """(minimisers, first windows, ends): the runs of windows that share a minimiser,
+    from the gram hashes of one text."""
+    if len(grams) < window - gram + 1:
         return np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64)
-    gram = min(GRAM, window)
-    least = _sliding_min(window_hashes(hashes, gram), window - gram + 1)
+    least = _sliding_min(grams, window - gram + 1)
     cut = np.flatnonzero(least[1:] != least[:-1]) + 1
     first = np.concatenate([[0], cut])
     return least[first].astype(np.int64), first, np.append(cut, len(least))
@@ -69,10 +69,11 @@ def _superkmers(hashes: np.ndarray, window: int):
 
 def _each_text(part, window):
     ids, starts, words = split_words(part.column("text").to_pylist())
-    hashes = hash_words(words)
+    gram = min(GRAM, window)
+    grams = window_hashes(hash_words(words)[ids], gram)  # of the whole chunk at once
     for k in range(part.num_rows):
-        own = ids[starts[k]:starts[k + 1]]
-        yield k, own, words, _superkmers(hashes[own], window)
+        a, b = starts[k], starts[k + 1]
+        yield k, ids[a:b], words, _superkmers(grams[a:max(a, b - gram + 1)], window, gram)
 
 
 def _minimisers(window: int):
@@ -138,12 +139,11 @@ def _least_ids(packed: list[bytes], doc_ids: np.ndarray, window: int) -> list[np
     """For each string, the least document id of each of its windows."""
     seen: dict[bytes, int] = {}
     rows = [np.array([seen.setdefault(w, len(seen)) for w in p.split(b" ")], np.int64) for p in packed]
-    hashes = hash_words(seen)
     per = [len(r) - window + 1 for r in rows]
     starts = np.concatenate([[0], np.cumsum([len(r) for r in rows])])
     words = np.concatenate(rows)
     at = np.concatenate([np.arange(s, s + n) for s, n in zip(starts, per, strict=False)])
-    code = np.concatenate([window_hashes(hashes[r], window) for r in rows])
+    code = window_hashes(hash_words(seen)[words], window)[at]
     _, group = np.unique(code, return_inverse=True)
     example = np.empty(group.max() + 1, np.int64)
     example[group] = at
