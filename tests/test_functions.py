@@ -76,9 +76,10 @@ def test_accent_table_rule():
     pairs = dict(zip(src, dst))
     for ch, base in pairs.items():
         assert unicodedata.normalize("NFD", ch)[0] == base
-    # every accented letter the old 36-letter table covered is present
-    for ch in "áãàâÁÃÂÀéèêÉÈÊíìîÍÌÎóòõôÓÒÔÕúùûÚÙÛçÇ":
-        assert ch in pairs
+    # every Latin-1 letter with a canonical decomposition is present
+    for code in range(0xC0, 0x100):
+        if unicodedata.decomposition(chr(code)):
+            assert chr(code) in pairs
     assert len(src) > len(dst)  # trailing combining marks are deleted
 
 
@@ -90,6 +91,17 @@ def test_title_case_plain(spark):
 # --------------------------------------------------------------------- casting
 
 
+def test_bulk_cast_follows_the_session_case_rule(spark):
+    df = spark.createDataFrame([("1", "2")], "Temp string, other string")
+    assert dict(cast_columns(df, ["temp"], "int").dtypes) == {"Temp": "int", "other": "string"}
+
+
+def test_age_of_bad_text_is_null(spark):
+    df = one_col(spark, ["2000-01-10", "abc", "31/02/2000", None])
+    out = col_values(df.select(age_years("s", "2024-01-10").alias("s")), "s")
+    assert out == [24, None, None, None]
+
+
 def test_cast_null_policy(spark):
     df = one_col(spark, ["36.5", "abc", "36,5", "", None, " 7 "])
     out = col_values(cast_column(df, "s", "double"), "s")

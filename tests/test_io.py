@@ -281,3 +281,8 @@ def test_csv_encoding_option(spark, scratch):
     wrong = SourceSpec(format="csv", path=path, options={"header": True, "sep": ";"},
                        schema="id int, nome string")
     assert sorted(tuple(r) for r in read_source(spark, wrong).collect()) != got
+
+
+def test_jdbc_query_with_predicates_is_rejected():
+    with pytest.raises(SpecError):
+        SourceSpec(format="jdbc", url="jdbc:x", driver="d", query="select 1", predicates=("a = 1",))

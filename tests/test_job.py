@@ -587,3 +587,28 @@ def test_spec_values_validated_at_build():
                 {"sink": {"path": "/y", "max_records_per_file": -5}}):
         with pytest.raises(SpecError):
             JobSpec.from_dict({**base, **bad})
+
+
+def test_ingest_counts_more_batches_than_spark_remembers(spark, scratch):
+    from tidyframe.sinks.write import SinkSpec
+    from tidyframe.sources.spec import SourceSpec
+    from tidyframe.streaming.ingest import ingest_files, rows_written
+
+    spark.range(0, 105, 1, 105).write.parquet(f"{scratch}/in")
+    n = sum(1 for f in os.listdir(f"{scratch}/in") if f.endswith(".parquet"))
+    query = ingest_files(spark, SourceSpec(format="parquet", path=f"{scratch}/in", schema="id long"),
+                         SinkSpec(path=f"{scratch}/out", mode="append"), f"{scratch}/ckpt", max_files_per_batch=1)
+    assert n > 100 and rows_written(query) == 105 == spark.read.parquet(f"{scratch}/out").count()
+
+
+def test_ingest_csv_keeps_spaces(spark, scratch):
+    from tidyframe.sinks.write import SinkSpec
+    from tidyframe.sources.spec import SourceSpec
+    from tidyframe.streaming.ingest import ingest_files
+
+    spark.createDataFrame([("  x  ",), ("y ",)], "s string").write.parquet(f"{scratch}/in")
+    ingest_files(spark, SourceSpec(format="parquet", path=f"{scratch}/in", schema="s string"),
+                 SinkSpec(path=f"{scratch}/out", format="csv", mode="append"), f"{scratch}/ckpt")
+    back = spark.read.csv(f"{scratch}/out", schema="s string", ignoreLeadingWhiteSpace=False,
+                          ignoreTrailingWhiteSpace=False)
+    assert sorted(r["s"] for r in back.collect()) == ["  x  ", "y "]

@@ -24,7 +24,6 @@ def main(argv: list[str] | None = None) -> int:
                     "(older layout with move_processed_files)")
     ap.add_argument("--run-date", help="processing date YYYY-MM-DD (default: today, UTC)")
     ap.add_argument("--explain", action="store_true", help="print the write plan and stop")
-    ap.add_argument("--report-rows", type=int, default=200, help="report rows to print")
     args = ap.parse_args(argv)
     try:
         spec = load_spec(args.spec, checkpoint=args.checkpoint)
@@ -48,7 +47,8 @@ def main(argv: list[str] | None = None) -> int:
     written = "" if result.rows_written is None else f"{result.rows_written} rows "
     print(f"wrote {written}to {result.output_path} (run {result.run_ts.isoformat()})")
     if result.report is not None:
-        result.report.show(args.report_rows, truncate=False)
+        # all of it: its size follows from the schema, not from the data
+        result.report.show(max(result.report.count(), 1), truncate=False)
     return 0
 
 

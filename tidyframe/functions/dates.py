@@ -58,18 +58,18 @@ def reformat_date(
     return F.date_format(parse_date(c, src_fmt, on_error), dst_fmt)
 
 
-def _as_date(v, fmt: str | None) -> Column:
+def _as_date(v, fmt: str | None, on_error: str) -> Column:
     if isinstance(v, (dt.date, dt.datetime)):
         d = v.date() if isinstance(v, dt.datetime) else v
         return F.lit(d)
     if isinstance(v, str) and re.fullmatch(r"\d{4}-\d{2}-\d{2}", v):
         return F.lit(dt.date.fromisoformat(v))
     col = as_col(v)
-    return parse_date(col, fmt) if fmt else col.cast("date")
+    return parse_date(col, fmt, on_error)
 
 
 def years_between(
-    start, end, fmt: str | None = None, method: str = "calendar"
+    start, end, fmt: str | None = None, method: str = "calendar", on_error: str = "null"
 ) -> Column:
     """Whole years from ``start`` to ``end``.
 
@@ -77,16 +77,18 @@ def years_between(
     ``fmt`` parses string columns.  ``calendar`` counts completed years
     (``floor(months_between / 12)``: 1964-01-10 -> 2024-01-01 is 59, and a
     29 Feb birth completes a year on 28 Feb); ``days365`` is the legacy
-    ``int(days / 365)`` rule, which over-counts near birthdays.
+    ``int(days / 365)`` rule, which over-counts near birthdays.  Text that is no
+    date gives NULL, or fails the job with ``on_error="fail"``.
     """
     if method not in AGE_METHODS:
         raise SpecError(f"method must be one of {AGE_METHODS}, got {method!r}")
-    s, e = _as_date(start, fmt), _as_date(end, fmt)
+    s, e = _as_date(start, fmt, on_error), _as_date(end, fmt, on_error)
     if method == "calendar":
         return F.floor(F.months_between(e, s) / F.lit(12)).cast("int")
     return (F.datediff(e, s) / F.lit(365)).cast("int")
 
 
-def age_years(birth, asof, fmt: str | None = None, method: str = "calendar") -> Column:
+def age_years(birth, asof, fmt: str | None = None, method: str = "calendar",
+              on_error: str = "null") -> Column:
     """Age on ``asof`` of someone born on ``birth`` (see ``years_between``)."""
-    return years_between(birth, asof, fmt, method)
+    return years_between(birth, asof, fmt, method, on_error)

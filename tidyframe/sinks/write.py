@@ -112,21 +112,26 @@ def prepare_layout(df: DataFrame, spec: SinkSpec, constant_partitions: bool = Fa
     return df
 
 
+def writer_options(spec: SinkSpec) -> dict[str, str]:
+    """Options that batch and streaming writers share: a sink alters no text unless told."""
+    opts = dict(spec.options)
+    if spec.format == "csv":
+        opts = {**CSV_WRITE_DEFAULTS, **opts}
+    if spec.max_records_per_file:
+        opts["maxRecordsPerFile"] = str(spec.max_records_per_file)
+    return opts
+
+
 def write_sink(df: DataFrame, spec: SinkSpec, layout: bool = True) -> None:
     """Write ``df``; ``layout=False`` when the caller already applied it."""
     if spec.partition_by:
         require_columns(df, spec.partition_by)
     out = prepare_layout(df, spec) if layout else df
-    opts = dict(spec.options)
-    if spec.format == "csv":
-        opts = {**CSV_WRITE_DEFAULTS, **opts}
-    w = out.write.format(spec.format).mode(spec.mode).options(**opts)
+    w = out.write.format(spec.format).mode(spec.mode).options(**writer_options(spec))
     if spec.partition_by:
         w = w.partitionBy(*spec.partition_by)
         if spec.mode == "overwrite":
             # explicit both ways, so a session default cannot flip it
             w = w.option("partitionOverwriteMode",
                          "dynamic" if spec.dynamic_overwrite else "static")
-    if spec.max_records_per_file:
-        w = w.option("maxRecordsPerFile", str(spec.max_records_per_file))
     w.save(spec.path)

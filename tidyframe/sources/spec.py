@@ -109,6 +109,8 @@ class SourceSpec:
             raise SpecError("use either a partition column or predicates, not both")
         if given and self.query:
             raise SpecError("jdbc partition_column works with table, not query")
+        if self.predicates and self.query:
+            raise SpecError("jdbc predicates work with table, not query")
         if self.num_partitions is not None and int(self.num_partitions) < 1:
             raise SpecError("num_partitions must be >= 1")
 

@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -28,7 +29,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidyframe.errors import SpecError
 from tidyframe.functions.stamps import run_rows
-from tidyframe.sinks.write import SinkSpec
+from tidyframe.sinks.write import SinkSpec, writer_options
 from tidyframe.sources.read import read_source, reader_options
 from tidyframe.sources.spec import SourceSpec, schema_from_files_ok
 
@@ -36,16 +37,28 @@ STREAM_SINK_FORMATS = ("parquet", "csv", "json")
 OBSERVED = "tidyframe_ingest_rows"
 
 
-def rows_written(spark: SparkSession, query: StreamingQuery) -> int | None:
-    """Rows this run wrote: the observed per-batch counts in the progress of
-    the run's query.  ``None`` when Spark may have dropped older entries (the
-    run had at least ``numRecentProgressUpdates`` micro-batches)."""
-    progress = query.recentProgress
-    limit = int(spark.conf.get("spark.sql.streaming.numRecentProgressUpdates", "100"))
-    if len(progress) >= limit:
-        return None
+#: a query keeps this many progress entries; by default Spark forgets all but the last 99
+KEPT_PROGRESS = "spark.sql.streaming.numRecentProgressUpdates"
+
+
+@contextmanager
+def keeping_progress(spark: SparkSession):
+    """A query run inside keeps the progress of every micro-batch."""
+    before = spark.conf.get(KEPT_PROGRESS, None)
+    spark.conf.set(KEPT_PROGRESS, str(2**31 - 1))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(KEPT_PROGRESS)
+        else:
+            spark.conf.set(KEPT_PROGRESS, before)
+
+
+def rows_written(query: StreamingQuery) -> int:
+    """Rows this run wrote: the observed counts of all its micro-batches."""
     return sum(int((p.observedMetrics or {})[OBSERVED]["rows"])
-               for p in progress if OBSERVED in (p.observedMetrics or {}))
+               for p in query.recentProgress if OBSERVED in (p.observedMetrics or {}))
 
 
 def schema_from_files(spark: SparkSession, source: SourceSpec):
@@ -120,15 +133,16 @@ def ingest_files(
 
     writer = (
         df.writeStream.format(sink.format)
-        .options(**sink.options)
+        .options(**writer_options(sink))
         .option("checkpointLocation", checkpoint)
         .outputMode("append")
         .trigger(availableNow=True)
     )
     if sink.partition_by:
         writer = writer.partitionBy(*sink.partition_by)
-    query = writer.start(sink.path)
-    query.awaitTermination()
+    with keeping_progress(spark):
+        query = writer.start(sink.path)
+        query.awaitTermination()
     if query.exception() is not None:
         raise query.exception()
     return query
@@ -166,5 +180,5 @@ def run_incremental(spark: SparkSession, spec, run_date: dt.date, run_ts: dt.dat
                                 q.warn_pct, q.legacy_null_valid, q.approx_duplicates)
     from tidyframe.plans.job import keep_report
 
-    written = rows_written(spark, query)
+    written = rows_written(query)
     return keep_report(JobResult(spec.sink.path, run_date, run_ts, written, report), spec)
