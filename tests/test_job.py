@@ -311,9 +311,9 @@ def test_legacy_incremental_without_schema_uses_csv_header(spark, scratch):
     run_job(spark, spec, *RUN)
     out = spark.read.parquet(scratch + "/out")
     assert out.count() == 4 and dict(out.dtypes)["TEMPERATURA"] == "double"
-    land(spark, landing, "b2", ROWS[:1])  # same key again: dropped across runs
+    land(spark, landing, "b2", ROWS[:1])  # a key of an earlier run is a new reading
     run_job(spark, spec, dt.date(2024, 1, 2), dt.datetime(2024, 1, 2))
-    assert spark.read.parquet(scratch + "/out").count() == 4
+    assert spark.read.parquet(scratch + "/out").count() == 5
     bad = dict(attrs, source={**attrs["source"], "file_type": "json"})
     with pytest.raises(SpecError):
         from_legacy_attributes(bad, checkpoint=scratch + "/ckpt2")
@@ -465,13 +465,10 @@ def test_typed_date_columns_skip_text_patterns(spark, scratch):
 
 
 
-def test_wide_job_reports_after_the_write(spark, scratch):
-    """130 columns: the quality report is built after the write, in the long
-    layout, over this run's rows; it equals the wide-layout report of them."""
-    from conftest import plan_text
-
+def test_wide_job_reports_the_rows_it_wrote(spark, scratch):
+    """130 columns: the report rides on the write at every width, and equals a
+    standalone report of the written rows."""
     from tidyframe.operators import quality_report as qr
-    from tidyframe.plans import plan_job
 
     n = 130
     cols = [f"c{k}" for k in range(n)]
@@ -484,9 +481,6 @@ def test_wide_job_reports_after_the_write(spark, scratch):
         "cast": [{"columns": cols, "to": "double"}],
         "quality": {"ranges": [{"column": "c1", "min": 0, "max": 50}]},
     })
-    planned = plan_job(spark, spec, *RUN)
-    assert planned.post_write
-    assert "c100" not in plan_text(planned.frame, "simple").split("CollectMetrics")[1].split("\n")[0]
     res = run_job(spark, spec, *RUN)
     got = {(r["check"], r["subject"], r["metric"]): r["value"] for r in res.report.collect()}
     written = spark.read.parquet(scratch + "/out")
@@ -552,8 +546,45 @@ def test_incremental_job_counts_rows_written(spark, scratch):
     spec = from_legacy_attributes(attrs, checkpoint=scratch + "/ckpt")
     assert run_job(spark, spec, *RUN).rows_written == 4
     assert run_job(spark, spec, *RUN).rows_written == 0  # nothing new
-    land(spark, landing, "b2", [("777777",) + ROWS[0][1:], ROWS[1]])  # one new key
-    assert run_job(spark, spec, dt.date(2024, 1, 2), dt.datetime(2024, 1, 2)).rows_written == 1
+    land(spark, landing, "b2", [ROWS[1], ROWS[1]])  # a key of the first run, twice in this one
+    res = run_job(spark, spec, *RUN)  # the same stamps: the report still is of this run alone
+    assert res.rows_written == 1
+    rep = {(r["check"], r["subject"], r["metric"]): r["value"] for r in res.report.collect()}
+    assert rep[("completeness", "NOME", "total")] == 1.0
+    assert rep[("duplicates", "PRONTUARIO", "total")] == 2.0
+    assert rep[("duplicates", "PRONTUARIO", "n_duplicate")] == 1.0
+
+
+def test_incremental_retry_replaces_its_own_batch(spark, scratch, monkeypatch):
+    from pyspark.errors import StreamingQueryException
+
+    from tidyframe.plans.job import PlannedJob
+
+    landing = scratch + "/landing"
+    land(spark, landing, "b1")
+    attrs = legacy_attrs(f"{landing}/*/*.csv", scratch + "/out", move=True)
+    spec = from_legacy_attributes(attrs, checkpoint=scratch + "/ckpt")
+    with monkeypatch.context() as m:  # the batch is written, its commit is not
+        m.setattr(PlannedJob, "result", lambda self, spark: 1 / 0)
+        with pytest.raises(StreamingQueryException):
+            run_job(spark, spec, *RUN)
+    res = run_job(spark, spec, dt.date(2024, 1, 2), dt.datetime(2024, 1, 2))
+    out = spark.read.json(scratch + "/out")
+    assert res.rows_written == out.count() == 4
+    assert {r[0] for r in out.select("DATA_PROCESSAMENTO").collect()} == {dt.date(2024, 1, 2)}
+
+
+def test_job_with_a_report_runs_where_a_split_consumed_a_cast_column(spark, scratch):
+    write_sink(spark.createDataFrame([("1/2", "3"), ("x/4", "y")], "ab string, c string"),
+               SinkSpec(path=scratch + "/in"))
+    spec = JobSpec.from_dict({
+        "source": {"format": "parquet", "path": scratch + "/in"}, "sink": {"path": scratch + "/out"},
+        "clean": {"split": [{"column": "ab", "into": ["a", "b"], "pattern": "/"}]},
+        "cast": [{"columns": ["ab", "c"], "to": "int"}], "quality": {"keys": ["c"]},
+    })
+    rep = {(r["check"], r["subject"], r["metric"]): r["value"]
+           for r in run_job(spark, spec, *RUN).report.collect()}
+    assert rep[("conversion", "c", "n_nulled")] == 1.0 and ("conversion", "ab", "n_nulled") not in rep
 
 
 def test_cli_incremental_older_layout(spark, scratch, capsys):

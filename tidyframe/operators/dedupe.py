@@ -138,14 +138,13 @@ def keep_one(
         df = df.withColumn(KEY_HASH, F.xxhash64(*[col(k) for k in keys]))
         keys = [KEY_HASH] + keys
 
-    simple = aggregatable(df, order)
     if strategy == "auto":
-        strategy = "aggregate" if count_col or simple else "window"
+        strategy = "aggregate" if count_col else "window"
     if strategy == "window":
         if count_col:
             raise SpecError("count_col needs strategy='aggregate'")
         out = _keep_by_window(df, keys, order)
-    elif not simple:
+    elif not aggregatable(df, order):
         raise SpecError("strategy='aggregate' cannot order text keys against the first "
                         "key's direction; use strategy='window'")
     else:
@@ -226,16 +225,22 @@ def _keep_by_aggregate(
     used = set(keys) | {o.column for o in order}
     payload = [c for c in df.columns if c not in keys]
     descending = bool(order) and order[0].descending
-    rank_cols = _rank_fields(df, order, descending) + [
-        col(c) for c in _tie_breakers(df, used)]
+    ties = _tie_breakers(df, used)
+    rank = [r.alias(f"__r{i}") for i, r in enumerate(_rank_fields(df, order, descending))]
     aggs = []
     if payload:
-        row = F.struct(*[col(c) for c in payload])
-        if rank_cols:
-            rank = F.struct(*[r.alias(f"r{i}") for i, r in enumerate(rank_cols)])
-            pick = F.max_by(row, rank) if descending else F.min_by(row, rank)
+        # one struct is both rank and row, so a row crosses the shuffle once;
+        # only columns without an order travel beside it
+        beside = [c for c in payload if c not in ties]
+        if all(_orderable(df.schema[c].dataType) for c in beside):
+            row = F.struct(*rank, *[col(c) for c in ties + beside])
+            pick = F.max(row) if descending else F.min(row)
+        elif rank or ties:
+            row = F.struct(*[col(c) for c in payload])
+            by = F.struct(*rank, *[col(c) for c in ties])
+            pick = F.max_by(row, by) if descending else F.min_by(row, by)
         else:
-            pick = F.first(row)
+            pick = F.first(F.struct(*[col(c) for c in payload]))
         aggs.append(pick.alias("__keep_row"))
     if count_col:
         aggs.append(F.count(F.lit(1)).alias(count_col))

@@ -227,6 +227,11 @@ def oracles() -> dict[str, str]:
                      "date '2026-12-01' as processing_date, "
                      "timestamp '2026-12-01 06:30:00' as processing_ts from orders",
         "dedupe_latest": _DEDUPE_LATEST,
+        "dedupe_latest_counted": """select * exclude (rn) from (
+            select *, count(*) over (partition by o_custkey) as n_orders,
+                row_number() over (partition by o_custkey
+                    order by o_orderdate desc, o_orderkey desc) as rn from orders)
+            where rn = 1""",
         "dedupe_documents": f"""select doc_id, text_norm, lang, source from (
             select *, row_number() over (partition by text_norm
                 order by doc_id, lang, source) as rn
@@ -266,6 +271,11 @@ def oracles() -> dict[str, str]:
                        "select *, date '2024-01-02' from part union all "
                        "select *, date '2024-01-03' from part",
         "ingest_incremental": "select * from events",
+        "ingest_job_latest": """select * exclude (late, rn) from (
+            select *, row_number() over (partition by late, o_custkey
+                order by o_orderdate desc, o_orderkey desc) as rn
+            from (select *, o_orderdate >= timestamp '1998-04-25' as late from orders))
+            where rn = 1""",
         "prep_job": _with(_JOB_CTES, "select * from d"),
         "prep_job_report": _with(
             {**_JOB_CTES,

@@ -34,12 +34,11 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import NumericType
 
 from tidyframe.functions.casting import cast_columns
 from tidyframe.functions.dates import reformat_date, years_between
 from tidyframe.functions.split import split_column
-from tidyframe.functions.stamps import add_run_stamps, run_clock, run_rows
+from tidyframe.functions.stamps import add_run_stamps, run_clock
 from tidyframe.functions.text import normalize_text, strip_accents, title_case, title_case_plain
 from tidyframe.errors import SpecError, require_columns
 from tidyframe.functions._util import col, is_temporal
@@ -47,8 +46,6 @@ from tidyframe.operators.dedupe import aggregatable, keep_one
 from tidyframe.operators.quality import (
     MetricPlan,
     duplicate_metrics,
-    quality_report,
-    use_long_layout,
     duplicates_shape,
     quality_plan,
     report_from_parts,
@@ -154,7 +151,7 @@ def converted_columns(spec: JobSpec) -> list[str]:
 
 
 def _keep_raw(df: DataFrame, columns: list[str]) -> tuple[DataFrame, list[str]]:
-    present = [c for c in columns if c in df.columns]
+    present = [c for c in columns if c in df.columns]  # a cast may skip missing columns
     return df.withColumns({RAW_PREFIX + c: col(c) for c in present}), present
 
 
@@ -206,17 +203,6 @@ class PlannedJob:
     converted: list[str]
     dup_from_dedupe: bool
     separate_dups: DataFrame | None
-    post_write: bool = False
-    metric_cols: list[str] | None = None
-
-    def written_rows(self, spark: SparkSession) -> DataFrame:
-        """This run's rows as written: the sink read back with the frame's own
-        schema, filtered on the run stamps (the date one prunes partitions)."""
-        sink, stamps = self.spec.sink, self.spec.stamps
-        out = (spark.read.format(sink.format).options(**sink.options)
-               .schema(self.frame.schema).load(sink.path))
-        return out.filter(run_rows(stamps.date_column, stamps.ts_column, self.run_date,
-                                   self.run_ts, stamps.ts_type))
 
     def result(self, spark: SparkSession) -> JobResult:
         """Report from the observation; call after ``frame`` was written."""
@@ -224,14 +210,7 @@ class PlannedJob:
         rows_written = int(values["__rows_after"])
         q = self.spec.quality
         report = None
-        if q is not None and self.post_write:
-            long_report = quality_report(
-                self.written_rows(spark), None, q.ranges, self.metric_cols, q.describe,
-                q.warn_pct, q.legacy_null_valid, layout="long")
-            # frozen now (rows per column and metric: bounded), so a later run
-            # overwriting the sink cannot change this run's report
-            report = spark.createDataFrame(long_report.collect(), long_report.schema)
-        elif q is not None:
+        if q is not None:
             self.metrics.bind_schema(self.metrics_input)
             report = self.metrics.from_row(spark, values)
         if q is not None:
@@ -244,9 +223,10 @@ class PlannedJob:
                     report_from_parts(None, duplicates_shape(one, q.keys), None, None)
                 )
             elif self.separate_dups is not None:
-                report = report.unionByName(
-                    report_from_parts(None, self.separate_dups, None, None)
-                )
+                # evaluated now (one row), so the report outlives the input files
+                dups = self.separate_dups
+                one = spark.createDataFrame(dups.collect(), dups.schema)
+                report = report.unionByName(report_from_parts(None, one, None, None))
             if self.converted:
                 nulled = spark.createDataFrame(
                     [("conversion", c, "n_nulled", float(values[f"__nulled_{i}"]))
@@ -262,24 +242,30 @@ def plan_job(
     spec: JobSpec,
     run_date: dt.date | None = None,
     run_ts: dt.datetime | None = None,
+    rows: DataFrame | None = None,
 ) -> PlannedJob:
-    """Compile a batch spec into the observed frame to write (lazy, no job)."""
-    if spec.ingest is not None:
+    """Compile a batch spec into the observed frame to write (lazy, no job).
+    ``rows`` stand in for the spec's source (a micro-batch of an incremental job)."""
+    if spec.ingest is not None and rows is None:
         raise SpecError("plan_job compiles batch jobs; this spec is incremental")
     if run_date is None or run_ts is None:
         run_date, run_ts = run_clock(run_ts)
     q = spec.quality
-    src = read_source(spark, spec.source)
+    src = read_source(spark, spec.source) if rows is None else rows
     converted: list[str] = []
     if q is not None:
         src, converted = _keep_raw(src, converted_columns(spec))
     df = transform_frame(src, spec, run_date)
+    gone = [c for c in converted if c not in df.columns]  # consumed by a split
+    if gone:
+        df = df.drop(*[RAW_PREFIX + c for c in gone])
+        converted = [c for c in converted if c not in gone]
     if converted:
         # masks go last: as dedupe tie-breakers they only decide between rows
         # that are equal in every output column
         df = _nulled_masks(df, converted)
     counted = _dedupe_counts_rows(spec, df)
-    dup_from_dedupe = bool(q and q.keys and counted and tuple(q.keys) == spec.dedupe.keys)
+    dup_from_dedupe = bool(q and q.keys and counted and set(q.keys) == set(spec.dedupe.keys))
     pre_dedupe = df
     if spec.dedupe:
         df = keep_one(
@@ -299,26 +285,14 @@ def plan_job(
     metrics = metrics_input = None
     metric_cols = list(q.columns) if q is not None and q.columns is not None else data_cols
     require_columns(laid, metric_cols)
-    # Wide tables: the quality aggregates would be thousands per row inside
-    # the write.  Then (if rows carry the run timestamp) the report is built
-    # after the write, in the long layout, over exactly this run's rows.
-    post_write = bool(
-        q is not None and spec.stamps is not None and spec.stamps.ts_column
-        and use_long_layout(
-            "auto", len(metric_cols),
-            len([c for c in metric_cols if isinstance(laid.schema[c].dataType, NumericType)])
-            if q.describe else 0,
-            len(q.ranges))
-    )
     # without a dedupe on the quality key: an estimate can ride on the write's
     # observation; an exact count needs its own (pre-aggregated) shuffle
-    approx_in_obs = bool(q and q.keys and not dup_from_dedupe and q.approx_duplicates
-                         and not post_write)
+    approx_in_obs = bool(q and q.keys and not dup_from_dedupe and q.approx_duplicates)
     separate_dups = (
         duplicate_metrics(pre_dedupe, q.keys, approx=q.approx_duplicates)
         if q and q.keys and not dup_from_dedupe and not approx_in_obs else None
     )
-    if q is not None and not post_write:
+    if q is not None:
         metrics_input = laid.select(*[col(c) for c in data_cols])
         metrics = quality_plan(metrics_input, q.ranges, metric_cols, q.describe,
                                q.warn_pct, q.legacy_null_valid,
@@ -333,7 +307,7 @@ def plan_job(
     observed = laid.observe(obs, *[e.alias(n) for n, e in exprs.items()])
     frame = observed.drop(*internal) if internal else observed
     return PlannedJob(spec, run_date, run_ts, frame, obs, metrics, metrics_input,
-                      converted, dup_from_dedupe, separate_dups, post_write, metric_cols)
+                      converted, dup_from_dedupe, separate_dups)
 
 
 def run_job(

@@ -276,6 +276,11 @@ def q_dedupe_latest(spark, sf_dir):
     return keep_one(table(spark, sf_dir, "orders"), ["o_custkey"], ["o_orderdate desc"])
 
 
+def q_dedupe_latest_counted(spark, sf_dir):
+    return keep_one(table(spark, sf_dir, "orders"), ["o_custkey"], ["o_orderdate desc"],
+                    count_col="n_orders")
+
+
 def q_dedupe_documents(spark, sf_dir):
     """One document per normalised text (whitespace/case variants collapse)."""
     d = table(spark, sf_dir, "documents")
@@ -415,6 +420,26 @@ def q_ingest_incremental(spark, sf_dir):
     return spark.read.schema(_ddl(ev)).parquet(f"{root}/out")
 
 
+def q_ingest_job_latest(spark, sf_dir):
+    """Orders arrive in two drops; each run of the job keeps a customer's latest of its drop."""
+    orders = table(spark, sf_dir, "orders")
+    root = scratch_path(spark, "ingest-job")
+    spec = JobSpec.from_dict({
+        "source": {"format": "parquet", "path": f"{root}/landing/*/*.parquet", "schema": _ddl(orders)},
+        "sink": {"path": f"{root}/out", "mode": "append"},
+        "dedupe": {"keys": ["o_custkey"], "order_by": ["o_orderdate desc"]},
+        "stamps": None,
+        "ingest": {"checkpoint": f"{root}/checkpoint"},
+    })
+    cut = F.lit(dt.datetime(1998, 4, 25))
+    for i, drop in enumerate((orders.filter(F.col("o_orderdate") < cut),
+                              orders.filter(F.col("o_orderdate") >= cut))):
+        write_sink(drop, SinkSpec(path=f"{root}/landing/drop{i}", mode="overwrite"))
+        run_job(spark, spec, AS_OF, RUN_TS)
+        run_job(spark, spec, AS_OF, RUN_TS)  # rerun: nothing new
+    return spark.read.parquet(f"{root}/out").drop("ingest_batch")
+
+
 # ------------------------------------------------------------------------- job
 
 JOB_INPUT_SCHEMA = (
@@ -505,6 +530,7 @@ QUERIES: dict[str, QueryFn] = {
     "age_days365": q_age_days365,
     "run_stamp": q_run_stamp,
     "dedupe_latest": q_dedupe_latest,
+    "dedupe_latest_counted": q_dedupe_latest_counted,
     "dedupe_documents": q_dedupe_documents,
     "dedupe_report": q_dedupe_report,
     "completeness": q_completeness,
@@ -519,6 +545,7 @@ QUERIES: dict[str, QueryFn] = {
     "write_layout": q_write_layout,
     "write_modes": q_write_modes,
     "ingest_incremental": q_ingest_incremental,
+    "ingest_job_latest": q_ingest_job_latest,
     "prep_job": q_prep_job,
     "prep_job_report": q_prep_job_report,
 }

@@ -22,6 +22,8 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Callable, Sequence
 from contextlib import contextmanager
+from dataclasses import replace
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -29,7 +31,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from tidyframe.errors import SpecError
 from tidyframe.functions.stamps import run_rows
-from tidyframe.sinks.write import SinkSpec, writer_options
+from tidyframe.sinks.write import SinkSpec, write_sink, writer_options
 from tidyframe.sources.read import read_source, reader_options
 from tidyframe.sources.spec import SourceSpec, schema_from_files_ok
 
@@ -74,6 +76,32 @@ def schema_from_files(spark: SparkSession, source: SourceSpec):
         ) from ex
 
 
+def new_files(spark: SparkSession, source: SourceSpec, archive_dir: str | None = None,
+              max_files_per_batch: int | None = None) -> DataFrame:
+    """Stream of the rows of every not-yet-seen file of ``source``."""
+    if source.is_jdbc:
+        raise SpecError("ingest reads files, not JDBC")
+    schema = source.schema
+    if schema is None:
+        if not schema_from_files_ok(source):
+            raise SpecError("ingest needs an explicit source schema for this format")
+        schema = schema_from_files(spark, source)
+    paths = list(source.path) if isinstance(source.path, tuple) else [source.path]
+    if len(paths) != 1:
+        raise SpecError("ingest reads one path or glob")
+
+    reader = (spark.readStream.format(source.format).schema(schema)
+              .options(**reader_options(source)))
+    if archive_dir:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
+    if max_files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_batch))
+    df = reader.load(paths[0])
+    if source.file_path_col:
+        df = df.withColumn(source.file_path_col, F.col("_metadata.file_path"))
+    return df
+
+
 def ingest_files(
     spark: SparkSession,
     source: SourceSpec,
@@ -94,30 +122,11 @@ def ingest_files(
     delay of each other and older keys leave the state, so it stays bounded
     (``dropDuplicatesWithinWatermark``).
     """
-    if source.is_jdbc:
-        raise SpecError("ingest reads files, not JDBC")
-    schema = source.schema
-    if schema is None:
-        if not schema_from_files_ok(source):
-            raise SpecError("ingest needs an explicit source schema for this format")
-        schema = schema_from_files(spark, source)
     if sink.format not in STREAM_SINK_FORMATS:
         raise SpecError(f"ingest sink format must be one of {STREAM_SINK_FORMATS}")
     if sink.mode != "append":
         raise SpecError("ingest only appends; set sink mode to 'append'")
-    paths = list(source.path) if isinstance(source.path, tuple) else [source.path]
-    if len(paths) != 1:
-        raise SpecError("ingest reads one path or glob")
-
-    reader = (spark.readStream.format(source.format).schema(schema)
-              .options(**reader_options(source)))
-    if archive_dir:
-        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
-    if max_files_per_batch:
-        reader = reader.option("maxFilesPerTrigger", str(max_files_per_batch))
-    df = reader.load(paths[0])
-    if source.file_path_col:
-        df = df.withColumn(source.file_path_col, F.col("_metadata.file_path"))
+    df = new_files(spark, source, archive_dir, max_files_per_batch)
     if transform is not None:
         df = transform(df)
     if dedupe_keys and watermark:
@@ -148,14 +157,77 @@ def ingest_files(
     return query
 
 
+def _stream_log(spark: SparkSession, path: str) -> bool:
+    """Does a file stream's log own ``path``?  Readers then see the log's files only."""
+    from pyspark.errors import AnalysisException
+
+    try:
+        spark.read.text(f"{path.rstrip('/')}/_spark_metadata")
+    except AnalysisException:
+        return False
+    return True
+
+
+def _run_batches(spark: SparkSession, spec, run_date: dt.date, run_ts: dt.datetime):
+    """Each micro-batch of new files runs as a batch job of its own: clean, dedupe
+    with its order, stamps, observed report, one write.
+
+    A batch writes the folder ``ingest_batch=<query id>-<batch id>`` of the sink, and
+    overwrites it when retried: exactly once for every format, whatever date the retry
+    carries.  The query id lives in the checkpoint, so a new checkpoint never replaces
+    an older one's batches.  Without ``max_files_per_batch`` a run is one batch (plus
+    the retry of a failed one); with it, rows are de-duplicated within each batch.
+    The report has a ``batch_id``.
+    """
+    from tidyframe.plans.job import JobResult, plan_job
+
+    if _stream_log(spark, spec.sink.path):
+        raise SpecError(f"{spec.sink.path!r} holds a file stream's log, which would hide new "
+                        "batches from readers; give the job a sink of its own")
+    done: list[JobResult] = []
+
+    def one_batch(rows: DataFrame, batch_id: int) -> None:
+        own = rows.sparkSession
+        query_id = own.sparkContext.getLocalProperty("sql.streaming.queryId")
+        sink = replace(spec.sink, mode="overwrite", dynamic_overwrite=False,
+                       path=f"{spec.sink.path.rstrip('/')}/ingest_batch={query_id}-{batch_id}")
+        planned = plan_job(own, replace(spec, sink=sink), run_date, run_ts, rows)
+        write_sink(planned.frame, sink, layout=False)
+        result = planned.result(own)
+        if result.report is not None:  # a row per column and metric
+            kept = result.report.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+            result.report = spark.createDataFrame(kept.collect(), kept.schema)
+        done.append(result)
+
+    ing = spec.ingest
+    stream = new_files(spark, spec.source, ing.archive_dir, ing.max_files_per_batch)
+    query = (stream.writeStream.foreachBatch(one_batch).option("checkpointLocation", ing.checkpoint)
+             .trigger(availableNow=True).start())
+    query.awaitTermination()
+    if query.exception() is not None:
+        raise query.exception()
+    report = None
+    if spec.quality is not None:
+        empty = spark.createDataFrame(
+            [], "check string, subject string, metric string, value double, batch_id bigint")
+        report = reduce(DataFrame.unionByName, [r.report for r in done], empty)
+    return JobResult(spec.sink.path, run_date, run_ts, sum(r.rows_written for r in done), report)
+
+
 def run_incremental(spark: SparkSession, spec, run_date: dt.date, run_ts: dt.datetime):
-    """``run_job`` for a spec with an ``ingest`` section."""
+    """``run_job`` for a spec with an ``ingest`` section.
+
+    Rows are de-duplicated within a run (``_run_batches``).  With a watermark they are
+    unique across runs instead: a file stream keeps the first row of each key.
+    """
     from tidyframe.operators.quality import quality_report
-    from tidyframe.plans.job import JobResult, _stamp, transform_frame
+    from tidyframe.plans.job import JobResult, _stamp, keep_report, transform_frame
 
+    if not spec.ingest.watermark_column:
+        return keep_report(_run_batches(spark, spec, run_date, run_ts), spec)
     if spec.dedupe and spec.dedupe.order_by:
         raise SpecError(
-            "incremental dedupe keeps the first row seen per key; order_by is not supported"
+            "dedupe within a watermark keeps the first row seen per key; order_by is not supported"
         )
 
     def transform(df: DataFrame) -> DataFrame:
@@ -165,7 +237,7 @@ def run_incremental(spark: SparkSession, spec, run_date: dt.date, run_ts: dt.dat
     query = ingest_files(
         spark, spec.source, spec.sink, ing.checkpoint, ing.archive_dir, transform,
         spec.dedupe.keys if spec.dedupe else None, ing.max_files_per_batch,
-        (ing.watermark_column, ing.watermark_delay) if ing.watermark_column else None,
+        (ing.watermark_column, ing.watermark_delay),
     )
     report = None
     if spec.quality is not None:
@@ -178,7 +250,5 @@ def run_incremental(spark: SparkSession, spec, run_date: dt.date, run_ts: dt.dat
         q = spec.quality
         report = quality_report(out, q.keys or None, q.ranges, q.columns, q.describe,
                                 q.warn_pct, q.legacy_null_valid, q.approx_duplicates)
-    from tidyframe.plans.job import keep_report
-
     written = rows_written(query)
     return keep_report(JobResult(spec.sink.path, run_date, run_ts, written, report), spec)
