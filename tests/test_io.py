@@ -144,14 +144,14 @@ def test_modes_append_overwrite_error_ignore(spark, scratch):
 
 def test_dynamic_overwrite_keeps_other_days(spark, scratch):
     path = scratch + "/p"
-    write_sink(_daily(spark, "2024-01-01"), SinkSpec(path=path, partition_by=("d",)))
-    write_sink(_daily(spark, "2024-01-02"), SinkSpec(path=path, partition_by=("d",)))
-    write_sink(_daily(spark, "2024-01-02", 5), SinkSpec(path=path, partition_by=("d",)))
+    sink = SinkSpec(path=path, partition_by=("d",), dynamic_overwrite=True)
+    write_sink(_daily(spark, "2024-01-01"), sink)
+    write_sink(_daily(spark, "2024-01-02"), sink)
+    write_sink(_daily(spark, "2024-01-02", 5), sink)
     counts = {r["d"]: r["count"] for r in spark.read.parquet(path).groupBy("d").count().collect()}
     assert counts == {dt.date(2024, 1, 1): 3, dt.date(2024, 1, 2): 5}
-    # static overwrite replaces the whole folder
-    write_sink(_daily(spark, "2024-01-03"), SinkSpec(path=path, partition_by=("d",),
-                                                     dynamic_overwrite=False))
+    # unless asked for, overwrite replaces the whole folder
+    write_sink(_daily(spark, "2024-01-03"), SinkSpec(path=path, partition_by=("d",)))
     assert spark.read.parquet(path).select("d").distinct().count() == 1
 
 
@@ -214,7 +214,7 @@ def test_static_overwrite_wins_over_session_default(spark, scratch):
 def test_partition_pruning_on_written_layout(spark, scratch):
     path = scratch + "/p"
     for day in ("2024-01-01", "2024-01-02", "2024-01-03"):
-        write_sink(_daily(spark, day), SinkSpec(path=path, partition_by=("d",)))
+        write_sink(_daily(spark, day), SinkSpec(path=path, partition_by=("d",), dynamic_overwrite=True))
     df = read_source(spark, SourceSpec(format="parquet", path=path))
     one = df.filter(F.col("d") == F.lit(dt.date(2024, 1, 2)))
     plan = plan_text(one)

@@ -643,3 +643,63 @@ def test_ingest_csv_keeps_spaces(spark, scratch):
     back = spark.read.csv(f"{scratch}/out", schema="s string", ignoreLeadingWhiteSpace=False,
                           ignoreTrailingWhiteSpace=False)
     assert sorted(r["s"] for r in back.collect()) == ["  x  ", "y "]
+
+
+def test_legacy_jdbc_source(scratch):
+    attrs = legacy_attrs("", scratch + "/out")
+    attrs["source"] = {"file_type": "postgresql"}
+    attrs |= {"tabela": "public.visits", "conexao": "jdbc:postgresql://db/ward", "driver": "org.postgresql.Driver"}
+    src = from_legacy_attributes(attrs).source
+    assert (src.format, src.table, src.url, src.driver) == (
+        "postgresql", "public.visits", "jdbc:postgresql://db/ward", "org.postgresql.Driver")
+    del attrs["driver"]
+    with pytest.raises(SpecError, match="driver"):
+        from_legacy_attributes(attrs)
+
+
+def test_ingest_schema_is_kept_with_the_checkpoint(spark, scratch):
+    from tidyframe.sources.spec import SourceSpec
+    from tidyframe.streaming.ingest import schema_from_files
+
+    spark.range(3).selectExpr("id", "'x' AS name").write.parquet(scratch + "/landing/a")
+    found = schema_from_files(spark, SourceSpec("parquet", scratch + "/landing/a"), scratch + "/ck")
+    gone = SourceSpec("parquet", scratch + "/empty/*.parquet")
+    assert schema_from_files(spark, gone, scratch + "/ck") == found
+    with pytest.raises(SpecError, match="source.schema"):
+        schema_from_files(spark, gone, scratch + "/other")
+
+
+def _conversions(report):
+    return {r["subject"]: r["value"] for r in report.filter("check = 'conversion'").collect()}
+
+
+def test_conversions_of_derived_columns(spark, scratch):
+    df = spark.createDataFrame(
+        [("1/x", "3", "2000-01-01"), ("y", "z", "soon"), (None, None, None), ("2/4", "5", "1999-05-05")],
+        "pair string, Temp string, born string")
+    df.write.parquet(scratch + "/in")
+    spec = JobSpec.from_dict({
+        "source": {"format": "parquet", "path": scratch + "/in"},
+        "sink": {"path": scratch + "/out"},
+        "clean": {"split": [{"column": "pair", "into": ["a", "b"], "cast": "int"}]},
+        # a name in another case, and a column that the split has consumed
+        "cast": [{"columns": ["temp", "pair"], "to": "double"}],
+        "years_between": [{"column": "age", "start": "born", "end": "2024-01-01"}],
+        "stamps": None, "quality": {},
+    })
+    result = run_job(spark, spec, *RUN)
+    assert _conversions(result.report) == {"Temp": 1.0, "a": 1.0, "b": 1.0, "age": 1.0}
+    rows = {(r["a"], r["b"], r["Temp"], r["age"]) for r in spark.read.parquet(scratch + "/out").collect()}
+    assert rows == {(1, None, 3.0, 24), (None, None, None, None), (2, 4, 5.0, 24)}
+
+
+def test_years_between_on_error_fail(spark, scratch):
+    spark.createDataFrame([("soon",)], "born string").write.parquet(scratch + "/in")
+    step = {"column": "age", "start": "born", "end": "2024-01-01", "on_error": "fail"}
+    spec = JobSpec.from_dict({"source": {"format": "parquet", "path": scratch + "/in"},
+                              "sink": {"path": scratch + "/out"}, "years_between": [step]})
+    with pytest.raises(Exception, match="cannot parse date"):
+        run_job(spark, spec, *RUN)
+    with pytest.raises(SpecError, match="on_error"):
+        JobSpec.from_dict({"source": {"format": "parquet", "path": "x"}, "sink": {"path": "y"},
+                           "years_between": [{**step, "on_error": "skip"}]})

@@ -22,6 +22,15 @@ def pct(part: Column, whole: Column) -> Column:
     ).otherwise(F.lit(0.0))
 
 
+def own_name(df: DataFrame, name: str) -> str | None:
+    """``name`` as the frame spells it, by the session's case rule; None if absent."""
+    if name in df.columns:
+        return name
+    if df.sparkSession.conf.get("spark.sql.caseSensitive", "false").lower() == "true":
+        return None
+    return next((c for c in df.columns if c.lower() == name.lower()), None)
+
+
 def is_temporal(df: DataFrame, name: str) -> bool:
     """Column already holds dates/timestamps (no text pattern applies)."""
     return isinstance(df.schema[name].dataType, (DateType, TimestampType, TimestampNTZType))

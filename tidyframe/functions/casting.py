@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import DataType
 
 from tidyframe.errors import SpecError, require_columns
-from tidyframe.functions._util import as_col
+from tidyframe.functions._util import as_col, own_name
 
 ON_ERROR = ("null", "fail")
 
@@ -59,12 +59,7 @@ def cast_columns(
         raise SpecError(f"missing must be 'skip' or 'fail', got {missing!r}")
     if missing == "fail":
         require_columns(df, columns)
-    if df.sparkSession.conf.get("spark.sql.caseSensitive", "false").lower() == "true":
-        names = {c: c for c in df.columns}
-    else:
-        names = {c.lower(): c for c in df.columns}
-        columns = [c.lower() for c in columns]
-    present = [names[c] for c in dict.fromkeys(columns) if c in names]
+    present = [c for c in dict.fromkeys(own_name(df, c) for c in columns) if c is not None]
     if not present:
         return df
     return df.withColumns({c: safe_cast(c, to, on_error) for c in present})

@@ -8,7 +8,12 @@ BIGINT and percentages computed in DOUBLE, as on the Spark side.
 
 from __future__ import annotations
 
-from tidyframe.registry import EVENTS_WITH_GAPS_SQL, EVENTS_WITH_NULLS_SQL, RANGE_RULES
+from tidyframe.registry import (
+    EVENTS_WITH_GAPS_SQL,
+    EVENTS_WITH_NULLS_SQL,
+    ORDER_RULES,
+    RANGE_RULES,
+)
 
 # Unicode White_Space, spelled for RE2: what Java's (?U)\s matches.
 WS = r"[\t\n\x0B\f\r\x{85}\pZ]+"
@@ -172,6 +177,23 @@ _JOB_COLS = [("order_id", False), ("customer_id", False), ("priority_note", Fals
              ("order_age", False), ("processing_date", False), ("processing_ts", False)]
 
 
+def _ingest_report() -> str:
+    """One report per drop: of each customer's latest order, duplicates before that."""
+    cols = [("o_orderkey", False), ("o_custkey", False), ("o_orderstatus", False),
+            ("o_totalprice", True), ("o_orderdate", False), ("o_orderpriority", False)]
+    ctes, parts = {}, []
+    for batch, when in enumerate(("<", ">=")):
+        ctes[f"b{batch}"] = f"select * from orders where o_orderdate {when} timestamp '1998-04-25'"
+        ctes[f"d{batch}"] = f"""select * from (select *, row_number() over (partition by o_custkey
+            order by o_orderdate desc, o_orderkey desc) as rn from b{batch}) where rn = 1"""
+        report = report_sql(f"d{batch}", cols, ["o_orderkey", "o_custkey", "o_totalprice"],
+                            ORDER_RULES, [])
+        dups = long_sql(duplicates_sql(f"b{batch}", ["o_custkey"]), "duplicates", "key",
+                        ["total", "n_unique", "n_duplicate", "pct_duplicate"])
+        parts.append(f"select *, cast({batch} as bigint) as batch_id from ({report} union all {dups})")
+    return _with(ctes, "\nunion all\n".join(parts))
+
+
 def oracles() -> dict[str, str]:
     part_all = "select * from part"
     sql = {
@@ -181,9 +203,9 @@ def oracles() -> dict[str, str]:
         "roundtrip_json": part_all,
         "roundtrip_xml": part_all,
         "roundtrip_parquet": part_all,
-        "roundtrip_csv_text": "select doc_id, text, lang from documents",
-        "roundtrip_json_text": "select doc_id, text, lang from documents",
-        "roundtrip_xml_text": "select doc_id, text, lang from documents",
+        "roundtrip_csv_text": "select * from documents",
+        "roundtrip_json_text": "select * from documents",
+        "roundtrip_xml_text": "select * from documents",
         "scan_glob": "select *, '20240101' as batch from part union all "
                      "select *, '20240102' as batch from part",
         "glob_dedupe": part_all,
@@ -223,7 +245,22 @@ def oracles() -> dict[str, str]:
                      "date '2026-12-01') as integer) as age_years from orders",
         "age_days365": "select o_orderkey, cast(trunc(date_diff('day', cast(o_orderdate as date),"
                        " date '2026-12-01') / 365) as integer) as age_years from orders",
-        "run_stamp": "select o_orderkey, o_custkey, o_orderstatus, "
+        "age_years_messy": """with x as (select o_orderkey, o_orderdate,
+                case when o_orderkey % 17 = 0 then 'none' when o_orderkey % 11 = 0 then 'abc'
+                     when o_orderkey % 13 = 0 then 'no day' when o_orderkey % 7 = 0 then 'leap'
+                     else 'given' end as kind from orders),
+            b as (select o_orderkey,
+                case kind when 'none' then null when 'abc' then 'abc' when 'no day' then '31/02/2000'
+                    when 'leap' then '29/02/1996' else strftime(o_orderdate, '%d/%m/%Y') end as day_first,
+                case kind when 'none' then null when 'abc' then 'abc' when 'no day' then '2000-02-31'
+                    when 'leap' then '1996-02-29' else strftime(o_orderdate, '%Y-%m-%d') end as iso
+                from x)
+            select o_orderkey,
+                cast(date_sub('year', cast(try_strptime(day_first, '%d/%m/%Y') as date),
+                    date '2026-12-01') as integer) as age_pattern,
+                cast(date_sub('year', try_cast(iso as date), date '2026-12-01') as integer) as age_iso
+            from b""",
+        "run_stamp": "select *, "
                      "date '2026-12-01' as processing_date, "
                      "timestamp '2026-12-01 06:30:00' as processing_ts from orders",
         "dedupe_latest": _DEDUPE_LATEST,
@@ -270,13 +307,37 @@ def oracles() -> dict[str, str]:
         "write_modes": "select *, date '2024-01-01' as load_date from part union all "
                        "select *, date '2024-01-02' from part union all "
                        "select *, date '2024-01-03' from part",
+        "write_overwrite_static": "select * from orders where o_orderstatus <> 'F'",
         "ingest_incremental": "select * from events",
+        "ingest_job_report": _ingest_report(),
+        "ingest_csv_text": "select * replace ('  ' || text || ' ' as text) from documents",
+        "ingest_xml": part_all,
         "ingest_job_latest": """select * exclude (late, rn) from (
             select *, row_number() over (partition by late, o_custkey
                 order by o_orderdate desc, o_orderkey desc) as rn
             from (select *, o_orderdate >= timestamp '1998-04-25' as late from orders))
             where rn = 1""",
         "prep_job": _with(_JOB_CTES, "select * from d"),
+        "chain_steps": _with(_JOB_CTES, "select * from d"),
+        "prep_job_conversions": """with m as (select cast(o_orderkey as varchar) as order_id,
+                case when o_orderkey % 5 = 0 then '12/x' when o_orderkey % 7 = 0 then 'y'
+                     else o_custkey || '/' || (o_orderkey % 100) end as pair,
+                o_orderstatus || '/' || case when o_orderkey % 9 = 0 then 'none'
+                     else cast(o_totalprice as varchar) end as tagged,
+                case when o_orderkey % 11 = 0 then 'abc' when o_orderkey % 13 = 0 then '31/02/2000'
+                     when o_orderkey % 17 = 0 then null
+                     else strftime(o_orderdate, '%d/%m/%Y') end as born from orders),
+            p as (select *, string_split(pair, '/')[1] as l, string_split(pair, '/')[2] as r,
+                string_split(tagged, '/')[2] as t from m),
+            n as (
+                select 'order_id' as subject, count_if(try_cast(order_id as bigint) is null) as n from p
+                union all select 'total', count_if(try_cast(t as double) is null) from p
+                union all select 'left', count_if(l is not null and try_cast(l as integer) is null) from p
+                union all select 'right', count_if(r is not null and try_cast(r as integer) is null) from p
+                union all select 'age', count_if(born is not null
+                    and try_strptime(born, '%d/%m/%Y') is null) from p)
+            select 'conversion' as "check", subject, 'n_nulled' as metric,
+                cast(n as double) as value from n""",
         "prep_job_report": _with(
             {**_JOB_CTES,
              "b": "select * from e"},
@@ -298,7 +359,9 @@ def oracles() -> dict[str, str]:
                 "\nunion all\n".join(
                     f"select '{c}' as subject, count_if({c} is null) as n_nulled from d"
                     for c in ("order_date", "order_id", "customer_id", "total")
-                ),
+                )
+                + "\nunion all\nselect 'order_age' as subject, "
+                "count_if(order_age is null and order_date is not null) as n_nulled from d",
                 "conversion", "subject", ["n_nulled"],
             ),
         ),

@@ -17,8 +17,8 @@ Batch flow::
   the same observation.
 * ``plan_job`` returns the exact frame that will be written, so
   ``plan_job(...).frame.explain()`` shows the job's physical plan.
-* With a quality section, each converted column (cast, date re-format) gets a
-  "nulled by the conversion" bit, set right after the row-local steps and
+* With a quality section, each converted column (cast, date re-format, cast split
+  part, year difference) gets a "nulled by the conversion" bit, set right after the row-local steps and
   packed into one bigint per 62 columns; the observation counts the bits of
   the written rows (``conversion / n_nulled`` in the report).  Only the mask,
   not the raw values, crosses the dedupe shuffle.
@@ -30,18 +30,19 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
+from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tidyframe.functions.casting import cast_columns
+from tidyframe.functions.casting import cast_columns, safe_cast
 from tidyframe.functions.dates import reformat_date, years_between
 from tidyframe.functions.split import split_column
 from tidyframe.functions.stamps import add_run_stamps, run_clock
 from tidyframe.functions.text import normalize_text, strip_accents, title_case, title_case_plain
 from tidyframe.errors import SpecError, require_columns
-from tidyframe.functions._util import col, is_temporal
+from tidyframe.functions._util import col, is_temporal, own_name
 from tidyframe.operators.dedupe import aggregatable, keep_one
 from tidyframe.operators.quality import (
     MetricPlan,
@@ -72,9 +73,12 @@ class JobResult:
 # ------------------------------------------------------------------ transforms
 
 
-def clean_frame(df: DataFrame, spec: JobSpec) -> tuple[DataFrame, dict[str, str]]:
+def clean_frame(
+    df: DataFrame, spec: JobSpec, counted: Sequence[str] = ()
+) -> tuple[DataFrame, dict[str, str]]:
     """Text / date / split steps.  Returns the frame and the date pattern each
-    re-formatted column now has (for later year differences)."""
+    re-formatted column now has (for later year differences).  Split parts in
+    ``counted`` keep a raw copy from before their cast."""
     c = spec.clean
     uni = c.unicode_whitespace
     exprs = {}
@@ -96,16 +100,22 @@ def clean_frame(df: DataFrame, spec: JobSpec) -> tuple[DataFrame, dict[str, str]
     require_columns(df, list(exprs))
     out = df.withColumns(exprs) if exprs else df
     for s in c.split:
+        watched = [n for n in s.into if n in counted]
         out = split_column(out, s.column, list(s.into), s.pattern, s.regex,
-                           s.keep_source, s.cast, s.on_error)
+                           s.keep_source, None if watched else s.cast, s.on_error)
+        if watched:
+            out = _keep_raw(out, watched)
+            if s.cast is not None:
+                out = out.withColumns({n: safe_cast(n, s.cast, s.on_error) for n in s.into})
     return out, patterns
 
 
 def transform_frame(
-    df: DataFrame, spec: JobSpec, run_date: dt.date
+    df: DataFrame, spec: JobSpec, run_date: dt.date, counted: Sequence[str] = ()
 ) -> DataFrame:
-    """Every row-local step of the job (safe for batch and streaming)."""
-    out, patterns = clean_frame(df, spec)
+    """Every row-local step of the job (safe for batch and streaming).  Columns in
+    ``counted`` that a step derives get a raw copy from before their conversion."""
+    out, patterns = clean_frame(df, spec, counted)
     for step in spec.cast:
         out = cast_columns(out, list(step.columns), step.to, step.on_error, step.missing)
     for y in spec.years_between:
@@ -113,7 +123,12 @@ def transform_frame(
         if y.start in out.columns and is_temporal(out, y.start):
             pattern = None  # already a date / timestamp: nothing to parse
         end = y.end if y.end is not None else run_date
-        out = out.withColumn(y.column, years_between(y.start, end, pattern, y.method))
+        years = years_between(y.start, end, pattern, y.method, y.on_error)
+        if y.column in counted:  # "raw" is there when both ends hold a value
+            ends = [own_name(out, v) for v in (y.start, end) if isinstance(v, str)]
+            given = F.coalesce(*[F.when(col(c).isNull(), F.lit(False)) for c in ends if c], F.lit(True))
+            out = out.withColumn(RAW_PREFIX + y.column, F.when(given, F.lit(1)))
+        out = out.withColumn(y.column, years)
     return out
 
 
@@ -124,6 +139,11 @@ def _stamp(df: DataFrame, spec: JobSpec, run_date, run_ts) -> DataFrame:
     return add_run_stamps(df, run_date, run_ts, s.date_column, s.ts_column, s.ts_type)
 
 
+def stamp_columns(spec: JobSpec) -> tuple[str, ...]:
+    s = spec.stamps
+    return tuple(c for c in (s.date_column, s.ts_column) if c) if s else ()
+
+
 def build_frame(
     spark: SparkSession,
     spec: JobSpec,
@@ -143,16 +163,18 @@ def build_frame(
 
 
 def converted_columns(spec: JobSpec) -> list[str]:
-    """Columns a step converts in place (casts, date re-formats)."""
+    """Columns a step converts: date re-formats, casts, cast split parts, years."""
     out = [r.column for r in spec.clean.reformat_date]
-    for step in spec.cast:
-        out += [c for c in step.columns if c not in out]
-    return out
+    out += [c for step in spec.cast for c in step.columns]
+    out += [c for s in spec.clean.split if s.cast is not None for c in s.into]
+    out += [y.column for y in spec.years_between]
+    return list(dict.fromkeys(out))
 
 
-def _keep_raw(df: DataFrame, columns: list[str]) -> tuple[DataFrame, list[str]]:
-    present = [c for c in columns if c in df.columns]  # a cast may skip missing columns
-    return df.withColumns({RAW_PREFIX + c: col(c) for c in present}), present
+def _keep_raw(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """Raw copies of the columns the frame has (a cast may skip missing ones)."""
+    own = {own_name(df, c) for c in columns} - {None}
+    return df.withColumns({RAW_PREFIX + c: col(c) for c in own}) if own else df
 
 
 def _nulled_masks(df: DataFrame, converted: list[str]) -> DataFrame:
@@ -254,12 +276,15 @@ def plan_job(
     src = read_source(spark, spec.source) if rows is None else rows
     converted: list[str] = []
     if q is not None:
-        src, converted = _keep_raw(src, converted_columns(spec))
-    df = transform_frame(src, spec, run_date)
-    gone = [c for c in converted if c not in df.columns]  # consumed by a split
-    if gone:
-        df = df.drop(*[RAW_PREFIX + c for c in gone])
-        converted = [c for c in converted if c not in gone]
+        names = converted_columns(spec)
+        df = transform_frame(_keep_raw(src, names), spec, run_date, names)
+        own = dict.fromkeys(own_name(df, c) for c in names)
+        converted = [c for c in own if c is not None and RAW_PREFIX + c in df.columns]
+        # raw copies of columns that a split has consumed
+        df = df.drop(*(c for c in df.columns if c.startswith(RAW_PREFIX)
+                       and c.removeprefix(RAW_PREFIX) not in converted))
+    else:
+        df = transform_frame(src, spec, run_date)
     if converted:
         # masks go last: as dedupe tie-breakers they only decide between rows
         # that are equal in every output column
@@ -275,7 +300,7 @@ def plan_job(
         )
     df = _stamp(df, spec, run_date, run_ts)
     # layout first: the observation must sit after the last exchange
-    stamps = {spec.stamps.date_column, spec.stamps.ts_column} if spec.stamps else set()
+    stamps = set(stamp_columns(spec))
     constant = bool(spec.sink.partition_by) and set(spec.sink.partition_by) <= stamps
     laid = prepare_layout(df, spec.sink, constant_partitions=constant)
 
@@ -324,7 +349,7 @@ def run_job(
 
         return run_incremental(spark, spec, run_date, run_ts)
     planned = plan_job(spark, spec, run_date, run_ts)
-    write_sink(planned.frame, spec.sink, layout=False)
+    write_sink(planned.frame, spec.sink, layout=False, stamps=stamp_columns(spec))
     return keep_report(planned.result(spark), spec)
 
 
@@ -337,5 +362,5 @@ def keep_report(result: JobResult, spec: JobSpec) -> JobResult:
         return result
     stamped = add_run_stamps(result.report, result.run_date, result.run_ts,
                              "run_date", "run_ts")
-    write_sink(stamped, q.report_sink)
+    write_sink(stamped, q.report_sink, stamps=("run_date", "run_ts"))
     return result

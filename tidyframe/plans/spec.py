@@ -107,16 +107,18 @@ class YearsStep:
     end: str | None = None
     pattern: str | None = None
     method: str = "calendar"
+    on_error: str = "null"
 
     @classmethod
     def from_dict(cls, d: Mapping) -> YearsStep:
-        _strict(d, {"column", "start", "end", "pattern", "method"}, "years_between")
+        _strict(d, set(cls.__dataclass_fields__), "years_between")
         if d.get("method", "calendar") not in AGE_METHODS:
             raise SpecError(f"years_between.method must be one of {AGE_METHODS}")
         pat = d.get("pattern")
         return cls(
             d["column"], d["start"], d.get("end"),
             check_date_pattern(pat) if pat else None, d.get("method", "calendar"),
+            _policy(d.get("on_error", "null"), "years_between"),
         )
 
 
@@ -294,6 +296,7 @@ LEGACY_KEYS = (
     "source", "destiny", "transformations", "type_conversion", "enrichment",
     "quality", "partitioning", "processing",
 )
+LEGACY_JDBC = {"tabela": "table", "conexao": "url", "driver": "driver"}
 
 
 def from_legacy_attributes(attrs: Mapping, checkpoint: str | None = None) -> JobSpec:
@@ -301,7 +304,8 @@ def from_legacy_attributes(attrs: Mapping, checkpoint: str | None = None) -> Job
 
     * ``source`` / ``destiny``: ``file_type``, ``file_path``, ``options``; a
       ``mode`` inside the writer options becomes the save mode, empty-string
-      options are dropped.
+      options are dropped.  A database ``file_type`` takes ``tabela``, ``conexao``
+      and ``driver``, given beside ``source`` or in it.
     * ``processing.remove_duplicates`` / ``duplicate_key`` -> dedupe;
       ``move_processed_files`` / ``processed_folder`` -> incremental ingest with
       archive (needs ``checkpoint`` and a source schema).
@@ -311,7 +315,7 @@ def from_legacy_attributes(attrs: Mapping, checkpoint: str | None = None) -> Job
     * ``quality.coluna_chave`` and ``validacoes_faixa`` (``coluna/min/max``).
     * ``partitioning.num_particoes`` / ``particionar_por``.
     """
-    _strict(attrs, set(LEGACY_KEYS), "attributes")
+    _strict(attrs, {*LEGACY_KEYS, *LEGACY_JDBC}, "attributes")
     try:
         return _from_legacy(attrs, checkpoint)
     except KeyError as ex:
@@ -322,6 +326,7 @@ def from_legacy_attributes(attrs: Mapping, checkpoint: str | None = None) -> Job
 
 def _from_legacy(attrs: Mapping, checkpoint: str | None) -> JobSpec:
     src = dict(attrs["source"])
+    jdbc = {new: v for old, new in LEGACY_JDBC.items() if (v := attrs.get(old, src.get(old)))}
     dst = dict(attrs["destiny"])
     dst_opts = {k: v for k, v in (dst.pop("options", {}) or {}).items() if v != ""}
     mode = dst_opts.pop("mode", "overwrite")
@@ -376,7 +381,7 @@ def _from_legacy(attrs: Mapping, checkpoint: str | None) -> JobSpec:
     return JobSpec.from_dict(
         {
             "source": {"format": src.get("file_type"), "path": src.get("file_path"),
-                       "options": src.get("options", {}) or {},
+                       "options": src.get("options", {}) or {}, **jdbc,
                        **({"schema": src["schema"]} if "schema" in src else {})},
             "sink": sink,
             "dedupe": dedupe,

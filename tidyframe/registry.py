@@ -14,12 +14,14 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidyframe.functions.casting import cast_columns, safe_cast
 from tidyframe.functions.dates import age_years, reformat_date
+from tidyframe.functions.frame import add_years, normalize_columns, reformat_dates
 from tidyframe.functions.split import split_column
 from tidyframe.functions.stamps import add_run_stamps
 from tidyframe.functions.text import normalize_text, strip_accents, title_case, title_case_plain
@@ -127,7 +129,7 @@ def q_roundtrip_parquet(spark, sf_dir):
 
 def _roundtrip_text(spark, sf_dir, fmt: str, options: dict) -> DataFrame:
     """Whole documents through a text format (quotes, markup, newlines)."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    docs = table(spark, sf_dir, "documents")
     path = scratch_path(spark, f"roundtrip-{fmt}-text")
     write_sink(docs, SinkSpec(path=path, format=fmt, options=options))
     return read_source(spark, SourceSpec(format=fmt, path=path, options=options,
@@ -263,8 +265,25 @@ def q_age_days365(spark, sf_dir):
                     age_years("o_orderdate", AS_OF, method="days365").alias("age_years"))
 
 
+def q_age_years_messy(spark, sf_dir):
+    """Birth dates with NULLs, text that is no date, days that do not exist, leap days."""
+    o = table(spark, sf_dir, "orders")
+    key = F.col("o_orderkey")
+
+    def born(bad_day: str, leap_day: str, fmt: str):
+        return (F.when(key % 17 == 0, F.lit(None)).when(key % 11 == 0, F.lit("abc"))
+                .when(key % 13 == 0, F.lit(bad_day)).when(key % 7 == 0, F.lit(leap_day))
+                .otherwise(F.date_format("o_orderdate", fmt)))
+
+    day_first = born("31/02/2000", "29/02/1996", "dd/MM/yyyy")
+    return o.select(
+        "o_orderkey",
+        age_years(day_first, AS_OF, "dd/MM/yyyy").alias("age_pattern"),
+        age_years(born("2000-02-31", "1996-02-29", "yyyy-MM-dd"), AS_OF).alias("age_iso"))
+
+
 def q_run_stamp(spark, sf_dir):
-    o = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    o = table(spark, sf_dir, "orders")
     return add_run_stamps(o, AS_OF, RUN_TS, "processing_date", "processing_ts",
                           ts_type="timestamp_ntz")
 
@@ -393,7 +412,8 @@ def q_write_modes(spark, sf_dir):
 
     def load(day: str, mode: str):
         df = p.withColumn("load_date", F.lit(dt.date.fromisoformat(day)))
-        write_sink(df, SinkSpec(path=path, mode=mode, partition_by=("load_date",)))
+        write_sink(df, SinkSpec(path=path, mode=mode, partition_by=("load_date",),
+                                dynamic_overwrite=True))
 
     load("2024-01-01", "overwrite")
     load("2024-01-02", "overwrite")
@@ -402,6 +422,15 @@ def q_write_modes(spark, sf_dir):
     return spark.read.schema(_ddl(p) + ", load_date date").parquet(path)
 
 
+def q_write_overwrite_static(spark, sf_dir):
+    """A rewrite with fewer partition values leaves no stale partition behind."""
+    o = table(spark, sf_dir, "orders")
+    sink = SinkSpec(path=scratch_path(spark, "overwrite"), partition_by=("o_orderstatus",))
+    write_sink(o, sink)
+    write_sink(o.filter(F.col("o_orderstatus") != "F"), sink)
+    return spark.read.schema(_ddl(o)).parquet(sink.path)
+
+
 # ---------------------------------------------------------------------- ingest
 
 
@@ -420,24 +449,62 @@ def q_ingest_incremental(spark, sf_dir):
     return spark.read.schema(_ddl(ev)).parquet(f"{root}/out")
 
 
-def q_ingest_job_latest(spark, sf_dir):
-    """Orders arrive in two drops; each run of the job keeps a customer's latest of its drop."""
-    orders = table(spark, sf_dir, "orders")
+LATE = dt.datetime(1998, 4, 25)
+LATEST = {"dedupe": {"keys": ["o_custkey"], "order_by": ["o_orderdate desc"]}}
+ORDER_RULES = [{"column": "o_totalprice", "min": 1000.0, "max": 300000.0}]
+
+
+def _ingest_drops(spark, rows: DataFrame, early, sink: dict, steps: dict | None = None):
+    """``rows`` arrive in two drops, those of ``early`` first; after each the incremental
+    job runs, and again with nothing new.  Returns the sink folder and the runs' results."""
     root = scratch_path(spark, "ingest-job")
     spec = JobSpec.from_dict({
-        "source": {"format": "parquet", "path": f"{root}/landing/*/*.parquet", "schema": _ddl(orders)},
-        "sink": {"path": f"{root}/out", "mode": "append"},
-        "dedupe": {"keys": ["o_custkey"], "order_by": ["o_orderdate desc"]},
+        "source": {"format": "parquet", "path": f"{root}/landing/*/*.parquet", "schema": _ddl(rows)},
+        "sink": {"path": f"{root}/out", "mode": "append", **sink},
         "stamps": None,
         "ingest": {"checkpoint": f"{root}/checkpoint"},
+        **(steps or {}),
     })
-    cut = F.lit(dt.datetime(1998, 4, 25))
-    for i, drop in enumerate((orders.filter(F.col("o_orderdate") < cut),
-                              orders.filter(F.col("o_orderdate") >= cut))):
+    results = []
+    for i, drop in enumerate((rows.filter(early), rows.filter(~early))):
         write_sink(drop, SinkSpec(path=f"{root}/landing/drop{i}", mode="overwrite"))
-        run_job(spark, spec, AS_OF, RUN_TS)
-        run_job(spark, spec, AS_OF, RUN_TS)  # rerun: nothing new
-    return spark.read.parquet(f"{root}/out").drop("ingest_batch")
+        results += [run_job(spark, spec, AS_OF, RUN_TS) for _ in range(2)]
+    return spec.sink.path, results
+
+
+def q_ingest_job_latest(spark, sf_dir):
+    """Orders arrive in two drops; each run of the job keeps a customer's latest of its drop."""
+    orders = table(spark, sf_dir, "orders")
+    out, _ = _ingest_drops(spark, orders, F.col("o_orderdate") < LATE, {}, LATEST)
+    return spark.read.parquet(out).drop("ingest_batch")
+
+
+def q_ingest_job_report(spark, sf_dir):
+    """The report of each drop's run, with a JSON sink: rows as written, duplicates before."""
+    orders = table(spark, sf_dir, "orders")
+    quality = {"keys": ["o_custkey"], "ranges": ORDER_RULES}
+    _, results = _ingest_drops(spark, orders, F.col("o_orderdate") < LATE, {"format": "json"},
+                               {**LATEST, "quality": quality})
+    report = reduce(DataFrame.unionByName, [r.report for r in results])
+    return report.withColumn("value", F.round("value", 4))
+
+
+def q_ingest_csv_text(spark, sf_dir):
+    """Whole documents with spaces around the text come through a CSV sink unchanged."""
+    docs = table(spark, sf_dir, "documents").withColumn(
+        "text", F.concat(F.lit("  "), "text", F.lit(" ")))
+    options = {"header": True, "multiLine": True, "escape": '"'}
+    out, _ = _ingest_drops(spark, docs, F.col("doc_id") % 2 == 0, {"format": "csv", "options": options})
+    return read_source(spark, SourceSpec(format="csv", path=out, options=options,
+                                         schema=_ddl(docs))).drop("ingest_batch")
+
+
+def q_ingest_xml(spark, sf_dir):
+    part = table(spark, sf_dir, "part")
+    options = {"rowTag": "part"}
+    out, _ = _ingest_drops(spark, part, F.col("p_partkey") % 2 == 0, {"format": "xml", "options": options})
+    return read_source(spark, SourceSpec(format="xml", path=out, options=options,
+                                         schema=_ddl(part))).drop("ingest_batch")
 
 
 # ------------------------------------------------------------------------- job
@@ -503,6 +570,52 @@ def q_prep_job_report(spark, sf_dir):
     return result.report.withColumn("value", F.round("value", 4))
 
 
+def q_prep_job_conversions(spark, sf_dir):
+    """Values that became NULL in a split's cast, in the cast of a split part and in a
+    year difference, counted during the write."""
+    o = table(spark, sf_dir, "orders")
+    key = F.col("o_orderkey")
+    messy = o.select(
+        key.cast("string").alias("order_id"),
+        F.when(key % 5 == 0, F.lit("12/x")).when(key % 7 == 0, F.lit("y"))
+        .otherwise(F.concat_ws("/", F.col("o_custkey").cast("string"), (key % 100).cast("string")))
+        .alias("pair"),
+        F.concat_ws("/", "o_orderstatus", F.when(key % 9 == 0, F.lit("none"))
+                    .otherwise(F.col("o_totalprice").cast("string"))).alias("tagged"),
+        F.when(key % 11 == 0, F.lit("abc")).when(key % 13 == 0, F.lit("31/02/2000"))
+        .when(key % 17 == 0, F.lit(None)).otherwise(F.date_format("o_orderdate", "dd/MM/yyyy"))
+        .alias("born"),
+    )
+    src = scratch_path(spark, "conversions-input")
+    write_sink(messy, SinkSpec(path=src))
+    result = run_job(spark, JobSpec.from_dict({
+        "source": {"format": "parquet", "path": src, "schema": _ddl(messy)},
+        "sink": {"path": scratch_path(spark, "conversions")},
+        "clean": {"split": [{"column": "pair", "into": ["left", "right"], "cast": "int"},
+                            {"column": "tagged", "into": ["status", "total"]}]},
+        "cast": [{"columns": ["order_id"], "to": "bigint"}, {"columns": ["total"], "to": "double"}],
+        "years_between": [{"column": "age", "start": "born", "pattern": "dd/MM/yyyy"}],
+        "stamps": None,
+        "quality": {"describe": False},
+    }), AS_OF, RUN_TS)
+    return result.report.filter("check = 'conversion'")
+
+
+def q_chain_steps(spark, sf_dir):
+    """The steps of ``prep_job`` chained over the frame, without a spec."""
+    raw = read_source(spark, SourceSpec(format="csv", path=_job_input(spark, sf_dir),
+                                        options={"header": True}, schema=JOB_INPUT_SCHEMA))
+    return (raw.transform(normalize_columns, ["priority_note"])
+            .transform(reformat_dates, "order_date", "dd/MM/yyyy")
+            .transform(split_column, "status_priority", ["status", "priority"])
+            .transform(cast_columns, ["order_id", "customer_id"], "bigint")
+            .transform(cast_columns, ["total"])
+            .transform(add_years, "order_age", "order_date", AS_OF)
+            .transform(keep_one, ["customer_id"], ["order_date desc"])
+            .transform(add_run_stamps, AS_OF, RUN_TS, "processing_date", "processing_ts",
+                       ts_type="timestamp_ntz"))
+
+
 # -------------------------------------------------------------------- registry
 
 
@@ -528,6 +641,7 @@ QUERIES: dict[str, QueryFn] = {
     "split_columns": q_split_columns,
     "age_years": q_age_years,
     "age_days365": q_age_days365,
+    "age_years_messy": q_age_years_messy,
     "run_stamp": q_run_stamp,
     "dedupe_latest": q_dedupe_latest,
     "dedupe_latest_counted": q_dedupe_latest_counted,
@@ -544,8 +658,14 @@ QUERIES: dict[str, QueryFn] = {
     "write_partitioned": q_write_partitioned,
     "write_layout": q_write_layout,
     "write_modes": q_write_modes,
+    "write_overwrite_static": q_write_overwrite_static,
     "ingest_incremental": q_ingest_incremental,
     "ingest_job_latest": q_ingest_job_latest,
+    "ingest_job_report": q_ingest_job_report,
+    "ingest_csv_text": q_ingest_csv_text,
+    "ingest_xml": q_ingest_xml,
     "prep_job": q_prep_job,
     "prep_job_report": q_prep_job_report,
+    "prep_job_conversions": q_prep_job_conversions,
+    "chain_steps": q_chain_steps,
 }

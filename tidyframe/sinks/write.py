@@ -14,14 +14,15 @@ Layout rules (``num_files``):
 * ``n > 1``: ``repartition(n)`` (round robin, even files).
 
 Save modes: ``append``, ``overwrite``, ``error``/``errorifexists``,
-``ignore``.  ``overwrite`` with ``partition_by`` replaces only the partitions
-present in the new data (``partitionOverwriteMode=dynamic``) unless
-``dynamic_overwrite=False``: rerunning a day never erases other days.
+``ignore``.  ``overwrite`` replaces the whole sink, so no partition of an earlier
+write stays behind.  With ``dynamic_overwrite=True`` only the partitions present
+in the new data are replaced.  That is the default of a job whose sink is
+partitioned by a run stamp: rerunning a day never erases other days.
 """
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame
@@ -45,7 +46,7 @@ class SinkSpec:
     options: Mapping[str, str] = field(default_factory=dict)
     partition_by: tuple[str, ...] = ()
     num_files: int | None = None
-    dynamic_overwrite: bool = True
+    dynamic_overwrite: bool | None = None  # None: dynamic for run-stamp partitions only
     max_records_per_file: int | None = None
 
     def __post_init__(self):
@@ -122,8 +123,11 @@ def writer_options(spec: SinkSpec) -> dict[str, str]:
     return opts
 
 
-def write_sink(df: DataFrame, spec: SinkSpec, layout: bool = True) -> None:
-    """Write ``df``; ``layout=False`` when the caller already applied it."""
+def write_sink(
+    df: DataFrame, spec: SinkSpec, layout: bool = True, stamps: Sequence[str] = ()
+) -> None:
+    """Write ``df``; ``layout=False`` when the caller already applied it.
+    ``stamps``: columns that hold this run's date or time."""
     if spec.partition_by:
         require_columns(df, spec.partition_by)
     out = prepare_layout(df, spec) if layout else df
@@ -132,6 +136,8 @@ def write_sink(df: DataFrame, spec: SinkSpec, layout: bool = True) -> None:
         w = w.partitionBy(*spec.partition_by)
         if spec.mode == "overwrite":
             # explicit both ways, so a session default cannot flip it
-            w = w.option("partitionOverwriteMode",
-                         "dynamic" if spec.dynamic_overwrite else "static")
+            dynamic = spec.dynamic_overwrite
+            if dynamic is None:
+                dynamic = not set(stamps).isdisjoint(spec.partition_by)
+            w = w.option("partitionOverwriteMode", "dynamic" if dynamic else "static")
     w.save(spec.path)

@@ -20,6 +20,7 @@ streaming bookkeeping.  Streams need an explicit schema.
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Callable, Sequence
 from contextlib import contextmanager
 from dataclasses import replace
@@ -28,6 +29,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import StructType
 
 from tidyframe.errors import SpecError
 from tidyframe.functions.stamps import run_rows
@@ -63,21 +65,31 @@ def rows_written(query: StreamingQuery) -> int:
                for p in query.recentProgress if OBSERVED in (p.observedMetrics or {}))
 
 
-def schema_from_files(spark: SparkSession, source: SourceSpec):
-    """Schema of the files present now (CSV header / Parquet footers only)."""
+def schema_from_files(spark: SparkSession, source: SourceSpec, checkpoint: str | None = None):
+    """Schema of the files present now (CSV header / Parquet footers only).  It is kept
+    beside ``checkpoint``, for a rerun when all files have been archived."""
     from pyspark.errors import AnalysisException
 
+    kept = f"{checkpoint.rstrip('/')}_schema" if checkpoint else None
     try:
-        return read_source(spark, source).drop(*([source.file_path_col]
-                                                 if source.file_path_col else [])).schema
+        found = read_source(spark, source).drop(*([source.file_path_col]
+                                                  if source.file_path_col else [])).schema
     except AnalysisException as ex:
+        try:
+            if kept is not None:
+                return StructType.fromJson(json.loads(spark.read.text(kept).first()[0]))
+        except AnalysisException:
+            pass  # a first run: nothing kept yet
         raise SpecError(
             f"no files at {source.path!r} to take the schema from; give source.schema"
         ) from ex
+    if kept is not None:
+        spark.createDataFrame([(found.json(),)], "value string").write.mode("overwrite").text(kept)
+    return found
 
 
 def new_files(spark: SparkSession, source: SourceSpec, archive_dir: str | None = None,
-              max_files_per_batch: int | None = None) -> DataFrame:
+              max_files_per_batch: int | None = None, checkpoint: str | None = None) -> DataFrame:
     """Stream of the rows of every not-yet-seen file of ``source``."""
     if source.is_jdbc:
         raise SpecError("ingest reads files, not JDBC")
@@ -85,7 +97,7 @@ def new_files(spark: SparkSession, source: SourceSpec, archive_dir: str | None =
     if schema is None:
         if not schema_from_files_ok(source):
             raise SpecError("ingest needs an explicit source schema for this format")
-        schema = schema_from_files(spark, source)
+        schema = schema_from_files(spark, source, checkpoint)
     paths = list(source.path) if isinstance(source.path, tuple) else [source.path]
     if len(paths) != 1:
         raise SpecError("ingest reads one path or glob")
@@ -126,7 +138,7 @@ def ingest_files(
         raise SpecError(f"ingest sink format must be one of {STREAM_SINK_FORMATS}")
     if sink.mode != "append":
         raise SpecError("ingest only appends; set sink mode to 'append'")
-    df = new_files(spark, source, archive_dir, max_files_per_batch)
+    df = new_files(spark, source, archive_dir, max_files_per_batch, checkpoint)
     if transform is not None:
         df = transform(df)
     if dedupe_keys and watermark:
@@ -200,7 +212,7 @@ def _run_batches(spark: SparkSession, spec, run_date: dt.date, run_ts: dt.dateti
         done.append(result)
 
     ing = spec.ingest
-    stream = new_files(spark, spec.source, ing.archive_dir, ing.max_files_per_batch)
+    stream = new_files(spark, spec.source, ing.archive_dir, ing.max_files_per_batch, ing.checkpoint)
     query = (stream.writeStream.foreachBatch(one_batch).option("checkpointLocation", ing.checkpoint)
              .trigger(availableNow=True).start())
     query.awaitTermination()
