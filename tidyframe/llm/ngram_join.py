@@ -224,17 +224,23 @@ def _fits(sim: Similarity) -> Column:
     return (sim.percent * F.greatest("n_a", "n_b") <= 100 * F.least("n_a", "n_b"))
 
 
+def _near(sim: Similarity, a: Column, b: Column, longs: int, loose: list[Column]) -> Column:
+    """The sketches ``a`` and ``b`` of sets of n_a and n_b elements differ in no more bits
+    than linked sets do in elements, the bits of ``loose`` (or null) aside."""
+    differ = F.lit(0)
+    for k in range(longs):
+        bits = F.get(a, F.lit(k)).bitwiseXOR(F.get(b, F.lit(k)))
+        for mask in loose:
+            bits = bits.bitwiseAND(F.bitwise_not(F.coalesce(F.get(mask, F.lit(k)), F.lit(0).cast("long"))))
+        differ = differ + F.bit_count(bits)
+    return (100 + sim.percent) * differ <= (100 - sim.percent) * (F.col("n_a") + F.col("n_b"))
+
+
 def _close(sim: Similarity, name: str = "sketch", longs: int = SKETCH, vary: bool = False) -> Column:
     """The sketches differ in no more bits than linked sets do in elements.  ``vary``:
     bits in which the members of a group differ among themselves do not count."""
-    differ = None
-    for k in range(longs):
-        bits = F.get(f"{name}_a", F.lit(k)).bitwiseXOR(F.get(f"{name}_b", F.lit(k)))
-        if vary:
-            loose = [F.coalesce(F.get(f"vary_{s}", F.lit(k)), F.lit(0).cast("long")) for s in "ab"]
-            bits = bits.bitwiseAND(F.bitwise_not(loose[0].bitwiseOR(loose[1])))
-        differ = F.bit_count(bits) if differ is None else differ + F.bit_count(bits)
-    return (100 + sim.percent) * differ <= (100 - sim.percent) * (F.col("n_a") + F.col("n_b"))
+    loose = [F.col("vary_a"), F.col("vary_b")] if vary else []
+    return _near(sim, F.col(f"{name}_a"), F.col(f"{name}_b"), longs, loose)
 
 
 def _verify(pairs: DataFrame, slim: DataFrame, sets: DataFrame, sim: Similarity) -> DataFrame:
@@ -306,12 +312,15 @@ def _group_pairs(slim: DataFrame, comps: DataFrame, sim: Similarity) -> DataFram
         (F.col("comp_a") < F.col("comp_b")) & _fits(sim) & _close(sim, vary=True)
         & (F.coalesce(first, F.col("tok")) == F.col("tok")))
     meet = meet.select("grp_a", "grp_b", "n_a", "n_b").distinct()
-    sketch = units.select("grp", "members")
-    for s in "ab":
-        meet = meet.join(sketch.select(F.col("grp").alias(f"grp_{s}"), F.col("members").alias("m")),
-                         f"grp_{s}").withColumn("m", F.explode("m")).withColumns(
-            {s: F.col("m.id"), f"sketch_{s}": F.col("m.sketch")}).drop("m")
-    return meet.filter(_close(sim)).select("a", "b")
+    # members of a near to what the members of b have in common, then those of b near to them
+    inside = lambda s: units.select(F.col("grp").alias(f"grp_{s}"), "members")
+    common = units.select(F.col("grp").alias("grp_b"), F.col("sketch").alias("both"), "vary")
+    meet = meet.join(common, "grp_b").join(inside("a"), "grp_a").select(
+        "grp_b", "n_a", "n_b", F.explode(F.filter("members", lambda x: _near(
+            sim, x["sketch"], F.col("both"), SKETCH, [F.col("vary")]))).alias("x"))
+    meet = meet.join(inside("b"), "grp_b").select("x", F.explode(F.filter("members", lambda y: _near(
+        sim, F.col("x.sketch"), y["sketch"], SKETCH, []))).alias("y"))
+    return meet.select(F.col("x.id").alias("a"), F.col("y.id").alias("b"))
 
 
 def similarity_components(docs: DataFrame, width: int = 5, percent: int = 80) -> DataFrame:
