@@ -275,6 +275,23 @@ def test_decontamination_slots_must_agree(spark):
     assert got == {1: True, 2: False}
 
 
+def test_decontamination_conflict_drops_its_windows_only(spark):
+    tail = " ".join(f"plain{chr(97 + k)}" for k in range(20))
+    bench = spark.createDataFrame(
+        [(1, f"take 3 of the red ones {tail} and add 3 of the blue"),
+         (2, "so we saw Anna and Carl go home there and later on we met Anna again by the old mill pond")],
+        "item_id long, text string")
+    docs = spark.createDataFrame(
+        [(1, f"take 3 of the red ones {tail} and add 4 of the blue"),    # one of two equal numbers
+         (2, f"take 5 of the red ones {tail} and add 4 of the blue"),    # stands for two others
+         # one of two equal names, and another name put in throughout: windows with both stay
+         (3, "so we saw Anna and Dora go home there and later on we met Berta again by the old mill pond"),
+         (4, "take 5 of the red ones and add 4 of the blue")], "doc_id long, text string")
+    got = {r["doc_id"]: (r["item_ids"], r["verbatim"])
+           for r in rows(decontamination.judge_documents(docs, bench))}
+    assert got == {1: ([1], True), 2: ([1], True), 3: ([2], False), 4: ([], None)}
+
+
 def test_decontamination_table(spark):
     items = {r["item_id"]: " ".join(words(r["text"]))
              for r in rows(spark.read.parquet(f"{SF}/benchmark.parquet"))}

@@ -4,9 +4,11 @@ Words become template tokens: numbers, names (capitalised words inside a
 sentence) and units (after a number) turn into typed placeholders, all others are
 lower-cased without edge punctuation.  Windows of ``WIDTH`` template tokens of all
 documents are joined by hash with those of the benchmark, aligned by shift, and a
-shift counts only if its slots are consistent: one benchmark value stands for one
-document value throughout.  That finds verbatim passages as well as questions with
-other numbers or names put in.
+window counts only if its slots are consistent with the others of its shift: one
+benchmark value stands for one document value throughout.  A value that stands for
+several loses the windows where it is changed; those where it stands for itself, and
+those without it, stay.  That finds verbatim passages as well as questions with other
+numbers or names put in.
 
 A document is contaminated by an item if the aligned windows cover ``CONTAINED``
 of the item's windows, or ``RUN`` windows at one shift match (``RUN`` + 4 words).
@@ -132,11 +134,18 @@ def find_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     rows = docs.select("doc_id", text_key().alias("key"), "text")
     hits = template_windows(rows, ["doc_id", "key"], bitmap).join(items, "hash")
     shift = hits.groupBy("doc_id", "key", "item_id", (F.col("place") - F.col("item_place")).alias("s")).agg(
-        F.collect_set("item_place").alias("places"),
-        F.array_distinct(F.flatten(F.collect_set(F.arrays_zip(
-            F.col("item_slots").alias("a"), F.col("slots").alias("b"))))).alias("pairs"))
-    values = F.array_distinct(F.transform("pairs", lambda p: p["a"]))
-    shift = shift.filter(F.size(values) == F.size("pairs"))  # one value for one value
+        F.collect_set(F.struct("item_place", F.arrays_zip(
+            F.col("item_slots").alias("a"), F.col("slots").alias("b")).alias("pairs"))).alias("windows"))
+    pairs = F.array_distinct(F.flatten(F.col("windows.pairs")))
+    shift = shift.withColumn("pairs", F.array_sort(pairs))  # those of one benchmark value are neighbours
+    shift = shift.withColumn("clash", F.filter("pairs", lambda p, i: (p["a"] != p["b"]) & (
+        F.coalesce(F.get("pairs", i - 1)["a"] == p["a"], F.lit(False))
+        | F.coalesce(F.get("pairs", i + 1)["a"] == p["a"], F.lit(False)))))
+    shift = shift.withColumn("windows", F.filter(
+        "windows", lambda w: ~F.exists(w["pairs"], lambda p: F.array_contains("clash", p))))
+    shift = shift.filter(F.size("windows") > 0).select(
+        "doc_id", "key", "item_id", F.col("windows.item_place").alias("places"),
+        F.flatten(F.col("windows.pairs")).alias("pairs"))
     per = shift.groupBy("doc_id", "key", "item_id").agg(
         F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("matched"),
         F.max(F.size("places")).alias("aligned"),
