@@ -292,6 +292,23 @@ def test_decontamination_conflict_drops_its_windows_only(spark):
     assert got == {1: ([1], True), 2: ([1], True), 3: ([2], False), 4: ([], None)}
 
 
+def test_decontamination_plain_words(spark):
+    items = {1: "Alice Brown met Carl Davis near Elm Street while Frank Green called Helen Irving",
+             2: "the water in the old harbour froze over twice during that long winter of the war and nobody sailed",
+             3: "we then saw Peter standing near the gate", 4: "Which river is longest?", 5: "Ärger ÜBER Öl",
+             6: "", 7: "on the hill that evening the mayor of our town met Gustav who had come by boat"}
+    bench = spark.createDataFrame(list(items.items()), "item_id long, text string")
+    cases = [(1, "x " + items[1] + " y", [1]), (2, items[2].upper(), [2]),
+             (3, "and so " + items[3].capitalize() + " at noon", [3]),
+             (4, "he asked WHICH RIVER is longest, twice: which river is longest", [4]),
+             (5, "viel ärger über öl hier", [5]), (6, items[7].lower(), [7]), (7, "", []), (8, None, []),
+             (9, "Alice Brown met Carl Smith near Oak Street and which river is long", [])]
+    docs = spark.createDataFrame([(i, t) for i, t, _ in cases], "doc_id long, text string")
+    got = {r["doc_id"]: (r["item_ids"], r["verbatim"])
+           for r in rows(decontamination.judge_documents(docs, bench))}
+    assert got == {i: (k, True if k else None) for i, _, k in cases}
+
+
 def test_decontamination_table(spark):
     items = {r["item_id"]: " ".join(words(r["text"]))
              for r in rows(spark.read.parquet(f"{SF}/benchmark.parquet"))}
