@@ -348,6 +348,29 @@ def test_url_template_tree_blocks_by_purity(spark):
     assert all(got[k]["verdict"] == "block" and got[k + 40]["verdict"] == "allow" for k in range(40))
 
 
+def test_url_templates_do_not_depend_on_row_counts(spark):
+    rules = [(f"h.org/spam/{k}", "block") for k in range(20)]
+    urls = [f"http://h.org/{s}/{k}" for s in ("spam", "news") for k in range(40)]
+
+    def judged(pages, rules):
+        table = spark.createDataFrame(list(enumerate(pages)), "page_id long, url string")
+        return {pages[r["page_id"]]: (r["template"], r["verdict"], round(r["purity"], 9))
+                for r in rows(url_templates.filter_urls(table, rules))}
+
+    once = judged(urls, rules)
+    assert {once[u][:2] for u in urls[:40]} == {("/spam/*", "block")}
+    for more in (urls * 5, urls + urls[:1] * 400):  # every page five times; one hot url
+        assert {u: x[:2] for u, x in judged(more, rules).items()} == {u: x[:2] for u, x in once.items()}
+    hot = judged(urls + [f"http://h.org/spam/7/{k}" for k in range(400)], rules)  # one hot child
+    assert {hot[u][:2] for u in urls[:40]} == {("/spam/*", "block")}
+    deep = "http://h.org/" + "/".join(f"s{k}" for k in range(12))  # as deep as the paths go
+    got = judged([f"{deep}/{s}/{k}" for s in ("x", "y") for k in range(40)] + [f"{deep}/z"],
+                 [(f"{deep[7:]}/x/{k}", "block") for k in range(20)])
+    for s, verdict in (("x", "block"), ("y", "allow")):
+        assert {got[f"{deep}/{s}/{k}"][:2] for k in range(40)} == {(f"{deep[12:]}/{s}/*", verdict)}
+    assert got[f"{deep}/z"][0] == f"{deep[12:]}/z"
+
+
 def targets_brute(sizes, weights):
     names = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
     w = {s: weights[k % len(weights)] for k, s in enumerate(names)}

@@ -1,8 +1,10 @@
 """URL filter by rules and by a path-template tree [native].
 
 Rules decide first.  The other urls are judged by the template of their path:
-per host a tree of path segments is built level by level; under a parent whose
-children are many and mostly rare (ids, slugs), the children become one ``*``;
+per host a tree of path segments is built level by level, as deep as the paths go;
+under a parent whose children are many and mostly rare (ids, slugs), the children
+become one ``*``, where a child is rare by the distinct paths below it, however many
+rows they have;
 sibling branches whose rule labels do not differ significantly (and that have
 labels at all) share one pool of labels; a template is rejected when its
 smoothed share of blocked labels reaches ``threshold``.  Smoothing draws a
@@ -25,13 +27,14 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidyframe.llm.common import materialize
+from tidyframe.session import scratch_path
 
 #: (rule, verdict); a rule is host/path
 Rule = tuple[str, str]
 
-DEPTH = 8            # tree levels; what lies deeper is one trailing "**" segment
 MIN_CHILDREN = 8     # a parent with fewer distinct children keeps them
-MAX_MEAN_URLS = 4.0  # ... and so does one whose children hold more urls on average
+MAX_MEAN_URLS = 4.0  # ... and so does one whose children hold more distinct paths on average,
+RARE_SHARE = 0.5     # unless this share of them does not
 STRENGTH = 4.0       # pseudo-labels drawn from the parent
 PRIOR = 0.1          # blocked share expected where there are no labels
 Z_SIMILAR = 1.96     # sibling branches closer than this many standard errors merge
@@ -75,34 +78,36 @@ def match_rules(host: Column, path: Column, rules: Sequence[Rule]) -> Column:
                                              best["verdict"].alias("verdict")))
 
 
-def _segments(path: Column) -> Column:
-    parts = F.filter(F.split(path, "/"), lambda s: s != "")
-    deep = F.size(parts) > DEPTH
-    return F.when(deep, F.concat(F.slice(parts, 1, DEPTH), F.array(F.lit("**")))).otherwise(parts)
-
-
 def template_tree(paths: DataFrame) -> DataFrame:
     """``paths(host, path, n, n_labelled, n_blocked)``, one row per distinct host
     and path -> the same rows with ``template`` (segments joined by ``/``).  Each
-    level is written before the next reads it twice."""
-    out = materialize(paths.select("*", _segments(F.col("path")).alias("_seg"),
-                                   F.lit("").alias("template")), "url-paths")
-    depth = out.agg(F.max(F.size("_seg"))).first()[0] or 0  # at most DEPTH + 1
-    for level in range(depth):
-        seg = F.get("_seg", F.lit(level))
-        children = (out.filter(F.size("_seg") > level)
-                    .groupBy("host", "template", seg.alias("_s")).agg(F.sum("n").alias("_n")))
-        parents = (children.groupBy("host", "template")
-                   .agg(F.count("*").alias("_k"), F.sum("_n").alias("_urls"))
-                   .filter((F.col("_k") >= MIN_CHILDREN)
-                           & (F.col("_urls") <= MAX_MEAN_URLS * F.col("_k")))
-                   .select("host", "template", F.lit(True).alias("_wild")))
-        step = F.when(F.size("_seg") > level, F.concat(
-            "template", F.lit("/"), F.when(F.col("_wild"), F.lit("*")).otherwise(seg)))
-        out = materialize(out.join(parents, ["host", "template"], "left")
-                          .withColumn("template", F.coalesce(step, F.col("template")))
-                          .drop("_wild"), "url-level")
-    return out.drop("_seg")
+    level is written before the next reads it twice; only rows that a deeper level can
+    still change go on to it."""
+    spark, folder, levels = paths.sparkSession, scratch_path(paths.sparkSession, "url-levels"), []
+    left = materialize(paths.select(
+        "*", F.filter(F.split("path", "/"), lambda s: s != "").alias("_seg"),
+        F.lit("").alias("template")), "url-paths")
+    while not levels or not left.isEmpty():
+        level = len(levels)
+        seg, below = F.get("_seg", F.lit(level)), F.size("_seg") - level
+        children = (left.filter(below > 0).groupBy("host", "template", seg.alias("_s"))
+                    .agg(F.count("*").alias("_paths")))
+        rare = F.avg((F.col("_paths") <= MAX_MEAN_URLS).cast("int")) >= RARE_SHARE
+        # under a parent of fewer paths no level can become "*" any more
+        parents = (children.groupBy("host", "template").agg(
+            F.sum("_paths").alias("_all"), ((F.count("*") >= MIN_CHILDREN) & (
+                (F.avg("_paths") <= MAX_MEAN_URLS) | rare)).alias("_wild"))
+            .filter(F.col("_all") >= MIN_CHILDREN).select("host", "template", "_wild"))
+        rest = F.array_join(F.slice("_seg", F.lit(level + 1), F.greatest(below, F.lit(0))), "/")
+        step = F.when(F.col("_wild").isNull(), rest).when(F.col("_wild"), "*").otherwise(seg)
+        out = (left.join(parents, ["host", "template"], "left")
+               .withColumn("_done", F.col("_wild").isNull() | (below <= 1))
+               .withColumn("template", F.when(below > 0, F.concat("template", F.lit("/"), step))
+                           .otherwise(F.col("template"))).drop("_wild"))
+        levels.append(f"{folder}/{level}")
+        out.write.parquet(levels[-1])
+        left = spark.read.schema(out.schema).parquet(levels[-1]).filter("NOT _done").drop("_done")
+    return spark.read.schema(out.schema).parquet(*levels).filter("_done").drop("_seg", "_done")
 
 
 def template_verdicts(tree: DataFrame, threshold: float = 0.5) -> DataFrame:
