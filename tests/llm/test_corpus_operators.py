@@ -244,6 +244,27 @@ def test_substring_dedup(spark, odd, empty):
     assert substring_dedup.dedup_substrings(empty).count() == 0
 
 
+def test_substring_dedup_splits_a_hot_minimiser(spark, monkeypatch):
+    stock = " ".join(f"s{k}" for k in range(40))
+    docs = [(i, " ".join(f"a{i}x{k}" for k in range(45)) + f" {stock} " + " ".join(f"b{i}x{k}" for k in range(45)))
+            for i in range(60)]
+    docs += [(100 + i, f"c{i} {docs[i][1]}") for i in (3, 7, 7)]  # repeats longer than a window
+    limit, least_ids = 300, substring_dedup._least_ids
+
+    def bounded(packed, doc_ids, window):  # runs in the tasks
+        n = sum(p.count(b" ") + 2 - window for p in packed)
+        assert n < 2 * limit, f"{n} windows at a time"
+        return least_ids(packed, doc_ids, window)
+
+    monkeypatch.setattr(substring_dedup, "BUCKET_WINDOWS", limit)
+    monkeypatch.setattr(substring_dedup, "_least_ids", bounded)
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    got = collections.Counter((r["doc_id"], r["n_words"], r["n_removed"], r["kept_sha256"])
+                              for r in rows(substring_dedup.dedup_substrings(table)))
+    assert got == substring_brute(docs)
+    assert sum(r[2] * n for r, n in got.items()) == 390
+
+
 def test_decontamination(spark, odd, empty):
     bench = spark.createDataFrame([
         (1, "Tom has 12 apples and gives 5 of them to his friend Anna who then eats 3 right away."),

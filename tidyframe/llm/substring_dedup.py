@@ -13,7 +13,10 @@ bucket, and equal windows always meet there.
    per chunk.
 3. A bucket sorts the windows of its strings and takes the least document id of
    each distinct window; hashes only find the candidates, equality is checked word
-   by word.
+   by word.  Windows are counted by minimiser first: of one with more than
+   ``BUCKET_WINDOWS`` (a stock passage shorter than a window, with ever other words
+   around it) each window travels alone, as its 128-bit code, dealt by that code, so
+   that no group grows with the table.
 4. Each occurrence compares its own id with those of its windows; words under a
    window that also starts in a document with a smaller id are removed.
 
@@ -44,7 +47,7 @@ from tidyframe.llm.common import (
 
 WINDOW = 50
 GRAM = 16            # longer than a stock phrase: those would mark most documents as shared
-BUCKET_WINDOWS = 200_000  # windows sorted at a time; a minimiser is never split
+BUCKET_WINDOWS = 200_000  # windows sorted at a time; a minimiser of more is dealt by window
 
 
 def _sliding_min(x: np.ndarray, width: int) -> np.ndarray:
@@ -81,21 +84,23 @@ def _minimisers(window: int):
         import pyarrow as pa
 
         for part in slices(batches):
-            owner, found = [], []
-            for k, _, _, (least, _, _) in _each_text(part, window):
-                own = np.unique(least)
+            owner, found, windows = [], [], []
+            for k, _, _, (least, first, end) in _each_text(part, window):
+                own, which = np.unique(least, return_inverse=True)
                 owner += [k] * len(own)
                 found.append(own)
-            found = np.concatenate([*found, np.empty(0, np.int64)])
+                windows.append(np.bincount(which, end - first, len(own)).astype(np.int64))
+            found, windows = (np.concatenate([*x, np.empty(0, np.int64)]) for x in (found, windows))
             yield pa.RecordBatch.from_arrays(
-                [part.column("doc_id").take(pa.array(owner, pa.int64())), pa.array(found, pa.int64())],
-                names=["doc_id", "minimiser"])
+                [part.column("doc_id").take(pa.array(owner, pa.int64())), pa.array(found, pa.int64()),
+                 pa.array(windows, pa.int64())], names=["doc_id", "minimiser", "windows"])
 
     return run
 
 
 def _strings(window: int, pack: bool):
-    """Occurrences of super-k-mers under shared minimisers: as strings, or as slim rows."""
+    """Occurrences of super-k-mers under shared minimisers: as strings, or as slim rows.
+    Under hot minimisers those of single windows, whose string is null."""
 
     def run(batches):
         import pyarrow as pa
@@ -103,21 +108,25 @@ def _strings(window: int, pack: bool):
 
         digest = xxhash.xxh3_128_intdigest
         for part in slices(batches):
-            shared, ids = part.column("shared").to_pylist(), part.column("doc_id").to_pylist()
+            shared, hot, ids = (part.column(c).to_pylist() for c in ("shared", "hot", "doc_id"))
             cols: list[list] = [[] for _ in range(5)]
             least_id: dict = {}
             for k, own, words, (least, first, end) in _each_text(part, window):
                 use = np.flatnonzero(np.isin(least, np.array(shared[k], np.int64)))
-                for j in use.tolist():
-                    text = b" ".join([words[w] for w in own[first[j]:end[j] + window - 1]])
+                alone = np.isin(least, np.array(hot[k], np.int64))
+                spans = [(int(least[j]), a, b, bool(alone[j])) for j in use.tolist()
+                         for a, b in ([(a, a + 1) for a in range(first[j], end[j])] if alone[j]
+                                      else [(int(first[j]), int(end[j]))])]
+                for minimiser, a, b, single in spans:
+                    text = b" ".join([words[w] for w in own[a:b + window - 1]])
                     code = digest(text)
-                    key = (int(least[j]), (code >> 64) - (1 << 63), (code & (1 << 64) - 1) - (1 << 63))
+                    key = (minimiser, (code >> 64) - (1 << 63), (code & (1 << 64) - 1) - (1 << 63))
                     if pack:
                         old = least_id.get(key)
                         if old is None or ids[k] < old[1]:
-                            least_id[key] = (text, ids[k])
+                            least_id[key] = (None if single else text, ids[k])
                     else:
-                        for c, v in zip(cols, (*key, k, int(first[j])), strict=True):
+                        for c, v in zip(cols, (*key, k, a), strict=True):
                             c.append(v)
             if pack:
                 keys = [pa.array([key[k] for key in least_id], pa.int64()) for k in range(3)]
@@ -160,14 +169,15 @@ def _least_ids(packed: list[bytes], doc_ids: np.ndarray, window: int) -> list[np
 
 
 def _buckets(window: int):
-    """Rows sorted by minimiser -> the same strings' codes with their windows' ids."""
+    """Rows sorted by minimiser and code -> the same strings' codes with their windows' ids."""
 
     def answer(rows):
         import pyarrow as pa
 
-        rows = sorted(rows, key=lambda r: (r[:3], r[4]))  # the least id of equal strings first
-        rows = [r for k, r in enumerate(rows) if not k or r[:3] != rows[k - 1][:3]]
-        least = _least_ids([r[3] for r in rows], np.array([r[4] for r in rows], np.int64), window)
+        alone = [r for r in rows if r[3] is None]
+        rows = [r for r in rows if r[3] is not None]
+        least = _least_ids([r[3] for r in rows], np.array([r[4] for r in rows], np.int64), window) if rows else []
+        rows, least = rows + alone, [*least, *([r[4]] for r in alone)]
         return pa.RecordBatch.from_arrays(
             [*(pa.array([r[k] for r in rows], pa.int64()) for k in range(3)),
              pa.array(least, pa.list_(pa.int64()))], names=["minimiser", "code1", "code2", "least"])
@@ -177,11 +187,14 @@ def _buckets(window: int):
         for part in batches:
             cols = [part.column(c).to_pylist() for c in ("minimiser", "code1", "code2", "packed", "least")]
             for row in zip(*cols, strict=True):
-                if windows >= BUCKET_WINDOWS and row[0] != held[-1][0]:
+                if held and row[:3] == held[-1][:3]:  # the least id of equal strings
+                    held[-1] = min(held[-1], row, key=lambda r: r[4])
+                    continue
+                if windows >= BUCKET_WINDOWS and (row[3] is None or row[0] != held[-1][0]):
                     yield answer(held)
                     held, windows = [], 0
                 held.append(row)
-                windows += row[3].count(b" ") + 2 - window
+                windows += 1 if row[3] is None else row[3].count(b" ") + 2 - window
         if held:
             yield answer(held)
 
@@ -221,8 +234,8 @@ def _settle(with_text: bool):
             done = [(t or "") if s is None else None for t, s in zip(texts, shared, strict=True)]
             on = pa.array([t if s is not None else None for t, s in zip(texts, shared, strict=True)], pa.string())
             cols = _result(part, done, [None] * len(done), with_text)
-            yield pa.RecordBatch.from_arrays([*cols, on, part.column("shared")],
-                                             names=["doc_id", *_OUT, "text", "shared"])
+            yield pa.RecordBatch.from_arrays([*cols, on, part.column("shared"), part.column("hot")],
+                                             names=["doc_id", *_OUT, "text", "shared", "hot"])
 
     return run
 
@@ -255,21 +268,26 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, with_text: bool = Tr
     id_type = docs.schema["doc_id"].dataType.simpleString()
     rows = docs.select("doc_id", "text")
     least = materialize(rows.filter("doc_id IS NOT NULL").mapInArrow(
-        _minimisers(window), f"doc_id {id_type}, minimiser long"), "minimisers")
-    shared = (least.groupBy("minimiser").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"))
-              .filter("a < b").select("minimiser"))
-    per_doc = least.join(shared, "minimiser").groupBy("doc_id").agg(
-        F.collect_set("minimiser").alias("shared"))
+        _minimisers(window), f"doc_id {id_type}, minimiser long, windows long"), "minimisers")
+    shared = (least.groupBy("minimiser").agg(
+        F.min("doc_id").alias("a"), F.max("doc_id").alias("b"),
+        (F.sum("windows") > BUCKET_WINDOWS).alias("is_hot"))
+        .filter("a < b").select("minimiser", "is_hot"))
+    per_doc = least.select("doc_id", "minimiser").join(shared, "minimiser").groupBy("doc_id").agg(
+        F.collect_set("minimiser").alias("shared"),
+        F.collect_set(F.when(F.col("is_hot"), F.col("minimiser"))).alias("hot"))
     out = f"doc_id {id_type}, n_words long, n_removed long, kept_sha256 string, kept_text string"
     settled = materialize(
         rows.join(per_doc, "doc_id", "left").mapInArrow(
-            _settle(with_text), f"{out}, text string, shared array<long>")
+            _settle(with_text), f"{out}, text string, shared array<long>, hot array<long>")
         .withColumn("row_no", F.monotonically_increasing_id()), "substring-docs")
 
-    some = settled.filter("shared IS NOT NULL").select("doc_id", "row_no", "text", "shared")
+    some = settled.filter("shared IS NOT NULL").select("doc_id", "row_no", "text", "shared", "hot")
     packed = some.mapInArrow(
         _strings(window, True), "minimiser long, code1 long, code2 long, packed binary, least long")
-    answers = (packed.repartition("minimiser").sortWithinPartitions("minimiser").mapInArrow(
+    deal = F.when(F.col("packed").isNull(), F.col("code1"))
+    answers = (packed.repartition("minimiser", deal)
+               .sortWithinPartitions("minimiser", "code1", "code2").mapInArrow(
         _buckets(window), "minimiser long, code1 long, code2 long, least array<long>"))
     places = some.mapInArrow(
         _strings(window, False),
