@@ -503,6 +503,18 @@ def test_toxicity_learns_held_out(spark, odd, empty):
     assert toxicity.drop_toxic(odd, lab.limit(0)).count() == odd.count()
 
 
+def test_toxicity_sample_takes_one_row_of_an_id(spark):
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, toxic int")
+    once = [(i, f"text {i} of the table") for i in range(40)]
+    docs = spark.createDataFrame(
+        once + [(i, f"other row {k} of a hot id") for i in range(40) for k in range(25)] + once * 3,
+        "doc_id long, text string")
+    alone = toxicity.sample_windows(docs.dropDuplicates(["doc_id"]), labels)
+    got = toxicity.sample_windows(docs, labels)
+    assert collections.Counter(y for y, _ in got) == collections.Counter(y for y, _ in alone)
+    assert got == toxicity.sample_windows(docs.unionByName(docs), labels)
+
+
 # --------------------------------------------------------------------- pipeline
 
 

@@ -297,8 +297,10 @@ def sample_windows(docs: DataFrame, labels: DataFrame, max_docs: int = MAX_DOCS,
                 [batch.column("y"), pa.array(out, pa.list_(pa.string()))], names=["y", "windows"])
 
     chosen = docs.select("doc_id", "text").join(F.broadcast(some[0].unionByName(some[1])), "doc_id")
-    # labels may name a document that stands in several rows: at most max_docs rows a class
-    rows = chosen.select("y", "text", F.xxhash64("doc_id", "text").alias("h"))
+    # labels may name a document that stands in several rows: one of them, so that at most
+    # max_docs rows a class are collected
+    one = F.min(F.struct(F.xxhash64("doc_id", "text").alias("h"), "text"))
+    rows = chosen.groupBy("doc_id", "y").agg(one.alias("one")).select("y", "one.text")
     rows = rows.mapInArrow(cut, "y int, windows array<string>").collect()
     return sorted((int(r["y"]), list(r["windows"])) for r in rows)
 
