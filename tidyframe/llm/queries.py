@@ -18,6 +18,7 @@ from tidyframe.llm import (
     token_counts,
     toxicity,
     url_templates,
+    whitening,
 )
 from tidyframe.llm.common import table
 
@@ -102,7 +103,13 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.length("formatted").cast("long").alias("formatted_chars"))
 
 
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_toxicity, op2_url_filter, op3_token_counts, op4_quality_rules, op5_decontamination,
-    op6_ngram_join, op7_line_runs, op8_source_mixture, op9_substring_dedup, op10_chat_format)}
+    op6_ngram_join, op7_line_runs, op8_source_mixture, op9_substring_dedup, op10_chat_format,
+    op13_whitening)}
 ORACLES: dict[str, str] = {}
