@@ -13,6 +13,7 @@ from tidyframe.llm import (
     line_runs,
     mixture,
     ngram_join,
+    pii,
     quality_ledger,
     substring_dedup,
     token_counts,
@@ -104,6 +105,15 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 
+def op12_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = pii.find_personal_data(table(spark, sf_dir, "documents"), with_text=False)
+    count = lambda kind: F.size(F.filter("found", lambda s: s["base"] & (s["kind"] == kind))).cast("long")
+    return rows.select(
+        "doc_id", *(count(kind).alias(f"n_{kind}") for kind in pii.KINDS),
+        F.sha2(F.encode(pii.listed(base_only=True), "UTF-8"), 256).alias("base_sha256"),
+        pii.listed().alias("spans"))
+
+
 def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     return whitening.whiten(table(spark, sf_dir, "embeddings"))
 
@@ -111,5 +121,5 @@ def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_toxicity, op2_url_filter, op3_token_counts, op4_quality_rules, op5_decontamination,
     op6_ngram_join, op7_line_runs, op8_source_mixture, op9_substring_dedup, op10_chat_format,
-    op13_whitening)}
+    op12_pii, op13_whitening)}
 ORACLES: dict[str, str] = {}
