@@ -177,6 +177,11 @@ _JOB_COLS = [("order_id", False), ("customer_id", False), ("priority_note", Fals
              ("order_age", False), ("processing_date", False), ("processing_ts", False)]
 
 
+#: the orders with the number of the drop that brings them
+_DROPS = """select *, case when o_orderdate < timestamp '1996-01-01' then 0
+    when o_orderdate < timestamp '1998-04-25' then 1 else 2 end as part from orders"""
+
+
 def _ingest_report() -> str:
     """One report per drop: of each customer's latest order, duplicates before that."""
     cols = [("o_orderkey", False), ("o_custkey", False), ("o_orderstatus", False),
@@ -194,6 +199,24 @@ def _ingest_report() -> str:
     return _with(ctes, "\nunion all\n".join(parts))
 
 
+def _report_history() -> str:
+    """The report of each of three drops, once, with its batch and the run's date."""
+    cols = [("o_orderkey", False), ("o_custkey", False), ("o_orderstatus", False),
+            ("o_totalprice", True), ("o_orderdate", False), ("o_orderpriority", False)]
+    ctes, parts = {}, []
+    for batch in range(3):
+        ctes[f"b{batch}"] = f"select * exclude (part) from ({_DROPS}) where part = {batch}"
+        ctes[f"d{batch}"] = f"""select * from (select *, row_number() over (partition by o_custkey
+            order by o_orderdate desc, o_orderkey desc) as rn from b{batch}) where rn = 1"""
+        report = report_sql(f"d{batch}", cols, ["o_orderkey", "o_custkey", "o_totalprice"],
+                            ORDER_RULES, [])
+        dups = long_sql(duplicates_sql(f"b{batch}", ["o_custkey"]), "duplicates", "key",
+                        ["total", "n_unique", "n_duplicate", "pct_duplicate"])
+        parts.append(f"select *, cast({batch} as bigint) as batch_id, date '2026-12-01' as run_date "
+                     f"from ({report} union all {dups})")
+    return _with(ctes, "\nunion all\n".join(parts))
+
+
 def oracles() -> dict[str, str]:
     part_all = "select * from part"
     sql = {
@@ -310,6 +333,20 @@ def oracles() -> dict[str, str]:
         "write_overwrite_static": "select * from orders where o_orderstatus <> 'F'",
         "ingest_incremental": "select * from events",
         "ingest_job_report": _ingest_report(),
+        "ingest_report_history": _report_history(),
+        "metrics_merged": _with(
+            {"g": EVENTS_WITH_NULLS_SQL},
+            report_sql("g", EVENT_COLS, ["event_id", "user_id", "value"], EVENT_RULES,
+                       ["user_id"]),
+        ),
+        "ingest_watermark_report": _with(
+            {"g": "select *, cast(null as varchar) as note from events",
+             "twice": "select * from g union all select * from g"},
+            report_sql("g", [*EVENT_COLS, ("note", False)], ["event_id", "user_id", "value"], EVENT_RULES, [])
+            + "\nunion all\n"
+            + long_sql(duplicates_sql("twice", ["event_id"]), "duplicates", "key",
+                       ["total", "n_unique", "n_duplicate", "pct_duplicate"]),
+        ),
         "ingest_csv_text": "select * replace ('  ' || text || ' ' as text) from documents",
         "ingest_xml": part_all,
         "ingest_job_latest": """select * exclude (late, rn) from (

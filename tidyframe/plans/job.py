@@ -31,7 +31,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
@@ -44,6 +44,7 @@ from tidyframe.functions.text import normalize_text, strip_accents, title_case,
 from tidyframe.errors import SpecError, require_columns
 from tidyframe.functions._util import col, is_temporal, own_name
 from tidyframe.operators.dedupe import aggregatable, keep_one
+from tidyframe.operators.metric_state import state_plan
 from tidyframe.operators.quality import (
     MetricPlan,
     duplicate_metrics,
@@ -68,6 +69,7 @@ class JobResult:
     run_ts: dt.datetime
     rows_written: int | None
     report: DataFrame | None  # (check, subject, metric, value)
+    state: DataFrame | None = None  # metric states (``operators.metric_state``), if kept
 
 
 # ------------------------------------------------------------------ transforms
@@ -225,6 +227,7 @@ class PlannedJob:
     converted: list[str]
     dup_from_dedupe: bool
     separate_dups: DataFrame | None
+    states: MetricPlan | None = None
 
     def result(self, spark: SparkSession) -> JobResult:
         """Report from the observation; call after ``frame`` was written."""
@@ -256,7 +259,11 @@ class PlannedJob:
                     "check string, subject string, metric string, value double",
                 )
                 report = report.unionByName(nulled)
-        return JobResult(self.spec.sink.path, self.run_date, self.run_ts, rows_written, report)
+        state = None
+        if self.states is not None:
+            self.states.bind_schema(self.metrics_input.withColumn(ROWS_COL, F.lit(1)))
+            state = self.states.from_row(spark, values)
+        return JobResult(self.spec.sink.path, self.run_date, self.run_ts, rows_written, report, state)
 
 
 def plan_job(
@@ -307,7 +314,7 @@ def plan_job(
     internal = [c for c in laid.columns if c == ROWS_COL or c.startswith(MASK_PREFIX)]
     data_cols = [c for c in laid.columns if c not in internal]
     exprs: dict = {}
-    metrics = metrics_input = None
+    metrics = metrics_input = states = None
     metric_cols = list(q.columns) if q is not None and q.columns is not None else data_cols
     require_columns(laid, metric_cols)
     # without a dedupe on the quality key: an estimate can ride on the write's
@@ -323,6 +330,11 @@ def plan_job(
                                q.warn_pct, q.legacy_null_valid,
                                list(q.keys) if approx_in_obs else None)
         exprs.update(metrics.exprs)
+        if q.state_sink is not None:
+            states = state_plan(metrics_input, q.ranges, metric_cols, q.keys, q.describe,
+                                "__rows_before" if dup_from_dedupe else None)
+            states.exprs["__rows_before"] = F.coalesce(F.sum(ROWS_COL if counted else F.lit(1)), F.lit(0))
+            exprs.update(states.exprs)
     exprs["__rows_after"] = F.count(F.lit(1))
     if counted:
         exprs["__rows_before"] = F.coalesce(F.sum(ROWS_COL), F.lit(0))
@@ -332,7 +344,7 @@ def plan_job(
     observed = laid.observe(obs, *[e.alias(n) for n, e in exprs.items()])
     frame = observed.drop(*internal) if internal else observed
     return PlannedJob(spec, run_date, run_ts, frame, obs, metrics, metrics_input,
-                      converted, dup_from_dedupe, separate_dups)
+                      converted, dup_from_dedupe, separate_dups, states)
 
 
 def run_job(
@@ -353,14 +365,23 @@ def run_job(
     return keep_report(planned.result(spark), spec)
 
 
-def keep_report(result: JobResult, spec: JobSpec) -> JobResult:
-    """Write the (small) report to ``quality.report_sink`` with the run's
-    date and timestamp, e.g. partitioned by ``run_date`` for a history that
-    reruns replace day by day."""
+def keep_report(result: JobResult, spec: JobSpec, batch: str | None = None) -> JobResult:
+    """Write the (small) report to ``quality.report_sink``, and the metric state to
+    ``quality.state_sink``, with the run's date and timestamp, e.g. partitioned by
+    ``run_date`` for a history that reruns replace day by day.
+
+    ``batch`` names a micro-batch of an incremental job: its rows go to a folder
+    ``ingest_batch=<batch>`` of their own, as the batch's data do, so that other batches
+    of the day stay and a retry replaces what its first attempt wrote."""
     q = spec.quality
-    if q is None or q.report_sink is None or result.report is None:
+    if q is None:
         return result
-    stamped = add_run_stamps(result.report, result.run_date, result.run_ts,
-                             "run_date", "run_ts")
-    write_sink(stamped, q.report_sink, stamps=("run_date", "run_ts"))
+    for rows, sink in ((result.report, q.report_sink), (result.state, q.state_sink)):
+        if sink is None or rows is None:
+            continue
+        if batch is not None:
+            sink = replace(sink, mode="overwrite", dynamic_overwrite=False,
+                           path=f"{sink.path.rstrip('/')}/ingest_batch={batch}")
+        stamped = add_run_stamps(rows, result.run_date, result.run_ts, "run_date", "run_ts")
+        write_sink(stamped, sink, stamps=() if batch else ("run_date", "run_ts"))
     return result

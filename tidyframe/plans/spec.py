@@ -178,6 +178,8 @@ class QualitySpec:
     approx_duplicates: bool = False
     # where to keep the report (with run_date / run_ts columns); None = not kept
     report_sink: SinkSpec | None = None
+    # where to keep metric states, which merge over runs (``report_from_state``); Parquet
+    state_sink: SinkSpec | None = None
 
     @classmethod
     def from_dict(cls, d: Mapping | None) -> QualitySpec | None:
@@ -187,6 +189,9 @@ class QualitySpec:
         if not 0.0 <= float(d.get("warn_pct", 10.0)) <= 100.0:
             raise SpecError("quality.warn_pct must be between 0 and 100")
         cols = d.get("columns")
+        state = SinkSpec.from_dict(d["state_sink"]) if d.get("state_sink") else None
+        if state is not None and state.format != "parquet":
+            raise SpecError("quality.state_sink holds sketches: its format must be parquet")
         return cls(
             _names(d.get("keys"), "quality.keys"),
             tuple(RangeRule.from_dict(r) for r in d.get("ranges", ()) or ()),
@@ -196,6 +201,7 @@ class QualitySpec:
             bool(d.get("legacy_null_valid", False)),
             bool(d.get("approx_duplicates", False)),
             SinkSpec.from_dict(d["report_sink"]) if d.get("report_sink") else None,
+            state,
         )
 
 

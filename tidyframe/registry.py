@@ -13,9 +13,12 @@ under the shared ``spark.checkpoint.dir`` in a fresh folder per call.
 from __future__ import annotations
 
 import datetime as dt
+import json
 from collections.abc import Callable
+from dataclasses import replace
 from functools import reduce
 
+from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -27,6 +30,7 @@ from tidyframe.functions.stamps import add_run_stamps
 from tidyframe.functions.text import normalize_text, strip_accents, title_case, title_case_plain
 from tidyframe.operators.columns import select_columns
 from tidyframe.operators.dedupe import dedupe_report, keep_one
+from tidyframe.operators.metric_state import report_from_state
 from tidyframe.operators.quality import (
     completeness,
     describe_numeric,
@@ -35,7 +39,7 @@ from tidyframe.operators.quality import (
     range_check,
 )
 from tidyframe.plans.job import run_job
-from tidyframe.plans.spec import JobSpec
+from tidyframe.plans.spec import CastStep, JobSpec
 from tidyframe.session import scratch_path
 from tidyframe.sinks.write import SinkSpec, write_sink
 from tidyframe.sources.read import read_source
@@ -489,6 +493,91 @@ def q_ingest_job_report(spark, sf_dir):
     return report.withColumn("value", F.round("value", 4))
 
 
+#: where the orders' three drops end
+THREE_DROPS = (dt.datetime(1996, 1, 1), dt.datetime(1998, 4, 25))
+
+
+def _three_drops(rows: DataFrame) -> list[DataFrame]:
+    when, (a, b) = F.col("o_orderdate"), THREE_DROPS
+    return [rows.filter(when < a), rows.filter((when >= a) & (when < b)), rows.filter(when >= b)]
+
+
+def _drops_with_failure(spark, drops: list[DataFrame], steps: dict) -> tuple[str, list]:
+    """Each drop lands and the incremental job runs, then runs again with nothing new.  In
+    the second drop a first attempt fails in its batch (a cast that must not be)."""
+    root = scratch_path(spark, "ingest-drops")
+    steps = json.loads(json.dumps(steps).replace("ROOT", root))
+    spec = JobSpec.from_dict({
+        "source": {"format": "parquet", "path": f"{root}/landing/*/*.parquet", "schema": _ddl(drops[0])},
+        "sink": {"path": f"{root}/out", "mode": "append"},
+        "stamps": None, "ingest": {"checkpoint": f"{root}/checkpoint"}, **steps})
+    text = next(f.name for f in drops[0].schema.fields if f.dataType.simpleString() == "string")
+    broken = replace(spec, cast=(CastStep((text,), "double", "fail"),))
+    results = []
+    for i, drop in enumerate(drops):
+        write_sink(drop, SinkSpec(path=f"{root}/landing/drop{i}", mode="overwrite"))
+        if i == 1:
+            try:
+                run_job(spark, broken, AS_OF, RUN_TS)
+            except StreamingQueryException:
+                pass
+            else:
+                raise AssertionError("the broken attempt must fail")
+        results += [run_job(spark, spec, AS_OF, RUN_TS) for _ in range(2)]
+    return root, results
+
+
+def q_ingest_report_history(spark, sf_dir):
+    """Reports kept by an incremental job: three drops on one date, idle reruns and a retried
+    batch leave every batch's report once."""
+    drops = _three_drops(table(spark, sf_dir, "orders"))
+    root, _ = _drops_with_failure(spark, drops, {**LATEST, "quality": {
+        "keys": ["o_custkey"], "ranges": ORDER_RULES,
+        "report_sink": {"path": "ROOT/reports", "partition_by": ["run_date"]}}})
+    kept = spark.read.parquet(f"{root}/reports")
+    return kept.select("check", "subject", "metric", F.round("value", 4).alias("value"), "batch_id",
+                       F.col("run_date").cast("date").alias("run_date"))
+
+
+def q_metrics_merged(spark, sf_dir):
+    """Metric states of events that arrive in seven files, one batch each, merge into the
+    report of the whole table."""
+    g = events_with_gaps(spark, sf_dir, nan=False)
+    root = scratch_path(spark, "metric-states")
+    for k in range(7):
+        write_sink(g.filter(F.pmod(F.xxhash64("event_id"), F.lit(7)) == k),
+                   SinkSpec(path=f"{root}/landing/part{k}", num_files=1))
+    run_job(spark, JobSpec.from_dict({
+        "source": {"format": "parquet", "path": f"{root}/landing/*/*.parquet", "schema": _ddl(g)},
+        "sink": {"path": f"{root}/out", "mode": "append"}, "stamps": None,
+        "ingest": {"checkpoint": f"{root}/checkpoint", "max_files_per_batch": 1},
+        "quality": {"keys": ["user_id"], "ranges": RANGE_RULES, "state_sink": {"path": f"{root}/states"}},
+    }), AS_OF, RUN_TS)
+    report = report_from_state(spark.read.parquet(f"{root}/states"))
+    return report.withColumn("value", F.round("value", 4))
+
+
+def q_ingest_watermark_report(spark, sf_dir):
+    """Rows unique across runs within a watermark, into a JSON sink with a column that is all
+    NULL: the report is of the rows as written, duplicates counted."""
+    ev = table(spark, sf_dir, "events").withColumn("note", F.lit(None).cast("string"))
+    root = scratch_path(spark, "watermark")
+    spec = JobSpec.from_dict({
+        "source": {"format": "parquet", "path": f"{root}/landing/*/*.parquet", "schema": _ddl(ev)},
+        "sink": {"path": f"{root}/out", "format": "json", "mode": "append"},
+        "dedupe": {"keys": ["event_id"]}, "stamps": None,
+        "cast": [{"columns": ["ts"], "to": "timestamp"}],  # a watermark takes no other type
+        "ingest": {"checkpoint": f"{root}/checkpoint", "watermark_column": "ts",
+                   "watermark_delay": "400 days"},
+        "quality": {"keys": ["event_id"], "ranges": RANGE_RULES, "state_sink": {"path": f"{root}/states"}}})
+    for i in range(2):  # every event comes again in the second drop
+        write_sink(ev, SinkSpec(path=f"{root}/landing/drop{i}"))
+        run_job(spark, spec, AS_OF, RUN_TS)
+        run_job(spark, spec, AS_OF, RUN_TS)
+    report = report_from_state(spark.read.parquet(f"{root}/states"))
+    return report.withColumn("value", F.round("value", 4))
+
+
 def q_ingest_csv_text(spark, sf_dir):
     """Whole documents with spaces around the text come through a CSV sink unchanged."""
     docs = table(spark, sf_dir, "documents").withColumn(
@@ -662,6 +751,9 @@ QUERIES: dict[str, QueryFn] = {
     "ingest_incremental": q_ingest_incremental,
     "ingest_job_latest": q_ingest_job_latest,
     "ingest_job_report": q_ingest_job_report,
+    "ingest_report_history": q_ingest_report_history,
+    "metrics_merged": q_metrics_merged,
+    "ingest_watermark_report": q_ingest_watermark_report,
     "ingest_csv_text": q_ingest_csv_text,
     "ingest_xml": q_ingest_xml,
     "prep_job": q_prep_job,

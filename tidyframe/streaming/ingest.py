@@ -19,20 +19,20 @@ streaming bookkeeping.  Streams need an explicit schema.
 
 from __future__ import annotations
 
+import base64
 import datetime as dt
 import json
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Mapping, Sequence
 from contextlib import contextmanager
 from dataclasses import replace
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.types import StructType
 
 from tidyframe.errors import SpecError
-from tidyframe.functions.stamps import run_rows
 from tidyframe.sinks.write import SinkSpec, write_sink, writer_options
 from tidyframe.sources.read import read_source, reader_options
 from tidyframe.sources.spec import SourceSpec, schema_from_files_ok
@@ -124,6 +124,7 @@ def ingest_files(
     dedupe_keys: Sequence[str] | None = None,
     max_files_per_batch: int | None = None,
     watermark: tuple[str, str] | None = None,
+    metrics: Callable[[DataFrame], Mapping[str, Column]] | None = None,
 ) -> StreamingQuery:
     """Process every not-yet-seen file of ``source`` into ``sink``; blocks.
 
@@ -132,7 +133,8 @@ def ingest_files(
     the RocksDB provider for many keys).  With ``watermark=(event_time_col,
     "2 hours")`` duplicates are dropped while their copies arrive within that
     delay of each other and older keys leave the state, so it stays bounded
-    (``dropDuplicatesWithinWatermark``).
+    (``dropDuplicatesWithinWatermark``).  ``metrics`` gives aggregates that are observed
+    with the written rows of each micro-batch.
     """
     if sink.format not in STREAM_SINK_FORMATS:
         raise SpecError(f"ingest sink format must be one of {STREAM_SINK_FORMATS}")
@@ -150,7 +152,8 @@ def ingest_files(
     if sink.num_files and sink.num_files > 0:
         df = df.repartition(sink.num_files)
     # rows written per micro-batch, reported in the query's progress
-    df = df.observe(OBSERVED, F.count(F.lit(1)).alias("rows"))
+    more = metrics(df) if metrics is not None else {}
+    df = df.observe(OBSERVED, F.count(F.lit(1)).alias("rows"), *[e.alias(n) for n, e in more.items()])
 
     writer = (
         df.writeStream.format(sink.format)
@@ -180,6 +183,14 @@ def _stream_log(spark: SparkSession, path: str) -> bool:
     return True
 
 
+def _of_batch(spark: SparkSession, small: DataFrame | None, batch_id: int) -> DataFrame | None:
+    """A report (a row per column and metric) outlives its micro-batch, with ``batch_id``."""
+    if small is None:
+        return None
+    kept = small.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
+    return spark.createDataFrame(kept.collect(), kept.schema)
+
+
 def _run_batches(spark: SparkSession, spec, run_date: dt.date, run_ts: dt.datetime):
     """Each micro-batch of new files runs as a batch job of its own: clean, dedupe
     with its order, stamps, observed report, one write.
@@ -189,9 +200,10 @@ def _run_batches(spark: SparkSession, spec, run_date: dt.date, run_ts: dt.dateti
     carries.  The query id lives in the checkpoint, so a new checkpoint never replaces
     an older one's batches.  Without ``max_files_per_batch`` a run is one batch (plus
     the retry of a failed one); with it, rows are de-duplicated within each batch.
-    The report has a ``batch_id``.
+    The report has a ``batch_id``; kept reports and metric states are written in their
+    batch, to folders named like the data's.
     """
-    from tidyframe.plans.job import JobResult, plan_job
+    from tidyframe.plans.job import JobResult, keep_report, plan_job
 
     if _stream_log(spark, spec.sink.path):
         raise SpecError(f"{spec.sink.path!r} holds a file stream's log, which would hide new "
@@ -206,10 +218,8 @@ def _run_batches(spark: SparkSession, spec, run_date: dt.date, run_ts: dt.dateti
         planned = plan_job(own, replace(spec, sink=sink), run_date, run_ts, rows)
         write_sink(planned.frame, sink, layout=False)
         result = planned.result(own)
-        if result.report is not None:  # a row per column and metric
-            kept = result.report.withColumn("batch_id", F.lit(batch_id).cast("bigint"))
-            result.report = spark.createDataFrame(kept.collect(), kept.schema)
-        done.append(result)
+        result.report, result.state = (_of_batch(spark, x, batch_id) for x in (result.report, result.state))
+        done.append(keep_report(result, spec, f"{query_id}-{batch_id}"))
 
     ing = spec.ingest
     stream = new_files(spark, spec.source, ing.archive_dir, ing.max_files_per_batch, ing.checkpoint)
@@ -226,17 +236,38 @@ def _run_batches(spark: SparkSession, spec, run_date: dt.date, run_ts: dt.dateti
     return JobResult(spec.sink.path, run_date, run_ts, sum(r.rows_written for r in done), report)
 
 
+def _watermark_states(query: StreamingQuery, states, spark: SparkSession) -> tuple[DataFrame | None, int, int]:
+    """(metric states of the run's micro-batches, last batch, rows too late for the
+    watermark), from the query's progress."""
+    found, last, late = None, -1, 0
+    for p in query.recentProgress:
+        seen = (p.observedMetrics or {}).get(OBSERVED)
+        for op in p.stateOperators:
+            late += op.numRowsDroppedByWatermark
+        if seen is None or not p.numInputRows:
+            continue
+        dropped = sum(int(op.customMetrics.get("numDroppedDuplicateRows", 0)) for op in p.stateOperators)
+        values = {**seen.asDict(), "__rows_before": int(seen["rows"]) + dropped}
+        if "__key_sketch" in values:  # a progress is JSON: binary values come as base64
+            values["__key_sketch"] = base64.b64decode(values["__key_sketch"])
+        one = states.from_row(spark, values).withColumn("batch_id", F.lit(p.batchId).cast("bigint"))
+        found, last = one if found is None else found.unionByName(one), max(last, p.batchId)
+    return found, last, late
+
+
 def run_incremental(spark: SparkSession, spec, run_date: dt.date, run_ts: dt.datetime):
     """``run_job`` for a spec with an ``ingest`` section.
 
     Rows are de-duplicated within a run (``_run_batches``).  With a watermark they are
-    unique across runs instead: a file stream keeps the first row of each key.
+    unique across runs instead: a file stream keeps the first row of each key.  Its metrics are
+    observed in every micro-batch and merged; rows that came too late for the watermark,
+    which Spark drops, are counted (``watermark / n_late``).
     """
-    from tidyframe.operators.quality import quality_report
+    from tidyframe.operators.metric_state import report_from_state, state_plan
     from tidyframe.plans.job import JobResult, _stamp, keep_report, transform_frame
 
     if not spec.ingest.watermark_column:
-        return keep_report(_run_batches(spark, spec, run_date, run_ts), spec)
+        return _run_batches(spark, spec, run_date, run_ts)
     if spec.dedupe and spec.dedupe.order_by:
         raise SpecError(
             "dedupe within a watermark keeps the first row seen per key; order_by is not supported"
@@ -245,22 +276,35 @@ def run_incremental(spark: SparkSession, spec, run_date: dt.date, run_ts: dt.dat
     def transform(df: DataFrame) -> DataFrame:
         return _stamp(transform_frame(df, spec, run_date), spec, run_date, run_ts)
 
+    q = spec.quality
+    deduped = bool(q and spec.dedupe and set(q.keys) == set(spec.dedupe.keys))
+    plans = []
+
+    def metrics(df: DataFrame) -> dict[str, Column]:
+        if q is None:
+            return {}
+        plan = state_plan(df, q.ranges, q.columns, q.keys, q.describe, "__rows_before" if deduped else None)
+        # the counted rows before the dedupe come from the state store, not from this aggregate
+        blank = spark.createDataFrame([], df.schema)
+        plan.wide_schema = blank.agg(*plan.aggs, F.lit(0).cast("bigint").alias("__rows_before")).schema
+        plans.append(plan)
+        return plan.exprs
+
     ing = spec.ingest
     query = ingest_files(
         spark, spec.source, spec.sink, ing.checkpoint, ing.archive_dir, transform,
         spec.dedupe.keys if spec.dedupe else None, ing.max_files_per_batch,
-        (ing.watermark_column, ing.watermark_delay),
+        (ing.watermark_column, ing.watermark_delay), metrics,
     )
-    report = None
-    if spec.quality is not None:
-        # rows of THIS run: they carry this run's timestamp (partition pruning
-        # applies when the date stamp is a partition column)
-        out = spark.read.format(spec.sink.format).options(**spec.sink.options).load(spec.sink.path)
-        if spec.stamps and spec.stamps.ts_column:
-            st = spec.stamps
-            out = out.filter(run_rows(st.date_column, st.ts_column, run_date, run_ts, st.ts_type))
-        q = spec.quality
-        report = quality_report(out, q.keys or None, q.ranges, q.columns, q.describe,
-                                q.warn_pct, q.legacy_null_valid, q.approx_duplicates)
-    written = rows_written(query)
-    return keep_report(JobResult(spec.sink.path, run_date, run_ts, written, report), spec)
+    result = JobResult(spec.sink.path, run_date, run_ts, rows_written(query), None)
+    if q is None:
+        return result
+    states, last, late = _watermark_states(query, plans[0], spark)
+    if states is None:  # no new files: nothing to report, nothing to keep
+        result.report = spark.createDataFrame([], "check string, subject string, metric string, value double")
+        return result
+    states = spark.createDataFrame(states.collect(), states.schema)  # a row per column and batch
+    report = report_from_state(states, legacy_null_valid=q.legacy_null_valid)
+    late_rows = spark.createDataFrame([("watermark", ing.watermark_column, "n_late", float(late))], report.schema)
+    result.report, result.state = report.unionByName(late_rows), states
+    return keep_report(result, spec, f"{query.id}-{last}")
