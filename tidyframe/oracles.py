@@ -334,6 +334,9 @@ def oracles() -> dict[str, str]:
         "ingest_incremental": "select * from events",
         "ingest_job_report": _ingest_report(),
         "ingest_report_history": _report_history(),
+        "ingest_unique_across_runs": f"""select * exclude (part, rn) from (
+            select *, row_number() over (partition by o_custkey
+                order by part, o_orderdate desc, o_orderkey desc) as rn from ({_DROPS})) where rn = 1""",
         "metrics_merged": _with(
             {"g": EVENTS_WITH_NULLS_SQL},
             report_sql("g", EVENT_COLS, ["event_id", "user_id", "value"], EVENT_RULES,

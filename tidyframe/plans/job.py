@@ -30,7 +30,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -55,6 +55,7 @@ from tidyframe.operators.quality import (
 from tidyframe.plans.spec import JobSpec
 from tidyframe.sinks.write import prepare_layout, write_sink
 from tidyframe.sources.read import read_source
+from tidyframe.streaming.key_index import IndexStep
 
 ROWS_COL = "__rows_per_key"
 RAW_PREFIX = "__raw_"
@@ -228,10 +229,14 @@ class PlannedJob:
     dup_from_dedupe: bool
     separate_dups: DataFrame | None
     states: MetricPlan | None = None
+    unique: IndexStep | None = None
+    rows_before: Callable[[], int] | None = None  # where the observation cannot know them
 
     def result(self, spark: SparkSession) -> JobResult:
         """Report from the observation; call after ``frame`` was written."""
         values = self.observation.get
+        if self.rows_before is not None:
+            values = {**values, "__rows_before": self.rows_before()}
         rows_written = int(values["__rows_after"])
         q = self.spec.quality
         report = None
@@ -272,9 +277,11 @@ def plan_job(
     run_date: dt.date | None = None,
     run_ts: dt.datetime | None = None,
     rows: DataFrame | None = None,
+    unique: IndexStep | None = None,
 ) -> PlannedJob:
     """Compile a batch spec into the observed frame to write (lazy, no job).
-    ``rows`` stand in for the spec's source (a micro-batch of an incremental job)."""
+    ``rows`` stand in for the spec's source (a micro-batch of an incremental job);
+    ``unique`` keeps those of the de-duplicated rows that no earlier batch had."""
     if spec.ingest is not None and rows is None:
         raise SpecError("plan_job compiles batch jobs; this spec is incremental")
     if run_date is None or run_ts is None:
@@ -305,6 +312,12 @@ def plan_job(
             "aggregate" if counted else spec.dedupe.strategy,
             count_col=ROWS_COL if counted else None,
         )
+    rows_before = None
+    if unique is not None:
+        df = unique(df)
+        if q is not None and set(q.keys) == set(spec.dedupe.keys):
+            dup_from_dedupe = True
+            rows_before = (lambda: unique.total(ROWS_COL)) if counted else pre_dedupe.count
     df = _stamp(df, spec, run_date, run_ts)
     # layout first: the observation must sit after the last exchange
     stamps = set(stamp_columns(spec))
@@ -344,7 +357,7 @@ def plan_job(
     observed = laid.observe(obs, *[e.alias(n) for n, e in exprs.items()])
     frame = observed.drop(*internal) if internal else observed
     return PlannedJob(spec, run_date, run_ts, frame, obs, metrics, metrics_input,
-                      converted, dup_from_dedupe, separate_dups, states)
+                      converted, dup_from_dedupe, separate_dups, states, unique, rows_before)
 
 
 def run_job(

@@ -234,6 +234,10 @@ class IngestSpec:
     # event-time column + delay ("2 hours"): dedupe state is then bounded
     watermark_column: str | None = None
     watermark_delay: str | None = None
+    # folder of an index of the keys written so far: rows are then unique across runs
+    unique_index: str | None = None
+    unique_buckets: int = 256
+    unique_bits: int = 1 << 16
 
     @classmethod
     def from_dict(cls, d: Mapping | None) -> IngestSpec | None:
@@ -247,6 +251,8 @@ class IngestSpec:
         n = d.get("max_files_per_batch")
         if n is not None and (not isinstance(n, int) or n < 1):
             raise SpecError("ingest.max_files_per_batch must be a positive integer")
+        if d.get("unique_index") and d.get("watermark_column"):
+            raise SpecError("use either ingest.unique_index or a watermark")
         return cls(**d)
 
 
@@ -286,6 +292,8 @@ class JobSpec:
                 "incremental ingest needs an explicit source schema (only CSV without "
                 "inferSchema and Parquet can take it from the files cheaply)"
             )
+        if spec.ingest and spec.ingest.unique_index and spec.dedupe is None:
+            raise SpecError("ingest.unique_index needs dedupe keys")
         if spec.ingest and spec.sink.mode != "append":
             raise SpecError("incremental ingest appends: set sink mode to 'append'")
         return spec

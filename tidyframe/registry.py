@@ -539,6 +539,16 @@ def q_ingest_report_history(spark, sf_dir):
                        F.col("run_date").cast("date").alias("run_date"))
 
 
+def q_ingest_unique_across_runs(spark, sf_dir):
+    """Orders in three drops: a customer's latest order of the first drop that has the
+    customer, whatever later drops bring, with a batch that fails and is retried."""
+    drops = _three_drops(table(spark, sf_dir, "orders"))
+    root, _ = _drops_with_failure(spark, drops, {**LATEST, "ingest": {
+        "checkpoint": "ROOT/checkpoint", "unique_index": "ROOT/index", "unique_buckets": 16,
+        "unique_bits": 1 << 14}})
+    return spark.read.parquet(f"{root}/out").drop("ingest_batch")
+
+
 def q_metrics_merged(spark, sf_dir):
     """Metric states of events that arrive in seven files, one batch each, merge into the
     report of the whole table."""
@@ -752,6 +762,7 @@ QUERIES: dict[str, QueryFn] = {
     "ingest_job_latest": q_ingest_job_latest,
     "ingest_job_report": q_ingest_job_report,
     "ingest_report_history": q_ingest_report_history,
+    "ingest_unique_across_runs": q_ingest_unique_across_runs,
     "metrics_merged": q_metrics_merged,
     "ingest_watermark_report": q_ingest_watermark_report,
     "ingest_csv_text": q_ingest_csv_text,

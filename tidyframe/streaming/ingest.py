@@ -36,6 +36,7 @@ from tidyframe.errors import SpecError
 from tidyframe.sinks.write import SinkSpec, write_sink, writer_options
 from tidyframe.sources.read import read_source, reader_options
 from tidyframe.sources.spec import SourceSpec, schema_from_files_ok
+from tidyframe.streaming.key_index import KeyIndex
 
 STREAM_SINK_FORMATS = ("parquet", "csv", "json")
 OBSERVED = "tidyframe_ingest_rows"
@@ -200,6 +201,7 @@ def _run_batches(spark: SparkSession, spec, run_date: dt.date, run_ts: dt.dateti
     carries.  The query id lives in the checkpoint, so a new checkpoint never replaces
     an older one's batches.  Without ``max_files_per_batch`` a run is one batch (plus
     the retry of a failed one); with it, rows are de-duplicated within each batch.
+    With ``unique_index`` rows whose key an earlier batch wrote are left out (``key_index``).
     The report has a ``batch_id``; kept reports and metric states are written in their
     batch, to folders named like the data's.
     """
@@ -209,19 +211,29 @@ def _run_batches(spark: SparkSession, spec, run_date: dt.date, run_ts: dt.dateti
         raise SpecError(f"{spec.sink.path!r} holds a file stream's log, which would hide new "
                         "batches from readers; give the job a sink of its own")
     done: list[JobResult] = []
+    ing = spec.ingest
 
     def one_batch(rows: DataFrame, batch_id: int) -> None:
         own = rows.sparkSession
         query_id = own.sparkContext.getLocalProperty("sql.streaming.queryId")
         sink = replace(spec.sink, mode="overwrite", dynamic_overwrite=False,
                        path=f"{spec.sink.path.rstrip('/')}/ingest_batch={query_id}-{batch_id}")
-        planned = plan_job(own, replace(spec, sink=sink), run_date, run_ts, rows)
-        write_sink(planned.frame, sink, layout=False)
-        result = planned.result(own)
+        name = f"{query_id}-{batch_id}"
+        step = None
+        if ing.unique_index:
+            step = KeyIndex(ing.unique_index, spec.dedupe.keys, ing.unique_buckets, ing.unique_bits).step(name)
+        try:
+            planned = plan_job(own, replace(spec, sink=sink), run_date, run_ts, rows, step)
+            write_sink(planned.frame, sink, layout=False)
+            result = planned.result(own)
+            if step is not None:
+                step.commit()
+        finally:
+            if step is not None:
+                step.release()
         result.report, result.state = (_of_batch(spark, x, batch_id) for x in (result.report, result.state))
-        done.append(keep_report(result, spec, f"{query_id}-{batch_id}"))
+        done.append(keep_report(result, spec, name))
 
-    ing = spec.ingest
     stream = new_files(spark, spec.source, ing.archive_dir, ing.max_files_per_batch, ing.checkpoint)
     query = (stream.writeStream.foreachBatch(one_batch).option("checkpointLocation", ing.checkpoint)
              .trigger(availableNow=True).start())
@@ -258,8 +270,9 @@ def _watermark_states(query: StreamingQuery, states, spark: SparkSession) -> tup
 def run_incremental(spark: SparkSession, spec, run_date: dt.date, run_ts: dt.datetime):
     """``run_job`` for a spec with an ``ingest`` section.
 
-    Rows are de-duplicated within a run (``_run_batches``).  With a watermark they are
-    unique across runs instead: a file stream keeps the first row of each key.  Its metrics are
+    Rows are de-duplicated within a run, and with ``unique_index`` across runs
+    (``_run_batches``).  With a watermark a file stream keeps the first row of each key,
+    across the runs within its delay.  Its metrics are
     observed in every micro-batch and merged; rows that came too late for the watermark,
     which Spark drops, are counted (``watermark / n_late``).
     """
