@@ -232,6 +232,8 @@ def oracles() -> dict[str, str]:
         "scan_glob": "select *, '20240101' as batch from part union all "
                      "select *, '20240102' as batch from part",
         "glob_dedupe": part_all,
+        "scan_glob_headers": "select * replace (case when p_partkey % 3 = 2 then null else p_size end "
+                             "as p_size) from part",
         "cast_safe": """select o_orderkey,
             try_cast(case when o_orderkey % 7 = 0 then 'abc'
                           else cast(o_totalprice as varchar) end as double) as price,

@@ -606,6 +606,19 @@ def q_ingest_xml(spark, sf_dir):
                                          schema=_ddl(part))).drop("ingest_batch")
 
 
+def q_scan_glob_headers(spark, sf_dir):
+    """Files of one glob with their columns in three orders, one of them without ``p_size``."""
+    part = table(spark, sf_dir, "part")
+    root = scratch_path(spark, "headers")
+    orders = (part.columns, part.columns[::-1], sorted(set(part.columns) - {"p_size"}, key=lambda c: c[::-1]))
+    options = {"header": True, "escape": '"'}
+    for k, columns in enumerate(orders):
+        rows = part.filter(F.pmod("p_partkey", F.lit(3)) == k).select(*columns)
+        write_sink(rows, SinkSpec(path=f"{root}/drop_{k}", format="csv", options=options))
+    return read_source(spark, SourceSpec(format="csv", path=f"{root}/drop_*/*.csv", options=options,
+                                         schema=_ddl(part), headers="by_name"))
+
+
 # ------------------------------------------------------------------------- job
 
 JOB_INPUT_SCHEMA = (
@@ -729,6 +742,7 @@ QUERIES: dict[str, QueryFn] = {
     "roundtrip_xml_text": q_roundtrip_xml_text,
     "scan_glob": q_scan_glob,
     "glob_dedupe": q_glob_dedupe,
+    "scan_glob_headers": q_scan_glob_headers,
     "cast_safe": q_cast_safe,
     "text_normalize": q_text_normalize,
     "text_normalize_messy": q_text_normalize_messy,

@@ -11,6 +11,7 @@ import warnings
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidyframe.sources.headers import read_by_header
 from tidyframe.sources.spec import SourceSpec
 
 # Spark's XML reader trims values by default; a prep job must not alter text
@@ -19,12 +20,19 @@ READ_DEFAULTS = {"xml": {"ignoreSurroundingSpaces": "false"}}
 
 
 def reader_options(spec: SourceSpec) -> dict[str, str]:
-    return {**READ_DEFAULTS.get(spec.format, {}), **spec.options}
+    """Options that batch and streaming readers share."""
+    opts = {**READ_DEFAULTS.get(spec.format, {}), **spec.options}
+    if spec.has_header and spec.headers == "match":
+        # a file with other columns, or in another order, fails instead of filling the wrong ones
+        opts = {"enforceSchema": "false", **opts}
+    return opts
 
 
 def read_source(spark: SparkSession, spec: SourceSpec) -> DataFrame:
     if spec.is_jdbc:
         return _read_jdbc(spark, spec)
+    if spec.headers == "by_name":
+        return read_by_header(spark, spec, reader_options(spec))
     if spec.schema is None and (
         spec.format in ("json", "xml")
         or spec.options.get("inferSchema", "false").lower() == "true"
@@ -65,14 +73,19 @@ def jdbc_options(spec: SourceSpec) -> dict[str, str]:
 
 def _read_jdbc(spark: SparkSession, spec: SourceSpec) -> DataFrame:
     opts = jdbc_options(spec)
-    if spec.predicates:
-        # one task per predicate; each predicate is a WHERE clause on the table
-        url, table = opts.pop("url"), opts.pop("dbtable")
-        return spark.read.jdbc(url, table, predicates=list(spec.predicates), properties=opts)
-    reader = spark.read.format("jdbc").options(**opts)
     if spec.schema is not None:
         ddl = spec.schema
         if not isinstance(ddl, str):
             ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in ddl.fields)
-        reader = reader.option("customSchema", ddl)
-    return reader.load()
+        opts["customSchema"] = ddl  # a reader option and a connection property alike
+    if spec.predicates:
+        # one task per predicate; each predicate is a WHERE clause on the table
+        url, table = opts.pop("url"), opts.pop("dbtable")
+        return spark.read.jdbc(url, table, predicates=list(spec.predicates), properties=opts)
+    if spec.partition_column is None:
+        warnings.warn(
+            "a jdbc source without partition_column or predicates is read by one task; "
+            "give one of them for large tables",
+            stacklevel=3,
+        )
+    return spark.read.format("jdbc").options(**opts).load()

@@ -13,6 +13,9 @@ FILE_FORMATS = ("csv", "json", "parquet", "xml")
 # Database kinds that share the one JDBC reader (the driver jar is the user's).
 JDBC_KINDS = ("jdbc", "sqlite", "postgresql", "mysql", "sqlserver")
 
+HEADERS = ("match", "by_name", "position")
+UNKNOWN_COLUMNS = ("raise", "keep", "drop")
+
 _JDBC_PARTITION_KEYS = ("partition_column", "lower_bound", "upper_bound", "num_partitions")
 
 
@@ -47,6 +50,11 @@ class SourceSpec:
     ``schema`` (DDL string or StructType; without it CSV columns are strings).
     ``file_path_col`` adds each row's source file (lineage).
 
+    CSV files with a header: ``headers="match"`` fails on a file whose header is not
+    the schema's, ``"by_name"`` reads each file by its own header (columns that a file lacks are
+    NULL, ``unknown_columns`` raise, are kept as text or are dropped), and ``"position"`` ignores
+    the names, as Spark does by itself.
+
     JDBC: ``format`` in JDBC_KINDS with ``url``, ``driver`` and ``table`` or
     ``query``.  Give ``partition_column/lower_bound/upper_bound/num_partitions``
     (all four) or ``predicates`` to read in parallel; otherwise one task reads
@@ -68,6 +76,8 @@ class SourceSpec:
     num_partitions: int | None = None
     predicates: tuple[str, ...] | None = None
     fetchsize: int | None = None
+    headers: str = "match"
+    unknown_columns: str = "raise"
 
     def __post_init__(self):
         fmt = (self.format or "").lower()
@@ -83,12 +93,24 @@ class SourceSpec:
     def is_jdbc(self) -> bool:
         return self.format in JDBC_KINDS
 
+    @property
+    def has_header(self) -> bool:
+        return self.format == "csv" and self.options.get("header", "false").lower() == "true"
+
     def validate(self) -> None:
         if self.format in FILE_FORMATS:
             if not self.path:
                 raise SpecError(f"{self.format} source needs a path")
             if self.format == "xml" and "rowTag" not in self.options:
                 raise SpecError("xml source needs options.rowTag")
+            if self.headers not in HEADERS:
+                raise SpecError(f"source headers must be one of {HEADERS}")
+            if self.unknown_columns not in UNKNOWN_COLUMNS:
+                raise SpecError(f"source unknown_columns must be one of {UNKNOWN_COLUMNS}")
+            if self.headers == "by_name" and not self.has_header:
+                raise SpecError("headers='by_name' needs a csv source with options.header")
+            if self.headers == "by_name" and self.options.get("inferSchema", "false").lower() == "true":
+                raise SpecError("headers='by_name' takes types from the schema, not from inferSchema")
             return
         if self.format not in JDBC_KINDS:
             raise SpecError(

@@ -94,6 +94,8 @@ def new_files(spark: SparkSession, source: SourceSpec, archive_dir: str | None =
     """Stream of the rows of every not-yet-seen file of ``source``."""
     if source.is_jdbc:
         raise SpecError("ingest reads files, not JDBC")
+    if source.headers == "by_name":
+        raise SpecError("a file stream has one schema: headers='by_name' is for batch jobs")
     schema = source.schema
     if schema is None:
         if not schema_from_files_ok(source):
