@@ -1,0 +1,137 @@
+"""Rejected rows: both sides of a job, their counts, retries and formats."""
+
+from __future__ import annotations
+
+import datetime as dt
+import json
+import os
+
+import pytest
+from pyspark.errors import StreamingQueryException
+
+import tidyframe.plans.job as job_module
+from tidyframe.errors import SpecError
+from tidyframe.plans import JobSpec, plan_job, run_job
+from tidyframe.plans.quarantine import MALFORMED
+
+DAY, NOW = dt.date(2024, 1, 1), dt.datetime(2024, 1, 1, 6)
+
+
+def put(path, text):
+    os.makedirs(os.path.dirname(path), exist_ok=True)
+    with open(path, "w", encoding="utf-8") as fh:
+        fh.write(text)
+
+
+def spec_of(scratch, source, **more):
+    return JobSpec.from_dict({
+        "source": source, "sink": {"path": f"{scratch}/out", "mode": more.pop("mode", "overwrite")}, "stamps": None,
+        "quarantine": {"sink": {"path": f"{scratch}/bad"}, **more.pop("quarantine", {})}, **more})
+
+
+def bad(spark, scratch):
+    return sorted((r["record"], r["file"].rsplit("/", 1)[1], list(r["reasons"]))
+                  for r in spark.read.parquet(f"{scratch}/bad").collect())
+
+
+CSV = {"format": "csv", "schema": "id int, born string, pair string, v string", "options": {"header": True}}
+STEPS = {"clean": {"reformat_date": [{"column": "born", "from": "dd/MM/yyyy"}],
+                   "split": [{"column": "pair", "into": ["a", "b"], "cast": "int"}]},
+         "cast": [{"columns": ["v"], "to": "double"}],
+         "years_between": [{"column": "age", "start": "born", "pattern": "yyyy-MM-dd"}]}
+
+
+def test_csv_rows_with_every_reason(spark, scratch):
+    put(f"{scratch}/in/x.csv", 'id,born,pair,v\n1,01/02/2000,1/2,1.5\n2,30/02/2000,1/x,oops\n3,,,\n'
+                               'x,01/02/2000,1/2,1\n4,01/02/2000,1/2\n5,01/02/2000,1/2,1,9\n1,01/02/2000,1/2,7\n')
+    spec = spec_of(scratch, {**CSV, "path": f"{scratch}/in"}, **STEPS, quality={},
+                   dedupe={"keys": ["id"], "order_by": ["v desc"]})
+    plan = plan_job(spark, spec, DAY, NOW)
+    assert not [c for c in plan.frame.columns if c.startswith("__")]
+    plan.release()
+    result = run_job(spark, spec, DAY, NOW)
+    out = sorted((r["id"], r["born"], r["a"], r["b"], r["v"], r["age"]) for r in spark.read.parquet(f"{scratch}/out").collect())
+    assert out == [(1, "2000-02-01", 1, 2, 7.0, 23), (3, None, None, None, None, None)]
+    row = json.dumps({"id": 2, "born": "30/02/2000", "pair": "1/x", "v": "oops"}, separators=(",", ":"))
+    assert bad(spark, scratch) == [
+        ("4,01/02/2000,1/2", "x.csv", [MALFORMED]), ("5,01/02/2000,1/2,1,9", "x.csv", [MALFORMED]),
+        ("x,01/02/2000,1/2,1", "x.csv", [MALFORMED]),  # the reader itself could not take x as an int
+        (row, "x.csv", ["conversion of born", "conversion of v", "conversion of b"])]
+    assert {k: v for k, v in result.rejected.items() if v} == {
+        "n_read": 7, "n_accepted": 3, "n_rejected": 4, MALFORMED: 3, "conversion of born": 1, "conversion of v": 1,
+        "conversion of b": 1}
+    said = {(r["subject"], r["metric"]): r["value"] for r in result.report.filter("check = 'quarantine'").collect()}
+    assert said["rows", "n_rejected"] == 4 and said[MALFORMED, "n_rejected"] == 3
+    # duplicates are counted among the accepted rows, and none of their values was nulled
+    rest = {(r["check"], r["subject"], r["metric"]): r["value"] for r in result.report.collect()}
+    assert rest["conversion", "born", "n_nulled"] == 0
+    kept = spark.read.parquet(f"{scratch}/bad")
+    assert {(r["run_date"], r["file"].startswith("file:")) for r in kept.collect()} == {(DAY, True)}
+
+
+def test_json_without_quality_and_csv_sink(spark, scratch):
+    put(f"{scratch}/in/x.json", '{"id": 1, "v": "2"}\n{"id": 2, "v": \n{"id": 3, "v": "z"}\n{"id": 4}\n')
+    spec = spec_of(scratch, {"format": "json", "path": f"{scratch}/in", "schema": "id int, v string"},
+                   cast=[{"columns": ["v"], "to": "int"}],
+                   quarantine={"sink": {"path": f"{scratch}/bad", "format": "csv", "options": {"header": True, "escape": '"'}}})
+    result = run_job(spark, spec, DAY, NOW)
+    assert result.report is None and result.rejected["n_rejected"] == 2
+    assert sorted(map(tuple, spark.read.parquet(f"{scratch}/out").collect())) == [(1, 2), (4, None)]
+    rows = spark.read.options(header=True, escape='"').csv(f"{scratch}/bad").collect()
+    assert {r["record"]: r["reasons"] for r in rows} == {
+        '{"id": 2, "v": ': MALFORMED, '{"id":3,"v":"z"}': "conversion of v"}
+
+
+def test_one_side_only_and_empty_input(spark, scratch):
+    text = "id,born,pair,v\n1,01/02/2000,1/2,x\n1,2\n"
+    put(f"{scratch}/in/x.csv", text)
+    source = {**CSV, "path": f"{scratch}/in"}
+    only = spec_of(scratch, source, **STEPS, quarantine={"conversions": False})
+    assert run_job(spark, only, DAY, NOW).rejected == {"n_read": 2, "n_accepted": 1, "n_rejected": 1, MALFORMED: 1}
+    only = spec_of(scratch, source, **STEPS, quarantine={"malformed": False}, quality={"keys": ["id"]})
+    got = run_job(spark, only, DAY, NOW).rejected
+    # the short line reads "2" as its date
+    assert (got["n_accepted"], got["conversion of v"], got["conversion of born"], got[MALFORMED]) == (0, 1, 1, 0)
+    put(f"{scratch}/in/x.csv", text.split("\n", 1)[0] + "\n")
+    assert run_job(spark, spec_of(scratch, source, **STEPS), DAY, NOW).rejected["n_read"] == 0
+
+
+def test_incremental_batches_keep_their_rejected_rows(spark, scratch, monkeypatch):
+    source = {"format": "csv", "path": f"{scratch}/in/*.csv", "schema": "id int, v string"}
+    spec = spec_of(scratch, source, mode="append", cast=[{"columns": ["v"], "to": "int"}],
+                   ingest={"checkpoint": f"{scratch}/ckpt"}, quality={})
+    put(f"{scratch}/in/a.csv", "1,1\n2,x\n3\n")
+    real = job_module.write_sink
+
+    def lose_output(df, sink, *args, **kw):
+        if "/out/" in sink.path:
+            raise RuntimeError("lost")
+        return real(df, sink, *args, **kw)
+
+    with monkeypatch.context() as m:
+        import tidyframe.streaming.ingest as ingest
+
+        m.setattr(ingest, "write_sink", lose_output)
+        with pytest.raises(StreamingQueryException):
+            run_job(spark, spec, DAY, NOW)
+    assert run_job(spark, spec, DAY, NOW).rows_written == 1
+    put(f"{scratch}/in/b.csv", "4,y\n5,5\n")
+    result = run_job(spark, spec, DAY, NOW)
+    assert {r["value"] for r in result.report.filter("metric = 'n_read'").collect()} == {2.0}
+    assert bad(spark, scratch) == [("3", "a.csv", [MALFORMED]), ('{"id":2,"v":"x"}', "a.csv", ["conversion of v"]),
+                                   ('{"id":4,"v":"y"}', "b.csv", ["conversion of v"])]
+    assert sorted(r["id"] for r in spark.read.parquet(f"{scratch}/out").collect()) == [1, 5]
+
+
+def test_spec_rules(scratch):
+    plain = {"format": "csv", "path": "/x"}
+    with pytest.raises(SpecError, match="explicit source schema"):
+        spec_of(scratch, plain)
+    spec_of(scratch, plain, quarantine={"malformed": False})
+    with pytest.raises(SpecError, match="reject nothing"):
+        spec_of(scratch, plain, quarantine={"malformed": False, "conversions": False})
+    with pytest.raises(SpecError):
+        spec_of(scratch, plain, quarantine={"sinks": {}})
+    with pytest.raises(SpecError, match="no quarantine"):
+        spec_of(scratch, {**plain, "schema": "t timestamp"}, mode="append", ingest={
+            "checkpoint": "/c", "watermark_column": "t", "watermark_delay": "1 day"})

@@ -380,6 +380,32 @@ def oracles() -> dict[str, str]:
                     and try_strptime(born, '%d/%m/%Y') is null) from p)
             select 'conversion' as "check", subject, 'n_nulled' as metric,
                 cast(n as double) as value from n""",
+        "prep_job_quarantine": """with m as (select o_orderkey as k, o_custkey as c,
+                case when o_orderkey % 11 = 0 then '31/02/2000'
+                     else strftime(o_orderdate, '%d/%m/%Y') end as born,
+                case when o_orderkey % 9 = 0 then 'n/a' else cast(o_totalprice as varchar) end as total,
+                o_orderkey % 10 = 3 as malformed from orders),
+            j as (select *, strftime(try_strptime(born, '%d/%m/%Y'), '%Y-%m-%d') as order_date,
+                try_cast(total as double) as price from m),
+            r as (select *, case when malformed then 'malformed record' else concat_ws('; ',
+                    case when order_date is null then 'conversion of order_date' end,
+                    case when price is null then 'conversion of total' end) end as reasons,
+                case when malformed then k || ',' || c || ',' || born || ',' || total || ',more'
+                    else '{"order_id":"' || k || '","customer_id":"' || c || '","order_date":"' || born
+                        || '","total":"' || total || '"}' end as record from j),
+            a as (select * from r where reasons = ''),
+            n as (select 'n_read' as record, 'rows' as reasons, count(*) as n from r
+                union all select 'n_accepted', 'rows', count(*) from a
+                union all select 'n_rejected', 'rows', count_if(reasons <> '') from r
+                union all select 'n_rejected', x, count_if(contains(reasons, x)) from r,
+                    (select unnest(['malformed record', 'conversion of order_id', 'conversion of customer_id',
+                        'conversion of order_date', 'conversion of total']) as x) group by x)
+            select 'accepted' as side, k as order_id, c as customer_id, order_date, price as total,
+                cast(null as varchar) as record, cast(null as varchar) as reasons
+            from (select *, row_number() over (partition by c order by order_date desc, k desc) as rn from a)
+            where rn = 1
+            union all select 'rejected', null, null, null, null, record, reasons from r where reasons <> ''
+            union all select 'counted', null, null, null, cast(n as double), record, reasons from n""",
         "prep_job_report": _with(
             {**_JOB_CTES,
              "b": "select * from e"},

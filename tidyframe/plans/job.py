@@ -52,6 +52,7 @@ from tidyframe.operators.quality import (
     quality_plan,
     report_from_parts,
 )
+from tidyframe.plans.quarantine import Quarantine, judge, keep_source, quarantined_source
 from tidyframe.plans.spec import JobSpec
 from tidyframe.sinks.write import prepare_layout, write_sink
 from tidyframe.sources.read import read_source
@@ -70,6 +71,7 @@ class JobResult:
     run_ts: dt.datetime
     rows_written: int | None
     report: DataFrame | None  # (check, subject, metric, value)
+    rejected: dict[str, int] | None = None  # counts of the quarantine: read, accepted, by reason
     state: DataFrame | None = None  # metric states (``operators.metric_state``), if kept
 
 
@@ -231,6 +233,12 @@ class PlannedJob:
     states: MetricPlan | None = None
     unique: IndexStep | None = None
     rows_before: Callable[[], int] | None = None  # where the observation cannot know them
+    quarantine: Quarantine | None = None
+
+    def release(self) -> None:
+        """Free what the plan keeps on disk between its writes."""
+        if self.quarantine is not None:
+            self.quarantine.release()
 
     def result(self, spark: SparkSession) -> JobResult:
         """Report from the observation; call after ``frame`` was written."""
@@ -268,7 +276,12 @@ class PlannedJob:
         if self.states is not None:
             self.states.bind_schema(self.metrics_input.withColumn(ROWS_COL, F.lit(1)))
             state = self.states.from_row(spark, values)
-        return JobResult(self.spec.sink.path, self.run_date, self.run_ts, rows_written, report, state)
+        rejected = None
+        if self.quarantine is not None:
+            rejected = self.quarantine.counts()
+            if report is not None:
+                report = report.unionByName(self.quarantine.report(spark, rejected))
+        return JobResult(self.spec.sink.path, self.run_date, self.run_ts, rows_written, report, rejected, state)
 
 
 def plan_job(
@@ -287,9 +300,13 @@ def plan_job(
     if run_date is None or run_ts is None:
         run_date, run_ts = run_clock(run_ts)
     q = spec.quality
-    src = read_source(spark, spec.source) if rows is None else rows
+    held = spec.quarantine
+    source = quarantined_source(spec.source, held)
+    src = read_source(spark, source) if rows is None else rows
+    if held is not None:
+        src = keep_source(src, source)
     converted: list[str] = []
-    if q is not None:
+    if q is not None or (held is not None and held.conversions):
         names = converted_columns(spec)
         df = transform_frame(_keep_raw(src, names), spec, run_date, names)
         own = dict.fromkeys(own_name(df, c) for c in names)
@@ -299,6 +316,13 @@ def plan_job(
                        and c.removeprefix(RAW_PREFIX) not in converted))
     else:
         df = transform_frame(src, spec, run_date)
+    quarantine = None
+    if held is not None:
+        nulled = [(c, col(RAW_PREFIX + c).isNotNull() & col(c).isNull()) for c in converted] if held.conversions else []
+        quarantine = Quarantine(judge(df, source, nulled), [c for c, _ in nulled])
+        df = quarantine.accepted
+        if q is None:
+            df, converted = df.drop(*[RAW_PREFIX + c for c in converted]), []
     if converted:
         # masks go last: as dedupe tie-breakers they only decide between rows
         # that are equal in every output column
@@ -357,7 +381,7 @@ def plan_job(
     observed = laid.observe(obs, *[e.alias(n) for n, e in exprs.items()])
     frame = observed.drop(*internal) if internal else observed
     return PlannedJob(spec, run_date, run_ts, frame, obs, metrics, metrics_input,
-                      converted, dup_from_dedupe, separate_dups, states, unique, rows_before)
+                      converted, dup_from_dedupe, separate_dups, states, unique, rows_before, quarantine)
 
 
 def run_job(
@@ -374,8 +398,33 @@ def run_job(
 
         return run_incremental(spark, spec, run_date, run_ts)
     planned = plan_job(spark, spec, run_date, run_ts)
-    write_sink(planned.frame, spec.sink, layout=False, stamps=stamp_columns(spec))
-    return keep_report(planned.result(spark), spec)
+    try:
+        write_quarantine(planned)
+        write_sink(planned.frame, spec.sink, layout=False, stamps=stamp_columns(spec))
+        result = planned.result(spark)
+    finally:
+        planned.release()
+    return keep_report(result, spec)
+
+
+def write_quarantine(planned: PlannedJob, batch: str | None = None) -> None:
+    """Write the rejected rows, if the job keeps any, with the run's date and timestamp."""
+    if planned.quarantine is None:
+        return
+    sink = planned.spec.quarantine.sink
+    if batch is not None:
+        sink = _batch_folder(sink, batch)
+    rows = add_run_stamps(planned.quarantine.rejected, planned.run_date, planned.run_ts, "run_date", "run_ts")
+    if sink.format == "csv":  # holds no arrays
+        rows = rows.withColumn("reasons", F.array_join("reasons", "; "))
+    # the observed rows must be written as they are: no layout shuffle behind the observation
+    write_sink(rows, sink, layout=False, stamps=() if batch else ("run_date", "run_ts"))
+
+
+def _batch_folder(sink, batch: str):
+    """A micro-batch writes a folder of its own, which a retry replaces."""
+    return replace(sink, mode="overwrite", dynamic_overwrite=False,
+                   path=f"{sink.path.rstrip('/')}/ingest_batch={batch}")
 
 
 def keep_report(result: JobResult, spec: JobSpec, batch: str | None = None) -> JobResult:
@@ -393,8 +442,7 @@ def keep_report(result: JobResult, spec: JobSpec, batch: str | None = None) -> J
         if sink is None or rows is None:
             continue
         if batch is not None:
-            sink = replace(sink, mode="overwrite", dynamic_overwrite=False,
-                           path=f"{sink.path.rstrip('/')}/ingest_batch={batch}")
+            sink = _batch_folder(sink, batch)
         stamped = add_run_stamps(rows, result.run_date, result.run_ts, "run_date", "run_ts")
         write_sink(stamped, sink, stamps=() if batch else ("run_date", "run_ts"))
     return result

@@ -15,6 +15,7 @@ from tidyframe.functions.casting import ON_ERROR
 from tidyframe.functions.dates import AGE_METHODS, check_date_pattern
 from tidyframe.operators.dedupe import STRATEGIES, SortKey
 from tidyframe.operators.quality import RangeRule
+from tidyframe.plans.quarantine import QuarantineSpec, quarantined_source
 from tidyframe.sinks.write import SinkSpec
 from tidyframe.sources.spec import SourceSpec, schema_from_files_ok
 
@@ -267,6 +268,7 @@ class JobSpec:
     stamps: StampSpec | None = field(default_factory=StampSpec)
     quality: QualitySpec | None = None
     ingest: IngestSpec | None = None
+    quarantine: QuarantineSpec | None = None
 
     @classmethod
     def from_dict(cls, d: Mapping) -> JobSpec:
@@ -284,7 +286,11 @@ class JobSpec:
             stamps=StampSpec.from_dict(stamps),
             quality=QualitySpec.from_dict(d.get("quality")),
             ingest=IngestSpec.from_dict(d.get("ingest")),
+            quarantine=QuarantineSpec.from_dict(d.get("quarantine")),
         )
+        quarantined_source(spec.source, spec.quarantine)  # raises what it cannot do
+        if spec.quarantine and spec.ingest and spec.ingest.watermark_column:
+            raise SpecError("a watermark job is one stream into one sink; it takes no quarantine")
         if spec.ingest and spec.source.is_jdbc:
             raise SpecError("incremental ingest needs a file source")
         if spec.ingest and spec.source.schema is None and not schema_from_files_ok(spec.source):

@@ -713,6 +713,39 @@ def q_prep_job_conversions(spark, sf_dir):
     return result.report.filter("check = 'conversion'")
 
 
+def q_prep_job_quarantine(spark, sf_dir):
+    """Both sides of a job over text lines: every tenth order has a field too many, others an
+    unreadable total or an impossible date."""
+    o = table(spark, sf_dir, "orders")
+    key = F.col("o_orderkey")
+    lines = o.select(F.concat_ws(
+        ",", key.cast("string"), F.col("o_custkey").cast("string"),
+        F.when(key % 11 == 0, F.lit("31/02/2000")).otherwise(F.date_format("o_orderdate", "dd/MM/yyyy")),
+        F.when(key % 9 == 0, F.lit("n/a")).otherwise(F.col("o_totalprice").cast("string")),
+        F.when(key % 10 == 3, F.lit("more"))).alias("value"))
+    root = scratch_path(spark, "quarantine")
+    lines.write.text(f"{root}/in")
+    result = run_job(spark, JobSpec.from_dict({
+        "source": {"format": "csv", "path": f"{root}/in",
+                   "schema": "order_id string, customer_id string, order_date string, total string"},
+        "sink": {"path": f"{root}/out"}, "stamps": None,
+        "clean": {"reformat_date": [{"column": "order_date", "from": "dd/MM/yyyy"}]},
+        "cast": [{"columns": ["order_id", "customer_id"], "to": "bigint"}, {"columns": ["total"]}],
+        "dedupe": {"keys": ["customer_id"], "order_by": ["order_date desc"]},
+        "quality": {}, "quarantine": {"sink": {"path": f"{root}/rejected"}},
+    }), AS_OF, RUN_TS)
+    accepted = spark.read.parquet(f"{root}/out").select(
+        F.lit("accepted").alias("side"), "order_id", "customer_id", "order_date", "total",
+        F.lit(None).cast("string").alias("record"), F.lit(None).cast("string").alias("reasons"))
+    rejected = spark.read.parquet(f"{root}/rejected").select(
+        F.lit("rejected").alias("side"), *(F.lit(None).cast(t).alias(c) for c, t in accepted.dtypes[1:5]),
+        "record", F.array_join("reasons", "; ").alias("reasons"))
+    counts = result.report.filter("check = 'quarantine'").select(
+        F.lit("counted").alias("side"), *(F.lit(None).cast(t).alias(c) for c, t in accepted.dtypes[1:4]),
+        F.col("value").alias("total"), F.col("metric").alias("record"), F.col("subject").alias("reasons"))
+    return accepted.unionByName(rejected).unionByName(counts)
+
+
 def q_chain_steps(spark, sf_dir):
     """The steps of ``prep_job`` chained over the frame, without a spec."""
     raw = read_source(spark, SourceSpec(format="csv", path=_job_input(spark, sf_dir),
@@ -784,5 +817,6 @@ QUERIES: dict[str, QueryFn] = {
     "prep_job": q_prep_job,
     "prep_job_report": q_prep_job_report,
     "prep_job_conversions": q_prep_job_conversions,
+    "prep_job_quarantine": q_prep_job_quarantine,
     "chain_steps": q_chain_steps,
 }

@@ -207,7 +207,8 @@ def _run_batches(spark: SparkSession, spec, run_date: dt.date, run_ts: dt.dateti
     The report has a ``batch_id``; kept reports and metric states are written in their
     batch, to folders named like the data's.
     """
-    from tidyframe.plans.job import JobResult, keep_report, plan_job
+    from tidyframe.plans.job import JobResult, keep_report, plan_job, write_quarantine
+    from tidyframe.plans.quarantine import quarantined_source
 
     if _stream_log(spark, spec.sink.path):
         raise SpecError(f"{spec.sink.path!r} holds a file stream's log, which would hide new "
@@ -221,22 +222,24 @@ def _run_batches(spark: SparkSession, spec, run_date: dt.date, run_ts: dt.dateti
         sink = replace(spec.sink, mode="overwrite", dynamic_overwrite=False,
                        path=f"{spec.sink.path.rstrip('/')}/ingest_batch={query_id}-{batch_id}")
         name = f"{query_id}-{batch_id}"
-        step = None
+        planned = step = None
         if ing.unique_index:
             step = KeyIndex(ing.unique_index, spec.dedupe.keys, ing.unique_buckets, ing.unique_bits).step(name)
         try:
             planned = plan_job(own, replace(spec, sink=sink), run_date, run_ts, rows, step)
+            write_quarantine(planned, name)
             write_sink(planned.frame, sink, layout=False)
             result = planned.result(own)
             if step is not None:
                 step.commit()
         finally:
-            if step is not None:
-                step.release()
+            for held in (step, planned):
+                if held is not None:
+                    held.release()
         result.report, result.state = (_of_batch(spark, x, batch_id) for x in (result.report, result.state))
         done.append(keep_report(result, spec, name))
 
-    stream = new_files(spark, spec.source, ing.archive_dir, ing.max_files_per_batch, ing.checkpoint)
+    stream = new_files(spark, quarantined_source(spec.source, spec.quarantine), ing.archive_dir, ing.max_files_per_batch, ing.checkpoint)
     query = (stream.writeStream.foreachBatch(one_batch).option("checkpointLocation", ing.checkpoint)
              .trigger(availableNow=True).start())
     query.awaitTermination()
