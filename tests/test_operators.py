@@ -44,12 +44,17 @@ def test_survivor_deterministic_without_order(spark):
     assert [tuple(r) for r in a] == [tuple(r) for r in b] == [(1, "a", 1.0)]
 
 
-def test_mixed_directions_use_window(spark):
+def test_mixed_directions_with_text(spark):
     df = spark.createDataFrame([(1, 1, "z"), (1, 1, "a"), (1, 0, "q")], "k int, p int, s string")
-    out = keep_one(df, ["k"], ["p desc", "s asc"])
-    assert [tuple(r) for r in out.collect()] == [(1, 1, "a")]
-    with pytest.raises(SpecError):
-        keep_one(df, ["k"], ["p desc", "s asc"], strategy="aggregate")
+    for strategy in ("window", "aggregate"):
+        out = keep_one(df, ["k"], ["p desc", "s asc"], strategy=strategy)
+        assert [tuple(r) for r in out.collect()] == [(1, 1, "a")]
+    nested = df.selectExpr("k", "p", "array(s) as s")
+    assert keep_one(nested, ["k"], ["p desc", "s asc"]).first()["s"] == ["a"]
+    with pytest.raises(SpecError):  # nested values have no inverted form
+        keep_one(nested, ["k"], ["p desc", "s asc"], strategy="aggregate")
+    plan = plan_text(keep_one(df, ["k"], ["p desc", "s asc"], strategy="aggregate", count_col="n"), "simple")
+    assert plan.count("Exchange") == 1  # rows and counts in one shuffle
 
 
 def test_count_col_reports_rows_per_key(spark):
@@ -285,9 +290,6 @@ def test_order_by_nulls_placement(spark):
     agg_first = {r["k"]: r["t"] for r in
                  keep_one(df, ["k"], ["t desc nulls first"], strategy="aggregate").collect()}
     assert agg_first == first
-    txt = spark.createDataFrame([(1, 1, "a")], "k int, t int, s string")
-    with pytest.raises(SpecError):  # text cannot be ordered against the first key
-        keep_one(txt, ["k"], ["t desc", "s asc"], strategy="aggregate")
 
 
 def _rows_close(a, b):
@@ -402,19 +404,23 @@ typed_rows = st.lists(
               st.one_of(st.none(), st.integers(-3, 3)),
               st.one_of(st.none(), st.just(NAN), st.sampled_from([-1.5, 0.0, 2.5])),
               st.one_of(st.none(), st.sampled_from([dt.date(2020, 1, d) for d in (1, 2, 3)])),
+              # beginnings of each other, bytes above ASCII, NUL, code points beyond 16 bits
+              st.one_of(st.none(), st.sampled_from(["", "a", "ab", "a\0", "a\x7f", "aé", "ﬀ", "😀", "G"])),
+              st.one_of(st.none(), st.booleans()),
               st.integers(0, 50)),
     min_size=1, max_size=25,
 )
 
 
 @settings(max_examples=25, deadline=None, suppress_health_check=list(HealthCheck))
-@given(typed_rows, st.lists(st.tuples(st.sampled_from(["i", "d", "dt"]), st.booleans(),
+@given(typed_rows, st.lists(st.tuples(st.sampled_from(["i", "d", "dt", "s", "b", "y"]), st.booleans(),
                                       st.sampled_from([None, True, False])),
-                            min_size=1, max_size=3, unique_by=lambda x: x[0]))
-def test_aggregate_strategy_handles_any_numeric_order(spark, data, keys):
-    """Mixed directions / NULL placement on numbers (NaN too) and dates: the
-    aggregate strategy picks exactly the window strategy's survivor."""
-    df = spark.createDataFrame(data, "k int, i int, d double, dt date, v int")
+                            min_size=1, max_size=4, unique_by=lambda x: x[0]))
+def test_aggregate_strategy_handles_any_order(spark, data, keys):
+    """Mixed directions / NULL placement on numbers (NaN too), dates, text, bytes and booleans:
+    the aggregate strategy picks exactly the window strategy's survivor."""
+    df = spark.createDataFrame(data, "k int, i int, d double, dt date, s string, b boolean, v int") \
+        .selectExpr("*", "encode(s, 'utf-16') as y")
     order = [c + (" desc" if desc else "") +
              ("" if nf is None else (" nulls first" if nf else " nulls last"))
              for c, desc, nf in keys]
@@ -423,7 +429,23 @@ def test_aggregate_strategy_handles_any_numeric_order(spark, data, keys):
     def norm(row):
         return tuple("NaN" if isinstance(x, float) and math.isnan(x) else x for x in row)
 
-    a = sorted((norm(r[:5]) for r in agg.collect()), key=repr)
+    a = sorted((norm(r[:8]) for r in agg.collect()), key=repr)
     w = sorted((norm(r) for r in win.collect()), key=repr)
     assert a == w
     assert sum(r["n"] for r in agg.collect()) == len(data)
+
+
+def test_column_names_follow_the_session_case_rule(spark):
+    df = spark.createDataFrame([(1, 2.0, "x"), (1, 3.0, "y")], "ID int, Value double, `odd.Name` string")
+    assert [tuple(r) for r in keep_one(df, ["id"], ["VALUE desc"], count_col="n").collect()] == [(1, 3.0, "y", 2)]
+    assert keep_one(df, ["id"], ["value desc"], strategy="window").first()["odd.Name"] == "y"
+    assert duplicate_metrics(df, ["id"]).first()["n_unique"] == 1
+    assert range_check(df, [{"column": "value", "min": 0, "max": 2.5}]).first()["n_invalid"] == 1
+    assert {r["column"] for r in completeness(df, ["id", "odd.name"]).collect()} == {"id", "odd.name"}
+    assert describe_numeric(df, ["VALUE"]).first()["max"] == 3.0
+    rep = {(r["check"], r["subject"]) for r in quality_report(df, ["id"], columns=["value"]).collect()}
+    assert ("describe", "value") in rep and ("duplicates", "id") in rep
+    exact = spark.newSession()
+    exact.conf.set("spark.sql.caseSensitive", "true")
+    with pytest.raises(MissingColumnError):
+        keep_one(exact.createDataFrame([(1,)], "ID int"), ["id"])

@@ -16,9 +16,13 @@ class MissingColumnError(ValueError):
 
 
 def require_columns(df: DataFrame, columns: Iterable[str]) -> None:
-    """Fail fast, with every missing name, instead of a late AnalysisException."""
+    """Fail fast, with every missing name, instead of a late AnalysisException.  Names
+    are compared under the session's case rule, as Spark resolves them."""
     present = set(df.columns)
     missing = [c for c in columns if c not in present]
+    if missing and df.sparkSession.conf.get("spark.sql.caseSensitive", "false").lower() != "true":
+        lower = {c.lower() for c in present}
+        missing = [c for c in missing if c.lower() not in lower]
     if missing:
         raise MissingColumnError(
             f"column(s) {missing} not found; available: {sorted(present)}"

@@ -2,7 +2,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, TimestampNTZType, TimestampType
+from pyspark.sql.types import DataType, DateType, TimestampNTZType, TimestampType
 
 
 def col(name: str) -> Column:
@@ -31,6 +31,11 @@ def own_name(df: DataFrame, name: str) -> str | None:
     return next((c for c in df.columns if c.lower() == name.lower()), None)
 
 
+def type_of(df: DataFrame, name: str) -> DataType:
+    """Type of the column that ``name`` means under the session's case rule."""
+    return df.schema[own_name(df, name) or name].dataType
+
+
 def is_temporal(df: DataFrame, name: str) -> bool:
     """Column already holds dates/timestamps (no text pattern applies)."""
-    return isinstance(df.schema[name].dataType, (DateType, TimestampType, TimestampNTZType))
+    return isinstance(type_of(df, name), (DateType, TimestampType, TimestampNTZType))

@@ -7,8 +7,10 @@ third of the table never reaches one reducer whole:
   Catalyst plans a partial ``WindowGroupLimit`` on the map side.
 * ``aggregate`` ``groupBy(key).agg(max_by(struct(row), struct(order)))``; a
   partial aggregate on the map side.  Any mix of directions and NULL
-  placements works as long as keys sorted against the first key's direction
-  are numbers, dates or times (they are negated exactly; NaN handled).  It can also carry each key's row count
+  placements works: keys sorted against the first key's direction are turned
+  round (numbers, dates and times negated exactly, NaN handled; text, binary and
+  booleans encoded so that the byte order is reversed), except nested values.
+  It can also carry each key's row count
   (``count_col``), which lets a later observation report how many rows the
   dedupe removed without a second pass over the input.
 
@@ -21,13 +23,14 @@ from __future__ import annotations
 
 import re
 from collections.abc import Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import (
     ArrayType,
     BinaryType,
+    BooleanType,
     ByteType,
     DateType,
     DecimalType,
@@ -45,7 +48,7 @@ from pyspark.sql.types import (
 )
 
 from tidyframe.errors import SpecError, require_columns
-from tidyframe.functions._util import col, pct
+from tidyframe.functions._util import col, own_name, pct, type_of
 
 STRATEGIES = ("auto", "window", "aggregate", "any")
 KEY_HASH = "__keep_key_hash"
@@ -123,6 +126,8 @@ def keep_one(
         raise SpecError(f"strategy must be one of {STRATEGIES}, got {strategy!r}")
     order = _parse_order(order_by)
     require_columns(df, keys + [o.column for o in order])
+    keys = [own_name(df, k) for k in keys]  # as the frame spells them
+    order = [replace(o, column=own_name(df, o.column)) for o in order]
 
     if strategy == "any":
         if order or count_col:
@@ -145,7 +150,7 @@ def keep_one(
             raise SpecError("count_col needs strategy='aggregate'")
         out = _keep_by_window(df, keys, order)
     elif not aggregatable(df, order):
-        raise SpecError("strategy='aggregate' cannot order text keys against the first "
+        raise SpecError("strategy='aggregate' cannot order nested or collated keys against the first "
                         "key's direction; use strategy='window'")
     else:
         out = _keep_by_aggregate(df, keys, order, count_col)
@@ -174,22 +179,36 @@ def _keep_by_window(df: DataFrame, keys: list[str], order: list[SortKey]) -> Dat
 
 
 _NEGATABLE = (ByteType, ShortType, IntegerType, LongType, DecimalType, FloatType, DoubleType,
-              DateType, TimestampType, TimestampNTZType)
+              DateType, TimestampType, TimestampNTZType, BinaryType, BooleanType)
 
 
 def aggregatable(df: DataFrame, order: Sequence[SortKey]) -> bool:
-    """Can ``max_by`` / ``min_by`` express this order?  Keys sorted against
-    the first key's direction must be negatable (numbers, dates, times)."""
+    """Can ``max_by`` / ``min_by`` express this order?  Keys sorted against the
+    first key's direction must have an inverted form: all but nested values and
+    text under a collation, whose order is not that of its bytes."""
     if not order:
         return True
     first = order[0].descending
-    return all(o.descending == first or isinstance(df.schema[o.column].dataType, _NEGATABLE)
-               for o in order)
+    return all(o.descending == first or _invertible(type_of(df, o.column)) for o in order)
+
+
+def _invertible(dtype) -> bool:
+    return isinstance(dtype, _NEGATABLE) or dtype == StringType()
+
+
+def _turned_round(c: Column) -> Column:
+    """Text or bytes whose order is the reverse: hex digits complemented, and an end mark
+    above every digit, so that a value sorts after those it is the beginning of."""
+    return F.concat(F.translate(F.hex(c), "0123456789ABCDEF", "FEDCBA9876543210"), F.lit("G"))
 
 
 def _negated(c: Column, dtype) -> Column:
     if isinstance(dtype, (ByteType, ShortType, IntegerType, LongType)):
         return -c.cast("decimal(38,0)")  # no overflow at the type's minimum
+    if isinstance(dtype, (StringType, BinaryType)):
+        return _turned_round(c)
+    if isinstance(dtype, BooleanType):
+        return ~c
     if isinstance(dtype, DateType):
         return -F.unix_date(c)
     if isinstance(dtype, TimestampType):

@@ -35,7 +35,7 @@ from pyspark.sql.types import (
 )
 
 from tidyframe.errors import SpecError, require_columns
-from tidyframe.functions._util import col, pct
+from tidyframe.functions._util import col, pct, type_of
 from tidyframe.operators._sql import pct_sql, sql_double, sql_str
 from tidyframe.operators.quality_long import RANGE, long_aggregate
 
@@ -91,21 +91,15 @@ def _unpivot(
     return wide.selectExpr(*keep, f"inline(array({', '.join(entries)}))")
 
 
-LAYOUTS = ("auto", "wide", "long")
-# aggregate buffers per row above which the long layout wins (measured: 11
-# columns favour wide 2:1, 50+ columns with statistics favour long 2-5:1)
-LONG_LAYOUT_MIN_BUFFERS = 100
+LAYOUTS = ("wide", "long")
 
 
-def use_long_layout(layout: str, n_columns: int = 0, n_describe: int = 0,
-                    n_rules: int = 0) -> bool:
-    """``wide``: one aggregate per metric and column (best for tens of
-    columns); ``long``: unpivot once, fixed aggregates per column (best for
-    hundreds); ``auto``: by the estimated aggregate buffers per row."""
+def use_long_layout(layout: str) -> bool:
+    """``wide``: one aggregate per metric and column, best for tens of columns; ``long``:
+    unpivot once, fixed aggregates per column, best for hundreds (measured: 11 columns
+    favour wide 2:1, 50 and more with statistics favour long 2-5:1).  The caller chooses."""
     if layout not in LAYOUTS:
         raise SpecError(f"layout must be one of {LAYOUTS}, got {layout!r}")
-    if layout == "auto":
-        return n_columns + 8 * n_describe + 2 * n_rules > LONG_LAYOUT_MIN_BUFFERS
     return layout == "long"
 
 
@@ -141,7 +135,7 @@ def _is_fractional(dtype) -> bool:
 
 def _missing(df: DataFrame, name: str) -> Column:
     c = col(name)
-    if _is_fractional(df.schema[name].dataType):
+    if _is_fractional(type_of(df, name)):
         return c.isNull() | F.isnan(c)
     return c.isNull()
 
@@ -154,7 +148,7 @@ def _numeric_among(df: DataFrame, columns: Sequence[str] | None) -> list[str] |
     """Statistics cover the numeric columns among those profiled (all if None)."""
     if columns is None:
         return None
-    return [c for c in columns if isinstance(df.schema[c].dataType, NumericType)]
+    return [c for c in columns if isinstance(type_of(df, c), NumericType)]
 
 
 # ------------------------------------------------------------------ completeness
@@ -215,18 +209,18 @@ def completeness(
     df: DataFrame,
     columns: Sequence[str] | None = None,
     warn_pct: float = 10.0,
-    layout: str = "auto",
+    layout: str = "wide",
 ) -> DataFrame:
     """Per column: total, n_null, n_filled, pct_null, pct_filled, status.
 
     NULL counts as missing everywhere; NaN too for float/double columns.
     ``status``: ``ok`` with no missing value, ``warn`` below ``warn_pct`` %,
     else ``fail``.  Empty input gives 0 % (no division error).  ``layout``:
-    see ``choose_layout`` (same results either way).
+    see ``use_long_layout`` (same results either way).
     """
     cols = list(columns) if columns is not None else list(df.columns)
     require_columns(df, cols)
-    if not use_long_layout(layout, n_columns=len(cols)):
+    if not use_long_layout(layout):
         return completeness_plan(df, cols, warn_pct).run(df)
     agg = long_aggregate(df, comp_cols=cols)
     return _completeness_finish(
@@ -242,7 +236,7 @@ def _describe_columns(df: DataFrame, columns: Sequence[str] | None) -> list[str]
     cols = list(columns) if columns is not None else numeric_columns(df)
     require_columns(df, cols)
     for c in cols:
-        if not isinstance(df.schema[c].dataType, NumericType):
+        if not isinstance(type_of(df, c), NumericType):
             raise SpecError(f"describe needs numeric columns; {c!r} is not")
     return cols
 
@@ -252,7 +246,7 @@ def describe_plan(df: DataFrame, columns: Sequence[str] | None = None) -> Metric
     exprs = {}
     for i, c in enumerate(cols):
         x = col(c)
-        if isinstance(df.schema[c].dataType, DecimalType):
+        if isinstance(type_of(df, c), DecimalType):
             x = x.cast("double")
         exprs[f"__n_{i}"] = F.count(x)
         exprs[f"__mean_{i}"] = F.avg(x).cast("double")
@@ -285,11 +279,11 @@ def describe_plan(df: DataFrame, columns: Sequence[str] | None = None) -> Metric
 
 
 def describe_numeric(
-    df: DataFrame, columns: Sequence[str] | None = None, layout: str = "auto"
+    df: DataFrame, columns: Sequence[str] | None = None, layout: str = "wide"
 ) -> DataFrame:
     """Per numeric column: count (non-null), mean, stddev (sample), min, max."""
     cols = _describe_columns(df, columns)
-    if not use_long_layout(layout, n_describe=len(cols)):
+    if not use_long_layout(layout):
         return describe_plan(df, cols).run(df)
     return long_aggregate(df, desc_cols=cols).select(
         F.col("subject").alias("column"), F.col("n").alias("count"), "mean",
@@ -390,7 +384,7 @@ def range_check(
     df: DataFrame,
     rules: Sequence[RangeRule | dict],
     legacy_null_valid: bool = False,
-    layout: str = "auto",
+    layout: str = "wide",
 ) -> DataFrame:
     """One row per rule: total, n_valid, n_invalid, n_null, pct_invalid, pct_valid.
 
@@ -399,7 +393,7 @@ def range_check(
     ``filter(out of range).count()`` does.
     """
     rules = _rules(df, rules)
-    if not use_long_layout(layout, n_rules=len(rules)):
+    if not use_long_layout(layout):
         return range_plan(df, rules, legacy_null_valid).run(df)
     agg = long_aggregate(df, rules=rules)
     return _range_finish(
@@ -566,7 +560,7 @@ def quality_report(
     warn_pct: float = 10.0,
     legacy_null_valid: bool = False,
     approx_duplicates: bool = False,
-    layout: str = "auto",
+    layout: str = "wide",
 ) -> DataFrame:
     """Long-form report ``(check, subject, metric, value)``.
 
@@ -579,7 +573,7 @@ def quality_report(
     require_columns(df, comp_cols)
     desc_cols = _describe_columns(df, _numeric_among(df, columns)) if describe else []
     rule_list = _rules(df, rules)
-    if use_long_layout(layout, len(comp_cols), len(desc_cols), len(rule_list)):
+    if use_long_layout(layout):
         agg = long_aggregate(df, comp_cols, desc_cols, rule_list)
         fused = _report_from_long(agg, legacy_null_valid)
         if keys:

@@ -22,6 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, FloatType
 
+from tidyframe.functions._util import type_of
 from tidyframe.operators._sql import quote_ident, sql_double
 
 # check kinds
@@ -29,7 +30,7 @@ COMPLETENESS, DESCRIBE, RANGE = 0, 1, 2
 
 
 def _missing_sql(df: DataFrame, c: str) -> str:
-    if isinstance(df.schema[c].dataType, (FloatType, DoubleType)):
+    if isinstance(type_of(df, c), (FloatType, DoubleType)):
         return f"({quote_ident(c)} IS NULL OR isnan({quote_ident(c)}))"
     return f"({quote_ident(c)} IS NULL)"
 

@@ -294,6 +294,14 @@ def oracles() -> dict[str, str]:
                 row_number() over (partition by o_custkey
                     order by o_orderdate desc, o_orderkey desc) as rn from orders)
             where rn = 1""",
+        "dedupe_mixed_text_order": """select * exclude (rn) from (
+            select *, count(*) over (partition by o_custkey) as n_orders,
+                row_number() over (partition by o_custkey order by year desc,
+                    priority asc nulls last, o_orderstatus, o_orderkey desc) as rn
+            from (select o_orderkey, o_custkey, cast(date_trunc('year', o_orderdate) as date) as year,
+                    o_orderstatus, case when o_orderkey % 7 = 0 then null
+                        else substr(o_orderpriority, 1, cast(1 + o_orderkey % 9 as bigint)) end as priority
+                  from orders)) where rn = 1""",
         "dedupe_documents": f"""select doc_id, text_norm, lang, source from (
             select *, row_number() over (partition by text_norm
                 order by doc_id, lang, source) as rn

@@ -304,6 +304,17 @@ def q_dedupe_latest_counted(spark, sf_dir):
                     count_col="n_orders")
 
 
+def q_dedupe_mixed_text_order(spark, sf_dir):
+    """A customer's latest order; of one day's orders the first by priority, then by the longest
+    clerk-like text: text sorted against the date, with counts, in one shuffle."""
+    o = table(spark, sf_dir, "orders").select(
+        "o_orderkey", "o_custkey", F.trunc("o_orderdate", "year").alias("year"), "o_orderstatus",
+        F.when(F.col("o_orderkey") % 7 == 0, F.lit(None))
+        .otherwise(F.substring("o_orderpriority", 1, 1 + F.col("o_orderkey") % 9)).alias("priority"))
+    return keep_one(o, ["o_custkey"], ["year desc", "priority asc nulls last", "o_orderstatus"],
+                    strategy="aggregate", count_col="n_orders")
+
+
 def q_dedupe_documents(spark, sf_dir):
     """One document per normalised text (whitespace/case variants collapse)."""
     d = table(spark, sf_dir, "documents")
@@ -791,6 +802,7 @@ QUERIES: dict[str, QueryFn] = {
     "run_stamp": q_run_stamp,
     "dedupe_latest": q_dedupe_latest,
     "dedupe_latest_counted": q_dedupe_latest_counted,
+    "dedupe_mixed_text_order": q_dedupe_mixed_text_order,
     "dedupe_documents": q_dedupe_documents,
     "dedupe_report": q_dedupe_report,
     "completeness": q_completeness,

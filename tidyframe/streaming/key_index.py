@@ -30,7 +30,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidyframe.errors import SpecError, require_columns
-from tidyframe.functions._util import col
+from tidyframe.functions._util import col, type_of
 from tidyframe.operators._sql import quote_ident
 
 HASH, BUCKET, MAYBE = "__index_hash", "bucket", "__index_maybe"
@@ -68,7 +68,7 @@ class KeyIndex:
     # ------------------------------------------------------------------- tables
 
     def _keys_of_others(self, spark: SparkSession, rows: DataFrame, batch: str) -> DataFrame | None:
-        fields = [f"{quote_ident(f'k{i}')} {rows.schema[k].dataType.simpleString()}" for i, k in enumerate(self.keys)]
+        fields = [f"{quote_ident(f'k{i}')} {type_of(rows, k).simpleString()}" for i, k in enumerate(self.keys)]
         schema = ", ".join([*fields, f"{HASH} bigint", f"{BUCKET} int", "ingest_batch string"])
         try:
             kept = spark.read.schema(schema).parquet(f"{self.path.rstrip('/')}/keys")
