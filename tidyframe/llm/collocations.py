@@ -1,10 +1,14 @@
 """Collocations of two to ``DEPTH`` words, after vertical partitioning of the suffixes.
 
-1. Words are counted per language.  A phrase is frequent only if its words are, so every
-   rarer word ends a piece as punctuation does.  Tasks know the frequent words by a bitmap of
-   fixed size (2 ** BITS bits, whatever the corpus): a false hit costs a row, no result.
-2. Each word starts a suffix of up to ``DEPTH`` words of its piece.  Equal suffixes
-   are counted per chunk, then over the corpus: these are the leaves with their totals.
+1. Words are counted per language, then the prefixes of two and of ``PRUNED`` words, by a
+   32-bit hash.  A phrase is frequent only if all its words, pairs and triples are, so every
+   rarer one ends a piece as punctuation does.  Tasks know the frequent ones by bitmaps of
+   fixed size (2 ** BITS bits, whatever the corpus).  A hash that two share can only let a rare
+   one pass: it costs a row and changes no result.
+2. What is left of a piece are chains of words, each triple of which may be frequent.  Equal
+   chains are counted per chunk, then over the corpus, so copied passages travel once a chunk.
+   Each word of a distinct chain starts a suffix of up to ``DEPTH`` words: summed up, these
+   are the leaves with their totals.
 3. Vertical partitioning: leaves belong to the prefix of one word; a prefix of more
    than ``GROUP_LEAVES`` leaves is split by its next word, and so on to the full depth.
    Prefixes are packed into groups up to that budget of leaves.
@@ -28,13 +32,14 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidyframe.llm.common import hash_words, materialize, slices, utf8
+from tidyframe.llm.common import hash_words, materialize, mix64, slices, utf8
 
 DEPTH = 5
 MIN_COUNT = 100
 TOP = 2000
 ABSORB = 100              # per cent of a phrase's occurrences in a longer one that drop it
-BITS = 25                 # bitmap of frequent words: 4 MiB
+BITS = 25                 # of each bitmap: 4 MiB
+PRUNED = 3                # words of the longest prefix that is counted before the leaves (2 or 3)
 GROUP_LEAVES = 100_000    # leaves of a subtree in one task's memory
 LANES = 32                # of the last ranking and of the join with a language's total
 NO_LANG = "und"
@@ -69,10 +74,14 @@ def _by_lang(batches):
             yield lang, *_pieces(some)
 
 
-def _places(lang: str, words) -> np.ndarray:
-    """Bits of words in the bitmap."""
+def _hashes(lang: str, words) -> np.ndarray:
     own = lang.encode() + b"\0"
-    return hash_words([own + w for w in words]) & np.uint64((1 << BITS) - 1)
+    return hash_words([own + w for w in words])
+
+
+def _known(bitmap: np.ndarray, h: np.ndarray) -> np.ndarray:
+    bit = h & np.uint64((1 << BITS) - 1)
+    return (bitmap[bit >> np.uint64(6)] >> (bit & np.uint64(63))) & np.uint64(1) > 0
 
 
 def _strings(values):
@@ -82,40 +91,63 @@ def _strings(values):
 
 
 def _count_words(batches):
-    """Words with their counts; under the null word, the count of all."""
+    """Words with their hashes and counts; under the null word, the count of all."""
     import pyarrow as pa
 
     for lang, ids, words in _by_lang(batches):
         n = np.bincount(ids, minlength=len(words))
         yield pa.RecordBatch.from_arrays(
-            [pa.array([lang] * len(words)), _strings([None, *words[1:]]),
-             pa.array(np.concatenate([[n[1:].sum()], n[1:]]), pa.int64())], names=["lang", "word", "f"])
+            [pa.array([lang] * len(words), pa.string()), _strings([None, *words[1:]]),
+             pa.array(np.append(np.uint64(0), _hashes(lang, words[1:])).view(np.int64)),
+             pa.array(np.concatenate([[n[1:].sum()], n[1:]]), pa.int64())], names=["lang", "word", "h", "f"])
+
+
+def _linked(lang: str, ids: np.ndarray, words, bitmaps: list[np.ndarray]):
+    """For each width from 1 on: hashes of the windows of that width, and which of them may be
+    part of a frequent phrase.  One more width than there are bitmaps: candidates."""
+    own = _hashes(lang, words)
+    first = _known(bitmaps[0], own)
+    first[0] = False
+    h = own[ids]
+    out = [(h, first[ids])]
+    for width in range(2, len(bitmaps) + 2):
+        before, may = out[-1]
+        gram = mix64(mix64(before[:-1]) + mix64(~h[width - 1:]) * np.uint64(0x9E3779B97F4A7C15))
+        may = may[:-1] & may[1:]
+        if width <= len(bitmaps):
+            may[may] = _known(bitmaps[width - 1], gram[may])
+        out.append((gram, may))
+    return out
+
+
+def _count_grams(bitmaps: list[np.ndarray]):
+    """Windows one word wider than the bitmaps know, by the low half of their hash."""
 
+    def run(batches):
+        import pyarrow as pa
 
-def _marks(batches):
-    """Frequent words as bits of 64-bit blocks of the bitmap."""
-    import pyarrow as pa
+        for lang, ids, words in _by_lang(batches):
+            gram, may = _linked(lang, ids, words, bitmaps)[-1]
+            found, n = np.unique(gram[may].astype(np.uint32), return_counts=True)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(found.view(np.int32)), pa.array(n, pa.int64())], names=["h", "f"])
 
-    for part in batches:
-        bit = np.array([_places(lang, [utf8(w)])[0] for lang, w in zip(
-            part.column("lang").to_pylist(), part.column("word").to_pylist(), strict=True)], np.uint64)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array((bit >> np.uint64(6)).astype(np.int32)),
-             pa.array((np.uint64(1) << (bit & np.uint64(63))).view(np.int64))], names=["block", "bits"])
+    return run
 
 
-def _leaves_of(ids: np.ndarray, depth: int):
-    """(distinct suffixes as rows of word numbers, their counts); 0 fills a row."""
-    n = len(ids)
-    starts = np.flatnonzero((ids[:-1] > 0) & (ids[1:] > 0)) if n else np.empty(0, np.int64)
-    padded = np.concatenate([ids, np.zeros(depth, ids.dtype)])
-    m = np.stack([padded[starts + k] for k in range(depth)], axis=1)
-    for k in range(1, depth):
-        m[m[:, k - 1] == 0, k] = 0
-    order = _sorted_rows(m)
-    m = m[order]
-    fresh = np.flatnonzero(np.append(True, (m[1:] != m[:-1]).any(axis=1))) if len(m) else starts
-    return m[fresh], np.diff(np.append(fresh, len(m)))
+def _chains(ids: np.ndarray, linked: list[np.ndarray]) -> dict[bytes, int]:
+    """Maximal chains of linked windows, as word numbers, with their counts.  ``linked[w]``
+    says which windows of w + 2 words may be part of a frequent phrase; of pairs alone,
+    or of pairs and triples, which join a pair to the one before it."""
+    pair = np.flatnonzero(linked[0])
+    joins = linked[1][pair[:-1]] if len(linked) > 1 else np.ones(max(len(pair) - 1, 0), bool)
+    fresh = np.append(True, (np.diff(pair) > 1) | ~joins) if len(pair) else np.empty(0, bool)
+    first = pair[fresh]
+    last = pair[np.append(fresh[1:], True)] if len(pair) else pair
+    found: dict[bytes, int] = defaultdict(int)
+    for a, b in zip(first.tolist(), (last + 2).tolist(), strict=True):
+        found[ids[a:b].tobytes()] += 1
+    return found
 
 
 def _sorted_rows(m: np.ndarray) -> np.ndarray:
@@ -129,21 +161,35 @@ def _sorted_rows(m: np.ndarray) -> np.ndarray:
     return np.lexsort(keys[::-1])
 
 
-def _suffixes(bitmap: np.ndarray, depth: int):
+def _count_chains(bitmaps: list[np.ndarray]):
     def run(batches):
         import pyarrow as pa
 
         for lang, ids, words in _by_lang(batches):
-            bit = _places(lang, words)
-            known = (bitmap[bit >> np.uint64(6)] >> (bit & np.uint64(63))) & np.uint64(1) > 0
-            known[0] = False
-            number = np.where(known, np.cumsum(known), 0).astype(np.int32)
-            kept = [b"", *(w for w, k in zip(words, known.tolist(), strict=True) if k)]
-            rows, n = _leaves_of(number[ids], depth)
+            chains = _chains(ids, [may for _, may in _linked(lang, ids, words, bitmaps)[1:len(bitmaps)]])
             yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(n), pa.string()),
-                 _strings([b" ".join([kept[w] for w in row if w]) for row in rows.tolist()]),
-                 pa.array(n, pa.int64())], names=["lang", "suffix", "f"])
+                [pa.array([lang] * len(chains), pa.string()),
+                 _strings([b" ".join([words[w] for w in np.frombuffer(c, ids.dtype).tolist()]) for c in chains]),
+                 pa.array(list(chains.values()), pa.int64())], names=["lang", "chain", "f"])
+
+    return run
+
+
+def _suffixes(depth: int):
+    """Distinct chains with counts -> their suffixes of two words and more."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        for part in batches:
+            found: dict = defaultdict(int)
+            for lang, chain, f in zip(*(part.column(c).to_pylist() for c in ("lang", "chain", "f")), strict=True):
+                words = chain.split(" ")
+                for i in range(len(words) - 1):
+                    found[lang, " ".join(words[i:i + depth])] += f
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([k[0] for k in found], pa.string()), pa.array([k[1] for k in found], pa.string()),
+                 pa.array(list(found.values()), pa.int64())], names=["lang", "suffix", "f"])
 
     return run
 
@@ -228,23 +274,35 @@ def partition_leaves(leaves: DataFrame, depth: int, budget: int) -> DataFrame:
     return routed.join(packed, ["lang", "prefix"])
 
 
+def _bitmap(hashed: DataFrame) -> np.ndarray:
+    """The rows' hashes ``h`` as a bitmap: 2 ** BITS / 64 rows of two numbers at most reach
+    the driver, as columns."""
+    bit = F.col("h").bitwiseAND(F.lit((1 << BITS) - 1))
+    marks = hashed.select(F.shiftright(bit, 6).cast("int").alias("block"), bit.alias("bit")).groupBy("block").agg(
+        F.expr("bit_or(shiftleft(1L, CAST(bit & 63 AS INT)))").alias("bits")).toArrow()
+    out = np.zeros(max(1, 1 << BITS >> 6), np.uint64)
+    out[marks.column("block").to_numpy()] = marks.column("bits").to_numpy().view(np.uint64)
+    return out
+
+
 def frequent_phrases(docs: DataFrame, depth: int = DEPTH, min_count: int = MIN_COUNT,
                      budget: int = GROUP_LEAVES) -> tuple[DataFrame, DataFrame]:
     """``docs(lang, text)`` -> (lang, phrase, f) of the words and phrases of ``min_count``
     occurrences and more, and (lang, n) with all words."""
     texts = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit(NO_LANG)).alias("lang"), "text")
     counted = materialize(
-        texts.mapInArrow(_count_words, "lang string, word string, f long").groupBy("lang", "word")
+        texts.mapInArrow(_count_words, "lang string, word string, h long, f long").groupBy("lang", "word", "h")
         .agg(F.sum("f").alias("f")).filter(F.col("word").isNull() | (F.col("f") >= min_count)), "word-counts")
     totals = counted.filter("word IS NULL").select("lang", F.col("f").alias("n"))
     words = counted.filter("word IS NOT NULL").select("lang", F.col("word").alias("phrase"), "f")
-    # at most 2 ** BITS / 64 rows of two numbers, as columns
-    marks = counted.filter("word IS NOT NULL").mapInArrow(_marks, "block int, bits long").groupBy("block").agg(
-        F.expr("bit_or(bits)").alias("bits")).toArrow()
-    bitmap = np.zeros(1 << (BITS - 6), np.uint64)
-    bitmap[marks.column("block").to_numpy()] = marks.column("bits").to_numpy().view(np.uint64)
+    bitmaps = [_bitmap(counted.filter("word IS NOT NULL"))]
+    while len(bitmaps) < min(PRUNED, depth):
+        grams = texts.mapInArrow(_count_grams(bitmaps), "h int, f long").groupBy("h").agg(F.sum("f").alias("f"))
+        bitmaps.append(_bitmap(grams.filter(F.col("f") >= min_count)))
+    chains = texts.mapInArrow(_count_chains(bitmaps), "lang string, chain string, f long") \
+        .groupBy("lang", "chain").agg(F.sum("f").alias("f"))
     leaves = materialize(
-        texts.mapInArrow(_suffixes(bitmap, depth), "lang string, suffix string, f long")
+        chains.mapInArrow(_suffixes(depth), "lang string, suffix string, f long")
         .groupBy("lang", "suffix").agg(F.sum("f").alias("f")), "suffix-leaves")
     nodes = (partition_leaves(leaves, depth, budget).select("grp", "lang", "suffix", "f", "words")
              .repartition("grp").sortWithinPartitions("grp", "lang")
