@@ -1,0 +1,146 @@
+"""Idempotent appends, and archiving right after the commit."""
+
+from __future__ import annotations
+
+import datetime as dt
+import os
+
+import pytest
+from pyspark.errors import StreamingQueryException
+
+import tidyframe.streaming.ingest as ingest
+from tidyframe.errors import SpecError
+from tidyframe.plans import JobSpec, run_job
+from tidyframe.sinks import SinkSpec, write_sink
+from tidyframe.sinks.runs import append_run, committed_runs, read_runs
+from tidyframe.streaming.archive import archive_committed, committed_files
+
+DAY, NOW = dt.date(2024, 1, 1), dt.datetime(2024, 1, 1, 6)
+DDL = "id int, day string"
+
+
+@pytest.mark.parametrize("fmt,options", [("parquet", {}), ("csv", {"header": True}), ("json", {})])
+def test_runs_count_once(spark, scratch, fmt, options):
+    sink = SinkSpec(path=f"{scratch}/t", format=fmt, options=options, mode="append", partition_by=("day",),
+                    idempotent=True)
+    frame = lambda *rows: spark.createDataFrame(rows, DDL)
+    got = lambda **kw: sorted(map(tuple, read_runs(spark, sink, DDL, **kw).collect()))
+    assert got() == [] and committed_runs(spark, sink.path).count() == 0
+    append_run(frame((1, "a"), (2, "b")), sink, "r1")
+    append_run(frame((3, "a")), sink, "r2")
+    append_run(frame((1, "a"), (2, "b"), (9, "b")), sink, "r1")  # a rerun replaces
+    # an attempt that wrote its files but never its line
+    write_sink(frame((7, "a")), SinkSpec(path=f"{scratch}/t/data/run_id=r3/attempt=lost", format=fmt, options=options,
+                                         partition_by=("day",)))
+    assert got() == [(1, "a"), (2, "b"), (3, "a"), (9, "b")]
+    assert got(with_run_id=True)[2] == (3, "a", "r2")
+    append_run(frame(), sink, "r2")  # a rerun of no rows
+    assert got() == [(1, "a"), (2, "b"), (9, "b")]
+
+
+def test_job_appends_by_run_id(spark, scratch):
+    write_sink(spark.createDataFrame([(1, "a"), (2, "b")], DDL), SinkSpec(path=f"{scratch}/in"))
+    spec = JobSpec.from_dict({"source": {"format": "parquet", "path": f"{scratch}/in", "schema": DDL},
+                              "sink": {"path": f"{scratch}/out", "mode": "append", "idempotent": True},
+                              "stamps": None, "quality": {"keys": ["id"]}})
+    for run_id in ("mon", "mon", "tue"):
+        assert run_job(spark, spec, DAY, NOW, run_id).rows_written == 2
+    run_job(spark, spec, DAY, NOW)
+    run_job(spark, spec, DAY, NOW)  # the same timestamp is the same run
+    ids = [r["run_id"] for r in read_runs(spark, spec.sink, DDL, True).collect()]
+    assert sorted(set(ids)) == ["20240101T060000.000000", "mon", "tue"] and len(ids) == 6
+
+
+def test_idempotent_rules(spark, scratch):
+    with pytest.raises(SpecError):
+        SinkSpec(path="/x", idempotent=True)
+    sink = SinkSpec(path=f"{scratch}/t", mode="append", idempotent=True)
+    for bad in ("", "a/b"):
+        with pytest.raises(SpecError):
+            append_run(spark.range(1), sink, bad)
+    with pytest.raises(SpecError):
+        append_run(spark.range(1).withColumnRenamed("id", "Run_ID"), sink, "r")
+    with pytest.raises(SpecError):
+        JobSpec.from_dict({"source": {"format": "parquet", "path": "/x"}, "ingest": {"checkpoint": "/c"},
+                           "sink": {"path": "/y", "mode": "append", "idempotent": True}})
+
+
+# ----------------------------------------------------------------------- archive
+
+
+def names(folder):
+    return sorted(f for _, _, files in os.walk(folder) for f in files if f.endswith(".json"))
+
+
+def put(scratch, name, text):
+    os.makedirs(f"{scratch}/in", exist_ok=True)
+    with open(f"{scratch}/in/{name}", "w") as fh:
+        fh.write(text)
+
+
+def spec_of(scratch, **more):
+    return JobSpec.from_dict({
+        "source": {"format": "json", "path": f"{scratch}/in/*.json", "schema": "id int"},
+        "sink": {"path": f"{scratch}/out", "mode": "append"}, "stamps": None,
+        "ingest": {"checkpoint": f"{scratch}/ckpt", "archive_dir": f"{scratch}/old", **more}})
+
+
+def test_files_are_archived_with_their_batch(spark, scratch, monkeypatch):
+    spec = spec_of(scratch, max_files_per_batch=1)
+    for k in range(12):  # more batches than the log keeps apart
+        put(scratch, f"f{k:02}.json", f'{{"id": {k}}}\n')
+
+    real = ingest.write_sink
+
+    def lands_meanwhile(df, sink, *args, **kw):
+        put(scratch, "late.json", '{"id": 99}\n')
+        return real(df, sink, *args, **kw)
+
+    with monkeypatch.context() as m:
+        m.setattr(ingest, "write_sink", lands_meanwhile)
+        run_job(spark, spec, DAY, NOW)
+    assert names(f"{scratch}/in") == ["late.json"]  # it landed mid-run: not read, not moved
+    assert names(f"{scratch}/old") == [f"f{k:02}.json" for k in range(12)]
+    assert os.path.exists(f"{scratch}/old{scratch}/in/f00.json")  # with its full path
+    assert run_job(spark, spec, DAY, NOW).rows_written == 1
+    assert names(f"{scratch}/in") == []
+    assert sorted(r["id"] for r in spark.read.parquet(f"{scratch}/out").collect()) == [*range(12), 99]
+    assert archive_committed(spark, spec.ingest.checkpoint, spec.ingest.archive_dir) == 0
+
+
+def test_failed_batches_and_killed_runs(spark, scratch, monkeypatch):
+    spec = spec_of(scratch)
+    put(scratch, "a.json", '{"id": 1}\n')
+
+    def fail(*args, **kw):
+        raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(ingest, "write_sink", fail)
+        with pytest.raises(StreamingQueryException):
+            run_job(spark, spec, DAY, NOW)
+    assert names(f"{scratch}/in") == ["a.json"]  # planned, but not committed
+    assert committed_files(spark, spec.ingest.checkpoint).count() == 0
+    real = ingest.archive_committed
+    with monkeypatch.context() as m:  # killed between the commit and the move
+        m.setattr(ingest, "archive_committed", lambda *a: real(*a) if not os.path.exists(f"{scratch}/out") else fail())
+        with pytest.raises(RuntimeError):
+            run_job(spark, spec, DAY, NOW)
+    assert names(f"{scratch}/in") == ["a.json"]
+    put(scratch, "b.json", '{"id": 2}\n')
+    assert run_job(spark, spec, DAY, NOW).rows_written == 1
+    assert names(f"{scratch}/in") == [] and names(f"{scratch}/old") == ["a.json", "b.json"]
+
+
+def test_another_file_of_the_same_name_stays(spark, scratch):
+    spec = spec_of(scratch)
+    put(scratch, "a.json", '{"id": 1}\n')
+    ing = spec.ingest
+    plain = JobSpec.from_dict({"source": {"format": "json", "path": f"{scratch}/in/*.json", "schema": "id int"},
+                               "sink": {"path": f"{scratch}/out", "mode": "append"}, "stamps": None,
+                               "ingest": {"checkpoint": ing.checkpoint}})
+    run_job(spark, plain, DAY, NOW)  # committed, not archived
+    put(scratch, "a.json", '{"id": 5}\n')
+    os.utime(f"{scratch}/in/a.json", (2e9, 2e9))
+    assert archive_committed(spark, ing.checkpoint, ing.archive_dir) == 0
+    assert names(f"{scratch}/in") == ["a.json"]

@@ -341,6 +341,8 @@ def oracles() -> dict[str, str]:
                        "select *, date '2024-01-02' from part union all "
                        "select *, date '2024-01-03' from part",
         "write_overwrite_static": "select * from orders where o_orderstatus <> 'F'",
+        "append_rerun_safe": "select * from orders",
+        "ingest_archived": f"select * replace (cast(part as integer) as part) from ({_DROPS})",
         "ingest_incremental": "select * from events",
         "ingest_job_report": _ingest_report(),
         "ingest_report_history": _report_history(),

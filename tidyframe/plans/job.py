@@ -54,6 +54,7 @@ from tidyframe.operators.quality import (
 )
 from tidyframe.plans.quarantine import Quarantine, judge, keep_source, quarantined_source
 from tidyframe.plans.spec import JobSpec
+from tidyframe.sinks.runs import append_run
 from tidyframe.sinks.write import prepare_layout, write_sink
 from tidyframe.sources.read import read_source
 from tidyframe.streaming.key_index import IndexStep
@@ -389,8 +390,11 @@ def run_job(
     spec: JobSpec,
     run_date: dt.date | None = None,
     run_ts: dt.datetime | None = None,
+    run_id: str | None = None,
 ) -> JobResult:
-    """Run the job (one write); incremental when the spec has ``ingest``."""
+    """Run the job (one write); incremental when the spec has ``ingest``.  ``run_id`` names
+    the run of an idempotent append (the run timestamp by default): a repeated id
+    replaces what the run appended before."""
     if run_date is None or run_ts is None:
         run_date, run_ts = run_clock(run_ts)
     if spec.ingest is not None:
@@ -400,7 +404,10 @@ def run_job(
     planned = plan_job(spark, spec, run_date, run_ts)
     try:
         write_quarantine(planned)
-        write_sink(planned.frame, spec.sink, layout=False, stamps=stamp_columns(spec))
+        if spec.sink.idempotent:
+            append_run(planned.frame, spec.sink, run_id or f"{run_ts:%Y%m%dT%H%M%S.%f}", layout=False)
+        else:
+            write_sink(planned.frame, spec.sink, layout=False, stamps=stamp_columns(spec))
         result = planned.result(spark)
     finally:
         planned.release()

@@ -225,9 +225,9 @@ class StampSpec:
 
 @dataclass(frozen=True)
 class IngestSpec:
-    """Incremental mode: only files not seen by ``checkpoint`` are read;
-    processed files are moved under ``archive_dir`` (must not match the
-    source glob)."""
+    """Incremental mode: only files not seen by ``checkpoint`` are read; files of
+    committed batches are moved under ``archive_dir`` (must not match the
+    source glob) at the end of the run."""
 
     checkpoint: str
     archive_dir: str | None = None
@@ -300,6 +300,8 @@ class JobSpec:
             )
         if spec.ingest and spec.ingest.unique_index and spec.dedupe is None:
             raise SpecError("ingest.unique_index needs dedupe keys")
+        if spec.ingest and spec.sink.idempotent:
+            raise SpecError("incremental batches are idempotent by their own folders; leave sink.idempotent out")
         if spec.ingest and spec.sink.mode != "append":
             raise SpecError("incremental ingest appends: set sink mode to 'append'")
         return spec

@@ -18,7 +18,7 @@ from collections.abc import Callable
 from dataclasses import replace
 from functools import reduce
 
-from pyspark.errors import StreamingQueryException
+from pyspark.errors import SparkRuntimeException, StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,6 +41,7 @@ from tidyframe.operators.quality import (
 from tidyframe.plans.job import run_job
 from tidyframe.plans.spec import CastStep, JobSpec
 from tidyframe.session import scratch_path
+from tidyframe.sinks.runs import append_run, read_runs
 from tidyframe.sinks.write import SinkSpec, write_sink
 from tidyframe.sources.read import read_source
 from tidyframe.sources.spec import SourceSpec
@@ -446,6 +447,27 @@ def q_write_overwrite_static(spark, sf_dir):
     return spark.read.schema(_ddl(o)).parquet(sink.path)
 
 
+def q_append_rerun_safe(spark, sf_dir):
+    """Three runs append the orders: one is run twice, one fails half-way and is run again.
+    Every order is there once."""
+    o = table(spark, sf_dir, "orders")
+    sink = SinkSpec(path=scratch_path(spark, "append-runs"), mode="append", idempotent=True)
+    for day, rows in zip(("day1", "day2", "day3"), _three_drops(o), strict=True):
+        if day == "day2":
+            lost = F.raise_error(F.lit("lost half-way")).cast("double")
+            try:
+                append_run(rows.withColumn("o_totalprice", F.when(F.col("o_orderkey") % 97 == 0, lost)
+                                           .otherwise(F.col("o_totalprice"))), sink, day)
+            except SparkRuntimeException:
+                pass
+            else:
+                raise AssertionError("the broken attempt must fail")
+        append_run(rows, sink, day)
+        if day == "day1":
+            append_run(rows, sink, day)
+    return read_runs(spark, sink, _ddl(o))
+
+
 # ---------------------------------------------------------------------- ingest
 
 
@@ -599,6 +621,16 @@ def q_ingest_watermark_report(spark, sf_dir):
     return report.withColumn("value", F.round("value", 4))
 
 
+def q_ingest_archived(spark, sf_dir):
+    """Orders in three drops: after each run the files it read are in the archive, and
+    only these.  The rows of all archived files, with the drop that brought them."""
+    drops = _three_drops(table(spark, sf_dir, "orders"))
+    root, _ = _drops_with_failure(spark, drops, {"ingest": {
+        "checkpoint": "ROOT/checkpoint", "archive_dir": "ROOT/archive"}})
+    rows = spark.read.schema(_ddl(drops[0])).option("recursiveFileLookup", "true").parquet(f"{root}/archive")
+    return rows.withColumn("part", F.regexp_extract(F.col("_metadata.file_path"), "/landing/drop([0-9])/", 1).cast("int"))
+
+
 def q_ingest_csv_text(spark, sf_dir):
     """Whole documents with spaces around the text come through a CSV sink unchanged."""
     docs = table(spark, sf_dir, "documents").withColumn(
@@ -817,11 +849,13 @@ QUERIES: dict[str, QueryFn] = {
     "write_layout": q_write_layout,
     "write_modes": q_write_modes,
     "write_overwrite_static": q_write_overwrite_static,
+    "append_rerun_safe": q_append_rerun_safe,
     "ingest_incremental": q_ingest_incremental,
     "ingest_job_latest": q_ingest_job_latest,
     "ingest_job_report": q_ingest_job_report,
     "ingest_report_history": q_ingest_report_history,
     "ingest_unique_across_runs": q_ingest_unique_across_runs,
+    "ingest_archived": q_ingest_archived,
     "metrics_merged": q_metrics_merged,
     "ingest_watermark_report": q_ingest_watermark_report,
     "ingest_csv_text": q_ingest_csv_text,

@@ -48,6 +48,7 @@ class SinkSpec:
     num_files: int | None = None
     dynamic_overwrite: bool | None = None  # None: dynamic for run-stamp partitions only
     max_records_per_file: int | None = None
+    idempotent: bool = False  # an append in run folders with a manifest (``sinks.runs``)
 
     def __post_init__(self):
         object.__setattr__(self, "format", (self.format or "").lower())
@@ -66,6 +67,8 @@ class SinkSpec:
             raise SpecError(f"unsupported sink format {self.format!r}; use one of {SINK_FORMATS}")
         if self.mode not in SAVE_MODES:
             raise SpecError(f"unsupported save mode {self.mode!r}; use one of {SAVE_MODES}")
+        if self.idempotent and self.mode != "append":
+            raise SpecError("idempotent is for sinks that append; other modes do not add up")
         if "mode" in self.options:
             raise SpecError("save mode is the sink's `mode` field, not a writer option")
         if self.format == "xml" and "rowTag" not in self.options:

@@ -36,6 +36,7 @@ from tidyframe.errors import SpecError
 from tidyframe.sinks.write import SinkSpec, write_sink, writer_options
 from tidyframe.sources.read import read_source, reader_options
 from tidyframe.sources.spec import SourceSpec, schema_from_files_ok
+from tidyframe.streaming.archive import archive_committed
 from tidyframe.streaming.key_index import KeyIndex
 
 STREAM_SINK_FORMATS = ("parquet", "csv", "json")
@@ -239,7 +240,7 @@ def _run_batches(spark: SparkSession, spec, run_date: dt.date, run_ts: dt.dateti
         result.report, result.state = (_of_batch(spark, x, batch_id) for x in (result.report, result.state))
         done.append(keep_report(result, spec, name))
 
-    stream = new_files(spark, quarantined_source(spec.source, spec.quarantine), ing.archive_dir, ing.max_files_per_batch, ing.checkpoint)
+    stream = new_files(spark, quarantined_source(spec.source, spec.quarantine), None, ing.max_files_per_batch, ing.checkpoint)
     query = (stream.writeStream.foreachBatch(one_batch).option("checkpointLocation", ing.checkpoint)
              .trigger(availableNow=True).start())
     query.awaitTermination()
@@ -279,13 +280,22 @@ def run_incremental(spark: SparkSession, spec, run_date: dt.date, run_ts: dt.dat
     (``_run_batches``).  With a watermark a file stream keeps the first row of each key,
     across the runs within its delay.  Its metrics are
     observed in every micro-batch and merged; rows that came too late for the watermark,
-    which Spark drops, are counted (``watermark / n_late``).
+    which Spark drops, are counted (``watermark / n_late``).  With ``archive_dir`` the files of
+    committed batches are moved before the run ends.
     """
+    run = _run_watermark if spec.ingest.watermark_column else _run_batches
+    if spec.ingest.archive_dir:  # what a run that was killed has left
+        archive_committed(spark, spec.ingest.checkpoint, spec.ingest.archive_dir)
+    result = run(spark, spec, run_date, run_ts)
+    if spec.ingest.archive_dir:
+        archive_committed(spark, spec.ingest.checkpoint, spec.ingest.archive_dir)
+    return result
+
+
+def _run_watermark(spark: SparkSession, spec, run_date: dt.date, run_ts: dt.datetime):
     from tidyframe.operators.metric_state import report_from_state, state_plan
     from tidyframe.plans.job import JobResult, _stamp, keep_report, transform_frame
 
-    if not spec.ingest.watermark_column:
-        return _run_batches(spark, spec, run_date, run_ts)
     if spec.dedupe and spec.dedupe.order_by:
         raise SpecError(
             "dedupe within a watermark keeps the first row seen per key; order_by is not supported"
@@ -310,7 +320,7 @@ def run_incremental(spark: SparkSession, spec, run_date: dt.date, run_ts: dt.dat
 
     ing = spec.ingest
     query = ingest_files(
-        spark, spec.source, spec.sink, ing.checkpoint, ing.archive_dir, transform,
+        spark, spec.source, spec.sink, ing.checkpoint, None, transform,
         spec.dedupe.keys if spec.dedupe else None, ing.max_files_per_batch,
         (ing.watermark_column, ing.watermark_delay), metrics,
     )
