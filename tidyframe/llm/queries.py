@@ -16,6 +16,7 @@ from tidyframe.llm import (
     ngram_join,
     pii,
     quality_ledger,
+    sql,
     substring_dedup,
     token_counts,
     toxicity,
@@ -128,39 +129,11 @@ QUERIES = {f.__name__: f for f in (
     op6_ngram_join, op7_line_runs, op8_source_mixture, op9_substring_dedup, op10_chat_format,
     op11_collocations, op12_pii, op13_whitening)}
 
-#: DuckDB regular expressions and functions only; ``part`` holds every occurrence of 1 to 5 words
-COLLOCATIONS_SQL = r"""
-WITH pieces AS (
-  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
-           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
-           '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
-lists AS (SELECT lang, regexp_extract_all(piece, '[^\x20\x09]+') AS w FROM pieces),
-starts AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM lists),
-part AS (
-  SELECT lang, m, array_to_string(w[i:i + m - 1], ' ') AS phrase
-  FROM starts, (SELECT unnest(range(1, 6)) AS m) AS lengths WHERE i + m - 1 <= len(w)),
-totals AS (SELECT lang, count(*) AS n FROM part WHERE m = 1 GROUP BY lang),
-freq AS (SELECT lang, m, phrase, count(*) AS f FROM part GROUP BY lang, m, phrase HAVING count(*) >= 100),
-longer AS (
-  SELECT lang, phrase, max(f) AS f FROM (
-    SELECT lang, f, unnest([array_to_string(string_split(phrase, ' ')[1:m - 1], ' '),
-                            array_to_string(string_split(phrase, ' ')[2:m], ' ')]) AS phrase
-    FROM freq WHERE m > 2) AS subs GROUP BY lang, phrase),
-kept AS (
-  SELECT freq.* FROM freq LEFT JOIN longer USING (lang, phrase)
-  WHERE m > 1 AND (longer.f IS NULL OR 100 * longer.f < 100 * freq.f)),
-cuts AS (
-  SELECT lang, phrase, f AS a, k, array_to_string(string_split(phrase, ' ')[1:k], ' ') AS p,
-         array_to_string(string_split(phrase, ' ')[k + 1:m], ' ') AS q
-  FROM (SELECT *, unnest(range(1, m)) AS k FROM kept) AS each_cut),
-scored AS (
-  SELECT cuts.lang, cuts.phrase, a, k, lf.f AS l, rf.f AS r, n,
-         (1000::HUGEINT * a * n) // (lf.f::HUGEINT * rf.f) AS score
-  FROM cuts JOIN freq AS lf ON lf.lang = cuts.lang AND lf.phrase = p
-  JOIN freq AS rf ON rf.lang = cuts.lang AND rf.phrase = q JOIN totals ON totals.lang = cuts.lang),
-best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1)
-SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank, phrase,
-       a, l, r, n, score::BIGINT AS score
-FROM best QUALIFY rank <= 2000
-"""
-ORACLES: dict[str, str] = {"op11_collocations": COLLOCATIONS_SQL}
+ORACLES: dict[str, str] = {
+    "op4_quality_rules": sql.QUALITY,
+    "op6_ngram_join": sql.NEAR_COPIES,
+    "op7_line_runs": sql.LINE_RUNS,
+    "op9_substring_dedup": sql.SUBSTRINGS,
+    "op10_chat_format": sql.CHATS,
+    "op11_collocations": sql.COLLOCATIONS,
+}
