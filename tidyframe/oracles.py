@@ -341,6 +341,10 @@ def oracles() -> dict[str, str]:
                        "select *, date '2024-01-02' from part union all "
                        "select *, date '2024-01-03' from part",
         "write_overwrite_static": "select * from orders where o_orderstatus <> 'F'",
+        "write_target_size": """select case when o_orderkey % 2 = 0 then 'hot' else o_orderstatus end as status,
+            greatest(1, cast(ceil(sum(8 + 8 + strlen(o_orderstatus) + 8 + 8 + strlen(o_orderpriority))
+                / 40000.0) as bigint)) as n_files,
+            count(*) as n_rows, cast(0 as bigint) as n_overlaps from orders group by 1""",
         "append_rerun_safe": "select * from orders",
         "ingest_archived": f"select * replace (cast(part as integer) as part) from ({_DROPS})",
         "ingest_incremental": "select * from events",

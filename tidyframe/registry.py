@@ -19,7 +19,7 @@ from dataclasses import replace
 from functools import reduce
 
 from pyspark.errors import SparkRuntimeException, StreamingQueryException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidyframe.functions.casting import cast_columns, safe_cast
@@ -447,6 +447,22 @@ def q_write_overwrite_static(spark, sf_dir):
     return spark.read.schema(_ddl(o)).parquet(sink.path)
 
 
+def q_write_target_size(spark, sf_dir):
+    """Files by partition value for a target size: their number, and how many of them overlap
+    the one before in the cluster column (none may).  Half of the orders get one status."""
+    o = table(spark, sf_dir, "orders").withColumn(
+        "status", F.when(F.col("o_orderkey") % 2 == 0, F.lit("hot")).otherwise(F.col("o_orderstatus")))
+    sink = SinkSpec(path=scratch_path(spark, "target-size"), partition_by=("status",),
+                    target_file_bytes=40_000, cluster_by="o_orderdate")
+    write_sink(o, sink)
+    back = spark.read.schema(_ddl(o)).parquet(sink.path)
+    files = back.groupBy("status", F.col("_metadata.file_path").alias("file")).agg(
+        F.count("*").alias("n"), F.min("o_orderdate").alias("low"), F.max("o_orderdate").alias("high"))
+    before = Window.partitionBy("status").orderBy("low", "high")
+    return files.withColumn("over", F.col("low") < F.lag("high").over(before)).groupBy("status").agg(
+        F.count("*").alias("n_files"), F.sum("n").alias("n_rows"), F.count_if("over").alias("n_overlaps"))
+
+
 def q_append_rerun_safe(spark, sf_dir):
     """Three runs append the orders: one is run twice, one fails half-way and is run again.
     Every order is there once."""
@@ -849,6 +865,7 @@ QUERIES: dict[str, QueryFn] = {
     "write_layout": q_write_layout,
     "write_modes": q_write_modes,
     "write_overwrite_static": q_write_overwrite_static,
+    "write_target_size": q_write_target_size,
     "append_rerun_safe": q_append_rerun_safe,
     "ingest_incremental": q_ingest_incremental,
     "ingest_job_latest": q_ingest_job_latest,

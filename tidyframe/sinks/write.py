@@ -12,6 +12,7 @@ Layout rules (``num_files``):
   upstream plan into that one task).  One writer task by definition: meant
   for bounded outputs (reports, small dimensions), not for growing tables.
 * ``n > 1``: ``repartition(n)`` (round robin, even files).
+* ``target_file_bytes``: as many files per partition value as its bytes need, see ``sizing``.
 
 Save modes: ``append``, ``overwrite``, ``error``/``errorifexists``,
 ``ignore``.  ``overwrite`` replaces the whole sink, so no partition of an earlier
@@ -29,6 +30,7 @@ from pyspark.sql import DataFrame
 
 from tidyframe.errors import SpecError, require_columns
 from tidyframe.functions._util import col
+from tidyframe.sinks.sizing import sized
 from tidyframe.sources.spec import normalize_options
 
 SINK_FORMATS = ("parquet", "csv", "json", "xml")
@@ -48,6 +50,8 @@ class SinkSpec:
     num_files: int | None = None
     dynamic_overwrite: bool | None = None  # None: dynamic for run-stamp partitions only
     max_records_per_file: int | None = None
+    target_file_bytes: int | None = None  # files of about this many bytes of plain values (``sinks.sizing``)
+    cluster_by: str | None = None         # with it: each file a range of this column
     idempotent: bool = False  # an append in run folders with a manifest (``sinks.runs``)
 
     def __post_init__(self):
@@ -78,6 +82,11 @@ class SinkSpec:
                 raise SpecError(f"csv sink: empty {k!r}")
         if self.num_files is not None and not isinstance(self.num_files, int):
             raise SpecError("num_files must be an integer or null")
+        if self.target_file_bytes is not None and (
+                not isinstance(self.target_file_bytes, int) or self.target_file_bytes < 1 or self.num_files):
+            raise SpecError("target_file_bytes must be a positive integer, without num_files")
+        if self.cluster_by and self.target_file_bytes is None:
+            raise SpecError("cluster_by goes with target_file_bytes")
         m = self.max_records_per_file
         if m is not None and (not isinstance(m, int) or m < 1):
             raise SpecError("max_records_per_file must be a positive integer")
@@ -106,6 +115,8 @@ def prepare_layout(df: DataFrame, spec: SinkSpec, constant_partitions: bool = Fa
     whole write (a run-date stamp).  Each task then writes one file into the
     one folder anyway, so no rebalance shuffle is added.
     """
+    if spec.target_file_bytes:
+        return sized(df, spec.partition_by, spec.target_file_bytes, spec.cluster_by)
     n = spec.num_files
     if n == 1:
         return df.repartition(1)
