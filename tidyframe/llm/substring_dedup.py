@@ -16,7 +16,8 @@ bucket, and equal windows always meet there.
    by word.  Windows are counted by minimiser first: of one with more than
    ``BUCKET_WINDOWS`` (a stock passage shorter than a window, with ever other words
    around it) each window travels alone, as its 128-bit code, dealt by that code, so
-   that no group grows with the table.
+   that no group grows with the table, and only windows of more than one document id are
+   answered.
 4. Each occurrence compares its own id with those of its windows; words under a
    window that also starts in a document with a smaller id are removed.
 
@@ -122,9 +123,9 @@ def _strings(window: int, pack: bool):
                     code = digest(text)
                     key = (minimiser, (code >> 64) - (1 << 63), (code & (1 << 64) - 1) - (1 << 63))
                     if pack:
-                        old = least_id.get(key)
-                        if old is None or ids[k] < old[1]:
-                            least_id[key] = (None if single else text, ids[k])
+                        own_id = ids[k]
+                        _, lo, hi = least_id.get(key, (None, own_id, own_id))
+                        least_id[key] = (None if single else text, min(lo, own_id), max(hi, own_id))
                     else:
                         for c, v in zip(cols, (*key, k, a), strict=True):
                             c.append(v)
@@ -132,8 +133,9 @@ def _strings(window: int, pack: bool):
                 keys = [pa.array([key[k] for key in least_id], pa.int64()) for k in range(3)]
                 yield pa.RecordBatch.from_arrays(
                     [*keys, pa.array([v[0] for v in least_id.values()], pa.binary()),
-                     pa.array([v[1] for v in least_id.values()], pa.int64())],
-                    names=["minimiser", "code1", "code2", "packed", "least"])
+                     pa.array([v[1] for v in least_id.values()], pa.int64()),
+                     pa.array([v[2] for v in least_id.values()], pa.int64())],
+                    names=["minimiser", "code1", "code2", "packed", "least", "most"])
             else:
                 owner = pa.array(cols[3], pa.int64())
                 yield pa.RecordBatch.from_arrays(
@@ -174,7 +176,8 @@ def _buckets(window: int):
     def answer(rows):
         import pyarrow as pa
 
-        alone = [r for r in rows if r[3] is None]
+        # a window of one document id takes no word: it needs no answer
+        alone = [r for r in rows if r[3] is None and r[4] < r[5]]
         rows = [r for r in rows if r[3] is not None]
         least = _least_ids([r[3] for r in rows], np.array([r[4] for r in rows], np.int64), window) if rows else []
         rows, least = rows + alone, [*least, *([r[4]] for r in alone)]
@@ -185,10 +188,10 @@ def _buckets(window: int):
     def run(batches):
         held, windows = [], 0
         for part in batches:
-            cols = [part.column(c).to_pylist() for c in ("minimiser", "code1", "code2", "packed", "least")]
+            cols = [part.column(c).to_pylist() for c in ("minimiser", "code1", "code2", "packed", "least", "most")]
             for row in zip(*cols, strict=True):
-                if held and row[:3] == held[-1][:3]:  # the least id of equal strings
-                    held[-1] = min(held[-1], row, key=lambda r: r[4])
+                if held and row[:3] == held[-1][:3]:  # the least and the greatest id of equal strings
+                    held[-1] = (*row[:4], min(held[-1][4], row[4]), max(held[-1][5], row[5]))
                     continue
                 if windows >= BUCKET_WINDOWS and (row[3] is None or row[0] != held[-1][0]):
                     yield answer(held)
@@ -284,7 +287,7 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, with_text: bool = Tr
 
     some = settled.filter("shared IS NOT NULL").select("doc_id", "row_no", "text", "shared", "hot")
     packed = some.mapInArrow(
-        _strings(window, True), "minimiser long, code1 long, code2 long, packed binary, least long")
+        _strings(window, True), "minimiser long, code1 long, code2 long, packed binary, least long, most long")
     deal = F.when(F.col("packed").isNull(), F.col("code1"))
     answers = (packed.repartition("minimiser", deal)
                .sortWithinPartitions("minimiser", "code1", "code2").mapInArrow(
