@@ -347,6 +347,7 @@ def oracles() -> dict[str, str]:
             count(*) as n_rows, cast(0 as bigint) as n_overlaps from orders group by 1""",
         "append_rerun_safe": "select * from orders",
         "ingest_archived": f"select * replace (cast(part as integer) as part) from ({_DROPS})",
+        "ingest_skips_identical_files": "select * from orders",
         "ingest_incremental": "select * from events",
         "ingest_job_report": _ingest_report(),
         "ingest_report_history": _report_history(),

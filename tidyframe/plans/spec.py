@@ -239,6 +239,8 @@ class IngestSpec:
     unique_index: str | None = None
     unique_buckets: int = 256
     unique_bits: int = 1 << 16
+    # folder of a ledger of file contents: files read before under another name are skipped
+    content_ledger: str | None = None
 
     @classmethod
     def from_dict(cls, d: Mapping | None) -> IngestSpec | None:
@@ -254,6 +256,8 @@ class IngestSpec:
             raise SpecError("ingest.max_files_per_batch must be a positive integer")
         if d.get("unique_index") and d.get("watermark_column"):
             raise SpecError("use either ingest.unique_index or a watermark")
+        if d.get("content_ledger") and d.get("watermark_column"):
+            raise SpecError("a watermark job reads its files as one stream; it takes no content ledger")
         return cls(**d)
 
 

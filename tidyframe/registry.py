@@ -647,6 +647,28 @@ def q_ingest_archived(spark, sf_dir):
     return rows.withColumn("part", F.regexp_extract(F.col("_metadata.file_path"), "/landing/drop([0-9])/", 1).cast("int"))
 
 
+def q_ingest_skips_identical_files(spark, sf_dir):
+    """Orders arrive in three drops as CSV, each with the files of the drop before under other
+    names: every order comes through once."""
+    orders = table(spark, sf_dir, "orders")
+    root = scratch_path(spark, "ledger")
+    options = {"header": True, "escape": '"'}
+    spec = JobSpec.from_dict({
+        "source": {"format": "csv", "path": f"{root}/landing/*/*.csv", "schema": _ddl(orders), "options": options},
+        "sink": {"path": f"{root}/out", "mode": "append"}, "stamps": None,
+        "ingest": {"checkpoint": f"{root}/checkpoint", "content_ledger": f"{root}/ledger"}})
+    before = None
+    for k, drop in enumerate(_three_drops(orders)):
+        # a second write of these rows gives files of the same bytes
+        rows = drop.repartition(4, "o_orderkey").sortWithinPartitions("o_orderkey")
+        if before is not None:
+            write_sink(before, SinkSpec(path=f"{root}/landing/again{k}", format="csv", options=options))
+        write_sink(rows, SinkSpec(path=f"{root}/landing/drop{k}", format="csv", options=options))
+        before = rows
+        run_job(spark, spec, AS_OF, RUN_TS)
+    return spark.read.schema(_ddl(orders)).parquet(f"{root}/out").drop("ingest_batch")
+
+
 def q_ingest_csv_text(spark, sf_dir):
     """Whole documents with spaces around the text come through a CSV sink unchanged."""
     docs = table(spark, sf_dir, "documents").withColumn(
@@ -873,6 +895,7 @@ QUERIES: dict[str, QueryFn] = {
     "ingest_report_history": q_ingest_report_history,
     "ingest_unique_across_runs": q_ingest_unique_across_runs,
     "ingest_archived": q_ingest_archived,
+    "ingest_skips_identical_files": q_ingest_skips_identical_files,
     "metrics_merged": q_metrics_merged,
     "ingest_watermark_report": q_ingest_watermark_report,
     "ingest_csv_text": q_ingest_csv_text,

@@ -37,6 +37,14 @@ def committed_files(spark: SparkSession, checkpoint: str, after: int = -1) -> Da
     return found.filter((F.col("batchId") > after) & (F.col("batchId") <= (-1 if newest is None else newest)))
 
 
+def planned_files(spark: SparkSession, checkpoint: str, batch_id: int) -> list[str]:
+    """Paths of the input files of a batch that is running, from the checkpoint's source log."""
+    lines = spark.read.text(f"{checkpoint.rstrip('/')}/sources/0")
+    entries = lines.filter(F.startswith("value", F.lit("{"))).select(F.from_json("value", LOG_SCHEMA).alias("e"))
+    found = entries.filter(F.col("e.batchId") == batch_id).select("e.path").distinct().toArrow()
+    return sorted(found.column("path").to_pylist())
+
+
 def _note(checkpoint: str) -> str:
     return f"{checkpoint.rstrip('/')}_archived"
 

@@ -38,6 +38,7 @@ from tidyframe.sources.read import read_source, reader_options
 from tidyframe.sources.spec import SourceSpec, schema_from_files_ok
 from tidyframe.streaming.archive import archive_committed
 from tidyframe.streaming.key_index import KeyIndex
+from tidyframe.streaming.ledger import LedgerStep
 
 STREAM_SINK_FORMATS = ("parquet", "csv", "json")
 OBSERVED = "tidyframe_ingest_rows"
@@ -204,18 +205,22 @@ def _run_batches(spark: SparkSession, spec, run_date: dt.date, run_ts: dt.dateti
     carries.  The query id lives in the checkpoint, so a new checkpoint never replaces
     an older one's batches.  Without ``max_files_per_batch`` a run is one batch (plus
     the retry of a failed one); with it, rows are de-duplicated within each batch.
+    With ``content_ledger`` files that were read before under another name are left out (``ledger``).
     With ``unique_index`` rows whose key an earlier batch wrote are left out (``key_index``).
     The report has a ``batch_id``; kept reports and metric states are written in their
     batch, to folders named like the data's.
     """
     from tidyframe.plans.job import JobResult, keep_report, plan_job, write_quarantine
-    from tidyframe.plans.quarantine import quarantined_source
+    from tidyframe.plans.quarantine import FILE, quarantined_source
 
     if _stream_log(spark, spec.sink.path):
         raise SpecError(f"{spec.sink.path!r} holds a file stream's log, which would hide new "
                         "batches from readers; give the job a sink of its own")
     done: list[JobResult] = []
     ing = spec.ingest
+    source = quarantined_source(spec.source, spec.quarantine)
+    if ing.content_ledger and source.file_path_col is None:
+        source = replace(source, file_path_col=FILE)
 
     def one_batch(rows: DataFrame, batch_id: int) -> None:
         own = rows.sparkSession
@@ -223,7 +228,12 @@ def _run_batches(spark: SparkSession, spec, run_date: dt.date, run_ts: dt.dateti
         sink = replace(spec.sink, mode="overwrite", dynamic_overwrite=False,
                        path=f"{spec.sink.path.rstrip('/')}/ingest_batch={query_id}-{batch_id}")
         name = f"{query_id}-{batch_id}"
-        planned = step = None
+        planned = step = files = None
+        if ing.content_ledger:
+            files = LedgerStep(ing.content_ledger, ing.checkpoint, batch_id, name, source.file_path_col)
+            rows = files(rows)
+            if source.file_path_col == FILE and spec.quarantine is None:
+                rows = rows.drop(FILE)  # read for the ledger only
         if ing.unique_index:
             step = KeyIndex(ing.unique_index, spec.dedupe.keys, ing.unique_buckets, ing.unique_bits).step(name)
         try:
@@ -231,16 +241,17 @@ def _run_batches(spark: SparkSession, spec, run_date: dt.date, run_ts: dt.dateti
             write_quarantine(planned, name)
             write_sink(planned.frame, sink, layout=False)
             result = planned.result(own)
-            if step is not None:
-                step.commit()
+            for held in (step, files):
+                if held is not None:
+                    held.commit()
         finally:
-            for held in (step, planned):
+            for held in (step, planned, files):
                 if held is not None:
                     held.release()
         result.report, result.state = (_of_batch(spark, x, batch_id) for x in (result.report, result.state))
         done.append(keep_report(result, spec, name))
 
-    stream = new_files(spark, quarantined_source(spec.source, spec.quarantine), None, ing.max_files_per_batch, ing.checkpoint)
+    stream = new_files(spark, source, None, ing.max_files_per_batch, ing.checkpoint)
     query = (stream.writeStream.foreachBatch(one_batch).option("checkpointLocation", ing.checkpoint)
              .trigger(availableNow=True).start())
     query.awaitTermination()
