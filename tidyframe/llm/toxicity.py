@@ -19,6 +19,8 @@ never learnt from; extra columns are ignored.
 
 from __future__ import annotations
 
+import itertools
+
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -34,6 +36,8 @@ MAX_DOCS = 1000      # sampled documents per class
 MAX_WINDOWS = 100    # windows of a sampled document
 MIN_DOCS = 4         # inputs of fewer sampled documents stay at zero: they only memorise
 STEPS, RATE, DOCS_A_STEP = 120, 0.02, 48   # half of a step's documents from each class
+INPUT_WORDS = 1 << 13  # distinct words whose inputs are made at a time
+GROUP = 768          # windows whose states a training step holds at a time, or one document's
 SCORE = "__score"
 _PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 
@@ -48,11 +52,22 @@ def _words(text) -> list[bytes]:
 
 def _inputs(words: list[bytes]):
     """Hashed inputs of distinct words: word slots, then character n-gram slots as
-    one array with each word's start."""
+    one array with each word's start.  Words go in blocks: the arrays on the way take many
+    times a word's bytes."""
     import xxhash
 
     digest = xxhash.xxh3_64_intdigest
-    slots = np.fromiter((digest(w) % SLOTS for w in words), dtype=np.int64, count=len(words))
+    slots = np.fromiter((digest(w) % SLOTS for w in words), dtype=np.int32, count=len(words))
+    if not words:
+        return slots, slots, slots.astype(np.int64)
+    blocks = [_grams(words[k:k + INPUT_WORDS]) for k in range(0, len(words), INPUT_WORDS)]
+    before = np.cumsum([0, *(len(g) for g, _ in blocks)])
+    return (slots, np.concatenate([g for g, _ in blocks]),
+            np.concatenate([s + n for (_, s), n in zip(blocks, before[:-1], strict=True)]))
+
+
+def _grams(words: list[bytes]):
+    """Character n-gram slots of some words, and each word's start."""
     marked = [b"^" + w + b"$$$" for w in words]  # three ends: every word has each n-gram length
     raw = np.frombuffer(b"".join(marked) + b"\0" * max(NGRAMS), dtype=np.uint8).astype(np.uint64)
     sizes = np.fromiter(map(len, marked), dtype=np.int64, count=len(words))
@@ -66,12 +81,11 @@ def _inputs(words: list[bytes]):
             code = code * np.uint64(257) + raw[k:k + len(ends)]
         code = (code + np.uint64(n)) * np.uint64(0x9E3779B97F4A7C15)
         inside = at + n <= ends
-        grams.append((code[inside] >> np.uint64(40)).astype(np.int64) % SLOTS)
+        grams.append(((code[inside] >> np.uint64(40)) % np.uint64(SLOTS)).astype(np.int32))
         owners.append(owner[inside])
     grams, owners = np.concatenate(grams), np.concatenate(owners)
     order = np.argsort(owners, kind="stable")
-    starts = np.searchsorted(owners[order], np.arange(len(words)))
-    return slots, grams[order], starts
+    return grams[order], np.searchsorted(owners[order], np.arange(len(words)))
 
 
 def _mean_rows(table, grams, starts):
@@ -171,8 +185,9 @@ def _gru_back(d_out, mask, U, kept):
     return d_gates, d_u
 
 
-def _gradients(model, x, index, doc_of, labels):
-    """Gradients of the mean document loss; rows of ``x`` are the distinct words."""
+def _gradients(model, x, index, doc_of, labels, docs: int | None = None):
+    """Gradients of the mean document loss; rows of ``x`` are the distinct words.  For
+    some of a step's documents, ``docs`` is their number in the whole step."""
     keep: dict = {}
     gates = _gates(model, x)
     logit = _forward(model, gates, index, keep)
@@ -180,7 +195,7 @@ def _gradients(model, x, index, doc_of, labels):
     none = np.bincount(doc_of, np.log1p(-np.minimum(p, 1 - 1e-6)), len(labels))  # log P(no window)
     clean = np.minimum(np.exp(none), 1 - 1e-6)
     factor = np.where(labels == 1, -clean / (1 - clean), 1.0)
-    d_logit = (p * factor[doc_of] / len(labels)).astype(np.float32)
+    d_logit = (p * factor[doc_of] / (docs or len(labels))).astype(np.float32)
     loss = -np.where(labels == 1, np.log(1 - clean), none).mean()
 
     g = {"bias": d_logit.sum(keepdims=True), "o": keep["pooled"].T @ d_logit}
@@ -222,7 +237,7 @@ def train(samples: list[tuple[int, list[str]]], seed: int = 0) -> dict[str, np.n
     seen: dict[bytes, int] = {}
     docs = []
     for y, texts in samples:
-        index = np.full((WINDOW, len(texts)), -1, dtype=np.int64)
+        index = np.full((WINDOW, len(texts)), -1, dtype=np.int32)
         for k, text in enumerate(texts):
             own = [seen.setdefault(w, len(seen)) for w in text.encode("utf-8", "surrogatepass").split()]
             index[:len(own), k] = own
@@ -248,21 +263,25 @@ def train(samples: list[tuple[int, list[str]]], seed: int = 0) -> dict[str, np.n
 
     for step in range(1, STEPS + 1):
         part = [draw(k % 2) for k in range(DOCS_A_STEP)]
-        labels = np.array([y for y, _ in part])
-        doc_of = np.repeat(np.arange(len(part)), [x.shape[1] for _, x in part])
-        index = np.concatenate([x for _, x in part], axis=1)
-        used, back = np.unique(index, return_inverse=True)
-        shift = int(used[0] == -1)
-        used, index = used[shift:], back.reshape(index.shape) - shift
-        own = [np.arange(starts[w], ends[w + 1]) for w in used]
-        own_grams = grams[np.concatenate(own)]
-        sizes = np.fromiter(map(len, own), dtype=np.int64, count=len(own))
-        own_starts = np.cumsum(sizes) - sizes
-        x = _embed(model, (slots[used], own_grams, own_starts))
-        _, g, d_x = _gradients(model, x, index, doc_of, labels)
-        g["word"], g["char"] = np.zeros_like(model["word"]), np.zeros_like(model["char"])
-        np.add.at(g["word"], slots[used], d_x[:, :DIM])
-        np.add.at(g["char"], own_grams, np.repeat(d_x[:, DIM:] / sizes[:, None], sizes, axis=0))
+        g = {k: np.zeros_like(v) for k, v in model.items()}
+        edges = np.cumsum([x.shape[1] for _, x in part]) // GROUP
+        for few in (part[a:b] for a, b in itertools.pairwise([0, *np.flatnonzero(np.diff(edges)) + 1, len(part)])):
+            labels = np.array([y for y, _ in few])
+            doc_of = np.repeat(np.arange(len(few)), [x.shape[1] for _, x in few])
+            index = np.concatenate([x for _, x in few], axis=1)
+            used, back = np.unique(index, return_inverse=True)
+            shift = int(used[0] == -1)
+            used, index = used[shift:], back.reshape(index.shape) - shift
+            own = [np.arange(starts[w], ends[w + 1]) for w in used]
+            own_grams = grams[np.concatenate(own)]
+            sizes = np.fromiter(map(len, own), dtype=np.int64, count=len(own))
+            own_starts = np.cumsum(sizes) - sizes
+            x = _embed(model, (slots[used], own_grams, own_starts))
+            _, some, d_x = _gradients(model, x, index, doc_of, labels, len(part))
+            for k, v in some.items():
+                g[k] += v
+            np.add.at(g["word"], slots[used], d_x[:, :DIM])
+            np.add.at(g["char"], own_grams, np.repeat(d_x[:, DIM:] / sizes[:, None], sizes, axis=0))
         for k, mask in known.items():
             g[k] *= mask
         for k, v in model.items():  # Adam
