@@ -94,7 +94,8 @@ def _later(rows: DataFrame) -> DataFrame:
 
 def repeated_lines(docs: DataFrame, min_lines: int = MIN_LINES,
                    min_words: int = MIN_WORDS) -> DataFrame:
-    """(doc_id, key, removed): the line places to delete, one row per document with any."""
+    """(doc_id, key, removed, runs): the line places to delete and the number of unbroken runs
+    of non-blank lines they make, one row per document with any."""
     lines = materialize(line_table(docs), "lines")
     one, deep = suffix_ranks(lines, min_lines)
     at = lambda rows: rows.select("doc_id", "key", "k")
@@ -102,7 +103,9 @@ def repeated_lines(docs: DataFrame, min_lines: int = MIN_LINES,
         F.transform(F.sequence(F.lit(0), F.lit(min_lines - 1)), lambda i: F.col("k") + i)).alias("k"))
     hit = at(_later(one.filter(F.col("words") >= min_words))).unionByName(runs).distinct()
     found = join_rows(one, hit, ["doc_id", "key", "k"])
-    return found.groupBy("doc_id", "key").agg(F.collect_set("pos").alias("removed"))
+    per_doc = found.groupBy("doc_id", "key").agg(F.collect_set("pos").alias("removed"), F.collect_set("k").alias("ks"))
+    starts = F.array_except("ks", F.transform("ks", lambda i: i + 1))
+    return per_doc.select("doc_id", "key", "removed", F.size(starts).alias("runs"))
 
 
 def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES,
@@ -110,13 +113,12 @@ def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES,
     """``docs(doc_id, text, ...)`` -> the same rows with ``text`` rid of later copies,
     plus n_lines (non-blank ones before), n_removed and n_runs."""
     gone = repeated_lines(docs, min_lines, min_words).select(
-        F.col("key").alias("__dockey"), "doc_id", F.col("removed").alias("__removed"))
+        F.col("key").alias("__dockey"), "doc_id", F.col("removed").alias("__removed"), F.col("runs").alias("__runs"))
     rows = join_rows(docs.withColumn("__dockey", text_key()), gone, ["doc_id", "__dockey"], "left")
     lines = F.split("text", "\n")
     keep = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), "__removed")
     text = F.when(F.col("__removed").isNull(), F.col("text")).otherwise(
         F.array_join(F.transform(keep, lambda i: F.get(lines, i)), "\n"))
-    marks = F.array_except(F.col("__removed"), F.transform("__removed", lambda i: i + 1))
     added = ("n_lines", "n_removed", "n_runs")  # take the place of columns of that name
     out = [text.alias(c) if c.lower() == "text" else F.col(f"`{c}`")
            for c in docs.columns if c.lower() not in added]
@@ -124,4 +126,4 @@ def dedup_lines(docs: DataFrame, min_lines: int = MIN_LINES,
     return rows.select(
         *out, F.coalesce(F.when(F.col("text").isNotNull(), blank), F.lit(0)).alias("n_lines"),
         F.when(F.col("__removed").isNull(), 0).otherwise(F.size("__removed")).alias("n_removed"),
-        F.when(F.col("__removed").isNull(), 0).otherwise(F.size(marks)).alias("n_runs"))
+        F.coalesce(F.col("__runs"), F.lit(0)).alias("n_runs"))
