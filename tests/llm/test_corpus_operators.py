@@ -64,6 +64,14 @@ def docs_of(spark):
     return spark.read.parquet(f"{SF}/documents.parquet")
 
 
+def test_line_runs_are_counted_without_blank_lines(spark):
+    eight = [f"line {k}" for k in range(8)]
+    docs = spark.createDataFrame([(1, "\n".join(eight)), (2, "\n\n \n".join(eight)),
+                                  (3, "\n".join([*eight[:4], "new", *eight[4:]]))], "doc_id long, text string")
+    got = {r["doc_id"]: (r["n_removed"], r["n_runs"]) for r in line_runs.dedup_lines(docs).collect()}
+    assert got == {1: (0, 0), 2: (8, 1), 3: (8, 2)}
+
+
 # ------------------------------------------------------------ token counts, quality
 
 
@@ -531,6 +539,13 @@ def test_pipeline_stages(spark):
 
 
 def test_stages_take_empty_and_odd_tables(spark, odd, empty):
-    for docs in (empty, odd.drop("key", "score", "n_lines")):
-        for name, stage in corpus_pipeline.STAGES:
-            assert stage(spark, docs, SF).count() <= docs.count(), name
+    # columns named like the operators' own come out as they went in
+    clash = {"__score": F.lit(5), "__dockey": F.lit("d"), "n_removed": F.lit("r"), "N_Runs": F.lit(7)}
+    for docs in (empty, odd.withColumns(clash)):
+        for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
+            out = stage(spark, docs, SF)
+            assert out.count() <= docs.count(), name
+            if k + 1 < len(corpus_pipeline.STAGES):
+                assert out.columns == docs.columns, name
+                kept = [c for c in docs.columns if c not in ("doc_id", "text", "lang", "source", "n_chars")]
+                assert {tuple(r) for r in out.select(kept).collect()} <= {tuple(r) for r in docs.select(kept).collect()}
