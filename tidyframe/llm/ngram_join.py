@@ -47,7 +47,6 @@ LARGE, CELL, NEIGHBOURS = 32, 4096, 3
 BUCKET_TOKENS = 1_000_000
 FEW_PAIRS = 100_000    # 1.6 MB: as many candidate pairs may be broadcast
 SKETCH, WIDE = 12, 32  # longs of the parity sketches
-FIRST_LONGS = 2        # of which are compared first
 HEAD = 6               # rarest mixed elements that a group carries to each bucket
 
 
@@ -228,16 +227,13 @@ def _fits(sim: Similarity) -> Column:
 def _near(sim: Similarity, a: Column, b: Column, longs: int, loose: list[Column]) -> Column:
     """The sketches ``a`` and ``b`` of sets of n_a and n_b elements differ in no more bits
     than linked sets do in elements, the bits of ``loose`` (or null) aside."""
-    limit = (100 - sim.percent) * (F.col("n_a") + F.col("n_b"))
-    differ, near = F.lit(0), F.lit(True)
+    differ = F.lit(0)
     for k in range(longs):
         bits = F.get(a, F.lit(k)).bitwiseXOR(F.get(b, F.lit(k)))
         for mask in loose:
             bits = bits.bitwiseAND(F.bitwise_not(F.coalesce(F.get(mask, F.lit(k)), F.lit(0).cast("long"))))
         differ = differ + F.bit_count(bits)
-        if k + 1 in (FIRST_LONGS, longs):  # most pairs differ enough in the first longs alone
-            near = near & ((100 + sim.percent) * differ <= limit)
-    return near
+    return (100 + sim.percent) * differ <= (100 - sim.percent) * (F.col("n_a") + F.col("n_b"))
 
 
 def _close(sim: Similarity, name: str = "sketch", longs: int = SKETCH, vary: bool = False) -> Column:
