@@ -273,6 +273,29 @@ def test_substring_dedup_splits_a_hot_minimiser(spark, monkeypatch):
     assert sum(r[2] * n for r, n in got.items()) == 390
 
 
+def test_substring_dedup_repeated_windows_of_a_text_are_one_row(spark, monkeypatch):
+    import pyarrow as pa
+
+    docs = [(i, f"a{i} b{i} " + "go on " * (150 + i) + f"c{i}") for i in range(20)]
+    docs += [(40 + i, docs[i][1] + " " + docs[i][1]) for i in range(3)]
+    strings, places = substring_dedup._strings, []
+    for doc_id, text in docs:
+        hot = sorted({m for *_, (least, _, _) in substring_dedup._each_text(
+            pa.record_batch({"text": [text]}), 50) for m in least.tolist()})
+        part = pa.record_batch({"doc_id": [doc_id], "row_no": [doc_id], "text": [text], "shared": [hot], "hot": [hot]})
+        for found in strings(50, False)([part]):
+            first = [x for xs in found.column("firsts").to_pylist() for x in xs]
+            assert sorted(first) == list(range(len(words(text)) - 49))  # every window, once
+            places.append(found.num_rows)
+    assert max(places) < 200  # 254 windows and more, the two of the pair over and over
+
+    monkeypatch.setattr(substring_dedup, "BUCKET_WINDOWS", 300)
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    got = collections.Counter((r["doc_id"], r["n_words"], r["n_removed"], r["kept_sha256"])
+                              for r in rows(substring_dedup.dedup_substrings(table)))
+    assert got == substring_brute(docs)
+
+
 def test_decontamination(spark, odd, empty):
     bench = spark.createDataFrame([
         (1, "Tom has 12 apples and gives 5 of them to his friend Anna who then eats 3 right away."),

@@ -18,8 +18,10 @@ bucket, and equal windows always meet there.
    around it) each window travels alone, as its 128-bit code, dealt by that code, so
    that no group grows with the table, and only windows of more than one document id are
    answered.
-4. Each occurrence compares its own id with those of its windows; words under a
-   window that also starts in a document with a smaller id are removed.
+4. Each text compares its own id with those of its windows, once for all places of equal
+   strings in it (a text of few words over and over has the same windows hundreds of
+   times); words under a window that also starts in a document with a smaller id are
+   removed.
 
 Defined results: null and empty texts keep nothing and lose nothing; texts under
 ``WINDOW`` words lose nothing; repeats inside one document id are not removed;
@@ -100,8 +102,9 @@ def _minimisers(window: int):
 
 
 def _strings(window: int, pack: bool):
-    """Occurrences of super-k-mers under shared minimisers: as strings, or as slim rows.
-    Under hot minimisers those of single windows, whose string is null."""
+    """Super-k-mers under shared minimisers: as strings, or as slim rows, one per text and
+    distinct string with all places where it begins.  Under hot minimisers those of single
+    windows, whose string is null."""
 
     def run(batches):
         import pyarrow as pa
@@ -110,7 +113,7 @@ def _strings(window: int, pack: bool):
         digest = xxhash.xxh3_128_intdigest
         for part in slices(batches):
             shared, hot, ids = (part.column(c).to_pylist() for c in ("shared", "hot", "doc_id"))
-            cols: list[list] = [[] for _ in range(5)]
+            at: dict = {}
             least_id: dict = {}
             for k, own, words, (least, first, end) in _each_text(part, window):
                 use = np.flatnonzero(np.isin(least, np.array(shared[k], np.int64)))
@@ -127,8 +130,7 @@ def _strings(window: int, pack: bool):
                         _, lo, hi = least_id.get(key, (None, own_id, own_id))
                         least_id[key] = (None if single else text, min(lo, own_id), max(hi, own_id))
                     else:
-                        for c, v in zip(cols, (*key, k, a), strict=True):
-                            c.append(v)
+                        at.setdefault((*key, k), []).append(a)
             if pack:
                 keys = [pa.array([key[k] for key in least_id], pa.int64()) for k in range(3)]
                 yield pa.RecordBatch.from_arrays(
@@ -137,11 +139,11 @@ def _strings(window: int, pack: bool):
                      pa.array([v[2] for v in least_id.values()], pa.int64())],
                     names=["minimiser", "code1", "code2", "packed", "least", "most"])
             else:
-                owner = pa.array(cols[3], pa.int64())
+                *keys, owner = (pa.array([key[k] for key in at], pa.int64()) for k in range(4))
                 yield pa.RecordBatch.from_arrays(
-                    [*(pa.array(c, pa.int64()) for c in cols[:3]), part.column("doc_id").take(owner),
-                     part.column("row_no").take(owner), pa.array(cols[4], pa.int64())],
-                    names=["minimiser", "code1", "code2", "doc_id", "row_no", "first"])
+                    [*keys, part.column("doc_id").take(owner), part.column("row_no").take(owner),
+                     pa.array(list(at.values()), pa.list_(pa.int64()))],
+                    names=["minimiser", "code1", "code2", "doc_id", "row_no", "firsts"])
 
     return run
 
@@ -251,7 +253,7 @@ def _finish(window: int, with_text: bool):
             def mask(n):
                 edge = np.zeros(n + 1, np.int64)
                 for s in spans or []:
-                    at = s["first"] + np.array(s["hits"], np.int64)
+                    at = np.add.outer(np.array(s["firsts"], np.int64), np.array(s["hits"], np.int64)).ravel()
                     np.add.at(edge, at, 1)
                     np.add.at(edge, at + window, -1)
                 return np.cumsum(edge)[:-1] == 0
@@ -294,12 +296,12 @@ def dedup_substrings(docs: DataFrame, window: int = WINDOW, with_text: bool = Tr
         _buckets(window), "minimiser long, code1 long, code2 long, least array<long>"))
     places = some.mapInArrow(
         _strings(window, False),
-        f"minimiser long, code1 long, code2 long, doc_id {id_type}, row_no long, first long")
+        f"minimiser long, code1 long, code2 long, doc_id {id_type}, row_no long, firsts array<long>")
     hits = F.filter(F.transform("least", lambda x, i: F.when(x < F.col("doc_id"), i)),
                     lambda i: i.isNotNull())
     spans = (places.join(answers, ["minimiser", "code1", "code2"])
-             .select("row_no", "first", hits.alias("hits")).filter("size(hits) > 0")
-             .groupBy("row_no").agg(F.collect_list(F.struct("first", "hits")).alias("spans")))
+             .select("row_no", "firsts", hits.alias("hits")).filter("size(hits) > 0")
+             .groupBy("row_no").agg(F.collect_list(F.struct("firsts", "hits")).alias("spans")))
     judged = (some.select("row_no", "doc_id", "text").join(spans, "row_no", "left")
               .select("doc_id", "text", "spans").mapInArrow(_finish(window, with_text), out))
     return settled.filter("shared IS NULL").select("doc_id", *_OUT).unionByName(judged)
