@@ -167,6 +167,38 @@ def test_ngram_join_near_copies(spark, odd, width, percent):
     assert got == join_brute([(r["doc_id"], r["text"]) for r in rows(docs)], width, percent)
 
 
+def test_groups_are_compared_in_compact_code(spark):
+    from conftest import plan_text
+
+    rng = np.random.default_rng(11)
+    sim, longs = ngram_join.Similarity(4, 85), ngram_join.SKETCH
+    base = rng.integers(-1 << 63, 1 << 63, longs)
+    groups = []
+    for k in range(40):  # a few bits from one sketch; loose bits: none known, some, all of a long
+        flips = np.bitwise_or.reduce(np.int64(1) << rng.integers(0, 63, (int(rng.integers(1, 4)), longs)), axis=0)
+        vary = None if k % 3 == 0 else [int(x) for x in rng.integers(-1 << 63, 1 << 63, longs) * (k % 3 - 1)]
+        groups.append((k, int(rng.integers(80, 300)), [int(x) for x in base ^ flips], vary))
+    table = spark.createDataFrame(groups, "k long, n long, sketch array<long>, vary array<long>").select(
+        "k", "n", *ngram_join._spread_sketch())
+    side = lambda s: table.select(*(F.col(c).alias(f"{c}_{s}") for c in table.columns))
+    got = {(r[0], r[1]) for r in side("a").crossJoin(side("b")).filter(
+        ngram_join._groups_close(sim)).select("k_a", "k_b").collect()}
+    differ = lambda x, y: sum(((a ^ b) & ~v & ~w & (1 << 64) - 1).bit_count() for a, b, v, w in zip(
+        x[2], y[2], x[3] or [0] * longs, y[3] or [0] * longs, strict=True))
+    want = {(x[0], y[0]) for x in groups for y in groups if 185 * differ(x, y) <= 15 * (x[1] + y[1])}
+    assert got == want and 40 < len(got) < 1600
+
+    slim = table.limit(3).select(F.col("k").alias("id"), "n", F.array(*["bits0"] * longs).alias("sketch"),
+                                 F.array(F.lit(7).cast("long")).alias("prefix"))
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        pairs = ngram_join._group_pairs(slim, slim.select("id", F.col("id").alias("comp")), sim)
+        sizes = re.findall(r"maxMethodCodeSize:(\d+)", plan_text(pairs, "codegen"))
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    assert sizes and max(map(int, sizes)) < 6000  # bytes; 7854 on arrays
+
+
 def test_ngram_join_table(spark, empty):
     docs = docs_of(spark)
     got = collections.Counter((r["doc_id"], r["n_shingles"], r["component_id"])
