@@ -6,6 +6,7 @@ import collections
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 
 from tidyframe.llm import collocations
@@ -118,3 +119,31 @@ def test_query(spark):
     rows = [(r["lang"], r["text"]) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()]
     want = brute(rows)
     assert want and got(op11_collocations(spark, SF)) == want
+
+
+def told(texts, most, depth=5):
+    """Rows of a task that reads each text as a batch of its own; all words may be frequent."""
+    full = [np.full(1 << collocations.BITS >> 6, ~np.uint64(0))] * 3
+    batches = (pa.RecordBatch.from_pydict({"lang": ["en"], "text": [t]}) for t in texts)
+    return [r for b in collocations._count_leaves(full, depth, most)(batches) for r in b.to_pylist()]
+
+
+def test_a_task_tells_a_leaf_once():
+    text = "a b c d e f g, x y. a b c d e"
+    want = {"a b c d e": 2, "b c d e f": 1, "c d e f g": 1, "d e f g": 1, "e f g": 1, "f g": 1, "x y": 1,
+            "b c d e": 1, "c d e": 1, "d e": 1}
+    rows = told([text] * 7, most=1000)
+    assert sorted((r["lang"], r["suffix"], r["f"]) for r in rows) == sorted(("en", s, 7 * n) for s, n in want.items())
+    rows = told([text] * 7, most=1)  # told after each chunk: the same sums
+    assert len(rows) == 7 * len(want)
+    assert sum((collections.Counter({r["suffix"]: r["f"]}) for r in rows), collections.Counter()) == \
+        {s: 7 * n for s, n in want.items()}
+    assert told(["", "a", ". . ."], most=1000) == []
+
+
+@pytest.mark.parametrize("pruned", [1, 2, 4, 5])
+def test_how_far_rare_windows_are_left_out_changes_nothing(spark, monkeypatch, pruned):
+    monkeypatch.setattr(collocations, "PRUNED", pruned)
+    monkeypatch.setattr(collocations, "TASK_LEAVES", 3)
+    frame = collocations.collocations(docs_of(spark, ODD), min_count=2, budget=10)
+    assert got(frame) == brute(ODD, least=2)

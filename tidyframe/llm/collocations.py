@@ -5,10 +5,10 @@
    rarer one ends a piece as punctuation does.  Tasks know the frequent ones by bitmaps of
    fixed size (2 ** BITS bits, whatever the corpus).  A hash that two share can only let a rare
    one pass: it costs a row and changes no result.
-2. What is left of a piece are chains of words, each triple of which may be frequent.  Equal
-   chains are counted per chunk, then over the corpus, so copied passages travel once a chunk.
-   Each word of a distinct chain starts a suffix of up to ``DEPTH`` words: summed up, these
-   are the leaves with their totals.
+2. Each word that begins a window of two words and more which may be frequent starts a suffix:
+   the longest such window, of up to ``DEPTH`` words.  Equal suffixes are counted per task
+   (at most ``TASK_LEAVES`` at a time), then over the corpus: these are the leaves with their
+   totals.  A task tells a leaf once, so copied passages travel once a task.
 3. Vertical partitioning: leaves belong to the prefix of one word; a prefix of more
    than ``GROUP_LEAVES`` leaves is split by its next word, and so on to the full depth.
    Prefixes are packed into groups up to that budget of leaves.
@@ -39,7 +39,8 @@ MIN_COUNT = 100
 TOP = 2000
 ABSORB = 100              # per cent of a phrase's occurrences in a longer one that drop it
 BITS = 25                 # of each bitmap: 4 MiB
-PRUNED = 3                # words of the longest prefix that is counted before the leaves (2 or 3)
+PRUNED = 3                # words of the longest prefix that is counted before the leaves
+TASK_LEAVES = 100_000     # distinct leaves that a task counts in memory
 GROUP_LEAVES = 100_000    # leaves of a subtree in one task's memory
 LANES = 32                # of the last ranking and of the join with a language's total
 NO_LANG = "und"
@@ -102,22 +103,21 @@ def _count_words(batches):
              pa.array(np.concatenate([[n[1:].sum()], n[1:]]), pa.int64())], names=["lang", "word", "h", "f"])
 
 
-def _linked(lang: str, ids: np.ndarray, words, bitmaps: list[np.ndarray]):
-    """For each width from 1 on: hashes of the windows of that width, and which of them may be
-    part of a frequent phrase.  One more width than there are bitmaps: candidates."""
+def _linked(lang: str, ids: np.ndarray, words, bitmaps: list[np.ndarray], widest: int):
+    """For each width up to ``widest``: which windows of that width may be part of a frequent
+    phrase; and the hashes of the widest ones."""
     own = _hashes(lang, words)
     first = _known(bitmaps[0], own)
     first[0] = False
-    h = own[ids]
-    out = [(h, first[ids])]
-    for width in range(2, len(bitmaps) + 2):
-        before, may = out[-1]
-        gram = mix64(mix64(before[:-1]) + mix64(~h[width - 1:]) * np.uint64(0x9E3779B97F4A7C15))
-        may = may[:-1] & may[1:]
+    gram = h = own[ids]
+    out = [first[ids]]
+    for width in range(2, widest + 1):
+        gram = mix64(mix64(gram[:-1]) + mix64(~h[width - 1:]) * np.uint64(0x9E3779B97F4A7C15))
+        may = out[-1][:-1] & out[-1][1:]
         if width <= len(bitmaps):
             may[may] = _known(bitmaps[width - 1], gram[may])
-        out.append((gram, may))
-    return out
+        out.append(may)
+    return out, gram
 
 
 def _count_grams(bitmaps: list[np.ndarray]):
@@ -127,29 +127,14 @@ def _count_grams(bitmaps: list[np.ndarray]):
         import pyarrow as pa
 
         for lang, ids, words in _by_lang(batches):
-            gram, may = _linked(lang, ids, words, bitmaps)[-1]
-            found, n = np.unique(gram[may].astype(np.uint32), return_counts=True)
+            linked, gram = _linked(lang, ids, words, bitmaps, len(bitmaps) + 1)
+            found, n = np.unique(gram[linked[-1]].astype(np.uint32), return_counts=True)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(found.view(np.int32)), pa.array(n, pa.int64())], names=["h", "f"])
 
     return run
 
 
-def _chains(ids: np.ndarray, linked: list[np.ndarray]) -> dict[bytes, int]:
-    """Maximal chains of linked windows, as word numbers, with their counts.  ``linked[w]``
-    says which windows of w + 2 words may be part of a frequent phrase; of pairs alone,
-    or of pairs and triples, which join a pair to the one before it."""
-    pair = np.flatnonzero(linked[0])
-    joins = linked[1][pair[:-1]] if len(linked) > 1 else np.ones(max(len(pair) - 1, 0), bool)
-    fresh = np.append(True, (np.diff(pair) > 1) | ~joins) if len(pair) else np.empty(0, bool)
-    first = pair[fresh]
-    last = pair[np.append(fresh[1:], True)] if len(pair) else pair
-    found: dict[bytes, int] = defaultdict(int)
-    for a, b in zip(first.tolist(), (last + 2).tolist(), strict=True):
-        found[ids[a:b].tobytes()] += 1
-    return found
-
-
 def _sorted_rows(m: np.ndarray) -> np.ndarray:
     """Order of rows by their columns from left to right."""
     if not len(m):
@@ -161,35 +146,39 @@ def _sorted_rows(m: np.ndarray) -> np.ndarray:
     return np.lexsort(keys[::-1])
 
 
-def _count_chains(bitmaps: list[np.ndarray]):
-    def run(batches):
-        import pyarrow as pa
+def _leaves(ids: np.ndarray, linked: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct leaves, as rows of word numbers with 0 behind the last, and their counts.
+    The leaf of a word is the longest linked window of two words and more that it begins."""
+    at = np.flatnonzero(linked[1])
+    m = np.zeros((len(at), len(linked)), ids.dtype)
+    for k, may in enumerate(linked):
+        rows = np.flatnonzero(np.append(may, np.zeros(k, bool))[at])
+        m[rows, k] = ids[at[rows] + k]
+    m = m[_sorted_rows(m)]
+    first = np.flatnonzero(np.append(True, (m[1:] != m[:-1]).any(axis=1))) if len(m) else at
+    return m[first], np.diff(np.append(first, len(m)))
 
-        for lang, ids, words in _by_lang(batches):
-            chains = _chains(ids, [may for _, may in _linked(lang, ids, words, bitmaps)[1:len(bitmaps)]])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([lang] * len(chains), pa.string()),
-                 _strings([b" ".join([words[w] for w in np.frombuffer(c, ids.dtype).tolist()]) for c in chains]),
-                 pa.array(list(chains.values()), pa.int64())], names=["lang", "chain", "f"])
 
-    return run
+def _count_leaves(bitmaps: list[np.ndarray], depth: int, most: int):
+    """Leaves with their counts in the task, told whenever it holds ``most`` distinct ones."""
 
+    def told(held):
+        import pyarrow as pa
 
-def _suffixes(depth: int):
-    """Distinct chains with counts -> their suffixes of two words and more."""
+        return pa.RecordBatch.from_arrays(
+            [pa.array([lang for lang, _ in held], pa.string()), _strings([leaf for _, leaf in held]),
+             pa.array(list(held.values()), pa.int64())], names=["lang", "suffix", "f"])
 
     def run(batches):
-        import pyarrow as pa
-
-        for part in batches:
-            found: dict = defaultdict(int)
-            for lang, chain, f in zip(*(part.column(c).to_pylist() for c in ("lang", "chain", "f")), strict=True):
-                words = chain.split(" ")
-                for i in range(len(words) - 1):
-                    found[lang, " ".join(words[i:i + depth])] += f
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([k[0] for k in found], pa.string()), pa.array([k[1] for k in found], pa.string()),
-                 pa.array(list(found.values()), pa.int64())], names=["lang", "suffix", "f"])
+        held: dict[tuple, int] = defaultdict(int)
+        for lang, ids, words in _by_lang(batches):
+            rows, counts = _leaves(ids, _linked(lang, ids, words, bitmaps, depth)[0])
+            for row, n in zip(rows.tolist(), counts.tolist(), strict=True):
+                held[lang, b" ".join([words[w] for w in row if w])] += n
+            if len(held) >= most:
+                yield told(held)
+                held.clear()
+        yield told(held)
 
     return run
 
@@ -299,10 +288,8 @@ def frequent_phrases(docs: DataFrame, depth: int = DEPTH, min_count: int = MIN_C
     while len(bitmaps) < min(PRUNED, depth):
         grams = texts.mapInArrow(_count_grams(bitmaps), "h int, f long").groupBy("h").agg(F.sum("f").alias("f"))
         bitmaps.append(_bitmap(grams.filter(F.col("f") >= min_count)))
-    chains = texts.mapInArrow(_count_chains(bitmaps), "lang string, chain string, f long") \
-        .groupBy("lang", "chain").agg(F.sum("f").alias("f"))
     leaves = materialize(
-        chains.mapInArrow(_suffixes(depth), "lang string, suffix string, f long")
+        texts.mapInArrow(_count_leaves(bitmaps, depth, TASK_LEAVES), "lang string, suffix string, f long")
         .groupBy("lang", "suffix").agg(F.sum("f").alias("f")), "suffix-leaves")
     nodes = (partition_leaves(leaves, depth, budget).select("grp", "lang", "suffix", "f", "words")
              .repartition("grp").sortWithinPartitions("grp", "lang")
